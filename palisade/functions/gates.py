@@ -57,9 +57,11 @@ def high_risk(labels: Column, risky: list[str]) -> Column:
     ).otherwise(F.lit("PASS"))
 
 
-def expected_flag(text: Column) -> Column:
-    return F.contains(text, F.lit(EXPECTED_FLAG_EXACT)) | F.contains(
-        F.lower(text), F.lit(EXPECTED_FLAG_ANY_CASE)
+def expected_flag(
+    text: Column, exact: str = EXPECTED_FLAG_EXACT, any_case: str = EXPECTED_FLAG_ANY_CASE
+) -> Column:
+    return F.contains(text, F.lit(exact)) | F.contains(
+        F.lower(text), F.lit(any_case)
     )
 
 

@@ -76,30 +76,32 @@ def find_hits(text: Column, registry: list[Pattern], compat: bool = False) -> Co
 
 def replace_generic(text: Column, hits: Column, registry: list[Pattern], token) -> Column:
     """Fold `replace` over all hits; `token(label)` gives the replacement text."""
-    clean = text
+
+    def fold(clean: Column, label: str) -> Column:
+        mark = F.lit(token(label))
+        return F.aggregate(hits[label], clean, lambda acc, m: F.replace(acc, m, mark))
+
     for p in registry:
-        mark = F.lit(token(p.label))
-        clean = F.aggregate(
-            hits[p.label], clean, lambda acc, m, mark=mark: F.replace(acc, m, mark)
-        )
-    return clean
+        text = fold(text, p.label)
+    return text
 
 
 def replace_numbered(text: Column, hits: Column, registry: list[Pattern]) -> Column:
     """As above with `[VAR_LABEL_i]`, i counting the matches of one pattern from 1."""
-    clean = text
-    for p in registry:
+
+    def fold(clean: Column, label: str) -> Column:
+        head = F.lit(f"[VAR_{label}_")
         numbered = F.transform(
-            hits[p.label],
-            lambda m, i, label=p.label: F.struct(
-                m.alias("m"),
-                F.concat(F.lit(f"[VAR_{label}_"), (i + 1).cast("string"), F.lit("]")).alias("r"),
+            hits[label],
+            lambda m, i: F.struct(
+                m.alias("m"), F.concat(head, (i + 1).cast("string"), F.lit("]")).alias("r")
             ),
         )
-        clean = F.aggregate(
-            numbered, clean, lambda acc, x: F.replace(acc, x["m"], x["r"])
-        )
-    return clean
+        return F.aggregate(numbered, clean, lambda acc, x: F.replace(acc, x["m"], x["r"]))
+
+    for p in registry:
+        text = fold(text, p.label)
+    return text
 
 
 def labels_matched(hits: Column, registry: list[Pattern]) -> Column:

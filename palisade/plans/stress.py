@@ -22,12 +22,17 @@ def probe_questions(documents: DataFrame, overrides: DataFrame) -> DataFrame:
 
 
 def missing_source_audit(
-    probes: DataFrame, chunks: DataFrame, answers: DataFrame, k: int = TOP_K, metric: str = "l2sq"
+    probes: DataFrame,
+    chunks: DataFrame,
+    answers: DataFrame,
+    k: int = TOP_K,
+    metric: str = "l2sq",
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Did the answer to an out-of-scope question admit ignorance?
 
     The distance of the best chunk shows how weak the retrieval was.  `probes` is
-    (query_id, collection, vector), `answers` is (query_id, answer).
+    (query_id, collection, vector), `answers` is (query_id, answer) and the columns to keep.
     """
     best = (
         retrieve_topk(probes, chunks, k, metric)
@@ -35,6 +40,10 @@ def missing_source_audit(
         .agg(F.min("distance").alias("best_distance"), F.count("*").alias("n_retrieved"))
     )
     return (
-        answers.select("query_id", admitted_ignorance(F.col("answer")).alias("admitted_ignorance"))
+        answers.select(
+            "query_id",
+            *(keep or []),
+            admitted_ignorance(F.col("answer")).alias("admitted_ignorance"),
+        )
         .join(best, "query_id", "left")
     )
