@@ -9,7 +9,7 @@ from palisade.catalog import views as V
 from palisade.catalog.registry import query
 from palisade.functions.formatting import rounded
 from palisade.operators import evaluation as E
-from palisade.plans.setups import reply_verdicts, scrubbed_rules, setup_verdicts
+from palisade.plans.setups import Setup, reply_verdicts, setup_verdicts
 
 _r4 = "CAST(printf('%.4f', {0}) AS DOUBLE) AS {0}"
 _RATES = ", ".join(_r4.format(x) for x in ("accuracy", "precision", "recall", "f1", "avg_latency_ms"))
@@ -152,7 +152,10 @@ def _bench_sql() -> str:
 SELECT m.setup, total, tp, fn, fp, tn, {_RATES}, p95_latency_ms
 FROM metrics m LEFT JOIN p95 ON m.setup = p95.setup""")
 def setup_benchmark(spark, folder):
-    setups = {name: scrubbed_rules(*parts) for name, parts in _BENCH.items()}
+    setups = {
+        name: Setup(words, patterns, profile)
+        for name, (profile, words, patterns) in _BENCH.items()
+    }
     return E.rounded_metrics(E.eval_metrics(setup_verdicts(V.cases(spark, folder), setups)))
 
 

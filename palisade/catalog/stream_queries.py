@@ -39,7 +39,11 @@ SELECT strftime(date_trunc('day', e.ts), '%Y-%m-%d %H:%M:%S') AS window_start, t
        count(*) AS n_texts, CAST(sum(t.n) AS BIGINT) AS n_matches
 FROM events e, n JOIN per_text t ON t.doc_id = e.event_id % n.n_docs GROUP BY ALL""")
 def pii_telemetry(spark, folder):
-    """Events that each send one text; its matches are counted once, before the join."""
+    """Events that each send one text.
+
+    The matches per text are written once as a narrow table, so that a micro-batch joins
+    counts and never searches the texts again.
+    """
     V.events(spark, folder)
     documents = V.texts(spark, folder)
     n_docs = documents.count()
@@ -47,7 +51,9 @@ def pii_telemetry(spark, folder):
     per_label = F.array(
         *[F.struct(F.lit(p.label).alias("label"), F.size(F.col("h")[p.label]).alias("n")) for p in V.REGISTRY]
     )
-    per_text = hits.select("doc_id", "source", F.inline(F.filter(per_label, lambda x: x["n"] > 0)))
+    counts = scratch_path(spark, "counts")
+    hits.select("doc_id", "source", F.inline(F.filter(per_label, lambda x: x["n"] > 0))).write.parquet(counts)
+    per_text = spark.read.parquet(counts)
     sent = _stream(spark, folder, "events").select(
         F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % n_docs).alias("doc_id")
     )

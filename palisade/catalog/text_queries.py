@@ -11,14 +11,15 @@ from palisade.functions.text import cut, cut_with_dots, sanitize
 from palisade.operators import scrub as O
 from palisade.plans.gateway import display_rows, triple_lock as lock
 
-_labels = F.array_join("patterns_matched", ", ").alias("labels")
+def _labels():
+    return F.array_join("patterns_matched", ", ").alias("labels")
 
 
 @query(f"""WITH {P.hits_cte()}
 SELECT doc_id, clean_text, labels, CAST(redacted_count AS INTEGER) AS redacted_count FROM hits""")
 def redact_generic(spark, folder):
     out = O.redact(V.texts(spark, folder), registry=V.REGISTRY)
-    return out.select("doc_id", "clean_text", _labels, "redacted_count")
+    return out.select("doc_id", "clean_text", _labels(), "redacted_count")
 
 
 @query(f"WITH {P.coding_cte()} SELECT doc_id, clean_text FROM hits")
@@ -33,7 +34,7 @@ SELECT doc_id, source, labels <> '' AS found_pii, labels,
        CAST(redacted_count AS INTEGER) AS redacted_count FROM hits""")
 def pii_report(spark, folder):
     return O.report(V.texts(spark, folder), registry=V.REGISTRY).select(
-        "doc_id", "source", "found_pii", _labels, "redacted_count"
+        "doc_id", "source", "found_pii", _labels(), "redacted_count"
     )
 
 
@@ -78,7 +79,7 @@ def triple_lock(spark, folder):
 def scrub_text(spark, folder):
     out = V.texts(spark, folder)
     for profile in ("lab", "bench5", "models"):
-        out = O.scrub(out, profile).withColumnRenamed("scrubbed", profile)
+        out = O.scrub(out, profile, out=profile)
     return out.select("doc_id", "lab", "bench5", "models")
 
 

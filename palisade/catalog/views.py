@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from palisade.fixed_values import CALL_PRICES, TIER_PRICES
 from palisade.functions import scoring as S
 from palisade.functions.redaction import DEFAULT_REGISTRY, with_pattern
-from palisade.plans.setups import keyword_setup, pattern_setup, setup_verdicts
+from palisade.plans.setups import Setup, setup_verdicts
+from palisade.session import spread
 
 # Words that mark the toxic documents.
 SIGNAL_WORDS = [
@@ -27,7 +28,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def texts(spark, folder) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    documents = table(spark, folder, "documents")
+    return spread(documents.select("doc_id", "text", "lang", "source", "n_chars"))
 
 
 # --- labelled cases and verdicts -------------------------------------------------
@@ -35,8 +37,7 @@ def texts(spark, folder) -> DataFrame:
 
 def cases(spark, folder) -> DataFrame:
     labels = table(spark, folder, "labels").select("doc_id", (F.col("toxic") == 1).alias("expected"))
-    documents = table(spark, folder, "documents")
-    return documents.join(labels, "doc_id").select(
+    return texts(spark, folder).join(labels, "doc_id").select(
         F.col("doc_id").alias("case_id"),
         "text",
         "expected",
@@ -47,10 +48,10 @@ def cases(spark, folder) -> DataFrame:
 
 
 SETUPS = {
-    "narrow": keyword_setup(SIGNAL_WORDS[:4]),
-    "full": keyword_setup(SIGNAL_WORDS),
-    "broad": keyword_setup([*SIGNAL_WORDS, "this"]),
-    "regex": pattern_setup(["|".join(SIGNAL_WORDS)]),
+    "narrow": Setup(SIGNAL_WORDS[:4]),
+    "full": Setup(SIGNAL_WORDS),
+    "broad": Setup([*SIGNAL_WORDS, "this"]),
+    "regex": Setup(patterns=["|".join(SIGNAL_WORDS)]),
 }
 
 

@@ -116,11 +116,14 @@ def count_hits(hits: Column, registry: list[Pattern]) -> Column:
     return total
 
 
-def scrub(text: Column, profile: list[tuple[str, str]]) -> Column:
-    """Sequential substitution on the running text; `[LABEL]` replaces a match."""
-    for label, regex in profile:
-        text = F.regexp_replace(text, "(?U)" + regex, f"[{label}]")
-    return text
+def scrub_step(text: Column, label: str, regex: str) -> Column:
+    """One substitution on the running text; `[LABEL]` replaces a match.
+
+    A text without the character every match holds skips the pattern.
+    """
+    done = F.regexp_replace(text, "(?U)" + regex, f"[{label}]")
+    needs = "@" if "@" in regex else "-" if regex.startswith("sk-") else None
+    return F.when(F.contains(text, F.lit(needs)), done).otherwise(text) if needs else done
 
 
 def luhn_ok(match: Column) -> Column:

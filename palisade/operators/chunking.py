@@ -37,6 +37,19 @@ def cut_page(text, size: int, overlap: int):
     return F.filter(pieces, lambda p: F.length(p["text"]) > 0)
 
 
+def count_pieces(text, size: int, overlap: int):
+    """How many pieces `cut_page` gives, without cutting most pages.
+
+    Every piece but the last spans more than a step, so it can only be blank where a
+    step's worth of spaces follow each other; the last can be where the page ends blank.
+    """
+    step = size - overlap
+    gaps = F.rlike(text, F.lit(rf"(?U)\s{{{step}}}|[\s\x1c-\x1f]$"))
+    return F.when(gaps, F.size(cut_page(text, size, overlap))).otherwise(
+        F.ceil(F.length(text) / step).cast("int")
+    )
+
+
 def chunk_pages(
     pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP
 ) -> DataFrame:
@@ -46,8 +59,11 @@ def chunk_pages(
     before it, in ranges of pages, so one huge document still spreads over tasks.
     """
     cut = pages.select(
-        "doc_id", "page_num", cut_page(F.col("text"), size, overlap).alias("_pieces")
-    ).withColumn("_n", F.size("_pieces"))
+        "doc_id",
+        "page_num",
+        cut_page(F.col("text"), size, overlap).alias("_pieces"),
+        count_pieces(F.col("text"), size, overlap).alias("_n"),
+    )
     placed = running_total(cut, "doc_id", "page_num", "_n", "_first")
     return placed.select(
         "doc_id", "page_num", "_first", F.posexplode("_pieces").alias("_pos", "_piece")
@@ -67,7 +83,7 @@ def chunk_stats(df: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVER
     counted = df.select("doc_id", F.explode(pages).alias("page")).select(
         "doc_id",
         (F.length("page") > 0).cast("int").alias("filled"),
-        F.when(F.length("page") > 0, F.size(cut_page(F.col("page"), size, overlap)))
+        F.when(F.length("page") > 0, count_pieces(F.col("page"), size, overlap))
         .otherwise(0)
         .alias("n"),
     )

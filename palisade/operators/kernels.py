@@ -9,6 +9,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+try:
+    import ahocorasick
+except ImportError:  # long keyword lists are then tested one by one
+    ahocorasick = None
+
 # Rows of a batch compared in one step: keeps the score block small.
 STEP = 1024
 
@@ -128,3 +133,31 @@ def best_topic_of(topic_names: list[str], topic_rows: np.ndarray):
         )
 
     return score
+
+
+def keyword_search(listed: dict):
+    """An Arrow function: (lower-cased text, policy) -> the first keyword by list order.
+
+    `listed` maps a policy to {lower-cased keyword: (ord, keyword)}.  The search
+    automaton of a policy is built once per Python worker.
+    """
+    built: dict = {}
+
+    def automaton(policy):
+        if policy not in built:
+            words = ahocorasick.Automaton()
+            for lowered, entry in listed.get(policy, {}).items():
+                words.add_word(lowered, entry)
+            words.make_automaton()
+            built[policy] = words if len(words) else None
+        return built[policy]
+
+    def find(texts: pa.Array, policies: pa.Array) -> pa.Array:
+        out = []
+        for text, policy in zip(texts.to_pylist(), policies.to_pylist()):
+            words = automaton(policy) if text is not None else None
+            hits = (entry for _, entry in words.iter(text)) if words else ()
+            out.append(min(hits, default=(0, None))[1])
+        return pa.array(out, type=pa.string())
+
+    return find

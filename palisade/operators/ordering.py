@@ -41,7 +41,7 @@ def running_total(
     `order` is a whole number, unique within the group.  A task sees `width` order
     values at most, however large the group.
     """
-    rows = df.withColumn("_bucket", F.floor(F.col(order) / width))
+    rows = df.withColumn("_bucket", F.call_function("div", F.col(order), F.lit(width)))
     totals = rows.groupBy(group, "_bucket").agg(F.sum(amount).alias("_total"))
     earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
@@ -71,40 +71,31 @@ def value_at_rank(
     counts = df.groupBy(group, value).agg(F.count("*").alias("_n")).withColumns(
         {"_coarse": coarse_bucket(F.col(value)), "_fine": fine_bucket(F.col(value))}
     )
-    sizes = df.groupBy(group).agg(F.count("*").alias("_size"))
-    wanted = sizes.select(
+    size = F.sum("_n").over(Window.partitionBy(group))
+    wanted = F.least(F.floor(size * F.lit(fraction)), size - 1)
+    coarse = _holding(
+        counts.groupBy(group, "_coarse").agg(F.sum("_n").alias("_n")).withColumn("_rank", wanted),
+        group,
+        "_coarse",
+    ).select(group, "_coarse", "_rank")
+    inside = counts.join(coarse, [group, "_coarse"])
+    fine = _holding(
+        inside.groupBy(group, "_coarse", "_rank", "_fine").agg(F.sum("_n").alias("_n")),
         group,
-        F.least(F.floor(F.col("_size") * F.lit(fraction)), F.col("_size") - 1).alias("_rank"),
-    )
-    coarse = _narrow(counts, wanted, [group], "_coarse")
-    fine = _narrow(
-        counts.join(coarse.select(group, "_coarse"), [group, "_coarse"], "left_semi"),
-        coarse.select(group, "_rank"),
-        [group],
         "_fine",
-    )
-    chosen = coarse.select(group, "_coarse").join(
-        fine.select(group, "_fine", "_rank"), group
-    )
-    left = counts.join(chosen, [group, "_coarse", "_fine"])
-    upto = Window.partitionBy(group).orderBy(value)
-    return (
-        left.withColumn("_end", F.sum("_n").over(upto))
-        .where((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n")))
-        .select(group, F.col(value).alias(out))
-    )
+    ).select(group, "_coarse", "_fine", "_rank")
+    left = counts.join(fine, [group, "_coarse", "_fine"])
+    return _holding(left, group, value).select(group, F.col(value).alias(out))
 
 
-def _narrow(counts: DataFrame, wanted: DataFrame, group: list[str], bucket: str) -> DataFrame:
-    """The bucket that holds the wanted rank, and the rank counted from its start."""
-    totals = counts.groupBy(*group, bucket).agg(F.sum("_n").alias("_n"))
-    upto = Window.partitionBy(*group).orderBy(bucket)
-    ends = totals.withColumn("_end", F.sum("_n").over(upto))
+def _holding(counts: DataFrame, group: str, order: str) -> DataFrame:
+    """The row of each group in which `_rank` falls, `_rank` then counting from its start."""
+    end = F.sum("_n").over(Window.partitionBy(group).orderBy(order))
     start = F.col("_end") - F.col("_n")
     return (
-        ends.join(wanted, group)
+        counts.withColumn("_end", end)
         .where((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= start))
-        .select(*group, bucket, (F.col("_rank") - start).alias("_rank"))
+        .withColumn("_rank", F.col("_rank") - start)
     )
 
 

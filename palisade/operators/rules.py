@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palisade.functions import gates as G
-from palisade.session import DIMENSION_ROWS
+from palisade.operators.kernels import ahocorasick, keyword_search
+from palisade.session import DIMENSION_ROWS, is_small
+
+# Up to this many keywords are tested one by one inside the JVM.
+FEW_RULES = 64
 
 
 def rule_gate(
@@ -36,50 +40,62 @@ def rule_join(
     """Gate each text by the rules of its policy.
 
     `rules` holds (policy_name, kind, ord, rule), kind `keyword` or `pattern`, ord
-    numbered from 0 within policy and kind.  Rules are grouped into one array per
-    policy, so the texts meet them in an equi-join on the policy and are neither
-    multiplied nor shuffled.  A block holds `block_rows` rules per policy at most;
-    longer lists take further passes in rule order, so no rule is ever left out.
+    numbered from 0 within policy and kind.  The texts are neither multiplied nor, for
+    rules of a checked size, shuffled.  Short lists are grouped into one array per policy
+    and meet the texts in an equi-join on the policy.  Long keyword lists are searched
+    in one pass over the text, whatever their number.  A block holds `block_rows` rules
+    per policy at most; longer lists take further passes in rule order, so no rule is
+    ever left out.
     """
-    last = rules.agg(F.max("ord").alias("m"), F.countDistinct(policy).alias("p")).first()
-    blocks = 1 if last["m"] is None else last["m"] // block_rows + 1
-    fits = (last["p"] or 0) * min(block_rows, (last["m"] or 0) + 1) <= DIMENSION_ROWS
-
+    sizes = rules.agg(F.max("ord").alias("last"), F.countDistinct(policy).alias("n")).first()
+    longest = 0 if sizes["last"] is None else sizes["last"] + 1
     out = (
         texts.withColumn("_lowered", F.lower(text))
         .withColumn("keyword", F.lit(None).cast("string"))
         .withColumn("pattern_match", F.lit(False))
     )
-    for block in range(blocks):
-        part = rules.where(F.floor(F.col("ord") / block_rows) == block)
-        lists = part.groupBy(policy).agg(
-            _ordered(part, "keyword").alias("_keywords"),
-            _ordered(part, "pattern").alias("_patterns"),
-        )
-        side = F.broadcast(lists) if fits else lists
-        first_keyword = F.get(
-            F.filter(F.col("_keywords"), lambda r: F.contains(F.col("_lowered"), F.lower(r))),
-            F.lit(0),
-        )
-        any_pattern = F.exists(
-            F.col("_patterns"),
-            lambda r: F.rlike(F.col(text), F.concat(F.lit("(?iU)"), r)),
-        )
-        out = (
-            out.join(side, policy, "left")
-            .withColumn("keyword", F.coalesce("keyword", first_keyword))
-            .withColumn(
-                "pattern_match",
-                F.col("pattern_match") | F.coalesce(any_pattern, F.lit(False)),
-            )
-            .drop("_keywords", "_patterns")
-        )
+    for start in range(0, longest, block_rows):
+        part = rules.where((F.col("ord") >= start) & (F.col("ord") < start + block_rows))
+        words = part.where(F.col("kind") == "keyword")
+        if ahocorasick and longest > FEW_RULES and is_small(words):
+            out = _search_keywords(out, words, policy)
+            part = part.where(F.col("kind") == "pattern")
+        fits = sizes["n"] * min(longest, block_rows) <= DIMENSION_ROWS or is_small(part)
+        out = _join_lists(out, part, text, policy, fits)
     return out.withColumn(
         "verdict", G.rule_verdict(F.col("keyword"), F.col("pattern_match"))
     ).drop("_lowered")
 
 
-def _ordered(rules: DataFrame, kind: str):
+def _join_lists(texts: DataFrame, part: DataFrame, text: str, policy: str, fits: bool) -> DataFrame:
+    lists = part.groupBy(policy).agg(
+        _ordered("keyword").alias("_keywords"), _ordered("pattern").alias("_patterns")
+    )
+    first = F.filter(
+        F.col("_keywords"), lambda r: F.contains(F.col("_lowered"), r["lowered"])
+    )
+    found = F.exists(
+        F.col("_patterns"), lambda r: F.rlike(F.col(text), F.concat(F.lit("(?iU)"), r["rule"]))
+    )
+    return (
+        texts.join(F.broadcast(lists) if fits else lists, policy, "left")
+        .withColumn("keyword", F.coalesce("keyword", F.get(first, F.lit(0))["rule"]))
+        .withColumn("pattern_match", F.col("pattern_match") | F.coalesce(found, F.lit(False)))
+        .drop("_keywords", "_patterns")
+    )
+
+
+def _ordered(kind: str) -> Column:
     """The rules of one kind as an array in `ord` order."""
-    pairs = F.collect_list(F.when(rules["kind"] == kind, F.struct("ord", "rule")))
-    return F.transform(F.array_sort(pairs), lambda x: x["rule"])
+    rule = F.struct("ord", "rule", F.lower("rule").alias("lowered"))
+    return F.array_sort(F.collect_list(F.when(F.col("kind") == kind, rule)))
+
+
+def _search_keywords(texts: DataFrame, words: DataFrame, policy: str) -> DataFrame:
+    """First keyword by one multi-word search per text; `words` is known to be small."""
+    listed: dict = {}
+    rows = words.select(policy, "ord", "rule", F.lower("rule").alias("lowered")).collect()
+    for row in sorted(rows, key=lambda r: r["ord"], reverse=True):
+        listed.setdefault(row[policy], {})[row["lowered"]] = (row["ord"], row["rule"])
+    find = F.arrow_udf(keyword_search(listed), "string")
+    return texts.withColumn("keyword", F.coalesce("keyword", find("_lowered", policy)))

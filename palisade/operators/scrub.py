@@ -103,9 +103,21 @@ def add_high_risk(df: DataFrame, risky: list[str] = HIGH_RISK_LABELS) -> DataFra
     return df.withColumn("safety_status", high_risk(F.col("patterns_matched"), risky))
 
 
-def scrub(df: DataFrame, profile: str = "lab", text: str = "text") -> DataFrame:
-    """Add `scrubbed`: the profile's patterns substituted one after the other."""
-    return df.withColumn("scrubbed", R.scrub(F.col(text), SCRUB_PROFILES[profile]))
+def scrub(
+    df: DataFrame,
+    profile: str | list[tuple[str, str]] = "lab",
+    text: str = "text",
+    out: str = "scrubbed",
+) -> DataFrame:
+    """Add the text with the profile's patterns substituted one after the other.
+
+    `profile` names a built-in list or is one: (label, pattern) pairs.
+    """
+    steps = SCRUB_PROFILES[profile] if isinstance(profile, str) else profile
+    df = df.withColumn(out, F.col(text))
+    for label, regex in steps:
+        df = df.withColumn(out, R.scrub_step(F.col(out), label, regex))
+    return df
 
 
 def mask_entities(

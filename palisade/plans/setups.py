@@ -3,58 +3,59 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palisade.fixed_values import BENCH_KEYWORDS, RULE_PATTERNS, SCRUB_PROFILES
 from palisade.functions import gates as G
-from palisade.functions.redaction import scrub
+from palisade.operators.scrub import scrub
 
-# A set-up: (text, lower-cased text) -> is it blocked?
-Setup = Callable[[Column, Column], Column]
 
+class Setup(NamedTuple):
+    """A gate set-up: an optional scrub profile, then keywords, then patterns.
 
-def keyword_setup(keywords: list[str]) -> Setup:
-    return lambda text, lowered: G.keyword_hit(lowered, keywords).isNotNull()
-
-
-def pattern_setup(patterns: list[str]) -> Setup:
-    return lambda text, lowered: G.pattern_hit(text, patterns)
-
-
-def scrubbed_rules(
-    profile: str = "bench", keywords: list[str] = BENCH_KEYWORDS, patterns: list[str] = RULE_PATTERNS
-) -> Setup:
-    """Scrub first, then keywords and patterns on what is left."""
+    `run` replaces the rules by any (text, lower-cased text) -> boolean column.
+    """
 
-    def run(text: Column, lowered: Column) -> Column:
-        clean = scrub(text, SCRUB_PROFILES[profile])
-        hit = G.keyword_hit(F.lower(clean), keywords).isNotNull()
-        return hit | G.pattern_hit(clean, patterns) if patterns else hit
+    keywords: list[str] = []
+    patterns: list[str] = []
+    profile: str | None = None
+    run: Callable[[Column, Column], Column] | None = None
 
-    return run
+    def blocked(self, text: Column, lowered: Column) -> Column:
+        if self.run:
+            return self.run(text, lowered)
+        hit = G.keyword_hit(lowered, self.keywords).isNotNull()
+        return hit | G.pattern_hit(text, self.patterns)
 
 
 def setup_verdicts(cases: DataFrame, setups: dict[str, Setup]) -> DataFrame:
     """Verdicts of every set-up over every case, from one read of the cases.
 
-    `cases` is (case_id, text, expected, latency_ms).
+    `cases` is (case_id, text, expected, latency_ms).  Each profile scrubs a case once;
+    a case then becomes one row per set-up, which runs that set-up's rules only.
     """
-    prepared = cases.withColumn("_lowered", F.lower("text"))
-    text, lowered = F.col("text"), F.col("_lowered")
-    each = F.array(
-        *[
-            F.struct(F.lit(name).alias("setup"), run(text, lowered).alias("actual"))
-            for name, run in setups.items()
-        ]
-    )
-    return prepared.select(
-        F.inline(each),
+    profiles = sorted({s.profile or "" for s in setups.values()})
+    prepared = cases
+    for i, profile in enumerate(profiles):
+        prepared = scrub(prepared, profile or [], "text", f"_text{i}").withColumn(
+            f"_low{i}", F.lower(f"_text{i}")
+        )
+    rows = prepared.withColumn("setup", F.explode(F.array(*[F.lit(n) for n in setups])))
+    actual = F.lit(None).cast("boolean")
+    for name, setup in setups.items():
+        i = profiles.index(setup.profile or "")
+        actual = F.when(
+            F.col("setup") == name, setup.blocked(F.col(f"_text{i}"), F.col(f"_low{i}"))
+        ).otherwise(actual)
+    return rows.select(
+        "setup",
         "case_id",
         "text",
         "expected",
         "latency_ms",
+        actual.alias("actual"),
         F.lit(None).cast("string").alias("error"),
     )
 
