@@ -68,6 +68,15 @@ def candidates(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, m
         yield q, d[q, r], ids[start : start + STEP][r]
 
 
+def nearest(parts, k: int, best=None):
+    """Merge (query, distance, id) candidates into the k best of each query."""
+    for part in parts:
+        if best is not None:
+            part = tuple(np.concatenate(x) for x in zip(best, part))
+        best = keep_nearest(*part, k)
+    return best
+
+
 def scan_for_nearest(query_ids, query_groups, query_rows, k, metric):
     """A `mapInArrow` function over batches of (chunk_id, collection, vector)."""
     members: dict = {}
@@ -75,27 +84,22 @@ def scan_for_nearest(query_ids, query_groups, query_rows, k, metric):
         members.setdefault(group, []).append(i)
     members = {group: np.array(rows) for group, rows in members.items()}
 
+    def parts(batch):
+        ids = np.array(batch.column(0).to_pylist())
+        groups = np.array(batch.column(1).to_pylist(), dtype=object)
+        rows = matrix(batch.column(2))
+        for group, chosen in members.items():
+            mask = groups == group
+            if mask.any():
+                for q, d, found in candidates(query_rows[chosen], rows[mask], ids[mask], k, metric):
+                    yield chosen[q], d, found
+
     def scan(batches):
-        best = None
-        id_type = pa.int64()
+        best = id_type = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            id_type = batch.column(0).type
-            ids = np.array(batch.column(0).to_pylist())
-            groups = np.array(batch.column(1).to_pylist(), dtype=object)
-            rows = matrix(batch.column(2))
-            for group, chosen in members.items():
-                mask = groups == group
-                if not mask.any():
-                    continue
-                for q, d, found in candidates(
-                    query_rows[chosen], rows[mask], ids[mask], k, metric
-                ):
-                    part = (chosen[q], d, found)
-                    if best is not None:
-                        part = tuple(np.concatenate(x) for x in zip(best, part))
-                    best = keep_nearest(*part, k)
+            if batch.num_rows:
+                id_type = batch.column(0).type
+                best = nearest(parts(batch), k, best)
         if best is not None:
             yield pa.RecordBatch.from_arrays(
                 [
@@ -109,6 +113,29 @@ def scan_for_nearest(query_ids, query_groups, query_rows, k, metric):
     return scan
 
 
+def compare_blocks(k: int, metric: str):
+    """A cogroup function over one block of queries and one block of chunks."""
+
+    def compare(asked: pa.Table, corpus: pa.Table) -> pa.Table:
+        names, ids = asked["query_id"].combine_chunks(), corpus["chunk_id"].combine_chunks()
+        best = None
+        if asked.num_rows and corpus.num_rows:
+            rows = matrix(corpus["vector"])
+            found = np.array(ids.to_pylist())
+            best = nearest(candidates(matrix(asked["vector"]), rows, found, k, metric), k)
+        if best is None:
+            best = (np.zeros(0, int), np.zeros(0), np.zeros(0))
+        return pa.table(
+            {
+                "query_id": names.take(pa.array(best[0], type=pa.int64())),
+                "chunk_id": pa.array(best[2].tolist(), type=ids.type),
+                "exact": pa.array(best[1], type=pa.float64()),
+            }
+        )
+
+    return compare
+
+
 def best_topic_of(topic_names: list[str], topic_rows: np.ndarray):
     """An Arrow function: vector column -> (similarity, topic) of its nearest topic."""
     topics = unit(topic_rows)

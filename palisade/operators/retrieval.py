@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,24 +78,9 @@ def _by_blocks(asked, corpus, k, metric, schema, block_rows) -> DataFrame:
         "_q", F.explode(every_asked)
     )
 
-    def compare(asked_block, corpus_block):
-        import pandas as pd
-
-        if asked_block.empty or corpus_block.empty:
-            return pd.DataFrame({"query_id": [], "chunk_id": [], "exact": []})
-        names = asked_block["query_id"].to_numpy()
-        ids = np.array(corpus_block["chunk_id"].tolist())
-        query_rows = np.stack(asked_block["vector"].to_numpy()).astype(np.float64)
-        rows = np.stack(corpus_block["vector"].to_numpy()).astype(np.float64)
-        best = None
-        for part in K.candidates(query_rows, rows, ids, k, metric):
-            if best is not None:
-                part = tuple(np.concatenate(x) for x in zip(best, part))
-            best = K.keep_nearest(*part, k)
-        return pd.DataFrame({"query_id": names[best[0]], "chunk_id": best[2], "exact": best[1]})
-
     keys = ["collection", "_q", "_c"]
-    return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInPandas(compare, schema)
+    compare = K.compare_blocks(k, metric)
+    return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(compare, schema)
 
 
 def with_chunk_text(top: DataFrame, chunks: DataFrame) -> DataFrame:
