@@ -68,7 +68,7 @@ def top_misses(spark, folder):
 
 @query(f"WITH {V.CASES} SELECT case_id, expected FROM cases WHERE case_id < 60")
 def first_cases(spark, folder):
-    return V.cases(spark, folder).where(F.col("case_id") < 60).select("case_id", "expected")
+    return E.first_cases(V.cases(spark, folder), 60).select("case_id", "expected")
 
 
 @query(f"""WITH {V.VERDICTS}

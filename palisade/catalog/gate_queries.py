@@ -54,13 +54,13 @@ def rule_gate(spark, folder):
     return gate(V.texts(spark, folder), WORDS, V.CODE_PATTERNS).select("doc_id", "verdict")
 
 
-# rules held in a table: one policy per language, the words it looks for taken from the
-# benchmark items, the patterns common to all
+# rules held in a table: one policy per language, its keywords the longer words of the
+# benchmark items in item order, the patterns common to all
 @query(f"""WITH words AS (
-  SELECT DISTINCT item_id % 4 AS p, unnest(string_split(text, ' ')) AS rule FROM benchmark),
+  SELECT item_id, unnest(string_split(text, ' ')) AS rule,
+         generate_subscripts(string_split(text, ' '), 1) - 1 AS pos FROM benchmark),
 keywords AS (
-  SELECT (['en', 'fr', 'de', 'es'])[p + 1] AS policy_name, rule,
-         row_number() OVER (PARTITION BY p ORDER BY rule) AS ord
+  SELECT (['en', 'fr', 'de', 'es'])[item_id % 4 + 1] AS policy_name, rule, item_id // 4 * 256 + pos AS ord
   FROM words WHERE length(rule) >= 6),
 first_hit AS (
   SELECT d.doc_id, arg_min(k.rule, k.ord) AS keyword
@@ -78,21 +78,20 @@ def rule_join(spark, folder):
 
 def _rules(spark, folder):
     """(policy_name, kind, ord, rule) from the benchmark items."""
-    from pyspark.sql import Window
-
-    names = F.array(*[F.lit(x) for x in ("en", "fr", "de", "es")])
-    words = (
+    languages = ("en", "fr", "de", "es")
+    item = F.col("item_id")
+    keywords = (
         V.table(spark, folder, "benchmark")
-        .select((F.col("item_id") % 4).alias("p"), F.explode(F.split("text", " ")).alias("rule"))
+        .select("item_id", F.posexplode(F.split("text", " ")).alias("pos", "rule"))
         .where(F.length("rule") >= 6)
-        .distinct()
-        .withColumn("policy_name", F.element_at(names, (F.col("p") + 1).cast("int")))
-    )
-    order = Window.partitionBy("policy_name").orderBy("rule")
-    keywords = words.select(
-        "policy_name", F.lit("keyword").alias("kind"), (F.row_number().over(order) - 1).alias("ord"), "rule"
+        .select(
+            F.element_at(F.array(*[F.lit(x) for x in languages]), (item % 4 + 1).cast("int")).alias("policy_name"),
+            F.lit("keyword").alias("kind"),
+            (F.floor(item / 4) * 256 + F.col("pos")).alias("ord"),
+            "rule",
+        )
     )
-    rows = [(n, "pattern", i, p) for n in ("en", "fr", "de", "es") for i, p in enumerate(V.CODE_PATTERNS)]
+    rows = [(n, "pattern", i, p) for n in languages for i, p in enumerate(V.CODE_PATTERNS)]
     patterns = spark.createDataFrame(rows, "policy_name string, kind string, ord int, rule string")
     return keywords.unionByName(patterns)
 

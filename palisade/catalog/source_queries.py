@@ -9,6 +9,7 @@ from palisade.catalog.evaluation_queries import _SUMMARY
 from palisade.catalog.registry import query
 from palisade.fixed_values import DEFAULT_TOPICS
 from palisade.functions.formatting import rounded
+from palisade.functions.text import strip
 from palisade.operators import retrieval
 from palisade.operators.evaluation import eval_metrics
 from palisade.operators.evaluation import summary_export as export
@@ -76,19 +77,18 @@ SELECT 'doc_' || p.doc_id AS doc_id, d.source AS title, 'Q' || page_num AS quest
 FROM pages_t p JOIN documents d ON p.doc_id = d.doc_id""")
 def registry_questions(spark, folder):
     """A registry document per text, a question per page of it."""
-    from palisade.operators.chunking import split_pages
-
-    documents = V.texts(spark, folder)
-    pages = split_pages(documents).join(documents.select("doc_id", "source", "lang"), "doc_id")
-    question = F.struct(
-        F.concat(F.lit("Q"), F.col("page_num").cast("string")).alias("id"),
-        F.col("lang").alias("topic"),
-        F.col("text").alias("text"),
+    questions = F.transform(
+        F.split("text", "\n"),
+        lambda page, i: F.struct(
+            F.concat(F.lit("Q"), (i + 1).cast("string")).alias("id"),
+            F.col("lang").alias("topic"),
+            strip(page).alias("text"),
+        ),
     )
-    registry = pages.groupBy("doc_id", "source").agg(F.collect_list(question).alias("questions")).select(
+    registry = V.texts(spark, folder).select(
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("id"),
         F.col("source").alias("title"),
-        "questions",
+        F.filter(questions, lambda q: F.length(q["text"]) > 0).alias("questions"),
     )
     path = scratch_path(spark, "registry")
     registry.write.json(path)

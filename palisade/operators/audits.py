@@ -48,12 +48,12 @@ def with_override(documents: DataFrame, overrides: DataFrame, default: Column, o
 
 
 def compare_modes(answers: DataFrame, cut_at: int = 120) -> DataFrame:
-    """Honest and forced answers to the same question side by side."""
+    """Honest and forced answers to the same question side by side, in one pass."""
     shown = strip(cut(F.col("answer"), cut_at))
     key = ["doc_id", "question_id"]
-    honest = answers.where(F.col("mode") == "honest").select(*key, shown.alias("honest"))
-    forced = answers.where(F.col("mode") == "forced").select(*key, shown.alias("forced"))
-    return honest.join(forced, key)
+    of = lambda mode: F.max(F.when(F.col("mode") == mode, shown)).alias(mode)
+    both = answers.groupBy(*key).agg(of("honest"), of("forced"))
+    return both.where(F.col("honest").isNotNull() & F.col("forced").isNotNull())
 
 
 def test_risks(spark: SparkSession) -> DataFrame:

@@ -117,6 +117,11 @@ def checked_cases(cases: DataFrame, should_block: int, should_pass: int) -> Data
     return cases
 
 
+def first_cases(cases: DataFrame, n: int) -> DataFrame:
+    """The first n cases by number, which starts at 0."""
+    return cases.where(F.col("case_id") < n)
+
+
 def select_setups(verdicts: DataFrame, wanted: list[str] | None, skipped: list[str]) -> DataFrame:
     out = verdicts.where(F.col("setup").isin(wanted)) if wanted else verdicts
     return out.where(~F.col("setup").isin(skipped)) if skipped else out

@@ -56,8 +56,8 @@ def keep_nearest(query: np.ndarray, dist: np.ndarray, ids: np.ndarray, k: int):
     return query[near], dist[near], ids[near]
 
 
-def candidates(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, metric: str):
-    """Per query every row at most as far as its k-th nearest, step by step."""
+def candidates(queries: np.ndarray, rows: np.ndarray, k: int, metric: str):
+    """Per query (query, distance, row) of all rows as near as its k-th, step by step."""
     for start in range(0, len(rows), STEP):
         d = distances(queries, rows[start : start + STEP], metric)
         if d.shape[1] > k:
@@ -65,7 +65,7 @@ def candidates(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, m
         else:
             near = np.ones_like(d, dtype=bool)
         q, r = np.nonzero(near)
-        yield q, d[q, r], ids[start : start + STEP][r]
+        yield q, d[q, r], r + start
 
 
 def nearest(parts, k: int, best=None):
@@ -85,14 +85,16 @@ def scan_for_nearest(query_ids, query_groups, query_rows, k, metric):
     members = {group: np.array(rows) for group, rows in members.items()}
 
     def parts(batch):
-        ids = np.array(batch.column(0).to_pylist())
-        groups = np.array(batch.column(1).to_pylist(), dtype=object)
+        groups = batch.column(1).dictionary_encode()
+        codes = groups.indices.to_numpy(zero_copy_only=False)
         rows = matrix(batch.column(2))
-        for group, chosen in members.items():
-            mask = groups == group
-            if mask.any():
-                for q, d, found in candidates(query_rows[chosen], rows[mask], ids[mask], k, metric):
-                    yield chosen[q], d, found
+        for code, group in enumerate(groups.dictionary.to_pylist()):
+            if group not in members:
+                continue
+            chosen, here = members[group], np.flatnonzero(codes == code)
+            for q, d, r in candidates(query_rows[chosen], rows[here], k, metric):
+                # ids are only unpacked for the few candidates
+                yield chosen[q], d, np.array(batch.column(0).take(pa.array(here[r])).to_pylist())
 
     def scan(batches):
         best = id_type = None
@@ -120,9 +122,9 @@ def compare_blocks(k: int, metric: str):
         names, ids = asked["query_id"].combine_chunks(), corpus["chunk_id"].combine_chunks()
         best = None
         if asked.num_rows and corpus.num_rows:
-            rows = matrix(corpus["vector"])
-            found = np.array(ids.to_pylist())
-            best = nearest(candidates(matrix(asked["vector"]), rows, found, k, metric), k)
+            near = candidates(matrix(asked["vector"]), matrix(corpus["vector"]), k, metric)
+            named = ((q, d, np.array(ids.take(pa.array(r)).to_pylist())) for q, d, r in near)
+            best = nearest(named, k)
         if best is None:
             best = (np.zeros(0, int), np.zeros(0), np.zeros(0))
         return pa.table(
@@ -150,12 +152,9 @@ def best_topic_of(topic_names: list[str], topic_rows: np.ndarray):
             scores = np.round(rows @ topics.T, 12)
             which[present] = scores.argmax(axis=1)
             similarity[present] = scores.max(axis=1)
-        names = pa.array(topic_names).take(pa.array(which))
+        names = pa.array(topic_names, type=pa.string()).take(pa.array(which, mask=~present))
         return pa.StructArray.from_arrays(
-            [
-                pa.array(similarity, mask=~present),
-                pa.array(np.array(names.to_pylist(), dtype=object), mask=~present, type=pa.string()),
-            ],
+            [pa.array(similarity, mask=~present), names],
             names=["similarity", "topic"],
         )
 

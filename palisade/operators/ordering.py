@@ -46,16 +46,17 @@ def running_total(
     earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    # only groups of more than one bucket carry anything
     carried = totals.select(
-        group, "_bucket", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_carry")
-    )
+        group, "_bucket", F.sum("_total").over(earlier).alias("_carry")
+    ).where("_carry is not null")
     within = Window.partitionBy(group, "_bucket").orderBy(order).rowsBetween(
         Window.unboundedPreceding, -1
     )
     return (
         rows.withColumn("_within", F.coalesce(F.sum(amount).over(within), F.lit(0)))
-        .join(carried, [group, "_bucket"])
-        .withColumn(out, F.col("_carry") + F.col("_within"))
+        .join(carried, [group, "_bucket"], "left")
+        .withColumn(out, F.coalesce("_carry", F.lit(0)) + F.col("_within"))
         .drop("_bucket", "_within", "_carry")
     )
 

@@ -13,8 +13,9 @@ from palisade.functions.formatting import fixed, rounded
 from palisade.operators import kernels as K
 from palisade.operators.ordering import running_total
 
-# A query matrix is shipped to tasks only up to this many numbers (32 MB of doubles).
-MATRIX_CELLS = 4_000_000
+# A query matrix is shipped to tasks only up to this many rows and numbers (64 MB).
+SHIPPED_ROWS = 4096
+MATRIX_CELLS = 8_000_000
 # Rows per side of one block when both sides are too large to ship.
 BLOCK_ROWS = 20_000
 
@@ -24,15 +25,15 @@ def retrieve_topk(
     chunks: DataFrame,
     k: int = TOP_K,
     metric: str = "l2sq",
-    matrix_cells: int = MATRIX_CELLS,
+    shipped_rows: int = SHIPPED_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(query_id, rank, chunk_id, distance): the k nearest chunks of each query.
 
     `queries` is (query_id, collection, vector), `chunks` is (chunk_id, collection,
     vector); a query only sees its own collection, and k rows at most leave a task
-    per query.  Up to `matrix_cells` numbers the queries go to the chunks, which are
-    scanned where they lie and not shuffled.  Beyond that both sides are cut into
+    per query.  Up to `shipped_rows` queries go to the chunks, which are scanned where
+    they lie and not shuffled.  Beyond that both sides are cut into
     blocks by a hash of the id and each pair of blocks is one bounded group.
     """
     asked = queries.select("query_id", "collection", "vector").where("vector is not null")
@@ -44,10 +45,8 @@ def retrieve_topk(
             T.StructField("exact", T.DoubleType()),
         ]
     )
-    head = asked.select(F.size("vector").alias("d")).first()
-    limit = max(1, matrix_cells // max(1, head["d"] if head else 1))
-    sent = asked.limit(limit + 1).toArrow()
-    if sent.num_rows <= limit:
+    sent = ship(asked, shipped_rows)
+    if sent is not None:
         scan = K.scan_for_nearest(
             sent["query_id"].to_pylist(),
             sent["collection"].to_pylist(),
@@ -66,6 +65,13 @@ def retrieve_topk(
     )
 
 
+def ship(df: DataFrame, rows: int):
+    """A small vector table as Arrow, or None when it is too large to send to tasks."""
+    sent = df.limit(rows + 1).toArrow()
+    numbers = len(sent["vector"].combine_chunks().flatten())
+    return sent if sent.num_rows <= rows and numbers <= MATRIX_CELLS else None
+
+
 def _by_blocks(asked, corpus, k, metric, schema, block_rows) -> DataFrame:
     n_asked = math.ceil(asked.count() / block_rows)
     n_corpus = max(1, math.ceil(corpus.count() / block_rows))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from palisade.fixed_values import DEFAULT_THRESHOLD
 from palisade.functions.formatting import fixed
 from palisade.operators import kernels as K
-from palisade.operators.retrieval import MATRIX_CELLS, retrieve_topk
+from palisade.operators.retrieval import SHIPPED_ROWS, retrieve_topk, ship
 
 
 def best_topic(
@@ -16,7 +16,7 @@ def best_topic(
     topics: DataFrame,
     id_col: str,
     vector: str = "vector",
-    matrix_cells: int = MATRIX_CELLS,
+    shipped_rows: int = SHIPPED_ROWS,
 ) -> DataFrame:
     """Add `similarity` and `topic` of the most similar topic; ties go to the lower ord.
 
@@ -24,12 +24,12 @@ def best_topic(
     function and the inputs stay where they are.  A topic table too large for that is
     searched block by block, and the result is joined back by `id_col`.
     """
-    head = topics.select(F.size("vector").alias("d")).first()
-    limit = max(1, matrix_cells // max(1, head["d"] if head else 1))
-    sent = topics.select("ord", "topic", "vector").limit(limit + 1).toArrow().sort_by("ord")
-    if sent.num_rows == 0:
-        raise ValueError("the topic table is empty")
-    if sent.num_rows <= limit:
+    topics = topics.where("vector is not null")
+    sent = ship(topics.select("ord", "topic", "vector"), shipped_rows)
+    if sent is not None:
+        if sent.num_rows == 0:
+            raise ValueError("the topic table is empty")
+        sent = sent.sort_by("ord")
         score = F.arrow_udf(
             K.best_topic_of(sent["topic"].to_pylist(), K.matrix(sent["vector"])),
             "similarity double, topic string",
@@ -45,7 +45,7 @@ def best_topic(
         topics.select(F.col("ord").alias("chunk_id"), F.lit(0).alias("collection"), "vector"),
         k=1,
         metric="cosine",
-        matrix_cells=matrix_cells,
+        shipped_rows=shipped_rows,
     )
     named = found.join(topics.select(F.col("ord").alias("chunk_id"), "topic"), "chunk_id")
     best = named.select(

@@ -100,7 +100,7 @@ def test_large_topic_table_gives_the_same(spark):
     topics = spark.createDataFrame([(i, f"t{i}", vec()) for i in range(30)], "ord int, topic string, vector array<double>")
     inputs = spark.createDataFrame([(i, vec()) for i in range(50)] + [(50, None)], "doc_id int, vector array<double>")
     shipped = best_topic(inputs, topics, "doc_id").orderBy("doc_id").collect()
-    blocks = best_topic(inputs, topics, "doc_id", matrix_cells=8).orderBy("doc_id").collect()
+    blocks = best_topic(inputs, topics, "doc_id", shipped_rows=8).orderBy("doc_id").collect()
     assert [r["topic"] for r in shipped] == [r["topic"] for r in blocks]
     for a, b in zip(shipped, blocks):
         assert a["similarity"] is None and b["similarity"] is None or abs(a["similarity"] - b["similarity"]) < 1e-4

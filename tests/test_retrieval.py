@@ -44,7 +44,7 @@ def brute(chunks, asks, k, metric):
 def test_topk_both_ways(spark, metric, grid):
     chunks, asks, corpus, queries = world(spark, grid=grid)
     want = brute(chunks, asks, 4, metric)
-    for options in ({}, {"matrix_cells": 5, "block_rows": 40}):
+    for options in ({}, {"shipped_rows": 5, "block_rows": 40}):
         out = R.retrieve_topk(queries, corpus.repartition(3), 4, metric, **options).collect()
         assert {(r["query_id"], r["rank"], r["chunk_id"]) for r in out} == want
 
