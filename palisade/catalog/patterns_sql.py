@@ -106,7 +106,7 @@ FROM per_label GROUP BY source, label"""
 
 
 def scrub_sql(profile: str, text: str = "text") -> str:
-    for label, regex in SCRUB_PROFILES[profile]:
+    for label, regex, _ in SCRUB_PROFILES[profile]:
         text = f"regexp_replace({text}, {quoted(unicode_classes(regex))}, '[{label}]', 'g')"
     return text
 

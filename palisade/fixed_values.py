@@ -6,49 +6,50 @@ and used as parameters everywhere else; all of them can be replaced by rows of
 a table or by arguments.
 """
 
-# --- redaction registry: label, pattern, a literal the match must contain ------
+# --- redaction registry: label, pattern, what every match must contain -------------
+ANY_DIGIT = r"\d"
 REDACTION_PATTERNS = [
     ("EMAIL", r"[\w\.-]+@[\w\.-]+\.\w+", "@"),
     (
         "PHONE",
         r"\+?\d{1,4}?[-.\s]?\(?\d{1,3}?\)?[-.\s]?\d{1,4}[-.\s]?\d{1,4}[-.\s]?\d{1,9}",
-        None,
+        ANY_DIGIT,
     ),
     ("API_KEY", r"(sk|AIza|ghp|gho|ghs|ghr|ght)_[a-zA-Z0-9]{32,}", "_"),
-    ("CREDIT_CARD", r"\d{4}[-\s]?\d{4}[-\s]?\d{4}[-\s]?\d{4}", None),
-    ("IPV4", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", "."),
+    ("CREDIT_CARD", r"\d{4}[-\s]?\d{4}[-\s]?\d{4}[-\s]?\d{4}", ANY_DIGIT),
+    ("IPV4", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", ANY_DIGIT),
 ]
 HIGH_RISK_LABELS = ["API_KEY", "CREDIT_CARD"]
 AUDIT_SCORE = 0.98
 
-# --- sequential scrub profiles: label, pattern -------------------------------
+# --- sequential scrub profiles: label, pattern, what every match must contain ---------
 SCRUB_EMAIL = r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+"
 SCRUB_API_KEY = r"sk-[a-zA-Z0-9]{32,}"
 SCRUB_PHONE = r"\b\d{3}[-.]?\d{3}[-.]?\d{4}\b"
 SCRUB_IP = r"\b\d{1,3}(?:\.\d{1,3}){3}\b"
 SCRUB_PROFILES = {
     "lab": [
-        ("EMAIL_REDACTED", SCRUB_EMAIL),
-        ("API_KEY_REDACTED", SCRUB_API_KEY),
-        ("PHONE_REDACTED", SCRUB_PHONE),
-        ("IP_ADDRESS_REDACTED", SCRUB_IP),
+        ("EMAIL_REDACTED", SCRUB_EMAIL, "@"),
+        ("API_KEY_REDACTED", SCRUB_API_KEY, "sk-"),
+        ("PHONE_REDACTED", SCRUB_PHONE, ANY_DIGIT),
+        ("IP_ADDRESS_REDACTED", SCRUB_IP, ANY_DIGIT),
     ],
     "bench": [
-        ("EMAIL_REDACTED", SCRUB_EMAIL),
-        ("PHONE_REDACTED", SCRUB_PHONE),
-        ("IP_ADDRESS_REDACTED", SCRUB_IP),
+        ("EMAIL_REDACTED", SCRUB_EMAIL, "@"),
+        ("PHONE_REDACTED", SCRUB_PHONE, ANY_DIGIT),
+        ("IP_ADDRESS_REDACTED", SCRUB_IP, ANY_DIGIT),
     ],
-    "bench3": [("EMAIL", SCRUB_EMAIL)],
+    "bench3": [("EMAIL", SCRUB_EMAIL, "@")],
     "bench5": [
-        ("EMAIL_REDACTED", SCRUB_EMAIL),
-        ("PHONE_REDACTED", SCRUB_PHONE),
-        ("IP_REDACTED", SCRUB_IP),
+        ("EMAIL_REDACTED", SCRUB_EMAIL, "@"),
+        ("PHONE_REDACTED", SCRUB_PHONE, ANY_DIGIT),
+        ("IP_REDACTED", SCRUB_IP, ANY_DIGIT),
     ],
     "models": [
-        ("EMAIL_REDACTED", SCRUB_EMAIL),
-        ("PHONE_REDACTED", SCRUB_PHONE),
-        ("IP_ADDRESS_REDACTED", SCRUB_IP),
-        ("API_KEY_REDACTED", SCRUB_API_KEY),
+        ("EMAIL_REDACTED", SCRUB_EMAIL, "@"),
+        ("PHONE_REDACTED", SCRUB_PHONE, ANY_DIGIT),
+        ("IP_ADDRESS_REDACTED", SCRUB_IP, ANY_DIGIT),
+        ("API_KEY_REDACTED", SCRUB_API_KEY, "sk-"),
     ],
 }
 

@@ -16,17 +16,27 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from palisade.fixed_values import REDACTION_PATTERNS
+from palisade.fixed_values import ANY_DIGIT, REDACTION_PATTERNS
+
+
+# Character classes that open an address pattern.  A match of `[class]+@...` can only
+# start where a run of the class starts, or where the last match ended; saying so keeps
+# a text with a very long run from being tried at each of its characters.
+RUN_CLASSES = {r"[\w\.-]", "[a-zA-Z0-9_.+-]"}
 
 
 class Pattern(NamedTuple):
     label: str
     regex: str
-    needs: str | None = None  # literal without which the regex cannot match
+    needs: str | None = None  # a literal, or ANY_DIGIT, that every match contains
     accept: Callable[[Column], Column] | None = None  # extra test on a match
 
     @property
     def java(self) -> str:
+        """The regex as the JVM runs it: Unicode classes, long runs tried only once."""
+        run, at, rest = self.regex.partition("+@")
+        if at and run in RUN_CLASSES:
+            return f"(?U)(?:(?<!{run})|\\G){run}++@{rest}"
         return "(?U)" + self.regex
 
     @property
@@ -50,11 +60,17 @@ def with_pattern(registry: list[Pattern], label: str, regex: str) -> list[Patter
     return [*registry, added]
 
 
+def may_occur(text: Column, pattern: Pattern) -> Column:
+    """A cheap test that spares most texts the regex."""
+    if pattern.needs is None:
+        return F.lit(True)
+    if pattern.needs == ANY_DIGIT:
+        return F.rlike(text, F.lit("(?U)" + ANY_DIGIT))
+    return F.contains(text, F.lit(pattern.needs))
+
+
 def occurs(text: Column, pattern: Pattern) -> Column:
-    found = F.rlike(text, F.lit(pattern.java))
-    if pattern.needs:
-        found = F.contains(text, F.lit(pattern.needs)) & found
-    return found
+    return may_occur(text, pattern) & F.rlike(text, F.lit(pattern.java))
 
 
 def find_all(text: Column, pattern: Pattern, compat: bool = False) -> Column:
@@ -116,14 +132,10 @@ def count_hits(hits: Column, registry: list[Pattern]) -> Column:
     return total
 
 
-def scrub_step(text: Column, label: str, regex: str) -> Column:
-    """One substitution on the running text; `[LABEL]` replaces a match.
-
-    A text without the character every match holds skips the pattern.
-    """
-    done = F.regexp_replace(text, "(?U)" + regex, f"[{label}]")
-    needs = "@" if "@" in regex else "-" if regex.startswith("sk-") else None
-    return F.when(F.contains(text, F.lit(needs)), done).otherwise(text) if needs else done
+def scrub_step(text: Column, step: Pattern) -> Column:
+    """One substitution on the running text; `[LABEL]` replaces a match."""
+    done = F.regexp_replace(text, step.java, f"[{step.label}]")
+    return F.when(may_occur(text, step), done).otherwise(text) if step.needs else done
 
 
 def luhn_ok(match: Column) -> Column:
@@ -149,10 +161,10 @@ def iban_ok(match: Column) -> Column:
 ENTITY_PATTERNS = {
     "URL": Pattern("URL", r"https?://[^\s<>\"']+", "://"),
     "EMAIL_ADDRESS": Pattern("EMAIL_ADDRESS", r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+(?:\.[a-zA-Z0-9-]+)+", "@"),
-    "IBAN_CODE": Pattern("IBAN_CODE", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", None, iban_ok),
-    "CREDIT_CARD": Pattern("CREDIT_CARD", r"(?:[0-9]{4}[- ]?){3}[0-9]{4}", None, luhn_ok),
+    "IBAN_CODE": Pattern("IBAN_CODE", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", ANY_DIGIT, iban_ok),
+    "CREDIT_CARD": Pattern("CREDIT_CARD", r"(?:[0-9]{4}[- ]?){3}[0-9]{4}", ANY_DIGIT, luhn_ok),
     "CRYPTO": Pattern("CRYPTO", r"(?:bc1|[13])[a-km-zA-HJ-NP-Z1-9]{25,39}", None),
-    "US_SSN": Pattern("US_SSN", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", "-"),
-    "IP_ADDRESS": Pattern("IP_ADDRESS", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", "."),
-    "PHONE_NUMBER": Pattern("PHONE_NUMBER", r"\+?[0-9]{0,3}[-. ]?[0-9]{3}[-. ][0-9]{3}[-. ][0-9]{4}", None),
+    "US_SSN": Pattern("US_SSN", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", ANY_DIGIT),
+    "IP_ADDRESS": Pattern("IP_ADDRESS", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", ANY_DIGIT),
+    "PHONE_NUMBER": Pattern("PHONE_NUMBER", r"\+?[0-9]{0,3}[-. ]?[0-9]{3}[-. ][0-9]{3}[-. ][0-9]{4}", ANY_DIGIT),
 }

@@ -44,7 +44,7 @@ def final_score(logic: Column, correctness: Column, cost: Column, latency: Colum
 
 def judge_rating(reply: Column) -> Column:
     """`rating` inside the widest {...} span of a reply; 0 whenever that fails."""
-    span = F.regexp_extract(reply, r"(?s)\{.*\}", 0)
+    span = F.regexp_extract(reply, r"(?s)^[^{]*+(\{.*\})", 1)
     rating = F.get_json_object(span, "$.rating").try_cast("double")
     return F.coalesce(rating, F.lit(0.0))
 

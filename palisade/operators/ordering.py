@@ -24,13 +24,16 @@ def log_position(value: Column) -> Column:
 
 
 def coarse_bucket(value: Column) -> Column:
-    """Order-preserving bucket; at most 200,000 of them whatever the data."""
-    return F.floor(log_position(value) * LOG_STEPS)
+    """Order-preserving bucket; at most 200,000 of them whatever the data.
+
+    Never null, so that joins on it add no null test below an exchange they could share.
+    """
+    return F.coalesce(F.floor(log_position(value) * LOG_STEPS), F.lit(0))
 
 
 def fine_bucket(value: Column) -> Column:
     scaled = log_position(value) * LOG_STEPS
-    return F.floor((scaled - F.floor(scaled)) * FINE_STEPS)
+    return F.coalesce(F.floor((scaled - F.floor(scaled)) * FINE_STEPS), F.lit(0))
 
 
 def running_total(
@@ -68,7 +71,9 @@ def value_at_rank(
 
     Values are counted first, so equal ones travel as one row.  Two levels of
     buckets then narrow the search until a sliver of the range is left to sort.
+    Rows without a group or a value do not count.
     """
+    df = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
     counts = df.groupBy(group, value).agg(F.count("*").alias("_n")).withColumns(
         {"_coarse": coarse_bucket(F.col(value)), "_fine": fine_bucket(F.col(value))}
     )

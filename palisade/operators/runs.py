@@ -175,6 +175,7 @@ def pareto_frontier(runs: DataFrame) -> DataFrame:
     exceeds every score at a lower cost.  The best score per cost is aggregated first
     (cheap even when most rows share one cost), and only it is ordered.
     """
+    runs = runs.where(F.col("cost").isNotNull() & F.col("final_score").isNotNull())
     best = runs.groupBy("cost").agg(F.max("final_score").alias("final_score"))
     front = best_so_far(best, "cost", "final_score")
     return runs.join(front, ["cost", "final_score"], "left_semi").orderBy("cost")

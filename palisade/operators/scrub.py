@@ -105,18 +105,19 @@ def add_high_risk(df: DataFrame, risky: list[str] = HIGH_RISK_LABELS) -> DataFra
 
 def scrub(
     df: DataFrame,
-    profile: str | list[tuple[str, str]] = "lab",
+    profile: str | list[tuple] = "lab",
     text: str = "text",
     out: str = "scrubbed",
 ) -> DataFrame:
     """Add the text with the profile's patterns substituted one after the other.
 
-    `profile` names a built-in list or is one: (label, pattern) pairs.
+    `profile` names a built-in list or is one: (label, pattern), or (label, pattern,
+    what every match contains), in order.
     """
     steps = SCRUB_PROFILES[profile] if isinstance(profile, str) else profile
     df = df.withColumn(out, F.col(text))
-    for label, regex in steps:
-        df = df.withColumn(out, R.scrub_step(F.col(out), label, regex))
+    for step in steps:
+        df = df.withColumn(out, R.scrub_step(F.col(out), R.Pattern(*step)))
     return df
 
 

@@ -1,10 +1,11 @@
+import random
 import re
 
 import pytest
 from fixed_inputs import BLOCKED_SPECIMENS, SPECIMENS
 from pyspark.sql import functions as F
 
-from palisade.fixed_values import REDACTION_PATTERNS
+from palisade.fixed_values import REDACTION_PATTERNS, SCRUB_PROFILES
 from palisade.functions import redaction as R
 from palisade.operators import scrub as S
 from palisade.plans.gateway import triple_lock
@@ -123,3 +124,20 @@ def test_mask_entities(texts):
     assert out[6] == "nothing"
     only = S.mask_entities(df, entities=["EMAIL_ADDRESS", "PERSON"]).where(F.col("doc_id") == 4)
     assert only.first()["masked"] == "ssn 123-45-6789"
+
+
+def test_addresses_as_python_finds_them(spark, texts):
+    rng = random.Random(3)
+    values = ["".join(rng.choice("ab.-@+ é_") for _ in range(rng.randint(0, 25))) for _ in range(600)]
+    values += ["a@b.c-d@e.f", "x@y.z@w.v", "..@..", "a@b@c.d.e@f.g"]
+    for p in [R.DEFAULT_REGISTRY[0], R.Pattern(*SCRUB_PROFILES["lab"][0])]:
+        assert p.java != "(?U)" + p.regex
+        found = texts(*values).select("doc_id", R.find_all(F.col("text"), p).alias("m")).orderBy("doc_id").collect()
+        assert [r["m"] for r in found] == [re.findall(p.regex, v) for v in values]
+
+
+def test_a_very_long_run_takes_one_pass(texts):
+    df = texts("@ " + "a" * 3_000_000, "b" * 3_000_000 + " x@y.zz")
+    rows = redacted(df)
+    assert rows[0]["redacted_count"] == 0 and rows[1]["patterns_matched"] == ["EMAIL"]
+    assert S.scrub(df).where("doc_id = 1").first()["scrubbed"].endswith(" [EMAIL_REDACTED]")
