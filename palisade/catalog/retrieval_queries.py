@@ -185,10 +185,10 @@ def _stale(spark, folder):
 
 @query(f"""WITH {STALE}
 SELECT 'Q' || collection AS query_id, collection, count(*) FILTER (chunk_id < 0 AND rank <= 4) > 0 AS stale_retrieved,
-       CAST(min(rank) FILTER (chunk_id < 0 AND rank <= 4) AS INTEGER) AS stale_rank
+       coalesce(CAST(min(rank) FILTER (chunk_id < 0 AND rank <= 4) AS INTEGER), 0) AS stale_rank
 FROM ranked GROUP BY collection""")
 def stale_audit(spark, folder):
-    return _stale(spark, folder)
+    return _stale(spark, folder).withColumn("stale_rank", F.coalesce("stale_rank", F.lit(0)))
 
 
 _ADMITS = " OR ".join(f"contains(lower(answer), '{p}')" for p in ADMIT_PHRASES)

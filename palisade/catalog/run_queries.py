@@ -127,7 +127,7 @@ def pareto_frontier(spark, folder):
 # --- replies ------------------------------------------------------------------------
 
 
-@query(f"WITH {V.REPLIES} SELECT conv_id, turn, content, total_tokens FROM replies")
+@query(f"WITH {V.REPLIES} SELECT conv_id, turn, content, coalesce(total_tokens, 0) AS total_tokens FROM replies")
 def parse_response(spark, folder):
     reply = S.parse_reply(F.col("body"))
     parsed = V.replies(spark, folder).withColumn("reply", reply)
@@ -135,7 +135,7 @@ def parse_response(spark, folder):
         "conv_id",
         "turn",
         S.reply_content(F.col("reply")).alias("content"),
-        F.col("reply.usage.total_tokens").alias("total_tokens"),
+        F.coalesce("reply.usage.total_tokens", F.lit(0)).alias("total_tokens"),
     )
 
 
@@ -171,13 +171,14 @@ def score_run(spark, folder):
 _KEY = "strftime(ts, '%Y-%m') || '_' || substr(sha256(prompt), 1, 10)"
 _PROMPTS = """prompts AS (
   SELECT e.event_id, e.ts, d.text AS prompt
-  FROM events e JOIN documents d ON d.doc_id = e.event_id % 97)"""
+  FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents))"""
 
 
 def _prompts(spark, folder):
     """Events that each send one of the documents as a prompt."""
-    asked = V.events(spark, folder).select("event_id", "ts", (F.col("event_id") % 97).alias("doc_id"))
     documents = V.table(spark, folder, "documents").select("doc_id", F.col("text").alias("prompt"))
+    sent = (F.col("event_id") % documents.count()).alias("doc_id")
+    asked = V.events(spark, folder).select("event_id", "ts", sent)
     return asked.join(documents, "doc_id").withColumn(
         "key", S.blueprint_key(F.col("prompt"), F.col("ts"))
     )

@@ -9,10 +9,13 @@ from palisade.catalog.evaluation_queries import _SUMMARY
 from palisade.catalog.registry import query
 from palisade.fixed_values import DEFAULT_TOPICS
 from palisade.functions.formatting import rounded
+from palisade.functions.scoring import blueprint_key
 from palisade.functions.text import strip
 from palisade.operators import retrieval
 from palisade.operators.evaluation import eval_metrics
 from palisade.operators.evaluation import summary_export as export
+from palisade.operators.runs import filter_runs
+from palisade.plans.calibration import cache_lookup
 from palisade.session import scratch_path
 from palisade.sources import readers, writers
 
@@ -24,6 +27,33 @@ def load_runs(spark, folder):
     return readers.load_runs(spark, path, run_from="partition")
 
 
+@query(f"""WITH {V.RUNS}
+SELECT run, model, printf('%.1f', final_score) AS final_score FROM runs WHERE final_score BETWEEN 20 AND 50""")
+def filtered_export(spark, folder):
+    """The filtered view written as CSV and read back as text."""
+    path = scratch_path(spark, "export")
+    kept = filter_runs(V.runs(spark, folder), low=20.0, high=50.0)
+    writers.write_csv(kept.select("run", "model", "final_score"), path)
+    return spark.read.schema("run string, model string, final_score string").option("header", True).csv(path)
+
+
+@query("""SELECT DISTINCT '2024-01_' || substr(sha256(text), 1, 10) AS key FROM documents""")
+def blueprint_store(spark, folder):
+    """Blueprints compiled in two rounds; the second only compiles what is missing."""
+    path = scratch_path(spark, "blueprints")
+    day = F.lit("2024-01-15").cast("timestamp")
+    prompts = V.texts(spark, folder).select(
+        F.col("text").alias("prompt"), blueprint_key(F.col("text"), day).alias("key"), "lang"
+    )
+    store = spark.createDataFrame([], "key string, blueprint string")
+    for asked in (prompts.where(F.col("lang") == "en"), prompts):
+        _, missing = cache_lookup(asked, store)
+        compiled = missing.select("key", F.concat(F.lit("<context>"), "prompt").alias("blueprint"))
+        writers.append_blueprints(compiled, path)
+        store = spark.read.parquet(path)
+    return store.select("key")
+
+
 @query(f"""WITH {V.RUNS}
 SELECT 'click_upload' AS run, model, final_score, cost, latency, CAST(logic AS VARCHAR) AS logic FROM runs WHERE model = 'click'
 UNION ALL
