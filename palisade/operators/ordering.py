@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palisade.session import settled
+
 # Buckets per unit of the logarithm: each spans 1.6 % of its values.
 LOG_STEPS = 64
 # Parts each such bucket is cut into at the second level.
@@ -69,28 +71,28 @@ def value_at_rank(
 ) -> DataFrame:
     """The group's value at 0-based index min(floor(n * fraction), n - 1), exactly.
 
-    Values are counted first, so equal ones travel as one row.  Two levels of
-    buckets then narrow the search until a sliver of the range is left to sort.
-    Rows without a group or a value do not count.
+    A histogram over coarse buckets, small whatever the data, tells which bucket holds
+    the rank (this first pass runs at once).  Only that bucket's values are then counted
+    and shuffled, and a finer bucket of them sorted.  Rows without a group or a value do
+    not count.
     """
-    df = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-    counts = df.groupBy(group, value).agg(F.count("*").alias("_n")).withColumns(
-        {"_coarse": coarse_bucket(F.col(value)), "_fine": fine_bucket(F.col(value))}
+    df = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(
+        group, value, coarse_bucket(F.col(value)).alias("_coarse")
     )
     size = F.sum("_n").over(Window.partitionBy(group))
     wanted = F.least(F.floor(size * F.lit(fraction)), size - 1)
-    coarse = _holding(
-        counts.groupBy(group, "_coarse").agg(F.sum("_n").alias("_n")).withColumn("_rank", wanted),
-        group,
-        "_coarse",
-    ).select(group, "_coarse", "_rank")
-    inside = counts.join(coarse, [group, "_coarse"])
-    fine = _holding(
-        inside.groupBy(group, "_coarse", "_rank", "_fine").agg(F.sum("_n").alias("_n")),
-        group,
-        "_fine",
-    ).select(group, "_coarse", "_fine", "_rank")
-    left = counts.join(fine, [group, "_coarse", "_fine"])
+    histogram = df.groupBy(group, "_coarse").agg(F.count("*").alias("_n"))
+    coarse = _holding(histogram.withColumn("_rank", wanted), group, "_coarse")
+    chosen = settled(coarse.select(group, "_coarse", "_rank"))
+    counts = (
+        df.join(chosen, [group, "_coarse"])
+        .groupBy(group, "_rank", value)
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_fine", fine_bucket(F.col(value)))
+    )
+    totals = counts.groupBy(group, "_rank", "_fine").agg(F.sum("_n").alias("_n"))
+    fine = _holding(totals, group, "_fine").select(group, "_fine", "_rank")
+    left = counts.drop("_rank").join(fine, [group, "_fine"])
     return _holding(left, group, value).select(group, F.col(value).alias(out))
 
 

@@ -16,6 +16,9 @@ from palisade.operators.ordering import running_total
 # A query matrix is shipped to tasks only up to this many rows and numbers (64 MB).
 SHIPPED_ROWS = 4096
 MATRIX_CELLS = 8_000_000
+# A scan of more splits than this is read by fewer, longer tasks, so that their k rows
+# per question do not add up to a large shuffle.
+SCAN_TASKS = 10_000
 # Rows per side of one block when both sides are too large to ship.
 BLOCK_ROWS = 20_000
 
@@ -28,7 +31,21 @@ def retrieve_topk(
     shipped_rows: int = SHIPPED_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """(query_id, rank, chunk_id, distance): the k nearest chunks of each query.
+    """(query_id, rank, chunk_id, distance): the k nearest chunks of each query, the
+    distance rounded to four places.  See `nearest_chunks`."""
+    near = nearest_chunks(queries, chunks, k, metric, shipped_rows, block_rows)
+    return near.withColumn("distance", rounded(F.col("exact"), 4)).drop("exact")
+
+
+def nearest_chunks(
+    queries: DataFrame,
+    chunks: DataFrame,
+    k: int = TOP_K,
+    metric: str = "l2sq",
+    shipped_rows: int = SHIPPED_ROWS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """(query_id, rank, chunk_id, exact): ranked by the unrounded distance, then by id.
 
     `queries` is (query_id, collection, vector), `chunks` is (chunk_id, collection,
     vector); a query only sees its own collection, and k rows at most leave a task
@@ -54,14 +71,15 @@ def retrieve_topk(
             k,
             metric,
         )
-        near = corpus.mapInArrow(scan, schema)
+        cores = corpus.sparkSession.sparkContext.defaultParallelism
+        near = corpus.coalesce(max(SCAN_TASKS, 4 * cores)).mapInArrow(scan, schema)
     else:
         near = _by_blocks(asked, corpus, k, metric, schema, block_rows)
     order = Window.partitionBy("query_id").orderBy("exact", "chunk_id")
     return (
         near.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "chunk_id", rounded(F.col("exact"), 4).alias("distance"))
+        .select("query_id", "rank", "chunk_id", "exact")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from palisade.fixed_values import DEFAULT_THRESHOLD
 from palisade.functions.formatting import fixed
 from palisade.operators import kernels as K
-from palisade.operators.retrieval import SHIPPED_ROWS, retrieve_topk, ship
+from palisade.operators.retrieval import SHIPPED_ROWS, nearest_chunks, ship
 
 
 def best_topic(
@@ -40,7 +40,7 @@ def best_topic(
             .withColumn("topic", F.col("_best.topic"))
             .drop("_best")
         )
-    found = retrieve_topk(
+    found = nearest_chunks(
         inputs.select(F.col(id_col).alias("query_id"), F.lit(0).alias("collection"), F.col(vector).alias("vector")),
         topics.select(F.col("ord").alias("chunk_id"), F.lit(0).alias("collection"), "vector"),
         k=1,
@@ -49,7 +49,7 @@ def best_topic(
     )
     named = found.join(topics.select(F.col("ord").alias("chunk_id"), "topic"), "chunk_id")
     best = named.select(
-        F.col("query_id").alias(id_col), (1 - F.col("distance")).alias("similarity"), "topic"
+        F.col("query_id").alias(id_col), F.round(1 - F.col("exact"), 12).alias("similarity"), "topic"
     )
     return inputs.join(best, id_col, "left")
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # A dimension is only ever shipped whole to executors below this many rows.
 DIMENSION_ROWS = 20_000
@@ -36,6 +37,17 @@ def is_small(df: DataFrame, rows: int = DIMENSION_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def settled(df: DataFrame, rows: int = DIMENSION_ROWS) -> DataFrame:
+    """Work out a table expected to be small now and mark it for broadcast.
+
+    Should it turn out larger than `rows`, it comes back as it was, for a shuffled join.
+    """
+    held = df.limit(rows + 1).toArrow()
+    if held.num_rows > rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(held, schema=df.schema))
+
+
 def spread(df: DataFrame, largest: int = 64) -> DataFrame:
     """Deal the rows of a small input over all cores before costly text work.
 

@@ -8,14 +8,8 @@ from palisade.operators import chunking as K
 
 
 def plain_chunks(pages, size, overlap):
-    out, n = [], 0
-    for page, text in pages:
-        for start in range(0, len(text), size - overlap):
-            piece = text[start : start + size].strip()
-            if piece:
-                out.append((n, page, start, piece))
-                n += 1
-    return out
+    cuts = [(p, at, t[at : at + size].strip()) for p, t in pages for at in range(0, len(t), size - overlap)]
+    return [(n, *cut) for n, cut in enumerate(cut for cut in cuts if cut[2])]
 
 
 def ours(spark, pages, size=500, overlap=100):

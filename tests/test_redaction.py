@@ -1,5 +1,6 @@
 import random
 import re
+from functools import reduce
 
 import pytest
 from fixed_inputs import BLOCKED_SPECIMENS, SPECIMENS
@@ -16,17 +17,15 @@ def redacted(df, **options):
 
 
 def plain_redact(text, coding):
-    """The same rules in a few lines of Python, one text at a time."""
-    clean, labels, count = text, [], 0
-    for label, pattern, _ in REDACTION_PATTERNS:
-        found = [m.group(0) for m in re.finditer(pattern, text)]
-        if found:
-            labels.append(label)
-        for i, match in enumerate(found, 1):
-            count += 1
-            mark = f"[VAR_{label}_{i}]" if coding else f"[REDACTED_{label}]"
-            clean = clean.replace(match, mark)
-    return clean, labels, count
+    """The same rules over one text: (label, number, match) triples, replaced in order."""
+    hits = [
+        (label, i, m.group(0))
+        for label, pattern, _ in REDACTION_PATTERNS
+        for i, m in enumerate(re.finditer(pattern, text), 1)
+    ]
+    mark = (lambda x, i: f"[VAR_{x}_{i}]") if coding else (lambda x, i: f"[REDACTED_{x}]")
+    clean = reduce(lambda acc, h: acc.replace(h[2], mark(h[0], h[1])), hits, text)
+    return clean, list(dict.fromkeys(h[0] for h in hits)), len(hits)
 
 
 @pytest.mark.parametrize("mode", ["generic", "coding"])
