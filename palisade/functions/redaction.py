@@ -91,11 +91,23 @@ def find_hits(text: Column, registry: list[Pattern], compat: bool = False) -> Co
 
 
 def replace_generic(text: Column, hits: Column, registry: list[Pattern], token) -> Column:
-    """Fold `replace` over all hits; `token(label)` gives the replacement text."""
+    """Fold `replace` over all hits; `token(label)` gives the replacement text.
+
+    Replacing a value a second time changes nothing, unless it can occur again inside or
+    across a mark.  So each value is replaced once, but for lists with such a value.
+    """
+    marks = [token(p.label) for p in registry]
+    bracketed = all(m.startswith("[") and m.endswith("]") for m in marks)
+
+    def again(m: Column) -> Column:
+        in_mark = F.contains(F.lit(" ".join(marks)), m)
+        return in_mark | F.contains(m, F.lit("[")) | F.contains(m, F.lit("]"))
 
     def fold(clean: Column, label: str) -> Column:
-        mark = F.lit(token(label))
-        return F.aggregate(hits[label], clean, lambda acc, m: F.replace(acc, m, mark))
+        mark, found = F.lit(token(label)), hits[label]
+        if bracketed:
+            found = F.when(F.exists(found, again), found).otherwise(F.array_distinct(found))
+        return F.aggregate(found, clean, lambda acc, m: F.replace(acc, m, mark))
 
     for p in registry:
         text = fold(text, p.label)

@@ -16,11 +16,11 @@ def redacted(df, **options):
     return [r.asDict() for r in S.redact(df, **options).orderBy("doc_id").collect()]
 
 
-def plain_redact(text, coding):
+def plain_redact(text, coding, registry=REDACTION_PATTERNS):
     """The same rules over one text: (label, number, match) triples, replaced in order."""
     hits = [
         (label, i, m.group(0))
-        for label, pattern, _ in REDACTION_PATTERNS
+        for label, pattern, *_ in registry
         for i, m in enumerate(re.finditer(pattern, text), 1)
     ]
     mark = (lambda x, i: f"[VAR_{x}_{i}]") if coding else (lambda x, i: f"[REDACTED_{x}]")
@@ -140,3 +140,20 @@ def test_a_very_long_run_takes_one_pass(texts):
     rows = redacted(df)
     assert rows[0]["redacted_count"] == 0 and rows[1]["patterns_matched"] == ["EMAIL"]
     assert S.scrub(df).where("doc_id = 1").first()["scrubbed"].endswith(" [EMAIL_REDACTED]")
+
+
+def test_values_that_occur_in_marks_are_replaced_as_often_as_found(texts):
+    registry = R.DEFAULT_REGISTRY
+    for label, regex in [("SHORT", "RED|ACT"), ("HOOK", r"\w?[\]\[]\w?"), ("FOUR", "IPV4|4"), ("LOW", "[a-c]+")]:
+        registry = R.with_pattern(registry, label, regex)
+    values = ["RED 1.2.3.4 ACT RED [x] [x] 4", "a@b.co [[ ]] RED", "abc cab abc 1.2.3.4 IPV4 1.2.3.4"]
+    for mode in ("generic", "coding"):
+        for row, text in zip(redacted(texts(*values), mode=mode, registry=registry), values):
+            want = plain_redact(text, mode == "coding", registry)
+            assert (row["clean_text"], row["patterns_matched"], row["redacted_count"]) == want
+
+
+def test_one_value_found_very_often(texts):
+    row = redacted(texts("a@b.co " * 40_000))[0]
+    assert row["clean_text"] == "[REDACTED_EMAIL] " * 40_000
+    assert row["redacted_count"] == 40_000
