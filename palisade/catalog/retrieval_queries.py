@@ -14,7 +14,6 @@ from palisade.fixed_values import (
     STALE_TEMPLATE,
     TEST_RISKS,
 )
-from palisade.functions.formatting import rounded
 from palisade.operators import audits as A
 from palisade.operators import chunking as K
 from palisade.operators import retrieval as R

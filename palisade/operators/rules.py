@@ -36,6 +36,7 @@ def rule_join(
     text: str = "text",
     policy: str = "policy_name",
     block_rows: int = DIMENSION_ROWS,
+    few_rules: int = FEW_RULES,
 ) -> DataFrame:
     """Gate each text by the rules of its policy.
 
@@ -43,31 +44,42 @@ def rule_join(
     numbered from 0 within policy and kind.  The texts are neither multiplied nor, for
     rules of a checked size, shuffled.  Short lists are grouped into one array per policy
     and meet the texts in an equi-join on the policy.  Long keyword lists are searched
-    in one pass over the text, whatever their number.  A block holds `block_rows` rules
-    per policy at most; longer lists take further passes in rule order, so no rule is
-    ever left out.
+    in one pass over the text, whatever their number, up to `block_rows` rules at a time:
+    more of them take further passes in rule order, so no rule is ever left out.
     """
-    sizes = rules.agg(F.max("ord").alias("last"), F.countDistinct(policy).alias("n")).first()
-    longest = 0 if sizes["last"] is None else sizes["last"] + 1
+    count = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("ord") + 1))
+    sizes = rules.agg(count("keyword"), count("pattern"), F.countDistinct(policy)).first()
+    lengths = {"keyword": sizes[0] or 0, "pattern": sizes[1] or 0}
     out = (
         texts.withColumn("_lowered", F.lower(text))
         .withColumn("keyword", F.lit(None).cast("string"))
         .withColumn("pattern_match", F.lit(False))
     )
-    for start in range(0, longest, block_rows):
-        part = rules.where((F.col("ord") >= start) & (F.col("ord") < start + block_rows))
-        words = part.where(F.col("kind") == "keyword")
-        if ahocorasick and longest > FEW_RULES and is_small(words):
-            out = _search_keywords(out, words, policy)
-            part = part.where(F.col("kind") == "pattern")
-        fits = sizes["n"] * min(longest, block_rows) <= DIMENSION_ROWS or is_small(part)
-        out = _join_lists(out, part, text, policy, fits)
+    if max(lengths.values()) <= few_rules:
+        out = _join_lists(out, rules, text, policy)
+    else:
+        width = max(few_rules, block_rows // sizes[2])
+        for kind, length in lengths.items():
+            for start in range(0, length, width):
+                within = F.col("ord").between(start, start + width - 1)
+                part = rules.where((F.col("kind") == kind) & within)
+                out = _apply_block(out, part, kind, text, policy)
     return out.withColumn(
         "verdict", G.rule_verdict(F.col("keyword"), F.col("pattern_match"))
     ).drop("_lowered")
 
 
-def _join_lists(texts: DataFrame, part: DataFrame, text: str, policy: str, fits: bool) -> DataFrame:
+def _apply_block(texts: DataFrame, part: DataFrame, kind: str, text: str, policy: str) -> DataFrame:
+    if kind == "keyword" and ahocorasick:
+        words = part.select(policy, "ord", "rule", F.lower("rule").alias("lowered"))
+        held = words.limit(DIMENSION_ROWS + 1).collect()
+        if len(held) <= DIMENSION_ROWS:
+            return _search_keywords(texts, held, policy) if held else texts
+    return _join_lists(texts, part, text, policy)
+
+
+def _join_lists(texts: DataFrame, part: DataFrame, text: str, policy: str) -> DataFrame:
+    fits = is_small(part)
     lists = part.groupBy(policy).agg(
         _ordered("keyword").alias("_keywords"), _ordered("pattern").alias("_patterns")
     )
@@ -91,11 +103,10 @@ def _ordered(kind: str) -> Column:
     return F.array_sort(F.collect_list(F.when(F.col("kind") == kind, rule)))
 
 
-def _search_keywords(texts: DataFrame, words: DataFrame, policy: str) -> DataFrame:
-    """First keyword by one multi-word search per text; `words` is known to be small."""
+def _search_keywords(texts: DataFrame, words: list, policy: str) -> DataFrame:
+    """First keyword by one multi-word search per text."""
     listed: dict = {}
-    rows = words.select(policy, "ord", "rule", F.lower("rule").alias("lowered")).collect()
-    for row in sorted(rows, key=lambda r: r["ord"], reverse=True):
+    for row in sorted(words, key=lambda r: r["ord"], reverse=True):
         listed.setdefault(row[policy], {})[row["lowered"]] = (row["ord"], row["rule"])
     find = F.arrow_udf(keyword_search(listed), "string")
     return texts.withColumn("keyword", F.coalesce("keyword", find("_lowered", policy)))

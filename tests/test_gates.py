@@ -46,8 +46,13 @@ def expected_join(texts, listed):
     return out
 
 
-@pytest.mark.parametrize("n_rules,block", [(5, 100), (40, 7), (150, 1000), (150, 70)])
-def test_rule_join_against_brute_force(spark, n_rules, block):
+@pytest.mark.parametrize(
+    "n_rules,block,few,search",
+    [(5, 100, 64, True), (40, 7, 8, False), (150, 1000, 64, True), (150, 70, 16, True), (150, 70, 16, False)],
+)
+def test_rule_join_against_brute_force(spark, monkeypatch, n_rules, block, few, search):
+    if not search:
+        monkeypatch.setattr(rules, "ahocorasick", None)
     rng = random.Random(n_rules)
     word = lambda: "".join(rng.choice("abCd") for _ in range(rng.randint(2, 5)))
     listed = {p: list(enumerate(dict.fromkeys(word() for _ in range(n_rules)))) for p in "xy"}
@@ -57,7 +62,7 @@ def test_rule_join_against_brute_force(spark, n_rules, block):
     df = spark.createDataFrame(
         [(i, t, p) for i, (t, p) in enumerate(texts)], "doc_id int, text string, policy_name string"
     )
-    out = rules.rule_join(df, table, block_rows=block).orderBy("doc_id").collect()
+    out = rules.rule_join(df, table, block_rows=block, few_rules=few).orderBy("doc_id").collect()
     assert [r["keyword"] for r in out] == expected_join(texts, listed)
     want = [p == "y" and t[0] in "aA" for t, p in texts]
     assert [r["pattern_match"] for r in out] == want
