@@ -15,6 +15,7 @@ from palisade.operators.rules import rule_gate as gate
 from palisade.operators.rules import rule_join as join_rules
 from palisade.operators.semantic import semantic_gate as similarity_gate
 from palisade.plans import gateway
+from palisade.session import local_table
 
 WORDS = V.SIGNAL_WORDS
 THRESHOLD = V.SIMILARITY_THRESHOLD
@@ -93,7 +94,7 @@ def _rules(spark, folder):
         )
     )
     rows = [(n, "pattern", i, p) for n in languages for i, p in enumerate(V.CODE_PATTERNS)]
-    patterns = spark.createDataFrame(rows, "policy_name string, kind string, ord int, rule string")
+    patterns = local_table(spark, ["policy_name", "kind", "ord", "rule"], rows)
     return keywords.unionByName(patterns)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from palisade.fixed_values import ADMIT_PHRASES, TEST_RISKS, TOP_K
 from palisade.functions.text import contains_any, cut, strip
 from palisade.operators.retrieval import retrieve_topk
+from palisade.session import local_table
 
 
 def admitted_ignorance(answer: Column, phrases: list[str] = ADMIT_PHRASES) -> Column:
@@ -57,7 +58,7 @@ def compare_modes(answers: DataFrame, cut_at: int = 120) -> DataFrame:
 
 
 def test_risks(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TEST_RISKS, "test string, risk string, mitigation string")
+    return local_table(spark, ["test", "risk", "mitigation"], TEST_RISKS)
 
 
 def risk_summary(results: DataFrame, risks: DataFrame) -> DataFrame:

@@ -13,18 +13,16 @@ from palisade.fixed_values import (
 )
 from palisade.functions import scoring as S
 from palisade.functions.formatting import cost_label, rounded
+from palisade.session import local_table
 
 
 def call_prices(spark: SparkSession, rows=CALL_PRICES) -> DataFrame:
-    return spark.createDataFrame(rows, "model string, rate double")
+    return local_table(spark, ["model", "rate"], rows)
 
 
 def tier_prices(spark: SparkSession, rows=TIER_PRICES) -> DataFrame:
-    return spark.createDataFrame(
-        rows,
-        "tier string, role string, model_name string, model_id string, "
-        "input_cost double, output_cost double",
-    )
+    names = ["tier", "role", "model_name", "model_id", "input_cost", "output_cost"]
+    return local_table(spark, names, rows)
 
 
 def tier_registry(spark: SparkSession, tier: str = DEFAULT_TIER, rows=TIER_PRICES) -> DataFrame:
@@ -38,7 +36,7 @@ def tier_registry(spark: SparkSession, tier: str = DEFAULT_TIER, rows=TIER_PRICE
 def with_call_cost(calls: DataFrame, prices: DataFrame, default: float = DEFAULT_CALL_PRICE) -> DataFrame:
     """Add `cost`: tokens at the model's rate, the default rate for an unknown model.
 
-    Adaptive execution broadcasts the price side by its real size.
+    Spark broadcasts the price side by its real size.
     """
     rate = F.coalesce("rate", F.lit(default))
     return calls.join(prices, "model", "left").withColumn(

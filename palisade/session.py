@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,12 @@ def is_small(df: DataFrame, rows: int = DIMENSION_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def local_table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A few constant rows, held in the plan: no Python task, and a size Spark knows."""
+    columns = [list(c) for c in zip(*rows)]
+    return spark.createDataFrame(pa.table(dict(zip(names, columns))))
+
+
 def settled(df: DataFrame, rows: int = DIMENSION_ROWS) -> DataFrame:
     """Work out a table expected to be small now and mark it for broadcast.
 
