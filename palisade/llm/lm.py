@@ -6,7 +6,8 @@ corpus) and from one head of causal attention over a window (trained by gradient
 parallel, parameters averaged between rounds), then the subword within its class by counts
 that depend on the kind of the last subword.  A common word may also come as a whole: from the
 predicted class of its first subword, by its count among the words that begin in that class.
-Its probability is the mean of both ways by a fixed weight.  Every training text gives windows in proportion to its length, and all counts are
+Its probability is the mean of both ways by a fixed weight; a word spelled in subwords pays for
+ending where it does, a whole word does not.  Every training text gives windows in proportion to its length, and all counts are
 taken over all training texts.
 """
 
@@ -32,6 +33,8 @@ HEAD_WORDS = 200_000
 # Subword ids the model tells apart in its input, and classes in its output.
 INPUTS = 4096
 CLASSES = 32
+# The first classes are of what begins a word, the last of these of the end of a text.
+OPENING = 20
 # Classes of the last subword on which the next one's share within its class depends.
 FINE = 256
 CONTEXTS = 64
@@ -208,9 +211,9 @@ class Scorer:
         self.bias = np.where(far >= 0, p["near"][np.clip(far, 0, WINDOW - 1)], -np.inf).astype(np.float32)
         self.opening = np.where(np.arange(WINDOW) < STRIDE, -np.inf, self.bias).astype(np.float32)
 
-    def score(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Log probabilities of the class of each input but the first of each text, and of the
-        inputs themselves, all texts in one array each.
+    def score(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log probabilities of the class of each input but the first of each text, of the input
+        itself, and of a new word at its place; all texts in one array each.
 
         A text's inputs are cut into blocks of STRIDE; a block attends to itself and the block
         before, so each input is predicted once, from STRIDE or more inputs where there are as many.
@@ -228,7 +231,7 @@ class Scorer:
         target = np.where(target >= 0, self.class_of_input[target], -1)
         opening = np.zeros(total, bool)
         opening[offset] = True
-        got = np.zeros(total * STRIDE, np.float32)
+        got, begins = np.zeros(total * STRIDE, np.float32), np.zeros(total * STRIDE, np.float32)
         ids = ids.reshape(total, STRIDE)
         for a in range(0, total, STEP_BLOCKS):
             b = min(total, a + STEP_BLOCKS)
@@ -246,10 +249,12 @@ class Scorer:
             goal = target[a * STRIDE : b * STRIDE]
             chosen = z[np.arange(len(z)), np.maximum(goal, 0)]
             np.exp(z, out=z)
-            got[a * STRIDE : b * STRIDE] = np.where(goal >= 0, chosen - np.log(z.sum(1)), 0)
+            every = np.log(z.sum(1))
+            got[a * STRIDE : b * STRIDE] = chosen - every
+            begins[a * STRIDE : b * STRIDE] = np.log(z[:, :OPENING].sum(1)) - every
         real = target >= 0
         got = got[real].astype(np.float64)
-        return got, got + share[real]
+        return got, got + share[real], begins[real].astype(np.float64)
 
 
 def count_words(docs: DataFrame, raw: bytes) -> DataFrame:
@@ -454,8 +459,11 @@ def build_scorer(words: DataFrame, windows: DataFrame, subs: Subwords, n_tokens:
     context = np.minimum(same, frequent)
     # Subwords alike in what stands before them share a class; kinds go by what stands after.
     before = next_counts(words, windows, subs, context, same, (CONTEXTS, inputs), scale).T
-    classes = cluster(before, before.sum(1), CLASSES - 1)
-    classes[subs.end_input] = CLASSES - 1
+    opens, inner = np.flatnonzero(subs.opens), np.flatnonzero(~subs.opens)
+    classes = np.zeros(inputs, np.int64)
+    classes[opens] = cluster(before[opens], before[opens].sum(1), OPENING - 1)
+    classes[inner] = OPENING + cluster(before[inner], before[inner].sum(1), CLASSES - OPENING)
+    classes[subs.end_input] = OPENING - 1
     subs.set_classes(classes, CLASSES)
     pairs = next_counts(words, windows, subs, same, classes, (inputs, CLASSES), scale)
     table = next_classes(pairs)
@@ -551,13 +559,16 @@ def lm_score(
 
         def scores(waiting):
             """Sum of the mixed log probabilities of the words of each text."""
-            first, tokens = scorer.score([np.frombuffer(opening + b"".join(w[0]), np.uint16) for w in waiting])
+            first, tokens, begins = scorer.score([np.frombuffer(opening + b"".join(w[0]), np.uint16) for w in waiting])
             size = np.concatenate([w[1] for w in waiting])
             begin = np.cumsum(size) - size
-            word = np.add.reduceat(tokens, begin) + np.concatenate([w[2] for w in waiting])
-            whole = first[begin] + np.concatenate([w[3] for w in waiting])
-            word = np.logaddexp(mix[0] + whole, mix[1] + word)
             words = np.array([len(w[1]) for w in waiting])
+            opened = begins[begin]
+            closed = np.r_[opened[1:], 0.0]
+            closed[np.cumsum(words) - 1] = 0.0  # the end of a text needs no further end
+            word = np.add.reduceat(tokens, begin) + np.concatenate([w[2] for w in waiting]) - opened + closed
+            whole = first[begin] - opened + np.concatenate([w[3] for w in waiting])
+            word = np.logaddexp(mix[0] + whole, mix[1] + word)
             return (np.add.reduceat(word, np.cumsum(words) - words) / LN10).tolist()
 
         for batch in batches:
