@@ -72,3 +72,11 @@ def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return lm_score(docs, vocabulary("byte_bpe_50k.tiktoken"), fold("doc_id", 5) == 1)
+
+
+@query()
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 400-byte strings that start twice or more, as digests."""
+    from palisade.llm.suffixes import dedup_digest
+
+    return dedup_digest(table(spark, sf_dir, "documents"))
