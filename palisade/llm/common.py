@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,22 +46,35 @@ def lowered_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-class WordCodes(dict):
-    """word -> 64-bit hash, computed once per word and worker."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        code = self[word] = xxhash.xxh3_64_intdigest(word)
-        return code
-
-
-def rows_of(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple]:
-    """The rows of Arrow batches as tuples, without building a row object per column."""
-    for batch in batches:
-        yield from zip(*(batch.column(n).to_pylist() for n in names))
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+_SYMBOL = np.random.default_rng(29).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE, _powers = 0x9E3779B97F4A7C15, {}
+
+
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """The first n powers of an odd base modulo 2**64, or of its inverse; kept by the worker."""
+    if len(_powers.get(inverse, ())) < n:
+        base = pow(_BASE, -1, 2**64) if inverse else _BASE
+        out = np.full(max(n, 1 << 16), base, np.uint64)
+        out[0] = 1
+        _powers[inverse] = np.cumprod(out, dtype=np.uint64)
+    return _powers[inverse][:n]
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts in order, A-Z lower-cased, and how many words
+    each text has.  No word is looked at by itself: hashes are differences of prefix sums."""
+    raw = np.frombuffer(b"\n".join([*texts, b""]).lower(), np.uint8)
+    white = _WHITE[raw]
+    begin = np.flatnonzero(~white & np.r_[True, white[:-1]])
+    end = np.flatnonzero(white & np.r_[False, ~white[:-1]])
+    prefix = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_SYMBOL[raw] * powers(len(raw)), out=prefix[1:])
+    hashes = (prefix[end] - prefix[begin]) * powers(len(raw), True)[begin]
+    hashes = mix(hashes + (end - begin).astype(np.uint64))
+    edges = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return hashes, np.diff(np.searchsorted(begin, edges))
 
 
 class Emitter:

@@ -80,3 +80,12 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palisade.llm.suffixes import dedup_digest
 
     return dedup_digest(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of all documents on four-word shingles."""
+    from palisade.llm.minhash import near_duplicates
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs, width=4).select("doc_id", "n_shingles", "component_id", "kept")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palisade.llm.common import WordCodes, materialize, mix
+from palisade.llm.common import materialize, mix, powers, word_hashes
 
 BYTES = 400
 WORDS = 50
@@ -38,16 +38,6 @@ STEP = 400_000
 
 _random = np.random.default_rng(20)
 _SYMBOL = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 2**64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
 class Units:
     """What a text is made of: `symbols` (bytes, or 64-bit codes of lower-cased words)."""
 
@@ -55,7 +45,6 @@ class Units:
         self.kind, self.threshold, self.gram = kind, threshold, gram
         self.dtype = np.dtype(np.uint8 if kind == "bytes" else np.uint64)
         self.left = threshold - gram  # symbols before an anchor that its strings can cover
-        self.codes = WordCodes()
 
     def __reduce__(self):
         return Units, (self.kind, self.threshold, self.gram)
@@ -63,8 +52,7 @@ class Units:
     def symbols(self, data: bytes) -> np.ndarray:
         if self.kind == "bytes":
             return np.frombuffer(data, np.uint8)
-        words = data.lower().split()
-        return np.fromiter(map(self.codes.__getitem__, words), np.uint64, len(words))
+        return word_hashes([data])[0]
 
     def values(self, symbols: np.ndarray) -> np.ndarray:
         return _SYMBOL[symbols] if self.kind == "bytes" else symbols
@@ -104,8 +92,8 @@ def anchors(units: Units, texts: list[np.ndarray]):
         flat[at : at + len(t)] = units.values(t)
     # Prefix sums of a polynomial: the hash of any stretch in two reads.
     prefix = np.zeros(total + 1, np.uint64)
-    np.cumsum(flat * _powers(_BASE, total), out=prefix[1:])
-    back = _powers(_INVERSE, total)
+    np.cumsum(flat * powers(total), out=prefix[1:])
+    back = powers(total, True)
     grams = mix((prefix[g:] - prefix[:-g]) * back[: total - g + 1])
     order = (grams >> np.uint64(32)).astype(np.uint32)
     least = _sliding(order, left + 1, np.minimum)  # of the string that starts here
@@ -182,9 +170,9 @@ def string_hashes(units: Units, blobs: list[bytes], left: np.ndarray, size: np.n
         part = np.frombuffer(blob, units.dtype)
         grid[i, units.left - a : units.left - a + len(part)] = part
     prefix = np.zeros((len(blobs), width + 1), np.uint64)
-    np.cumsum(units.values(grid) * _powers(_BASE, width), axis=1, out=prefix[:, 1:])
+    np.cumsum(units.values(grid) * powers(width), axis=1, out=prefix[:, 1:])
     at = units.left - np.arange(units.left + 1)  # where the string starts
-    hashes = (prefix[:, at + n] - prefix[:, at]) * _powers(_INVERSE, width)[at]
+    hashes = (prefix[:, at + n] - prefix[:, at]) * powers(width, True)[at]
     offset = np.arange(units.left + 1)
     right = size - left
     return hashes, (offset <= left[:, None]) & (n - offset <= right[:, None])
@@ -252,7 +240,7 @@ def _order(buckets: DataFrame, units: Units, block: int, entries: int) -> DataFr
             r, c = np.nonzero(first[mine])
             r = mine[r]
             e = np.zeros(len(r), _ENTRY)
-            e["hash"], e["row"], e["place"], e["offset"] = hashes[r, c] + c.astype(np.uint64) * np.uint64(_BASE), row[r], place[r], c
+            e["hash"], e["row"], e["place"], e["offset"] = hashes[r, c] + c.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), row[r], place[r], c
             e["wants"] = alone[r] & ~again[r, c]
             lots = max(1, -(-int(members[mine[0]]) * (units.left + 1) // entries))
             lot = (mix(e["hash"].copy()) % np.uint64(lots)).astype(np.int64)
