@@ -89,3 +89,46 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, width=4).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+TOPK_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+         CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
+@query(TOPK_SQL)
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact best inner products of the stated queries with all embeddings."""
+    from palisade.llm.topk import exact_topk
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_topk(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query()
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate nearest cosines of the stated queries among all embeddings."""
+    from palisade.llm.ann import nearest
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query()
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of all documents, from one encoding of each document."""
+    from palisade.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
