@@ -33,6 +33,8 @@ WORDS = 50
 # Members ordered together; entries ordered together in the pass over split buckets.
 BLOCK = 4096
 ENTRIES = 500_000
+# Cut members that leave a task at a time (under 4 MB of symbols).
+CUT_ROWS = 4096
 # Symbols of text worked on in one step.
 STEP = 400_000
 
@@ -348,6 +350,9 @@ def repeated_spans(
     def cut(batches):
         names = ["gram", "members", "salt", "n", "row", "place", "left", "symbols"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        def emit(out):
+            return pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=names)
+
         for batch in batches:
             out = [[] for _ in names]
             for row, text, asked in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
@@ -360,7 +365,10 @@ def repeated_spans(
                     values = w["gram"], w["members"], salt, w["n"], row, at, at - a, symbols[a:b].tobytes()
                     for column, value in zip(out, values):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names=names)
+                    if len(out[0]) >= CUT_ROWS:
+                        yield emit(out)
+                        out = [[] for _ in names]
+            yield emit(out)
 
     cuts = texts.join(wanted, "row").mapInArrow(
         cut, "gram long, members long, salt long, n long, row long, place int, left int, symbols binary"
