@@ -207,9 +207,16 @@ class Scorer:
         self.value = np.c_[e @ p["value"], np.ones(len(e))].astype(np.float32)
         self.out, self.table = p["out"], table
         self.class_of_input = subs.class_of_input
-        far = np.arange(STRIDE)[:, None] + STRIDE - np.arange(WINDOW)[None, :]
-        self.bias = np.where(far >= 0, p["near"][np.clip(far, 0, WINDOW - 1)], -np.inf).astype(np.float32)
-        self.opening = np.where(np.arange(WINDOW) < STRIDE, -np.inf, self.bias).astype(np.float32)
+        # Scores are kept where exp can't overflow, whatever was learned.
+        most = np.linalg.norm(self.query, axis=1).max() * np.linalg.norm(self.key, axis=1).max()
+        near = np.clip(p["near"], -20, 20)
+        self.query *= np.float32(min(1.0, 40 / max(most, 1e-6)))
+        place = np.arange(STRIDE)
+        ahead = place[:, None] - place[None, :]
+        self.bias = np.where(ahead >= 0, near[np.maximum(ahead, 0)], -np.inf).astype(np.float32)
+        self.bias_before = near[ahead + STRIDE].astype(np.float32)
+        self.halves = np.zeros((self.out.shape[1], 2), np.float32)
+        self.halves[:OPENING, 0] = self.halves[OPENING:, 1] = 1
 
     def score(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Log probabilities of the class of each input but the first of each text, of the input
@@ -235,23 +242,30 @@ class Scorer:
         ids = ids.reshape(total, STRIDE)
         for a in range(0, total, STEP_BLOCKS):
             b = min(total, a + STEP_BLOCKS)
-            own = ids[a:b]
-            last = ids[max(a - 1, 0) : b]
-            before = last[:-1] if a else np.r_[last[:1], last[:-1]]
-            keys = np.concatenate([before, own], 1)
-            s = self.query[own] @ self.key[keys].transpose(0, 2, 1)
+            own = ids[max(a - 1, 0) : b]
+            skip = min(a, 1)
+            query, key, value = self.query[own[skip:]], self.key[own], self.value[own]
+            if not skip:
+                key, value = np.concatenate([key[:1], key]), np.concatenate([value[:1], value])
+            s = query @ key[1:].transpose(0, 2, 1)
             s += self.bias
-            s[opening[a:b]] += self.opening - np.where(np.isinf(self.bias), 0, self.bias)
-            np.exp(np.minimum(s, 60, out=s), out=s)
-            o = (s @ self.value[keys]).reshape(-1, WIDTH + 1)
+            np.exp(s, out=s)
+            o = s @ value[1:]
+            s = query @ key[:-1].transpose(0, 2, 1)
+            s += self.bias_before
+            np.exp(s, out=s)
+            s[opening[a:b]] = 0  # the block before belongs to another text
+            o += s @ value[:-1]
+            o = o.reshape(-1, WIDTH + 1)
             z = (o[:, :-1] / o[:, -1:]) @ self.out
-            z += self.table[own.ravel()]
+            z += self.table[ids[a:b].ravel()]
             goal = target[a * STRIDE : b * STRIDE]
             chosen = z[np.arange(len(z)), np.maximum(goal, 0)]
             np.exp(z, out=z)
-            every = np.log(z.sum(1))
+            halves = z @ self.halves
+            every = np.log(halves.sum(1))
             got[a * STRIDE : b * STRIDE] = chosen - every
-            begins[a * STRIDE : b * STRIDE] = np.log(z[:, :OPENING].sum(1)) - every
+            begins[a * STRIDE : b * STRIDE] = np.log(halves[:, 0]) - every
         real = target >= 0
         got = got[real].astype(np.float64)
         return got, got + share[real], begins[real].astype(np.float64)
@@ -349,7 +363,16 @@ def training_windows(docs: DataFrame, raw: bytes, subs: Subwords) -> DataFrame:
     chars = 8 * (WINDOW + 1)
 
     def run(batches):
-        encoder = encoder_of(raw)
+        encoder, seen = encoder_of(raw), {}
+
+        def encoded(word):
+            ids = seen.get(word)
+            if ids is None:
+                if len(seen) >= CACHE_ENTRIES:
+                    seen.clear()
+                ids = seen[word] = subwords(encoder, word)
+            return ids
+
         for batch in batches:
             out = []
             for value in batch.column(0):
@@ -364,7 +387,7 @@ def training_windows(docs: DataFrame, raw: bytes, subs: Subwords) -> DataFrame:
                     words = lowered_words(part)
                     ids = [subs.end] if at == 0 else []
                     for word in words[1:] if at else words:
-                        ids.extend(subwords(encoder, word))
+                        ids.extend(encoded(word))
                     if at + chars >= len(text):
                         ids.append(subs.end)
                     if len(ids) >= 2:
@@ -537,38 +560,67 @@ def lm_score(
         encoder = encoder_of(raw)
 
         class Words(dict):
-            """word -> (inputs, log share within inputs, base score, log share of the word in
-            the class of its first subword), the last two -inf for a word that isn't common."""
+            """word -> its number in growing arrays: inputs, log share within inputs, base score
+            and log share of the word in the class of its first subword, the last two -inf for
+            a word that isn't common.  Number 0 is the end of a text."""
+
+            def __init__(self):
+                super().__init__()
+                self.reset()
+
+            def reset(self):
+                self.clear()
+                self.size, self.filled = 1, 1
+                self.numbers = np.zeros((3, 1 << 16))
+                self.numbers[:, 0] = 0.0, end_score, 0.0
+                self.starts = np.zeros((1 << 16) + 1, np.int64)
+                self.starts[1] = 1
+                self.inputs = np.zeros(1 << 18, np.uint16)
+                self.inputs[0] = end_input
 
             def __missing__(self, word):
                 ids = subwords(encoder, word)
                 n = known.get(word)
-                base = -math.inf if n is None else math.log10((n + 0.5) / denominator)
                 inputs = input_of[ids]
-                whole = -math.inf if n is None else math.log(n / mass[scorer.class_of_input[inputs[0]]])
-                made = inputs.tobytes(), float(within[ids].sum()), base, whole
-                if len(self) >= CACHE_ENTRIES:
-                    self.clear()
-                self[word] = made
-                return made
+                if n is None:
+                    base = whole = -math.inf
+                else:
+                    base = math.log10((n + 0.5) / denominator)
+                    whole = math.log(n / mass[scorer.class_of_input[inputs[0]]])
+                at, end = self.size, self.filled + len(ids)
+                if at >= self.numbers.shape[1]:
+                    self.numbers = np.concatenate([self.numbers, np.zeros_like(self.numbers)], 1)
+                    self.starts = np.concatenate([self.starts, np.zeros(len(self.starts) - 1, np.int64)])
+                if end > len(self.inputs):
+                    self.inputs = np.concatenate([self.inputs, np.zeros(max(len(self.inputs), len(ids)), np.uint16)])
+                self.inputs[self.filled : end] = inputs
+                self.numbers[:, at] = within[ids].sum(), base, whole
+                self.starts[at + 1] = self.filled = end
+                self.size += 1
+                self[word] = at
+                return at
 
         look_up = Words()
-        opening = np.array([end_input], np.uint16).tobytes()
-        ending = opening, 0.0, end_score, 0.0
         mix = math.log(WHOLE_WEIGHT), math.log(1 - WHOLE_WEIGHT)
 
         def scores(waiting):
             """Sum of the mixed log probabilities of the words of each text."""
-            first, tokens, begins = scorer.score([np.frombuffer(opening + b"".join(w[0]), np.uint16) for w in waiting])
-            size = np.concatenate([w[1] for w in waiting])
+            number = np.concatenate(waiting)
+            words = np.array([len(w) for w in waiting])
+            begin_at = look_up.starts[number]
+            size = look_up.starts[number + 1] - begin_at
             begin = np.cumsum(size) - size
-            words = np.array([len(w[1]) for w in waiting])
+            flat = look_up.inputs[np.repeat(begin_at - begin, size) + np.arange(size.sum())]
+            cut = np.r_[begin[np.cumsum(words) - words], len(flat)]
+            first, tokens, begins = scorer.score(
+                [np.concatenate([look_up.inputs[:1], flat[a:b]]) for a, b in zip(cut[:-1], cut[1:])]
+            )
+            share, _, whole = look_up.numbers[:, number]
             opened = begins[begin]
             closed = np.r_[opened[1:], 0.0]
             closed[np.cumsum(words) - 1] = 0.0  # the end of a text needs no further end
-            word = np.add.reduceat(tokens, begin) + np.concatenate([w[2] for w in waiting]) - opened + closed
-            whole = first[begin] - opened + np.concatenate([w[3] for w in waiting])
-            word = np.logaddexp(mix[0] + whole, mix[1] + word)
+            word = np.add.reduceat(tokens, begin) + share - opened + closed
+            word = np.logaddexp(mix[0] + first[begin] - opened + whole, mix[1] + word)
             return (np.add.reduceat(word, np.cumsum(words) - words) / LN10).tolist()
 
         for batch in batches:
@@ -576,22 +628,25 @@ def lm_score(
             waiting, held = [], 0
             for value in batch.column(3):
                 listed = lowered_words(value.as_py())
-                found = [*map(look_up.__getitem__, listed), ending]
-                inputs, share, base, whole = zip(*found)
-                base = np.array(base)
+                number = np.zeros(len(listed) + 1, np.int64)
+                number[:-1] = np.fromiter(map(look_up.__getitem__, listed), np.int64, len(listed))
+                base = look_up.numbers[1, number]
                 common = base > -math.inf
-                columns[0].append(len(found))
+                columns[0].append(len(number))
                 columns[1].append(int(common.sum()) - (n_train == 0))
                 columns[2].append(math.fsum(base[common].tolist()))
                 columns[4].append([] if common.all() else [listed[i] for i in np.flatnonzero(~common)])
-                size = np.fromiter(map(len, inputs), np.int64, len(inputs)) // 2
-                waiting.append((inputs, size, np.array(share), np.array(whole)))
-                held += int(size.sum())
-                if held > 400_000:
+                waiting.append(number)
+                held += len(number)
+                if held > 150_000:
                     columns[3].extend(scores(waiting))
                     waiting, held = [], 0
+                    if len(look_up) > CACHE_ENTRIES:
+                        look_up.reset()
             if waiting:
                 columns[3].extend(scores(waiting))
+            if len(look_up) > CACHE_ENTRIES:
+                look_up.reset()
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:3],
