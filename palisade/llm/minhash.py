@@ -63,7 +63,7 @@ def sketch(rows: DataFrame, width: int) -> DataFrame:
                 tree = [sig[:, t * DEPTH : (t + 1) * DEPTH] for t in range(TREES)]
                 region = np.stack([((x[:, 0] * base + x[:, 1]) * base + x[:, 2]) * base + np.uint64(t) for t, x in enumerate(tree)], 1)
                 deeper = np.roll(sig, -DEPTH, 1)[:, : TREES * DEPTH : DEPTH]
-                both = np.stack([region, deeper], 2).reshape(len(sig), -1).view(np.int64)
+                both = np.stack([region, deeper], 2).reshape(len(sig), 2 * TREES).view(np.int64)
                 for s in sets:
                     count.append(len(s))
                     if len(s):

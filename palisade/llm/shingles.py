@@ -21,7 +21,7 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     code, words = word_hashes([(t or "").encode("utf-8", "surrogatepass") for t in texts])
     out, at = [], 0
     total = np.zeros(max(0, len(code) - width + 1), np.uint64)
-    for k in range(width):
+    for k in range(width if len(total) else 0):
         total += code[k : len(code) - width + 1 + k] * _PLACE[k]
     total = mix(total + np.uint64(width))
     for n in words.tolist():
