@@ -40,6 +40,11 @@ STEP = 400_000
 
 _random = np.random.default_rng(20)
 _SYMBOL = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def gram_of(threshold: int) -> int:
+    """Length of the first digit: long enough that chance repeats end in the first pass."""
+    return max(1, threshold // 6)
+
+
 class Units:
     """What a text is made of: `symbols` (bytes, or 64-bit codes of lower-cased words)."""
 
@@ -320,7 +325,8 @@ def repeated_spans(
     `rows` is (_row, text), `_row` unique.  Rows without such a string are left out; null texts are
     empty.  Strings are judged on the input and count within a text as between texts.
     """
-    units = Units(unit, threshold or (BYTES if unit == "bytes" else WORDS), gram or (16 if unit == "bytes" else 4))
+    threshold = threshold or (BYTES if unit == "bytes" else WORDS)
+    units = Units(unit, threshold, gram or gram_of(threshold))
     n, left = units.threshold, units.left
     texts = rows.select(F.col("_row").alias("row"), "text").where("text is not null")
     listed = materialize(_anchor_table(texts, units), "anchors")
@@ -392,7 +398,7 @@ def _spans_of(units: Units, data: bytes, begin, end) -> tuple[np.ndarray, np.nda
 
 def dedup_digest(docs: DataFrame, threshold: int = BYTES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row; see `repeated_spans`."""
-    units = Units("bytes", threshold, 16)
+    units = Units("bytes", threshold, gram_of(threshold))
     rows = numbered(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id")
     spans = repeated_spans(rows, "bytes", threshold)
 
@@ -432,7 +438,8 @@ def drop_repeats(
     widened to whole characters.  Null texts stay null, texts without a repeat are untouched;
     all columns and rows stay.
     """
-    units = Units(unit, threshold or (BYTES if unit == "bytes" else WORDS), 16 if unit == "bytes" else 4)
+    threshold = threshold or (BYTES if unit == "bytes" else WORDS)
+    units = Units(unit, threshold, gram_of(threshold))
     rows = numbered(docs, doc_id)
     spans = repeated_spans(rows.select("_row", F.col(text).alias("text")), unit, units.threshold)
 
