@@ -200,7 +200,8 @@ def near_duplicates(
         lambda t: F.struct(t.alias("tree"), F.get("keys", 2 * t).alias("key"), F.get("keys", 2 * t + 1).alias("deep")),
     )
     members = nodes.select("row", F.explode(trees).alias("t")).select("row", "t.*")
-    sized = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # Written first, so that a join with a crowded region can be split.
+    sized = materialize(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "regions")
     members = materialize(members.join(sized, "key"), "members")
 
     # First trees: regions, or blocks of them by the deeper value, linked each by itself.
@@ -223,11 +224,12 @@ def near_duplicates(
         "placed",
     )
     parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    regions = (
+    regions = materialize(
         parts.groupBy("key")
         .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all"))
         .where("most < all")
-        .select("key", "main", _blocks(F.col("all") - F.col("most"), block).alias("fs"), _blocks(F.col("all"), block).alias("ms"))
+        .select("key", "main", _blocks(F.col("all") - F.col("most"), block).alias("fs"), _blocks(F.col("all"), block).alias("ms")),
+        "regions",
     )
     open_ = placed.where((F.col("tree") >= FIRST_TREES) | (F.col("size") > block)).join(regions, "key")
     small = F.col("ms") == 1

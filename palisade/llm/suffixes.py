@@ -284,12 +284,17 @@ def _order_dealt(dealt: DataFrame, threshold: int) -> DataFrame:
         again = np.zeros(len(e), bool)
         again[order[1:][same]] = again[order[:-1][same]] = True
         e = e[again & (e["wants"] == 1)]
-        begin = e["place"] - e["offset"]
+        # All strings of a member hold its anchor, so together they are one span.
+        e = e[np.lexsort((e["offset"], e["place"], e["row"]))]
+        new = np.r_[True, (e["row"][1:] != e["row"][:-1]) | (e["place"][1:] != e["place"][:-1])][: len(e)]
+        first = np.flatnonzero(new)
+        last = np.r_[first[1:], len(e)][: len(first)] - 1
+        place = e["place"][first].astype(np.int64)
         return pa.table(
             {
-                "row": pa.array(e["row"], pa.int64()),
-                "begin": pa.array(begin, pa.int32()),
-                "end": pa.array(begin + threshold, pa.int32()),
+                "row": pa.array(e["row"][first], pa.int64()),
+                "begin": pa.array(place - e["offset"][last], pa.int32()),
+                "end": pa.array(place - e["offset"][first] + threshold, pa.int32()),
             }
         )
 
@@ -332,7 +337,8 @@ def repeated_spans(
     listed = materialize(_anchor_table(texts, units), "anchors")
     every = listed.select("row", F.explode(F.arrays_zip("place", "gram", "context")).alias("a")).select("row", "a.*")
     # Pass 1: buckets with one member end here.
-    common = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # Written first, so that a join with a common gram can be split.
+    common = materialize(every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "common")
     shared = materialize(every.join(common, "gram"), "shared")
     # Pass 2: members equal in all they can cover.
     contexts = materialize(
@@ -345,7 +351,7 @@ def repeated_spans(
         "row", (F.col("place") - left).alias("begin"), (F.col("place") + n).alias("end")
     )
     # Pass 3: the strings of buckets with different contexts.
-    mixed = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    mixed = materialize(contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "mixed")
     wanted = (
         contexts.join(mixed, "gram")
         .select("first.row", F.struct("gram", "members", "n", "first.place").alias("w"))
