@@ -16,7 +16,8 @@ from palisade.streaming import drift, gateway, telemetry
 
 def _stream(spark, folder, name):
     schema = V.table(spark, folder, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    # The table's own path as a pattern, which may be one file or a folder of them.
+    return spark.readStream.schema(schema).parquet(f"{folder}/[{name[0]}]{name[1:]}.parquet")
 
 
 @query(TRIPLE_LOCK)

@@ -18,8 +18,10 @@ def fixed(value: Column, places: int) -> Column:
 
 
 def rounded(value: Column, places: int) -> Column:
-    # adding 0.0 turns -0.0 into 0.0
-    return fixed(value, places).cast("double") + F.lit(0.0)
+    # NaN and the infinities have no decimals; adding 0.0 turns -0.0 into 0.0
+    number = value.cast("double")
+    finite = F.abs(number) < F.lit(float("inf"))
+    return F.when(finite, fixed(number, places).cast("double") + F.lit(0.0)).otherwise(number)
 
 
 def percent(value: Column) -> Column:

@@ -37,7 +37,11 @@ def score_run(replies: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def cache_lookup(prompts: DataFrame, blueprints: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(hits, misses) by key; each missing key is listed once, to be compiled once."""
-    hits = prompts.join(blueprints.select("key", "blueprint"), "key")
+    """(hits, misses) by key; each missing key is listed once, to be compiled once.
+
+    A key stored several times is one hit, with the smallest of its blueprints.
+    """
+    stored = blueprints.groupBy("key").agg(F.min("blueprint").alias("blueprint"))
+    hits = prompts.join(stored, "key")
     misses = prompts.join(blueprints.select("key"), "key", "left_anti")
     return hits, misses.groupBy("key").agg(F.min("prompt").alias("prompt"))
