@@ -55,15 +55,15 @@ def rule_gate(spark, folder):
     return gate(V.texts(spark, folder), WORDS, V.CODE_PATTERNS).select("doc_id", "verdict")
 
 
-# rules held in a table: one policy per language, its keywords the longer words of the
+# rules held in a table: one policy per language, its keywords all words of the
 # benchmark items in item order, the patterns common to all
 @query(f"""WITH words AS (
   SELECT item_id, unnest(string_split(text, ' ')) AS rule,
          generate_subscripts(string_split(text, ' '), 1) - 1 AS pos FROM benchmark),
 keywords AS MATERIALIZED (
   SELECT (['en', 'fr', 'de', 'es'])[item_id % 4 + 1] AS policy_name, rule, lower(rule) AS lowered,
-         item_id // 4 * 256 + pos AS ord
-  FROM words WHERE length(rule) >= 6),
+         item_id // 4 * 4294967296 + pos AS ord
+  FROM words WHERE length(rule) > 0),
 texts AS MATERIALIZED (SELECT doc_id, lang, lower(text) AS lowered FROM documents),
 first_hit AS (
   SELECT d.doc_id, arg_min(k.rule, k.ord) AS keyword
@@ -85,11 +85,10 @@ def _rules(spark, folder):
     keywords = (
         V.table(spark, folder, "benchmark")
         .select("item_id", F.posexplode(F.split("text", " ")).alias("pos", "rule"))
-        .where(F.length("rule") >= 6)
         .select(
             F.element_at(F.array(*[F.lit(x) for x in languages]), (item % 4 + 1).cast("int")).alias("policy_name"),
             F.lit("keyword").alias("kind"),
-            (F.floor(item / 4) * 256 + F.col("pos")).alias("ord"),
+            (F.floor(item / 4) * F.lit(1 << 32) + F.col("pos")).alias("ord"),
             "rule",
         )
     )
@@ -168,7 +167,7 @@ SEMANTIC = f"""CASE WHEN similarity IS NULL THEN 'SKIP (embeddings unavailable)'
 SELECT chunk_id, topic, CAST(printf('%.4f', similarity) AS DOUBLE) AS similarity,
        {SEMANTIC} AS semantic_check FROM best""")
 def semantic_gate(spark, folder):
-    out = similarity_gate(V.vectors(spark, folder), V.topics(spark, folder), "chunk_id", THRESHOLD)
+    out = similarity_gate(V.vectors(spark, folder), V.topics(spark, folder), THRESHOLD)
     return out.select(
         "chunk_id", "topic", rounded(F.col("similarity"), 4).alias("similarity"), "semantic_check"
     )

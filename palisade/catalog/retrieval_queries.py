@@ -68,22 +68,22 @@ def chunk_quality(spark, folder):
     return K.chunk_quality(K.chunk_pages(_pages(spark, folder)))
 
 
-@query(f"WITH {V.TOPK} SELECT query_id, rank, chunk_id, distance FROM topk")
+@query(f"WITH {V.TOPK} SELECT collection, query_id, rank, chunk_id, distance FROM topk")
 def retrieve_topk(spark, folder):
     return R.retrieve_topk(V.questions(spark, folder), V.vectors(spark, folder))
 
 
 PROMPT = V.TOPK + """,
 sources AS (
-  SELECT query_id, rank, '[Source ' || rank || ' — Page ' || (t.chunk_id % 90 + 1) || ' | Distance: '
+  SELECT t.collection AS c, query_id, rank, '[Source ' || rank || ' — Page ' || (t.chunk_id % 90 + 1) || ' | Distance: '
          || distance || ']' || chr(10) || coalesce(d.text, '(no text)') AS block
   FROM topk t LEFT JOIN documents d ON t.chunk_id = d.doc_id),
 prompts AS (
-  SELECT 'Q' || collection AS query_id, collection, 'What is typical of ' || collection || '?' AS question,
+  SELECT 'Q' || (collection % 3 + 1) AS query_id, collection, 'What is typical of ' || collection || '?' AS question,
          'CONTEXT FROM DOCUMENT:' || chr(10) || string_agg(block, chr(10) || chr(10) ORDER BY rank)
          || chr(10) || chr(10) || 'QUESTION:' || chr(10) || 'What is typical of ' || collection || '?'
          || chr(10) || chr(10) || 'Answer using only the context above. Cite page numbers.' AS prompt
-  FROM centroids q JOIN sources s ON s.query_id = 'Q' || q.collection GROUP BY collection)"""
+  FROM centroids q JOIN sources s ON s.c = q.collection GROUP BY collection)"""
 
 
 @query(f"WITH {PROMPT} SELECT * FROM prompts")
@@ -183,7 +183,7 @@ def _stale(spark, folder):
 
 
 @query(f"""WITH {STALE}
-SELECT 'Q' || collection AS query_id, collection, count(*) FILTER (chunk_id < 0 AND rank <= 4) > 0 AS stale_retrieved,
+SELECT 'Q' || (collection % 3 + 1) AS query_id, collection, count(*) FILTER (chunk_id < 0 AND rank <= 4) > 0 AS stale_retrieved,
        coalesce(CAST(min(rank) FILTER (chunk_id < 0 AND rank <= 4) AS INTEGER), 0) AS stale_rank
 FROM ranked GROUP BY collection""")
 def stale_audit(spark, folder):
@@ -212,16 +212,17 @@ def admitted_ignorance(spark, folder):
 
 
 @query(f"""WITH {V.TOPK}, {_ANSWERS},
-best AS (SELECT query_id, min(distance) AS best_distance, count(*) AS n_retrieved FROM topk GROUP BY query_id)
+best AS (SELECT collection, query_id, min(distance) AS best_distance, count(*) AS n_retrieved FROM topk GROUP BY ALL)
 SELECT a.conv_id, a.turn, a.admitted_ignorance, b.best_distance, b.n_retrieved
-FROM admitted a LEFT JOIN best b ON b.query_id = 'Q' || (a.conv_id % 10)""")
+FROM admitted a LEFT JOIN best b ON b.collection = a.conv_id % 10 AND b.query_id = 'Q' || (a.conv_id % 10 % 3 + 1)""")
 def missing_source_audit(spark, folder):
-    answers = _answers(spark, folder).withColumn(
-        "query_id", F.concat(F.lit("Q"), (F.col("conv_id") % 10).cast("string"))
+    collection = F.col("conv_id") % 10
+    answers = _answers(spark, folder).withColumns(
+        {"collection": collection, "query_id": F.concat(F.lit("Q"), (collection % 3 + 1).cast("string"))}
     )
     return stress.missing_source_audit(
         V.questions(spark, folder), V.vectors(spark, folder), answers, keep=["conv_id", "turn"]
-    ).drop("query_id")
+    ).drop("collection", "query_id")
 
 
 @query(f"""WITH given AS (SELECT doc_id, 'Outdated: label ' || quality AS text FROM labels WHERE toxic = 1)

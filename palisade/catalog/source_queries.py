@@ -20,10 +20,13 @@ from palisade.session import scratch_path
 from palisade.sources import readers, writers
 
 
-@query(f"WITH {V.RUNS} SELECT run, model, logic, correctness, final_score, cost, latency FROM runs")
+@query(f"""WITH {V.RUNS} SELECT run || CASE WHEN model = 'click' THEN '_click' ELSE '_others' END AS run,
+  model, logic, correctness, final_score, cost, latency FROM runs""")
 def load_runs(spark, folder):
     path = scratch_path(spark, "runs")
-    writers.write_runs(V.runs(spark, folder), path)
+    for kept in (F.col("model") == "click", F.col("model") != "click"):
+        named = F.concat_ws("_", "run", F.when(F.col("model") == "click", F.lit("click")).otherwise(F.lit("others")))
+        writers.write_runs(V.runs(spark, folder).where(kept).withColumn("run", named), path)
     return readers.load_runs(spark, path, run_from="partition")
 
 
@@ -126,7 +129,7 @@ def registry_questions(spark, folder):
 
 
 @query(f"""WITH {V.TOPK}
-SELECT t.query_id AS question_id, rank, CAST(t.chunk_id % 90 + 1 AS INTEGER) AS page_num, distance,
+SELECT CAST(t.collection AS VARCHAR) AS doc_id, t.query_id AS question_id, rank, CAST(t.chunk_id % 90 + 1 AS INTEGER) AS page_num, distance,
        coalesce(d.text, '(no text)') AS text
 FROM topk t LEFT JOIN documents d ON t.chunk_id = d.doc_id""")
 def explode_results(spark, folder):
@@ -134,9 +137,9 @@ def explode_results(spark, folder):
     chunks, asked = V.chunk_texts(spark, folder), V.questions(spark, folder)
     top = retrieval.with_chunk_text(retrieval.retrieve_topk(asked, chunks), chunks)
     found = F.array_sort(F.collect_list(F.struct("rank", "text", "page_num", "distance")))
-    listed = top.groupBy("query_id").agg(found.alias("c"))
-    results = listed.join(asked, "query_id").select(
-        F.col("collection").alias("doc_id"),
+    listed = top.groupBy("collection", "query_id").agg(found.alias("c"))
+    results = listed.join(asked, ["collection", "query_id"]).select(
+        F.col("collection").cast("string").alias("doc_id"),
         F.col("query_id").alias("question_id"),
         "question",
         F.transform(

@@ -10,7 +10,6 @@ from palisade.fixed_values import CALL_PRICES, TIER_PRICES
 from palisade.functions import scoring as S
 from palisade.functions.redaction import DEFAULT_REGISTRY, with_pattern
 from palisade.plans.setups import Setup, setup_verdicts
-from palisade.session import spread
 
 # Words that mark the toxic documents.
 SIGNAL_WORDS = [
@@ -19,7 +18,6 @@ SIGNAL_WORDS = [
 ]
 CODE_PATTERNS = [r"\bsrc-\d+\b", r"token = .[0-9a-f]{40}"]
 REGISTRY = with_pattern(DEFAULT_REGISTRY, "TOKEN", r"[0-9a-f]{40}")
-DIMENSIONS = 64
 SIMILARITY_THRESHOLD = 0.30
 
 
@@ -29,7 +27,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def texts(spark, folder) -> DataFrame:
     documents = table(spark, folder, "documents")
-    return spread(documents.select("doc_id", "text", "lang", "source", "n_chars"))
+    return documents.select("doc_id", "text", "lang", "source", "n_chars")
 
 
 # --- labelled cases and verdicts -------------------------------------------------
@@ -330,8 +328,10 @@ def vectors(spark, folder) -> DataFrame:
 def centroids(spark, folder) -> DataFrame:
     """(collection, vector): the mean vector of each label, averaged before any shuffle."""
     data = table(spark, folder, "embeddings")
-    means = [F.avg(F.get("embedding", F.lit(i)).cast("double")) for i in range(DIMENSIONS)]
-    return data.groupBy(F.col("label").alias("collection")).agg(F.array(*means).alias("vector"))
+    numbers = data.select(F.col("label").alias("collection"), F.posexplode("embedding").alias("i", "x"))
+    means = numbers.groupBy("collection", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    listed = F.array_sort(F.collect_list(F.struct("i", "m")))
+    return means.groupBy("collection").agg(F.transform(listed, lambda p: p["m"]).alias("vector"))
 
 
 def topics(spark, folder) -> DataFrame:
@@ -344,9 +344,10 @@ def topics(spark, folder) -> DataFrame:
 
 
 def questions(spark, folder) -> DataFrame:
-    """(query_id, collection, question, vector): one question per collection."""
+    """(query_id, collection, question, vector): one question per collection, the ids Q1 to Q3
+    being used again and again."""
     return centroids(spark, folder).select(
-        F.concat(F.lit("Q"), F.col("collection").cast("string")).alias("query_id"),
+        F.concat(F.lit("Q"), (F.col("collection") % 3 + 1).cast("string")).alias("query_id"),
         "collection",
         F.concat(F.lit("What is typical of "), F.col("collection").cast("string"), F.lit("?")).alias("question"),
         "vector",
@@ -377,13 +378,13 @@ corpus AS (
 
 TOPK = CENTROIDS + """,
 pairs AS (
-  SELECT 'Q' || q.collection AS query_id, c.chunk_id,
+  SELECT q.collection, 'Q' || (q.collection % 3 + 1) AS query_id, c.chunk_id,
          round(list_distance(q.vector, c.vector) ** 2, 12) AS exact
   FROM centroids q JOIN corpus c ON q.collection = c.collection),
 topk AS (
-  SELECT query_id, CAST(rank AS INTEGER) AS rank, chunk_id,
+  SELECT collection, query_id, CAST(rank AS INTEGER) AS rank, chunk_id,
          CAST(printf('%.4f', exact) AS DOUBLE) AS distance
-  FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY exact, chunk_id) AS rank FROM pairs)
+  FROM (SELECT *, row_number() OVER (PARTITION BY collection, query_id ORDER BY exact, chunk_id) AS rank FROM pairs)
   WHERE rank <= 4)"""
 
 BEST_TOPIC = CENTROIDS + """,

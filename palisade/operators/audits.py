@@ -27,13 +27,16 @@ def stale_audit(
     corpus = chunks.select(*parts).unionByName(injected.select(*parts))
     top = retrieve_topk(queries, corpus, k, metric)
     marked = top.join(
-        injected.select("chunk_id", F.lit(True).alias("injected")), "chunk_id", "left"
+        injected.select("collection", "chunk_id", F.lit(True).alias("injected")).distinct(),
+        ["collection", "chunk_id"],
+        "left",
     )
-    found = marked.groupBy("query_id").agg(
+    found = marked.groupBy("collection", "query_id").agg(
         F.coalesce(F.bool_or("injected"), F.lit(False)).alias("stale_retrieved"),
         F.min(F.when(F.col("injected"), F.col("rank"))).alias("stale_rank"),
     )
-    return queries.select("query_id", "collection").join(found, "query_id", "left").withColumn(
+    asked = queries.select("query_id", "collection")
+    return asked.join(found, ["collection", "query_id"], "left").withColumn(
         "stale_retrieved", F.coalesce("stale_retrieved", F.lit(False))
     )
 

@@ -9,11 +9,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-try:
-    import ahocorasick
-except ImportError:  # long keyword lists are then tested one by one
-    ahocorasick = None
-
 # Rows of a batch compared in one step: keeps the score block small.
 STEP = 1024
 
@@ -77,10 +72,10 @@ def nearest(parts, k: int, best=None):
     return best
 
 
-def scan_for_nearest(query_ids, query_groups, query_rows, k, metric):
+def scan_for_nearest(query_ids: pa.Array, query_groups: pa.Array, query_rows, k, metric):
     """A `mapInArrow` function over batches of (chunk_id, collection, vector)."""
     members: dict = {}
-    for i, group in enumerate(query_groups):
+    for i, group in enumerate(query_groups.to_pylist()):
         members.setdefault(group, []).append(i)
     members = {group: np.array(rows) for group, rows in members.items()}
 
@@ -103,13 +98,15 @@ def scan_for_nearest(query_ids, query_groups, query_rows, k, metric):
                 id_type = batch.column(0).type
                 best = nearest(parts(batch), k, best)
         if best is not None:
+            found = pa.array(best[0], type=pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([query_ids[i] for i in best[0]]),
+                    query_groups.take(found),
+                    query_ids.take(found),
                     pa.array(best[2].tolist(), type=id_type),
                     pa.array(best[1], type=pa.float64()),
                 ],
-                names=["query_id", "chunk_id", "exact"],
+                names=["collection", "query_id", "chunk_id", "exact"],
             )
 
     return scan
@@ -119,7 +116,7 @@ def compare_blocks(k: int, metric: str):
     """A cogroup function over one block of queries and one block of chunks."""
 
     def compare(asked: pa.Table, corpus: pa.Table) -> pa.Table:
-        names, ids = asked["query_id"].combine_chunks(), corpus["chunk_id"].combine_chunks()
+        ids = corpus["chunk_id"].combine_chunks()
         best = None
         if asked.num_rows and corpus.num_rows:
             near = candidates(matrix(asked["vector"]), matrix(corpus["vector"]), k, metric)
@@ -127,9 +124,11 @@ def compare_blocks(k: int, metric: str):
             best = nearest(named, k)
         if best is None:
             best = (np.zeros(0, int), np.zeros(0), np.zeros(0))
+        found = pa.array(best[0], type=pa.int64())
         return pa.table(
             {
-                "query_id": names.take(pa.array(best[0], type=pa.int64())),
+                "collection": asked["collection"].take(found),
+                "query_id": asked["query_id"].take(found),
                 "chunk_id": pa.array(best[2].tolist(), type=ids.type),
                 "exact": pa.array(best[1], type=pa.float64()),
             }
@@ -159,31 +158,3 @@ def best_topic_of(topic_names: list[str], topic_rows: np.ndarray):
         )
 
     return score
-
-
-def keyword_search(listed: dict):
-    """An Arrow function: (lower-cased text, policy) -> the first keyword by list order.
-
-    `listed` maps a policy to {lower-cased keyword: (ord, keyword)}.  The search
-    automaton of a policy is built once per Python worker.
-    """
-    built: dict = {}
-
-    def automaton(policy):
-        if policy not in built:
-            words = ahocorasick.Automaton()
-            for lowered, entry in listed.get(policy, {}).items():
-                words.add_word(lowered, entry)
-            words.make_automaton()
-            built[policy] = words if len(words) else None
-        return built[policy]
-
-    def find(texts: pa.Array, policies: pa.Array) -> pa.Array:
-        out = []
-        for text, policy in zip(texts.to_pylist(), policies.to_pylist()):
-            words = automaton(policy) if text is not None else None
-            hits = (entry for _, entry in words.iter(text)) if words else ()
-            out.append(min(hits, default=(0, None))[1])
-        return pa.array(out, type=pa.string())
-
-    return find

@@ -16,9 +16,6 @@ from palisade.operators.ordering import running_total
 # A query matrix is shipped to tasks only up to this many rows and numbers (64 MB).
 SHIPPED_ROWS = 4096
 MATRIX_CELLS = 8_000_000
-# A scan of more splits than this is read by fewer, longer tasks, so that their k rows
-# per question do not add up to a large shuffle.
-SCAN_TASKS = 10_000
 # Rows per side of one block when both sides are too large to ship.
 BLOCK_ROWS = 20_000
 
@@ -31,8 +28,8 @@ def retrieve_topk(
     shipped_rows: int = SHIPPED_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """(query_id, rank, chunk_id, distance): the k nearest chunks of each query, the
-    distance rounded to four places.  See `nearest_chunks`."""
+    """(collection, query_id, rank, chunk_id, distance): the k nearest chunks of each query,
+    the distance rounded to four places.  See `nearest_chunks`."""
     near = nearest_chunks(queries, chunks, k, metric, shipped_rows, block_rows)
     return near.withColumn("distance", rounded(F.col("exact"), 4)).drop("exact")
 
@@ -45,11 +42,11 @@ def nearest_chunks(
     shipped_rows: int = SHIPPED_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """(query_id, rank, chunk_id, exact): ranked by the unrounded distance, then by id.
+    """(collection, query_id, rank, chunk_id, exact): ranked by the unrounded distance, then by id.
 
     `queries` is (query_id, collection, vector), `chunks` is (chunk_id, collection,
-    vector); a query only sees its own collection, and k rows at most leave a task
-    per query.  Up to `shipped_rows` queries go to the chunks, which are scanned where
+    vector).  Ids are unique within a collection and may repeat in another; a query only
+    sees its own collection, and k rows at most leave a task per query.  Up to `shipped_rows` queries go to the chunks, which are scanned where
     they lie and not shuffled.  Beyond that both sides are cut into
     blocks by a hash of the id and each pair of blocks is one bounded group.
     """
@@ -57,6 +54,7 @@ def nearest_chunks(
     corpus = chunks.select("chunk_id", "collection", "vector").where("vector is not null")
     schema = T.StructType(
         [
+            T.StructField("collection", asked.schema["collection"].dataType),
             T.StructField("query_id", asked.schema["query_id"].dataType),
             T.StructField("chunk_id", corpus.schema["chunk_id"].dataType),
             T.StructField("exact", T.DoubleType()),
@@ -65,21 +63,20 @@ def nearest_chunks(
     sent = ship(asked, shipped_rows)
     if sent is not None:
         scan = K.scan_for_nearest(
-            sent["query_id"].to_pylist(),
-            sent["collection"].to_pylist(),
+            sent["query_id"].combine_chunks(),
+            sent["collection"].combine_chunks(),
             K.matrix(sent["vector"]),
             k,
             metric,
         )
-        cores = corpus.sparkSession.sparkContext.defaultParallelism
-        near = corpus.coalesce(max(SCAN_TASKS, 4 * cores)).mapInArrow(scan, schema)
+        near = corpus.mapInArrow(scan, schema)
     else:
         near = _by_blocks(asked, corpus, k, metric, schema, block_rows)
-    order = Window.partitionBy("query_id").orderBy("exact", "chunk_id")
+    order = Window.partitionBy("collection", "query_id").orderBy("exact", "chunk_id")
     return (
         near.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "chunk_id", "exact")
+        .select("collection", "query_id", "rank", "chunk_id", "exact")
     )
 
 
@@ -109,11 +106,15 @@ def _by_blocks(asked, corpus, k, metric, schema, block_rows) -> DataFrame:
 
 def with_chunk_text(top: DataFrame, chunks: DataFrame) -> DataFrame:
     """Attach text, page and whatever else `chunks` holds to the few rows retrieved."""
-    return top.join(chunks.drop("vector", "collection"), "chunk_id", "left")
+    return top.join(chunks.drop("vector"), ["collection", "chunk_id"], "left")
 
 
 def rag_prompt(top: DataFrame, questions: DataFrame) -> DataFrame:
-    """One grounded prompt per question from its ranked (rank, page_num, distance, text)."""
+    """One grounded prompt per question from its ranked (rank, page_num, distance, text).
+
+    Questions and what was found for them meet by (collection, query_id).
+    """
+    key = ["collection", "query_id"]
     block = F.concat(
         F.lit("[Source "),
         F.col("rank").cast("string"),
@@ -125,11 +126,11 @@ def rag_prompt(top: DataFrame, questions: DataFrame) -> DataFrame:
         F.col("text"),
     )
     context = (
-        top.select("query_id", "rank", block.alias("block"))
-        .groupBy("query_id")
+        top.select(*key, "rank", block.alias("block"))
+        .groupBy(*key)
         .agg(F.array_sort(F.collect_list(F.struct("rank", "block"))).alias("blocks"))
         .select(
-            "query_id",
+            *key,
             F.array_join(F.transform("blocks", lambda b: b["block"]), "\n\n").alias("context"),
         )
     )
@@ -140,7 +141,7 @@ def rag_prompt(top: DataFrame, questions: DataFrame) -> DataFrame:
         F.col("question"),
         F.lit("\n\nAnswer using only the context above. Cite page numbers."),
     )
-    return questions.join(context, "query_id", "left").withColumn("prompt", prompt).drop("context")
+    return questions.join(context, key, "left").withColumn("prompt", prompt).drop("context")
 
 
 def build_messages(system, user):

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.functions import gates as G
-from palisade.operators.kernels import ahocorasick, keyword_search
 from palisade.session import DIMENSION_ROWS, is_small
 
-# Up to this many keywords are tested one by one inside the JVM.
-FEW_RULES = 64
+# A pattern with back references, named groups, flags or quoting is not made part of a
+# common alternation.
+STANDS_ALONE = r"\\[1-9kQ]|\(\?[a-zA-Z<-]"
 
 
 def rule_gate(
@@ -36,58 +36,58 @@ def rule_join(
     text: str = "text",
     policy: str = "policy_name",
     block_rows: int = DIMENSION_ROWS,
-    few_rules: int = FEW_RULES,
 ) -> DataFrame:
     """Gate each text by the rules of its policy.
 
-    `rules` holds (policy_name, kind, ord, rule), kind `keyword` or `pattern`, ord
-    numbered from 0 within policy and kind.  The texts are neither multiplied nor, for
-    rules of a checked size, shuffled.  Short lists are grouped into one array per policy
-    and meet the texts in an equi-join on the policy.  Long keyword lists are searched
-    in one pass over the text, whatever their number, up to `block_rows` rules at a time:
-    more of them take further passes in rule order, so no rule is ever left out.
+    `rules` holds (policy_name, kind, ord, rule), kind `keyword` or `pattern`.  The first
+    keyword found is the one of the smallest `ord`, any number or null (last), then of the smallest
+    text.  A null or empty rule matches nothing; a keyword listed twice counts where it is first.
+
+    The rules become one array per policy that meets the texts in an equi-join on the policy;
+    the texts are not multiplied and, for rules counted as few, not shuffled.  Of a policy with
+    more than `block_rows` rules of a kind, the next block joins after the first, in rule order.
     """
-    count = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("ord") + 1))
-    sizes = rules.agg(count("keyword"), count("pattern"), F.countDistinct(policy)).first()
-    lengths = {"keyword": sizes[0] or 0, "pattern": sizes[1] or 0}
+    lowered = F.when(F.col("kind") == "keyword", F.lower("rule")).otherwise(F.col("rule"))
+    place = F.struct(F.col("ord").isNull().alias("late"), "ord", "rule")
+    once = (
+        rules.where(F.length("rule") > 0)
+        .groupBy(policy, "kind", lowered.alias("lowered"))
+        .agg(F.min(place).alias("place"))
+    )
+    in_order = Window.partitionBy(policy, "kind").orderBy("place", "lowered")
+    listed = once.withColumn("rank", F.row_number().over(in_order))
+    longest = listed.agg(F.max("rank")).first()[0] or 0
     out = (
         texts.withColumn("_lowered", F.lower(text))
         .withColumn("keyword", F.lit(None).cast("string"))
         .withColumn("pattern_match", F.lit(False))
     )
-    if max(lengths.values()) <= few_rules:
-        out = _join_lists(out, rules, text, policy)
-    else:
-        width = max(few_rules, block_rows // sizes[2])
-        for kind, length in lengths.items():
-            for start in range(0, length, width):
-                within = F.col("ord").between(start, start + width - 1)
-                part = rules.where((F.col("kind") == kind) & within)
-                out = _apply_block(out, part, kind, text, policy)
+    for start in range(1, longest + 1, block_rows):
+        part = listed.where(F.col("rank").between(start, start + block_rows - 1))
+        out = _join_lists(out, part, text, policy)
     return out.withColumn(
         "verdict", G.rule_verdict(F.col("keyword"), F.col("pattern_match"))
     ).drop("_lowered")
 
 
-def _apply_block(texts: DataFrame, part: DataFrame, kind: str, text: str, policy: str) -> DataFrame:
-    if kind == "keyword" and ahocorasick:
-        words = part.select(policy, "ord", "rule", F.lower("rule").alias("lowered"))
-        held = words.limit(DIMENSION_ROWS + 1).collect()
-        if len(held) <= DIMENSION_ROWS:
-            return _search_keywords(texts, held, policy) if held else texts
-    return _join_lists(texts, part, text, policy)
-
-
 def _join_lists(texts: DataFrame, part: DataFrame, text: str, policy: str) -> DataFrame:
     fits = is_small(part)
-    lists = part.groupBy(policy).agg(
-        _ordered("keyword").alias("_keywords"), _ordered("pattern").alias("_patterns")
+    keyword = F.struct("rank", F.col("place.rule").alias("rule"), "lowered")
+    is_pattern = F.col("kind") == "pattern"
+    alone = F.col("lowered").rlike(STANDS_ALONE)
+    merged = F.array_join(
+        F.collect_list(F.when(is_pattern & ~alone, F.concat(F.lit("(?:"), "lowered", F.lit(")")))), "|"
     )
-    first = F.filter(
-        F.col("_keywords"), lambda r: F.contains(F.col("_lowered"), r["lowered"])
+    lists = part.groupBy(policy).agg(
+        F.array_sort(F.collect_list(F.when(F.col("kind") == "keyword", keyword))).alias("_keywords"),
+        F.concat(
+            F.collect_list(F.when(is_pattern & alone, F.col("lowered"))), F.array(merged)
+        ).alias("_patterns"),
     )
+    first = F.filter("_keywords", lambda r: F.contains(F.col("_lowered"), r["lowered"]))
     found = F.exists(
-        F.col("_patterns"), lambda r: F.rlike(F.col(text), F.concat(F.lit("(?iU)"), r["rule"]))
+        F.filter("_patterns", lambda p: F.length(p) > 0),
+        lambda p: F.rlike(F.col(text), F.concat(F.lit("(?iU)"), p)),
     )
     return (
         texts.join(F.broadcast(lists) if fits else lists, policy, "left")
@@ -95,18 +95,3 @@ def _join_lists(texts: DataFrame, part: DataFrame, text: str, policy: str) -> Da
         .withColumn("pattern_match", F.col("pattern_match") | F.coalesce(found, F.lit(False)))
         .drop("_keywords", "_patterns")
     )
-
-
-def _ordered(kind: str) -> Column:
-    """The rules of one kind as an array in `ord` order."""
-    rule = F.struct("ord", "rule", F.lower("rule").alias("lowered"))
-    return F.array_sort(F.collect_list(F.when(F.col("kind") == kind, rule)))
-
-
-def _search_keywords(texts: DataFrame, words: list, policy: str) -> DataFrame:
-    """First keyword by one multi-word search per text."""
-    listed: dict = {}
-    for row in sorted(words, key=lambda r: r["ord"], reverse=True):
-        listed.setdefault(row[policy], {})[row["lowered"]] = (row["ord"], row["rule"])
-    find = F.arrow_udf(keyword_search(listed), "string")
-    return texts.withColumn("keyword", F.coalesce("keyword", find("_lowered", policy)))

@@ -9,27 +9,28 @@ from palisade.fixed_values import DEFAULT_THRESHOLD
 from palisade.functions.formatting import fixed
 from palisade.operators import kernels as K
 from palisade.operators.retrieval import SHIPPED_ROWS, nearest_chunks, ship
+from palisade.session import scratch_path
 
 
 def best_topic(
     inputs: DataFrame,
     topics: DataFrame,
-    id_col: str,
     vector: str = "vector",
     shipped_rows: int = SHIPPED_ROWS,
 ) -> DataFrame:
     """Add `similarity` and `topic` of the most similar topic; ties go to the lower ord.
 
-    `topics` is (ord, topic, vector).  Normally its matrix is shipped with an Arrow
-    function and the inputs stay where they are.  A topic table too large for that is
-    searched block by block, and the result is joined back by `id_col`.
+    `topics` is (ord, topic, vector), in the order of `ord` (nulls last) and then of the name.
+    Normally its matrix is shipped with an Arrow function and the inputs stay where they are.
+    A topic table too large for that is searched block by block for each different vector, and
+    the result is joined back by the vector: ids may repeat or be null.
     """
     topics = topics.where("vector is not null")
     sent = ship(topics.select("ord", "topic", "vector"), shipped_rows)
     if sent is not None:
         if sent.num_rows == 0:
             raise ValueError("the topic table is empty")
-        sent = sent.sort_by("ord")
+        sent = sent.sort_by([("ord", "ascending"), ("topic", "ascending")])
         score = F.arrow_udf(
             K.best_topic_of(sent["topic"].to_pylist(), K.matrix(sent["vector"])),
             "similarity double, topic string",
@@ -40,24 +41,29 @@ def best_topic(
             .withColumn("topic", F.col("_best.topic"))
             .drop("_best")
         )
+    spark = inputs.sparkSession
+    path = scratch_path(spark, "topics")
+    in_order = topics.orderBy(F.asc_nulls_last("ord"), F.asc_nulls_last("topic"))
+    in_order.select(F.monotonically_increasing_id().alias("chunk_id"), "topic", "vector").write.parquet(path)
+    numbered = spark.read.parquet(path)
+    keyed = inputs.withColumn("_vector", F.sha2(F.col(vector).cast("string"), 256))
+    asked = keyed.where(F.col(vector).isNotNull()).groupBy("_vector").agg(F.any_value(vector).alias("vector"))
     found = nearest_chunks(
-        inputs.select(F.col(id_col).alias("query_id"), F.lit(0).alias("collection"), F.col(vector).alias("vector")),
-        topics.select(F.col("ord").alias("chunk_id"), F.lit(0).alias("collection"), "vector"),
+        asked.select(F.col("_vector").alias("query_id"), F.lit(0).alias("collection"), "vector"),
+        numbered.select("chunk_id", F.lit(0).alias("collection"), "vector"),
         k=1,
         metric="cosine",
         shipped_rows=shipped_rows,
     )
-    named = found.join(topics.select(F.col("ord").alias("chunk_id"), "topic"), "chunk_id")
-    best = named.select(
-        F.col("query_id").alias(id_col), F.round(1 - F.col("exact"), 12).alias("similarity"), "topic"
+    best = found.join(numbered.select("chunk_id", "topic"), "chunk_id").select(
+        F.col("query_id").alias("_vector"), F.round(1 - F.col("exact"), 12).alias("similarity"), "topic"
     )
-    return inputs.join(best, id_col, "left")
+    return keyed.join(best, "_vector", "left").drop("_vector")
 
 
 def semantic_gate(
     inputs: DataFrame,
     topics: DataFrame,
-    id_col: str,
     threshold: float | None = None,
     vector: str = "vector",
 ) -> DataFrame:
@@ -77,4 +83,4 @@ def semantic_gate(
         )
         .otherwise(F.concat(F.lit("CLEAN (max similarity: "), shown, F.lit(")")))
     )
-    return best_topic(inputs, topics, id_col, vector).withColumn("semantic_check", verdict)
+    return best_topic(inputs, topics, vector).withColumn("semantic_check", verdict)

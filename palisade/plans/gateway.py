@@ -56,7 +56,6 @@ def layered_gate(
     topics: DataFrame,
     keywords: list[str],
     patterns: list[str],
-    id_col: str = "doc_id",
     entities: list[str] = DEFAULT_ENTITIES,
     threshold: float | None = None,
     gate_on: str = "masked",
@@ -75,7 +74,7 @@ def layered_gate(
     ruled = rule_gate(masked, keywords, patterns, "scrubbed" if gate_on == "masked" else text)
     open_ = F.col("verdict") == G.CLEAN
     asked = ruled.withColumn("_asked", F.when(open_, F.col(vector)))
-    scored = semantic_gate(asked, topics, id_col, threshold, "_asked")
+    scored = semantic_gate(asked, topics, threshold, "_asked")
     semantic = F.when(open_, F.col("semantic_check")).otherwise(F.lit("SKIPPED"))
     status = G.verdict_status(F.col("final_verdict"))
     return (

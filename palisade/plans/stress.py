@@ -32,18 +32,19 @@ def missing_source_audit(
     """Did the answer to an out-of-scope question admit ignorance?
 
     The distance of the best chunk shows how weak the retrieval was.  `probes` is
-    (query_id, collection, vector), `answers` is (query_id, answer) and the columns to keep.
+    (query_id, collection, vector), `answers` is (query_id, collection, answer) and the columns to keep.
     """
     best = (
         retrieve_topk(probes, chunks, k, metric)
-        .groupBy("query_id")
+        .groupBy("collection", "query_id")
         .agg(F.min("distance").alias("best_distance"), F.count("*").alias("n_retrieved"))
     )
     return (
         answers.select(
+            "collection",
             "query_id",
             *(keep or []),
             admitted_ignorance(F.col("answer")).alias("admitted_ignorance"),
         )
-        .join(best, "query_id", "left")
+        .join(best, ["collection", "query_id"], "left")
     )

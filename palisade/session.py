@@ -53,14 +53,3 @@ def settled(df: DataFrame, rows: int = DIMENSION_ROWS) -> DataFrame:
     if held.num_rows > rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(held, schema=df.schema))
-
-
-def spread(df: DataFrame, largest: int = 64) -> DataFrame:
-    """Deal the rows of a small input over all cores before costly text work.
-
-    A file is read by one task per row group, so a small one keeps most cores idle.  Only
-    scans of `largest` splits or fewer (8 GB by default), and no more than there are
-    cores, are dealt out; a larger input comes back as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() <= min(cores, largest) else df

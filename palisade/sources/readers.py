@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import os
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,32 +23,59 @@ def _snake(name: str) -> str:
     return RUN_NAMES.get(name, name.lower())
 
 
-def load_runs(spark: SparkSession, path: str, run_from: str = "mtime") -> DataFrame:
-    """Run CSVs of a folder with the run they belong to; no folder gives no rows.
+def _csv_by_name(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame | None:
+    """CSV files of a folder, their columns bound by the names in their own headers.
 
-    `run_from` is `mtime` (file time to the second), `filename`, or `partition` for
-    folders written with `write_runs`.
+    Files of equal headers are read together; a known column that a file lacks is null, an unknown one
+    is text.  None where there is no file.  Only the first line of each file reaches the driver.
     """
-    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
-    known = schemas.RUN_CSV + (", run STRING" if run_from == "partition" else "")
     try:
-        raw = reader.schema(known).csv(path)
+        lines = spark.read.option("pathGlobFilter", "*.csv").text(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        raw = spark.createDataFrame([], known)
-        if run_from != "partition":
-            raw = raw.withColumn("run", F.lit(""))
-        return raw.toDF(*[_snake(c) for c in raw.columns])
-    if run_from == "mtime":
-        raw = raw.withColumn("run", run_stamp(F.col("_metadata.file_modification_time")))
-    elif run_from == "filename":
-        raw = raw.withColumn(
-            "run", F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", "")
-        )
-    elif run_from != "partition":
+        return None
+    top = lines.where(F.col("_metadata.file_block_start") == 0).select(
+        F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"), "value"
+    )
+    headers: dict[tuple, list[str]] = {}
+    for file, header in top.groupBy("file").agg(F.min_by("value", "n")).collect():
+        names = tuple(n.strip() for n in next(csv.reader([header.removeprefix("\ufeff")])))
+        headers.setdefault(names, []).append(re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(file)))
+    out = None
+    for names, files in sorted(headers.items()):
+        known = ", ".join(f"`{n}` {types.get(n, 'STRING')}" for n in names)
+        reader = spark.read.option("header", True).schema(known)
+        if os.path.splitext(path)[1] != ".csv":
+            reader = reader.option("basePath", path)
+        part = reader.csv(sorted(files)).withColumn("_file", F.col("_metadata"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        return None
+    return out.withColumns({n: F.lit(None).cast(t) for n, t in types.items() if n not in out.columns})
+
+
+def load_runs(spark: SparkSession, path: str, run_from: str = "mtime") -> DataFrame:
+    """Run CSVs of a folder with the run they belong to; no folder gives no rows.
+
+    Columns are found by name in each file's header, in any order; those of the usual six that
+    a file lacks are null.  `run_from` is `mtime` (file time to the second), `filename`, or
+    `partition` for folders written with `write_runs`.
+    """
+    if run_from not in ("mtime", "filename", "partition"):
         raise ValueError("run_from must be 'mtime', 'filename' or 'partition'")
-    return raw.toDF(*[_snake(c) for c in raw.columns])
+    raw = _csv_by_name(spark, path, schemas.RUN_CSV)
+    if raw is None:
+        names = ", ".join(f"`{n}` {t}" for n, t in schemas.RUN_CSV.items())
+        raw = spark.createDataFrame([], names + ", run STRING")
+    elif run_from == "mtime":
+        raw = raw.withColumn("run", run_stamp(F.col("_file.file_modification_time")))
+    elif run_from == "filename":
+        raw = raw.withColumn("run", F.regexp_replace(F.col("_file.file_name"), r"\.csv$", ""))
+    else:
+        raw = raw.withColumn("run", F.col("run").cast("string"))
+    others = [c for c in raw.columns if c not in (*schemas.RUN_CSV, "run", "_file")]
+    return raw.select(*[F.col(f"`{c}`").alias(_snake(c)) for c in (*schemas.RUN_CSV, *others, "run")])
 
 
 def union_uploads(spark: SparkSession, uploads: dict[str, str]) -> DataFrame:
@@ -72,10 +104,24 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return stripped_lines(spark.read.text(path))
 
 
-def load_policies(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Policy files, one object per line or one per file, with a default per field."""
-    raw = spark.read.schema(schemas.POLICY).option("multiLine", multi_line).json(path)
-    return with_policy_defaults(raw)
+def load_policies(spark: SparkSession, path: str) -> DataFrame:
+    """Policy files, with a default per field; no file gives the default policy.
+
+    A file holds one object or an array of them, pretty-printed or not, or one object per line.
+    A file that is not such JSON is an error: a policy half read would be an open gate.
+    """
+    try:
+        files = spark.read.option("wholetext", True).text(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return default_policy(spark)
+    kind = f"array<struct<{schemas.POLICY}>>"
+    lines = F.filter(F.split("value", "\n"), lambda x: F.length(F.trim(x)) > 0)
+    whole = F.exists(lines, lambda x: ~F.rlike(x, F.lit(r"^\s*\{.*\}\s*$")))
+    texts = files.select(F.explode(F.when(whole, F.array("value")).otherwise(lines)).alias("text"))
+    parsed = F.from_json("text", kind, {"mode": "FAILFAST"})
+    return with_policy_defaults(texts.select(F.inline(parsed)))
 
 
 def with_policy_defaults(raw: DataFrame) -> DataFrame:
@@ -135,10 +181,12 @@ def read_retrieval_results(spark: SparkSession, path: str, multi_line: bool = Tr
 
 
 def explode_results(results: DataFrame) -> DataFrame:
-    """One row per retrieved chunk, ranked from 1 in list order."""
+    """One row per retrieved chunk, ranked from 1 in list order.  Question ids repeat from
+    document to document, so both are kept."""
     return results.select(
-        "question_id", F.posexplode("retrieved_chunks").alias("_pos", "c")
+        "doc_id", "question_id", F.posexplode("retrieved_chunks").alias("_pos", "c")
     ).select(
+        "doc_id",
         "question_id",
         (F.col("_pos") + 1).alias("rank"),
         F.col("c.page_num").alias("page_num"),
@@ -152,4 +200,8 @@ def read_stress_results(spark: SparkSession, path: str, multi_line: bool = True)
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.SUMMARY_CSV).option("header", True).csv(path)
+    """A summary export, its columns found by name; no folder gives no rows."""
+    found = _csv_by_name(spark, path, schemas.SUMMARY_CSV)
+    if found is None:
+        return spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in schemas.SUMMARY_CSV.items()))
+    return found.select(*schemas.SUMMARY_CSV)

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def write_runs(runs: DataFrame, path: str) -> None:
-    """One folder of CSVs per run; fails rather than touch an existing path."""
+    """Add one folder of CSVs per run; fails rather than touch a run that is there."""
+    spark = runs.sparkSession
+    try:
+        stored = spark.read.option("header", True).csv(path).select(F.col("run").cast("string"))
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    else:
+        again = stored.distinct().join(runs.select(F.col("run").cast("string")).distinct(), "run").first()
+        if again:
+            raise AnalysisException(f"run {again['run']!r} is already in {path}")
     named = runs.select(
         F.col("model").alias("Model"),
         F.col("logic").alias("Logic"),
@@ -17,7 +28,7 @@ def write_runs(runs: DataFrame, path: str) -> None:
         F.col("latency").alias("Latency"),
         "run",
     )
-    named.write.mode("error").option("header", True).partitionBy("run").csv(path)
+    named.write.mode("append").option("header", True).partitionBy("run").csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -29,8 +40,10 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("error").text(path)
 
 
-def write_json_by_document(df: DataFrame, path: str) -> None:
-    df.write.mode("error").partitionBy("doc_id").json(path)
+def write_json_by_document(df: DataFrame, path: str, buckets: int = 64) -> None:
+    """The rows of a document together in one of `buckets` folders, whatever their number."""
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+    df.withColumn("bucket", bucket).repartition("bucket").write.mode("error").partitionBy("bucket").json(path)
 
 
 def append_vectors(chunks: DataFrame, path: str) -> None:

@@ -40,7 +40,7 @@ def test_texts_never_leave_the_jvm(spark, name):
 
 @pytest.mark.parametrize("name", ["triple_lock", "rule_gate", "scrub_text", "mask_entities"])
 def test_gates_shuffle_nothing_of_their_own(spark, name):
-    assert not re.search(r"Exchange (hash|range|Single)", plan(spark, name))
+    assert not re.search(r"\bExchange", plan(spark, name))
 
 
 @pytest.mark.parametrize("name", sorted(all_queries()))

@@ -47,12 +47,9 @@ def expected_join(texts, listed):
 
 
 @pytest.mark.parametrize(
-    "n_rules,block,few,search",
-    [(5, 100, 64, True), (40, 7, 8, False), (150, 1000, 64, True), (150, 70, 16, True), (150, 70, 16, False)],
+    "n_rules,block", [(5, 100), (40, 7), (150, 1000), (150, 70)]
 )
-def test_rule_join_against_brute_force(spark, monkeypatch, n_rules, block, few, search):
-    if not search:
-        monkeypatch.setattr(rules, "ahocorasick", None)
+def test_rule_join_against_brute_force(spark, n_rules, block):
     rng = random.Random(n_rules)
     word = lambda: "".join(rng.choice("abCd") for _ in range(rng.randint(2, 5)))
     listed = {p: list(enumerate(dict.fromkeys(word() for _ in range(n_rules)))) for p in "xy"}
@@ -62,12 +59,35 @@ def test_rule_join_against_brute_force(spark, monkeypatch, n_rules, block, few,
     df = spark.createDataFrame(
         [(i, t, p) for i, (t, p) in enumerate(texts)], "doc_id int, text string, policy_name string"
     )
-    out = rules.rule_join(df, table, block_rows=block, few_rules=few).orderBy("doc_id").collect()
+    out = rules.rule_join(df, table, block_rows=block).orderBy("doc_id").collect()
     assert [r["keyword"] for r in out] == expected_join(texts, listed)
     want = [p == "y" and t[0] in "aA" for t, p in texts]
     assert [r["pattern_match"] for r in out] == want
 
 
+@pytest.mark.parametrize("block", [1, 2, 20_000])
+def test_rule_join_on_odd_rules(spark, block):
+    rows = [
+        ("p", "keyword", None, "Gamma"), ("p", "keyword", -1, "beta"), ("p", "keyword", 3, "alpha"),
+        ("p", "keyword", 3, "Alpha"), ("p", "keyword", 0, ""), ("p", "keyword", 0, None),
+        ("p", "pattern", None, r"(\d)\1"), ("p", "pattern", -2, "x+y"), ("p", "pattern", 0, ""), (None, "keyword", 0, "delta"),
+    ]
+    table = spark.createDataFrame(rows, "policy_name string, kind string, ord int, rule string")
+    texts = ["alpha beta", "ALPHA gamma", "only GAMMA", "delta 122", "axxy", "nothing 12", None]
+    df = spark.createDataFrame([(i, t, "p") for i, t in enumerate(texts)] + [(9, "delta", None)], "doc_id int, text string, policy_name string")
+    out = rules.rule_join(df, table, block_rows=block).orderBy("doc_id").collect()
+    assert [r["keyword"] for r in out] == ["beta", "Alpha", "Gamma", None, None, None, None, None]
+    assert [r["pattern_match"] for r in out] == [False, False, False, True, True, False, False, False]
+
+
+def test_repeated_and_null_ids_in_a_large_topic_table(spark):
+    topics = spark.createDataFrame([(None, "z", [1.0, 0.0]), (2, "b", [0.0, 1.0]), (2, "a", [0.0, 1.0])], "ord int, topic string, vector array<double>")
+    inputs = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 2.0]), (None, [0.0, 1.0]), (3, None)], "doc_id int, vector array<double>")
+    key = lambda df: sorted((str(r["doc_id"]), str(r["vector"]), r["topic"], r["similarity"]) for r in df.collect())
+    few, many = key(best_topic(inputs, topics)), key(best_topic(inputs, topics, shipped_rows=1))
+    assert few == many and [r[2] for r in few] == ["a", "z", None, "a"]
+
+
 def test_reply_and_status(spark):
     replies = [" blocked.", "Clean", "ERROR: x", None, "SKIP (none)", "It is BLOCKED"]
     df = spark.createDataFrame([(r,) for r in replies], "reply string").select(
@@ -89,13 +109,13 @@ def test_semantic_gate(spark):
         [(0, [3.0, 0.0]), (1, [0.6, 0.8]), (2, [-1.0, 0.0]), (3, None), (4, [0.0, 0.0])],
         "doc_id int, vector array<float>",
     )
-    out = semantic_gate(inputs, topics, "doc_id", threshold=1.0).orderBy("doc_id").collect()
+    out = semantic_gate(inputs, topics, threshold=1.0).orderBy("doc_id").collect()
     assert out[0]["semantic_check"] == "BLOCKED (similarity: 1.00, topic: 'right')"
     assert out[1]["semantic_check"] == "CLEAN (max similarity: 0.80)" and out[1]["topic"] == "up"
     assert out[2]["semantic_check"] == "CLEAN (max similarity: 0.00)"
     assert out[3]["semantic_check"] == "SKIP (embeddings unavailable)"
     assert out[4]["similarity"] == 0.0
-    zero = semantic_gate(inputs, topics, "doc_id", threshold=0.0).where("doc_id = 2").first()
+    zero = semantic_gate(inputs, topics, threshold=0.0).where("doc_id = 2").first()
     assert zero["semantic_check"].startswith("BLOCKED")
 
 
@@ -104,8 +124,8 @@ def test_large_topic_table_gives_the_same(spark):
     vec = lambda: [rng.gauss(0, 1) for _ in range(4)]
     topics = spark.createDataFrame([(i, f"t{i}", vec()) for i in range(30)], "ord int, topic string, vector array<double>")
     inputs = spark.createDataFrame([(i, vec()) for i in range(50)] + [(50, None)], "doc_id int, vector array<double>")
-    shipped = best_topic(inputs, topics, "doc_id").orderBy("doc_id").collect()
-    blocks = best_topic(inputs, topics, "doc_id", shipped_rows=8).orderBy("doc_id").collect()
+    shipped = best_topic(inputs, topics).orderBy("doc_id").collect()
+    blocks = best_topic(inputs, topics, shipped_rows=8).orderBy("doc_id").collect()
     assert [r["topic"] for r in shipped] == [r["topic"] for r in blocks]
     for a, b in zip(shipped, blocks):
         assert a["similarity"] is None and b["similarity"] is None or abs(a["similarity"] - b["similarity"]) < 1e-9

@@ -58,6 +58,22 @@ def test_distances_of_unit_vectors(spark):
         R.retrieve_topk(ask, corpus, metric="other").collect()
 
 
+@pytest.mark.parametrize("shipped", [10, 1])
+def test_ids_repeat_between_collections(spark, shipped):
+    corpus = spark.createDataFrame(
+        [(i, g, [float(i)], f"{g}{i}", i) for g in "ab" for i in range(6)], CHUNK + ", text string, page_num int"
+    )
+    ask = spark.createDataFrame([("Q1", "a", [0.0], "x"), ("Q1", "b", [5.0], "y")], ASK + ", question string")
+    top = R.retrieve_topk(ask, corpus, shipped_rows=shipped)
+    near = {(r["collection"], r["rank"]): r["chunk_id"] for r in top.collect()}
+    assert near == {("a", r): r - 1 for r in range(1, 5)} | {("b", r): 6 - r for r in range(1, 5)}
+    prompts = {r["collection"]: r["prompt"] for r in grounded.grounded_prompts(ask, corpus).collect()}
+    assert "a0" in prompts["a"] and "b" not in prompts["a"].split("\n\nQUESTION")[0].split("]\n")[1]
+    injected = spark.createDataFrame([(9, "a", [0.0])], CHUNK)
+    found = {r["collection"]: r["stale_rank"] for r in A.stale_audit(ask, corpus, injected).collect()}
+    assert found == {"a": 2, "b": None}
+
+
 def test_text_ids(spark):
     corpus = spark.createDataFrame([("b", "x", [1.0]), ("a", "x", [1.0]), ("c", "x", [3.0])], CHUNK.replace("long", "string"))
     ask = spark.createDataFrame([("q", "x", [1.0])], ASK)
@@ -100,7 +116,9 @@ def test_stale_audit(spark):
 
 def test_missing_source(spark):
     _, _, corpus, queries = world(spark)
-    answers = spark.createDataFrame([("q0", "It does not contain this."), ("q1", "Yes, 5%."), ("zz", "No information")], "query_id string, answer string")
+    of = {r["query_id"]: r["collection"] for r in queries.collect()}
+    said = [("q0", "It does not contain this."), ("q1", "Yes, 5%."), ("zz", "No information")]
+    answers = spark.createDataFrame([(q, of.get(q, "a"), t) for q, t in said], "query_id string, collection string, answer string")
     out = {r["query_id"]: r for r in stress.missing_source_audit(queries, corpus, answers).collect()}
     assert [out[q]["admitted_ignorance"] for q in ("q0", "q1", "zz")] == [True, False, True]
     assert out["zz"]["best_distance"] is None

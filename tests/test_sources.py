@@ -33,6 +33,17 @@ def test_runs_are_never_overwritten(spark, tmp_path):
     assert {r["run"] for r in readers.load_runs(spark, path, "partition").collect()} == {"r1", "r2"}
     with pytest.raises(AnalysisException):
         writers.write_runs(df, path)
+    writers.write_runs(df.limit(1).selectExpr("'r3' as run", "model", "logic", "correctness", "final_score", "cost", "latency"), path)
+    assert readers.load_runs(spark, path, "partition").count() == 3
+
+
+def test_run_files_are_read_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Model,Final Score,Cost,Latency\nm,70.5,0.01,3.5\n")
+    (tmp_path / "b.csv").write_text("Latency,Cost,Final Score,Correctness,Logic,Model\n3.5,0.01,70.5,9,6,m\n")
+    rows = {r["run"]: r for r in readers.load_runs(spark, str(tmp_path), "filename").collect()}
+    for name, logic in (("a", None), ("b", 6)):
+        r = rows[name]
+        assert (r["model"], r["final_score"], r["cost"], r["latency"], r["logic"]) == ("m", 70.5, 0.01, 3.5, logic)
 
 
 def test_uploads_of_unequal_columns(spark, tmp_path):
@@ -45,12 +56,21 @@ def test_uploads_of_unequal_columns(spark, tmp_path):
 def test_policy_file(spark, tmp_path):
     path = tmp_path / "policy.json"
     path.write_text(json.dumps({"policy_name": "p", "_comment": "x", "keyword_rules": ["b", "a"], "semantic_threshold": 0.0}, indent=2))
-    row = readers.load_policies(spark, str(path), multi_line=True).first()
+    row = readers.load_policies(spark, str(path)).first()
     assert row["keyword_rules"] == ["b", "a"] and row["pattern_rules"] == []
     assert row["semantic_threshold"] == 0.0 and row["semantic_topics"] == DEFAULT_TOPICS
-    rules = readers.policy_rules(readers.load_policies(spark, str(path), multi_line=True))
+    rules = readers.policy_rules(readers.load_policies(spark, str(path)))
     assert {(r["kind"], r["ord"], r["rule"]) for r in rules.where("kind = 'keyword'").collect()} == {("keyword", 0, "b"), ("keyword", 1, "a")}
     assert readers.default_policy(spark).first()["semantic_threshold"] == 0.4
+    assert readers.load_policies(spark, str(tmp_path / "absent.json")).first()["policy_name"] == "default"
+    (tmp_path / "many.json").write_text('[{"policy_name": "a"},\n {"policy_name": "b", "keyword_rules": ["x"]}]')
+    (tmp_path / "lines.json").write_text('{"policy_name": "a"}\n{"policy_name": "b", "keyword_rules": ["x"]}\n')
+    for name in ("many", "lines"):
+        found = readers.load_policies(spark, str(tmp_path / f"{name}.json")).collect()
+        assert {r["policy_name"]: r["keyword_rules"] for r in found} == {"a": [], "b": ["x"]}
+    (tmp_path / "broken.json").write_text('{"policy_name": "a",\n "keyword_rules": ["x"')
+    with pytest.raises(Exception, match="(?i)malformed|json"):
+        readers.load_policies(spark, str(tmp_path / "broken.json")).collect()
 
 
 def test_registry(spark, tmp_path):
@@ -86,7 +106,8 @@ def test_lines_and_other_sinks(spark, tmp_path):
     assert [r["line"] for r in readers.read_lines(spark, str(tmp_path / "lines.txt")).collect()] == ["one", "two"]
     df = spark.createDataFrame([("d1", "k", "b"), ("d2", "l", "c")], "doc_id string, key string, blueprint string")
     writers.write_json_by_document(df, str(tmp_path / "json"))
-    assert (tmp_path / "json" / "doc_id=d1").is_dir()
+    stored = spark.read.json(str(tmp_path / "json"))
+    assert {r["doc_id"] for r in stored.collect()} == {"d1", "d2"} and "bucket" in stored.columns
     writers.append_blueprints(df, str(tmp_path / "bp"))
     writers.append_blueprints(df, str(tmp_path / "bp"))
     assert spark.read.parquet(str(tmp_path / "bp")).count() == 4
