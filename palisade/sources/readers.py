@@ -111,7 +111,7 @@ def load_policies(spark: SparkSession, path: str) -> DataFrame:
     A file that is not such JSON is an error: a policy half read would be an open gate.
     """
     try:
-        files = spark.read.option("wholetext", True).text(path)
+        files = spark.read.text(path, wholetext=True)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
