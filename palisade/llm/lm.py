@@ -7,8 +7,9 @@ parallel, parameters averaged between rounds), then the subword within its class
 that depend on the kind of the last subword.  A common word may also come as a whole: from the
 predicted class of its first subword, by its count among the words that begin in that class.
 Its probability is the mean of both ways by a fixed weight; a word spelled in subwords pays for
-ending where it does, a whole word does not.  Every training text gives windows in proportion to its length, and all counts are
-taken over all training texts.
+ending where it does, a whole word does not.  Windows tile every training text from its start to its
+end, so each transition lies in exactly one: the descent sees them all, and all counts are taken over
+all training texts.
 """
 
 from __future__ import annotations
@@ -41,8 +42,10 @@ CONTEXTS = 64
 WIDTH, HEAD_DIM = 16, 8
 # Tokens scored per window, and tokens of a window: each is scored with half a window or more.
 STRIDE, WINDOW = 16, 32
-# One training window for so many characters of a text, at least one a text.
-CHARS_PER_WINDOW = 3000
+# What fills the last window of a text; it is neither counted nor learned from.
+PAD = 0xFFFF
+# Windows sent from a task at once.
+WINDOW_ROWS = 20_000
 ROUNDS, BATCH, RATE = 2, 16, 0.01
 SLICES = 8
 # Rows of attention worked on at a time.
@@ -143,55 +146,76 @@ _distance = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]
 
 
 def forward_backward(p, table, ids, target):
-    """Loss and gradients of one batch of windows (ids, target class: batch x WINDOW)."""
-    x = p["embed"][ids]
-    q, k, v = x @ p["query"], x @ p["key"], x @ p["value"]
+    """Loss and gradients of one batch of windows (ids, target class: batch x WINDOW), over the
+    places with a target; the others have a negative one."""
+    shape, flat, goal = ids.shape, ids.ravel(), target.ravel()
+    scale = np.float32(1 / math.sqrt(HEAD_DIM))
+    joint = np.concatenate([p["query"] * scale, p["key"], p["value"]], 1)
+    x = p["embed"][flat]
+    qkv = (x @ joint).reshape(*shape, -1)
+    q, k, v = qkv[:, :, :HEAD_DIM], qkv[:, :, HEAD_DIM : 2 * HEAD_DIM], qkv[:, :, 2 * HEAD_DIM :]
     causal = _distance >= 0
-    s = q @ k.transpose(0, 2, 1) / np.float32(math.sqrt(HEAD_DIM)) + p["near"][np.maximum(_distance, 0)]
-    s = np.where(causal, s, np.float32(-1e9))
-    a = np.exp(s - s.max(2, keepdims=True))
+    a = q @ k.transpose(0, 2, 1)
+    a += np.where(causal, p["near"][np.maximum(_distance, 0)], np.float32(-1e9))
+    a -= a.max(2, keepdims=True)
+    np.exp(a, out=a)
     a /= a.sum(2, keepdims=True)
-    o = a @ v
-    z = o @ p["out"] + table[ids]
-    z -= z.max(2, keepdims=True)
-    prob = np.exp(z)
-    prob /= prob.sum(2, keepdims=True)
-    n = ids.size
-    b, t = np.indices(ids.shape)
-    loss = -np.log(prob[b, t, target] + 1e-30).mean()
-    prob[b, t, target] -= 1
-    dz = prob / np.float32(n)
-    g = {"out": np.tensordot(o, dz, ([0, 1], [0, 1]))}
-    do = dz @ p["out"].T
-    da = do @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ do
-    ds = a * (da - (da * a).sum(2, keepdims=True))
+    o = (a @ v).reshape(len(flat), -1)
+    prob = o @ p["out"]
+    prob += table[flat]
+    prob -= prob.max(1, keepdims=True)
+    np.exp(prob, out=prob)
+    prob /= prob.sum(1, keepdims=True)
+    real, place = goal >= 0, np.arange(len(flat))
+    n = max(1, int(real.sum()))
+    loss = -np.log(prob[place, goal] + 1e-30)[real].sum() / n
+    prob[place, goal] -= 1
+    prob[~real] = 0
+    prob /= np.float32(n)
+    g = {"out": o.T @ prob}
+    do = (prob @ p["out"].T).reshape(*shape, -1)
+    ds = do @ v.transpose(0, 2, 1)
+    ds -= (do * o.reshape(do.shape)).sum(2, keepdims=True)
+    ds *= a
     g["near"] = np.bincount(_distance[causal], ds.sum(0)[causal], WINDOW).astype(np.float32)
-    ds = ds / np.float32(math.sqrt(HEAD_DIM))
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    for name, d in (("query", dq), ("key", dk), ("value", dv)):
-        g[name] = np.tensordot(x, d, ([0, 1], [0, 1]))
-    dx = dq @ p["query"].T + dk @ p["key"].T + dv @ p["value"].T
-    flat = ids.ravel()
-    g["embed"] = np.stack(
-        [np.bincount(flat, col, len(p["embed"])) for col in dx.reshape(-1, WIDTH).T], 1
-    ).astype(np.float32)
+    d = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ do], 2).reshape(len(flat), -1)
+    g["query"], g["key"], g["value"] = np.split(x.T @ d, [HEAD_DIM, 2 * HEAD_DIM], 1)
+    g["query"] = g["query"] * scale
+    cell = flat[:, None] * WIDTH + np.arange(WIDTH)
+    embed = np.bincount(cell.ravel(), (d @ joint.T).ravel(), p["embed"].size)
+    g["embed"] = embed.reshape(p["embed"].shape).astype(np.float32)
     return loss, g
 
 
 def descend(p, table, windows: np.ndarray, class_of_input: np.ndarray, rate: float) -> float:
     """Adam over the windows of one task, in place; gives back the mean loss."""
-    first = {n: np.zeros_like(x) for n, x in p.items()}
-    second = {n: np.zeros_like(x) for n, x in p.items()}
+    # All parameters as one array, and views of it.
+    every = np.concatenate([x.ravel() for x in p.values()])
+    ends = np.cumsum([x.size for x in p.values()])[:-1]
+    p.update({n: part.reshape(x.shape) for (n, x), part in zip(p.items(), np.split(every, ends))})
+    first, second, move, grad = (np.zeros_like(every) for _ in range(4))
     losses = []
     for step, at in enumerate(range(0, len(windows), BATCH), 1):
         rows = windows[at : at + BATCH].astype(np.int64)
-        loss, grad = forward_backward(p, table, rows[:, :-1], class_of_input[rows[:, 1:]])
+        padded = rows == PAD
+        rows[padded] = len(class_of_input) - 1  # the end of a text, never looked back at
+        target = np.where(padded[:, 1:], -1, class_of_input[rows[:, 1:]])
+        loss, found = forward_backward(p, table, rows[:, :-1], target)
         losses.append(loss)
-        for n, g in grad.items():
-            first[n] += 0.1 * (g - first[n])
-            second[n] += 0.02 * (g * g - second[n])
-            p[n] -= rate * (first[n] / (1 - 0.9**step)) / (np.sqrt(second[n] / (1 - 0.98**step)) + 1e-7)
+        np.concatenate([found[n].ravel() for n in p], out=grad)
+        np.subtract(grad, first, out=move)
+        move *= 0.1
+        first += move
+        np.multiply(grad, grad, out=move)
+        move -= second
+        move *= 0.02
+        second += move
+        np.multiply(second, 1 / (1 - 0.98**step), out=move)
+        np.sqrt(move, out=move)
+        move += 1e-7
+        np.divide(first, move, out=move)
+        move *= rate / (1 - 0.9**step)
+        every -= move
     return float(np.mean(losses)) if losses else 0.0
 
 
@@ -338,9 +362,9 @@ def subword_counts(words: DataFrame, size: int) -> np.ndarray:
     return summed_cells(words.select("n", "ids"), cells, size)
 
 
-def next_counts(words: DataFrame, windows: DataFrame, subs: Subwords, row, column, shape, scale: float) -> np.ndarray:
-    """How often `column[next]` comes after `row[last]`: within words from the counts of all
-    words, between words from the windows, scaled to the number of words."""
+def next_counts(words: DataFrame, windows: DataFrame, subs: Subwords, row, column, shape) -> np.ndarray:
+    """How often `column[next]` comes after `row[last]` in all training texts: within words from
+    the counts of all words, between words (the end of a text included) from the windows."""
     size = shape[0] * shape[1]
 
     def inside(batch):
@@ -351,56 +375,58 @@ def next_counts(words: DataFrame, windows: DataFrame, subs: Subwords, row, colum
 
     def between(batch):
         ids = _windows([batch])[0]
-        cell = row[ids[:, :-1]] * shape[1] + column[ids[:, 1:]]
-        return (cell[subs.opens[ids[:, 1:]]],)
+        last, following = ids[:, :-1], ids[:, 1:]
+        opens = np.r_[subs.opens, np.zeros(PAD + 1 - len(subs.opens), bool)][following]
+        return (row[last[opens]] * shape[1] + column[following[opens]],)
 
     found = summed_cells(words.select("n", "ids"), inside, size)
-    return (found + scale * summed_cells(windows, between, size)).reshape(shape)
+    return (found + summed_cells(windows, between, size)).reshape(shape)
 
 
 def training_windows(docs: DataFrame, raw: bytes, subs: Subwords) -> DataFrame:
-    """(ids): runs of WINDOW + 1 model inputs at places spread over each training text."""
-    chars = 8 * (WINDOW + 1)
+    """(ids): each training text as model inputs between two ends, cut into runs of WINDOW + 1 of
+    which each begins with the last of the one before; the last run is filled with PAD."""
+    end = np.array([subs.end_input], "<u2").tobytes()
 
     def run(batches):
-        encoder, seen = encoder_of(raw), {}
+        encoder = encoder_of(raw)
 
-        def encoded(word):
-            ids = seen.get(word)
-            if ids is None:
-                if len(seen) >= CACHE_ENTRIES:
-                    seen.clear()
-                ids = seen[word] = subwords(encoder, word)
-            return ids
+        class Inputs(dict):
+            def __missing__(self, word):
+                if len(self) >= CACHE_ENTRIES:
+                    self.clear()
+                got = self[word] = subs.input_of[subwords(encoder, word)].astype("<u2").tobytes()
+                return got
 
+        def rows():
+            out = np.concatenate(found).tobytes()
+            found.clear()
+            n = len(out) // (2 * (WINDOW + 1))
+            places = np.arange(n + 1, dtype=np.int32) * np.int32(2 * (WINDOW + 1))
+            column = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(places), pa.py_buffer(out)])
+            return pa.RecordBatch.from_arrays([column], names=["ids"])
+
+        inputs, found, held = Inputs(), [], 0
         for batch in batches:
-            out = []
             for value in batch.column(0):
-                text = value.as_py() or ""
-                for i in range(max(1, len(text) // CHARS_PER_WINDOW)):
-                    at = i * CHARS_PER_WINDOW
-                    if i or len(text) > 2 * chars:
-                        # Anywhere in its part of the text, the very start as well.
-                        span = min(CHARS_PER_WINDOW, len(text) - at)
-                        at += max(0, zlib.crc32(text[at : at + 64].encode("utf-8", "replace")) % span - chars // 4)
-                    part = text[at : at + chars]
-                    words = lowered_words(part)
-                    ids = [subs.end] if at == 0 else []
-                    for word in words[1:] if at else words:
-                        ids.extend(encoded(word))
-                    if at + chars >= len(text):
-                        ids.append(subs.end)
-                    if len(ids) >= 2:
-                        ids = (ids + [subs.end] * WINDOW)[: WINDOW + 1]
-                        out.append(subs.input_of[ids].astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["ids"])
+                flat = b"".join([end, *map(inputs.__getitem__, lowered_words(value.as_py())), end])
+                cut = -(-(len(flat) // 2 - 1) // WINDOW)
+                ids = np.full(cut * WINDOW + 1, PAD, "<u2")
+                ids[: len(flat) // 2] = np.frombuffer(flat, "<u2")
+                found.append(np.lib.stride_tricks.sliding_window_view(ids, WINDOW + 1)[::WINDOW])
+                held += cut
+                if held >= WINDOW_ROWS:
+                    yield rows()
+                    held = 0
+        if found:
+            yield rows()
 
     return docs.select("text").mapInArrow(run, "ids binary")
 
 
 def _windows(batches) -> list[np.ndarray]:
     parts = (b"".join(batch.column(0).to_pylist()) for batch in batches)
-    return [np.frombuffer(p, "<u2").reshape(-1, WINDOW + 1).astype(np.int64) for p in parts if p]
+    return [np.frombuffer(p, "<u2").reshape(-1, WINDOW + 1) for p in parts if p]
 
 
 def next_classes(pairs: np.ndarray, firm: float = 20.0) -> np.ndarray:
@@ -435,7 +461,7 @@ def _average(parts: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def train(windows: DataFrame, subs: Subwords, table: np.ndarray) -> dict[str, np.ndarray]:
-    """Rounds of descent in parallel over all windows, parameters averaged by windows seen."""
+    """Rounds of descent in parallel over all windows, parameters averaged by transitions seen."""
     p = initial(subs)
     names, shapes = list(p), [x.shape for x in p.values()]
     ends = np.cumsum([x.size for x in p.values()])
@@ -458,7 +484,7 @@ def train(windows: DataFrame, subs: Subwords, table: np.ndarray) -> dict[str, np
                 {
                     "slice": pa.array(range(SLICES), pa.int32()),
                     "lot": pa.array([lot] * SLICES, pa.int32()),
-                    "weight": [float(len(rows))] * SLICES,
+                    "weight": [float((rows[:, 1:] != PAD).sum())] * SLICES,
                     "part": [c.tobytes() for c in cut],
                 }
             )
@@ -472,26 +498,24 @@ def train(windows: DataFrame, subs: Subwords, table: np.ndarray) -> dict[str, np
     return p
 
 
-def build_scorer(words: DataFrame, windows: DataFrame, subs: Subwords, n_tokens: int) -> Scorer:
+def build_scorer(words: DataFrame, windows: DataFrame, subs: Subwords) -> Scorer:
     """Classes, tables and the trained attention.  What is counted on is of a fixed size."""
     inputs = subs.n_inputs
     same = np.arange(inputs)
-    opening = summed_cells(windows, lambda b: (subs.opens[_windows([b])[0][:, 1:]].astype(np.int64).ravel(),), 2)[1]
-    scale = n_tokens / max(1.0, opening)
     frequent = min(CONTEXTS - 1, subs.inputs)
     context = np.minimum(same, frequent)
     # Subwords alike in what stands before them share a class; kinds go by what stands after.
-    before = next_counts(words, windows, subs, context, same, (CONTEXTS, inputs), scale).T
+    before = next_counts(words, windows, subs, context, same, (CONTEXTS, inputs)).T
     opens, inner = np.flatnonzero(subs.opens), np.flatnonzero(~subs.opens)
     classes = np.zeros(inputs, np.int64)
     classes[opens] = cluster(before[opens], before[opens].sum(1), OPENING - 1)
     classes[inner] = OPENING + cluster(before[inner], before[inner].sum(1), CLASSES - OPENING)
     classes[subs.end_input] = OPENING - 1
     subs.set_classes(classes, CLASSES)
-    pairs = next_counts(words, windows, subs, same, classes, (inputs, CLASSES), scale)
+    pairs = next_counts(words, windows, subs, same, classes, (inputs, CLASSES))
     table = next_classes(pairs)
     kinds = cluster(pairs, pairs.sum(1), FINE)
-    after = next_counts(words, windows, subs, kinds, same, (FINE, inputs), scale)
+    after = next_counts(words, windows, subs, kinds, same, (FINE, inputs))
     return Scorer(train(windows, subs, table), table, next_shares(after, subs), kinds, subs)
 
 
@@ -540,7 +564,7 @@ def lm_score(
     starts[[i for token, i in ranks.items() if token[:1] == b" "]] = True
     subs = Subwords(subword_counts(words, len(starts)), starts)
     windows = materialize(training_windows(training, raw, subs), "windows")
-    scorer = build_scorer(words, windows, subs, n_tokens)
+    scorer = build_scorer(words, windows, subs)
 
     def first_class(batch):
         at = [np.frombuffer(b, np.int32, 1)[0] for b in batch.column(1).to_pylist()]

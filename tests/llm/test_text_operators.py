@@ -213,6 +213,47 @@ def test_unigram_base_and_model(spark, odd):
     assert lm.lm_score(df.limit(0), vocabulary("byte_bpe_50k.tiktoken"), held_out).count() == 0
 
 
+def test_transitions_of_whole_texts(spark):
+    r = random.Random(10)
+    words = [f"w{i}" for i in range(40)] + ["Straße", "naïve", "x" * 90]
+    say = lambda n: " ".join(r.choice(words) for _ in range(n))
+    texts = [None, "", "one", say(31), say(32), say(33), say(900), say(1700) + " only at the very tail", say(5000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    raw = bpe.read_vocabulary(vocabulary("byte_bpe_50k.tiktoken"))
+    ranks, encoder = lm.ranks_of(raw), lm.subword_encoder(raw)
+    starts = np.zeros(1 + max(ranks.values()), bool)
+    starts[[i for token, i in ranks.items() if token[:1] == b" "]] = True
+    counted = lm.count_words(df, raw).cache()
+    subs = lm.Subwords(lm.subword_counts(counted, len(starts)), starts)
+    same = np.arange(subs.n_inputs)
+    row, column, want = same % 89, same % 97, np.zeros((89, 97))
+    total = 0
+    for text in texts:
+        ids = [i for w in lm.lowered_words(text) for i in lm.subwords(encoder, w)]
+        at = subs.input_of[[subs.end, *ids, subs.end]]
+        np.add.at(want, (row[at[:-1]], column[at[1:]]), 1)
+        total += len(at) - 1
+    windows = lm.training_windows(df, raw, subs).cache()
+    assert (lm.next_counts(counted, windows, subs, row, column, want.shape) == want).all()
+    # Each transition is a target of the descent once, and padding never is.
+    seen = np.concatenate(lm._windows(windows.toArrow().to_batches()))
+    assert (seen[:, 1:] != lm.PAD).sum() == total and (seen[:, 0] != lm.PAD).all()
+
+
+def test_padding_is_not_learned_from():
+    rng = np.random.default_rng(12)
+    size = type("Size", (), {"n_inputs": 9, "n_classes": 5})
+    p = lm.initial(size)
+    p["out"] = rng.standard_normal(p["out"].shape).astype(np.float32)
+    table, ids = rng.standard_normal((9, 5)).astype(np.float32), rng.integers(0, 9, (2, lm.WINDOW))
+    target = rng.integers(0, 5, ids.shape)
+    target[1] = -1
+    loss, g = lm.forward_backward(p, table, ids, target)
+    alone, h = lm.forward_backward(p, table, ids[:1], target[:1])
+    assert math.isclose(loss, alone, rel_tol=1e-5)
+    assert all(np.allclose(g[n], h[n], atol=1e-6) for n in g)
+
+
 def test_attention_gradients():
     rng = np.random.default_rng(8)
     p = {"embed": rng.standard_normal((9, lm.WIDTH)), "query": rng.standard_normal((lm.WIDTH, lm.HEAD_DIM)) / 4,
