@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from palisade.llm.bpe import PRETOKENS, read_vocabulary
 from palisade.llm.common import CACHE_ENTRIES, lowered_words, materialize
 
-# Commonest words whose counts are sent to every task; the others are joined.
+# Commonest words whose counts are sent to every task; the others are joined, with the same results.
 HEAD_WORDS = 200_000
 # Subword ids the model tells apart in its input, and classes in its output.
 INPUTS = 4096
@@ -528,7 +528,20 @@ SCORED = T.StructType(
         T.StructField("head_known", T.LongType()),
         T.StructField("head_score", T.DoubleType()),
         T.StructField("score", T.DoubleType()),
-        T.StructField("rare", T.ArrayType(T.BinaryType())),
+        # Each occurrence of a word outside the head, with the log terms of its two ways: as a whole
+        # but for log(n), and in subwords.
+        T.StructField(
+            "rare",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("word", T.BinaryType()),
+                        T.StructField("whole", T.DoubleType()),
+                        T.StructField("spelled", T.DoubleType()),
+                    ]
+                )
+            ),
+        ),
     ]
 )
 
@@ -585,8 +598,9 @@ def lm_score(
 
         class Words(dict):
             """word -> its number in growing arrays: inputs, log share within inputs, base score
-            and log share of the word in the class of its first subword, the last two -inf for
-            a word that isn't common.  Number 0 is the end of a text."""
+            and log share of the word in the class of its first subword; for a word outside the
+            head, whose count is joined later, -inf and that of a word seen once.  Number 0 is
+            the end of a text."""
 
             def __init__(self):
                 super().__init__()
@@ -606,11 +620,8 @@ def lm_score(
                 ids = subwords(encoder, word)
                 n = known.get(word)
                 inputs = input_of[ids]
-                if n is None:
-                    base = whole = -math.inf
-                else:
-                    base = math.log10((n + 0.5) / denominator)
-                    whole = math.log(n / mass[scorer.class_of_input[inputs[0]]])
+                base = -math.inf if n is None else math.log10((n + 0.5) / denominator)
+                whole = math.log((n or 1) / max(1, mass[scorer.class_of_input[inputs[0]]]))
                 at, end = self.size, self.filled + len(ids)
                 if at >= self.numbers.shape[1]:
                     self.numbers = np.concatenate([self.numbers, np.zeros_like(self.numbers)], 1)
@@ -628,7 +639,8 @@ def lm_score(
         mix = math.log(WHOLE_WEIGHT), math.log(1 - WHOLE_WEIGHT)
 
         def scores(waiting):
-            """Sum of the mixed log probabilities of the words of each text."""
+            """Sum of the mixed log probabilities of the head's words of each text, and both terms of
+            each other word in order."""
             number = np.concatenate(waiting)
             words = np.array([len(w) for w in waiting])
             begin_at = look_up.starts[number]
@@ -639,16 +651,20 @@ def lm_score(
             first, tokens, begins = scorer.score(
                 [np.concatenate([look_up.inputs[:1], flat[a:b]]) for a, b in zip(cut[:-1], cut[1:])]
             )
-            share, _, whole = look_up.numbers[:, number]
+            share, base, whole = look_up.numbers[:, number]
             opened = begins[begin]
             closed = np.r_[opened[1:], 0.0]
             closed[np.cumsum(words) - 1] = 0.0  # the end of a text needs no further end
             word = np.add.reduceat(tokens, begin) + share - opened + closed
-            word = np.logaddexp(mix[0] + first[begin] - opened + whole, mix[1] + word)
-            return (np.add.reduceat(word, np.cumsum(words) - words) / LN10).tolist()
+            whole, spelled = mix[0] + first[begin] - opened + whole, mix[1] + word
+            common = base > -math.inf
+            word = np.where(common, np.logaddexp(whole, spelled), 0.0)
+            columns[3].extend((np.add.reduceat(word, np.cumsum(words) - words) / LN10).tolist())
+            terms[0].extend(whole[~common].tolist())
+            terms[1].extend(spelled[~common].tolist())
 
         for batch in batches:
-            columns = [[] for _ in range(5)]
+            columns, terms, rare, ends = [[] for _ in range(4)], ([], []), [], [0]
             waiting, held = [], 0
             for value in batch.column(3):
                 listed = lowered_words(value.as_py())
@@ -659,16 +675,17 @@ def lm_score(
                 columns[0].append(len(number))
                 columns[1].append(int(common.sum()) - (n_train == 0))
                 columns[2].append(math.fsum(base[common].tolist()))
-                columns[4].append([] if common.all() else [listed[i] for i in np.flatnonzero(~common)])
+                rare.extend([listed[i] for i in np.flatnonzero(~common)])
+                ends.append(len(rare))
                 waiting.append(number)
                 held += len(number)
                 if held > 150_000:
-                    columns[3].extend(scores(waiting))
+                    scores(waiting)
                     waiting, held = [], 0
                     if len(look_up) > CACHE_ENTRIES:
                         look_up.reset()
             if waiting:
-                columns[3].extend(scores(waiting))
+                scores(waiting)
             if len(look_up) > CACHE_ENTRIES:
                 look_up.reset()
             yield pa.RecordBatch.from_arrays(
@@ -678,7 +695,13 @@ def lm_score(
                     pa.array(columns[1], pa.int64()),
                     pa.array(columns[2], pa.float64()),
                     pa.array(columns[3], pa.float64()),
-                    pa.array(columns[4], pa.list_(pa.binary())),
+                    pa.ListArray.from_arrays(
+                        pa.array(ends, pa.int32()),
+                        pa.StructArray.from_arrays(
+                            [pa.array(rare, pa.binary()), *(pa.array(t, pa.float64()) for t in terms)],
+                            ["word", "whole", "spelled"],
+                        ),
+                    ),
                 ],
                 names=SCORED.fieldNames(),
             )
@@ -686,14 +709,18 @@ def lm_score(
     schema = T.StructType([SCORED[0], T.StructField("doc_id", kind), *SCORED.fields[2:]])
     numbered = source.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
     scored = materialize(numbered.mapInArrow(run, schema), "scored")
-    rare = scored.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("times"))
+    rare = scored.select("row", F.inline("rare"))
     share = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(denominator))
+    # log(exp(whole) + exp(spelled)) for a word that was counted; any other is only spelled.
+    whole = F.col("whole") + F.log("n")
+    mixed = F.greatest(whole, F.col("spelled")) + F.log1p(F.exp(-F.abs(whole - F.col("spelled"))))
     joined = (
-        rare.join(words, "word", "left")
+        rare.join(words.select("word", "n"), "word", "left")
         .groupBy("row")
         .agg(
-            F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
-            F.sum(F.col("times") * share).alias("rare_score"),
+            F.count("n").alias("rare_known"),
+            F.sum(share).alias("rare_base"),
+            F.sum(F.coalesce(mixed, F.col("spelled")) / LN10).alias("rare_score"),
         )
     )
     return scored.join(joined, "row", "left").select(
@@ -702,6 +729,6 @@ def lm_score(
         "n_tokens",
         (F.col("head_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(n_tokens).cast("long").alias("train_tokens"),
-        (F.col("head_score") + F.coalesce("rare_score", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("head_score") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"),
     )

@@ -213,6 +213,22 @@ def test_unigram_base_and_model(spark, odd):
     assert lm.lm_score(df.limit(0), vocabulary("byte_bpe_50k.tiktoken"), held_out).count() == 0
 
 
+def test_score_does_not_depend_on_the_head(spark):
+    r = random.Random(11)
+    words = [f"name{i}" for i in range(50)]
+    texts = [" ".join(r.choice(words[: 5 + i]) for _ in range(r.randrange(0, 40))) for i in range(45)] + [None, "never seen", "name1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    few, all_ = (
+        {x.doc_id: x for x in lm.lm_score(df, vocabulary("byte_bpe_50k.tiktoken"), fold("doc_id", 5) == 1, head_words=n).collect()}
+        for n in (3, 1000)
+    )
+    assert len(few) == len(texts)
+    for i, x in few.items():
+        assert (x.n_tokens, x.n_known) == (all_[i].n_tokens, all_[i].n_known)
+        # Runs may average parameters in another order.
+        assert math.isclose(x.score, all_[i].score, rel_tol=1e-5) and math.isclose(x.base_score, all_[i].base_score, rel_tol=1e-9)
+
+
 def test_transitions_of_whole_texts(spark):
     r = random.Random(10)
     words = [f"w{i}" for i in range(40)] + ["Straße", "naïve", "x" * 90]
