@@ -20,6 +20,12 @@ from palisade.llm.suffixes import drop_repeats
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # A text is in a language when at least this share of its letters is in that language's spans.
 LANGUAGE_SHARE = 0.35
+# And at least this share more than in any other language's, or in foreign scripts.
+LANGUAGE_LEAD = 0.2
+# And when its n-grams are at most so much less likely (natural log, mean) than the language's own text.
+# At sf 0.1 random letters lie at -6.8 and lower, other languages of the script at -5.2 and
+# lower, short texts at -3.3 and higher.
+LANGUAGE_FIT = -4.0
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,10 +37,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2, learned from the documents' languages; documents without a letter, or
-    without a language that holds a fair share of their letters, go."""
+    """Operator 2, learned from the documents' languages; documents without a letter, without a
+    language that holds a fair share of their letters and clearly more than the next, or unlike the
+    text of their language, go."""
     found = language_id(docs)
-    clear = (F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= LANGUAGE_SHARE)
+    clear = (
+        (F.col("lang_pred") != UNKNOWN)
+        & (F.col("lang_score") >= LANGUAGE_SHARE)
+        & (F.col("lang_lead") >= LANGUAGE_LEAD)
+        & (F.col("lang_fit") >= LANGUAGE_FIT)
+    )
     return found.where(clear).select(*COLUMNS)
 
 

@@ -4,7 +4,8 @@ Per language, hashed character n-grams of the training words are counted; a word
 is the mean log probability of its n-grams there.  Languages in which a word's script was
 hardly seen are out for that word.  The path over the words of a text pays a penalty for each
 switch of language; its spans are the labels and the language with most letters is the
-text's.  All steps run on arrays of whole batches.
+text's.  Words in a script of no learned language are letters of the text but of no language.
+All steps run on arrays of whole batches.
 """
 
 from __future__ import annotations
@@ -134,25 +135,36 @@ class Model:
             p = (part + smooth) / (part.sum(1, keepdims=True) + smooth * BUCKETS)
             table[k * BUCKETS : (k + 1) * BUCKETS] = np.log(p).T
         # What counts is the difference between languages; longer n-grams say more.
-        self.table = table - table.mean(1, keepdims=True)
+        self.mean = table.mean(1)
+        self.table = table - self.mean[:, None]
+        # Mean log probability of the n-grams a language was learned from.
+        self.own = (counts * table.T).sum(1) / np.maximum(1, counts.sum(1))
         share = scripts / np.maximum(1, scripts.sum(1, keepdims=True))
         self.uses = (share >= SCRIPT_SHARE).T  # script x language
         self.common = int(np.argmax(scripts.sum(1)))
 
-    def word_scores(self, code, begin, script) -> np.ndarray:
+    def known_script(self, script: np.ndarray) -> np.ndarray:
+        """Whether any learned language is written in a word's script."""
+        return self.uses[np.minimum(script, OTHER)].any(1)
+
+    def word_scores(self, code, begin, script) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(score of each word in each language, log probability of its n-grams in each, how many
+        n-grams it has)."""
         total = np.zeros((len(begin), len(self.langs)), np.float32)
-        number = np.zeros(len(begin))
+        level, number = np.zeros(len(begin), np.float32), np.zeros(len(begin))
         for owner, bucket in grams(code, begin):
             first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             # Every word has n-grams of each length, one letter and two borders at least.
             total += np.add.reduceat(self.table[bucket], first, axis=0)
+            level += np.add.reduceat(self.mean[bucket], first)
             number += np.diff(np.r_[first, len(owner)])
+        likely = total + level[:, None]
         total *= (WEIGHT * np.sqrt(np.maximum(number, 1)) / np.maximum(number, 1))[:, None].astype(np.float32)
         allowed = self.uses[np.minimum(script, OTHER)]
-        none = ~allowed.any(1)
+        none = ~self.known_script(script)
         total[~allowed & ~none[:, None]] -= 20.0
         total[none] = 0  # no language learned is written so: the word says nothing
-        return total
+        return total, likely, number
 
     def paths(self, scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
         """The best labels of the words of many texts, one step for all texts at a time."""
@@ -185,17 +197,20 @@ class Model:
         return labels
 
     def label(self, texts: list[str | None], penalty: float = PENALTY):
-        """For each text its spans as (first word's letter count so far ...) arrays:
-        (label of each word, letters of each word, number of words of each text)."""
-        scores, letters, sizes = [], [], np.zeros(len(texts), np.int64)
+        """(label of each word, letters of each word, whether a learned language is written in its
+        script, log probability of its n-grams in each language, how many it has, number of words
+        of each text)."""
+        parts, sizes = [], np.zeros(len(texts), np.int64)
         room = max(1, STEP_CELLS // max(1, len(self.langs)))
         for a, b in runs_of([len(t or "") for t in texts], room):
             code, begin, owner, script = words_of([t or "" for t in texts[a:b]])
-            scores.append(self.word_scores(code, begin, script))
-            letters.append(np.diff(np.r_[begin, len(code)]))
+            letters = np.diff(np.r_[begin, len(code)])
+            parts.append((*self.word_scores(code, begin, script), letters, self.known_script(script)))
             sizes[a:b] = np.bincount(owner, minlength=b - a)
-        scores = np.concatenate([*scores, np.zeros((0, len(self.langs)), np.float32)])
-        return self.paths(scores, sizes, penalty), np.concatenate([*letters, np.zeros(0, int)]), sizes
+        none = np.zeros((0, len(self.langs)), np.float32)
+        parts.append((none, none, np.zeros(0), np.zeros(0, int), np.zeros(0, bool)))
+        scores, likely, grams, letters, known = map(np.concatenate, zip(*parts))
+        return self.paths(scores, sizes, penalty), letters, known, likely, grams, sizes
 
 
 def runs_of(weights: list[int], most: int) -> Iterator[tuple[int, int]]:
@@ -265,6 +280,8 @@ RESULT = T.StructType(
         T.StructField("lang_pred", T.StringType()),
         T.StructField("lang_score", T.DoubleType()),
         T.StructField("n_spans", T.IntegerType()),
+        T.StructField("lang_lead", T.DoubleType()),
+        T.StructField("lang_fit", T.DoubleType()),
     ]
 )
 
@@ -276,14 +293,19 @@ def language_id(
     lang: str = "lang",
     penalty: float = PENALTY,
 ) -> DataFrame:
-    """Add `lang_pred`, `lang_score` (share of the letters in that language's spans) and
-    `n_spans` (spans of one language each) to every row.
+    """Add to every row `lang_pred`, `lang_score` (share of the letters in that language's spans),
+    `n_spans` (spans of one language each), `lang_lead` (by how much that share exceeds the one of
+    the next language, or of the letters in scripts of no language) and `lang_fit` (mean log
+    probability of the n-grams in that language less the mean of the text it was learned from).
+
+    Letters in a script of no learned language count in the whole but for no language: a text of
+    nothing else has score 0.
 
     Learned from rows that `trained_on` admits and whose text and language are not null; the
     language of a row takes no part in its own prediction.  A text that is null or has no
-    letter, or a table without any language to learn, gets `und`, score 0 and no span.  Ties
-    go to the smaller language value.  Repeated rows get equal results; existing columns of the three names are
-    replaced.
+    letter, or a table without any language to learn, gets `und`, score, lead and fit 0 and no span.
+    Ties go to the smaller language value.  Repeated rows get equal results; existing columns of
+    the five names are replaced.
     """
     source = docs if trained_on is None else docs.where(trained_on)
     model = learn(source, text, lang)
@@ -291,32 +313,37 @@ def language_id(
     @F.arrow_udf(RESULT)
     def predict(texts):
         values = texts.to_pylist()
-        names, scores, spans = [], [], []
+        out = [[] for _ in RESULT]
         for a, b in runs_of([len(t or "") // 5 for t in values], PATH_WORDS):
+            n = b - a
             if model is None:
-                labels, letters, sizes = np.zeros(0, int), np.zeros(0, int), np.zeros(b - a, int)
-            else:
-                labels, letters, sizes = model.label(values[a:b], penalty)
-            n_lang = len(model.langs) if model else 1
-            owner = np.repeat(np.arange(b - a), sizes)
-            weight = np.bincount(owner * n_lang + labels, letters, (b - a) * n_lang).reshape(b - a, n_lang)
+                for column, value in zip(out, (UNKNOWN, 0.0, 0, 0.0, 0.0)):
+                    column.extend([value] * n)
+                continue
+            labels, letters, known, likely, grams, sizes = model.label(values[a:b], penalty)
+            n_lang = len(model.langs)
+            owner = np.repeat(np.arange(n), sizes)
+            weight = np.bincount(owner * n_lang + labels, letters * known, n * n_lang).reshape(n, n_lang)
             changes = (labels[1:] != labels[:-1]) | (owner[1:] != owner[:-1])
             first = np.r_[np.ones(min(1, len(labels)), bool), changes]
-            spans.extend(np.bincount(owner[first], minlength=b - a).tolist())
-            total = weight.sum(1)
-            top = weight.argmax(1)
-            for i in range(b - a):
-                if total[i]:
-                    names.append(model.langs[top[i]])
-                    scores.append(float(weight[i, top[i]] / total[i]))
-                else:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
+            total = np.bincount(owner, letters, n)
+            top, most = weight.argmax(1), weight.max(1)
+            rest = weight.copy()
+            rest[np.arange(n), top] = 0
+            next_most = np.maximum(rest.max(1), total - weight.sum(1))
+            told = np.bincount(owner, likely[np.arange(len(owner)), top[owner]], n) / np.maximum(1, np.bincount(owner, grams, n))
+            has = total > 0
+            whole = np.maximum(1, total)
+            out[0].extend(model.langs[t] if h else UNKNOWN for t, h in zip(top.tolist(), has.tolist()))
+            out[1].extend((most / whole).tolist())
+            out[2].extend(np.bincount(owner[first], minlength=n).tolist())
+            out[3].extend(((most - next_most) / whole).tolist())
+            out[4].extend(np.where(has, told - model.own[top], 0.0).tolist())
         return pa.StructArray.from_arrays(
-            [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(spans, pa.int32())],
-            ["lang_pred", "lang_score", "n_spans"],
+            [pa.array(column, kind) for column, kind in zip(out, (pa.string(), pa.float64(), pa.int32(), pa.float64(), pa.float64()))],
+            RESULT.fieldNames(),
         )
 
     return docs.withColumn("_lang", predict(text)).withColumns(
-        {n: F.col(f"_lang.{n}") for n in ("lang_pred", "lang_score", "n_spans")}
+        {n: F.col(f"_lang.{n}") for n in RESULT.fieldNames()}
     ).drop("_lang")

@@ -191,6 +191,31 @@ def stages(spark):
     return out
 
 
+def test_language_stage_decides(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    long = {r.lang: r.text for r in docs.where("length(text) > 600").orderBy("text").collect()}
+    r = random.Random(13)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    gone = {
+        "cyrillic": "привет мир это русский текст " * 4,
+        "han": "这是一个中文句子",
+        "random": " ".join("".join(r.choice(letters) for _ in range(r.randrange(3, 10))) for _ in range(60)),
+        "two languages": long["en"][:300] + " " + long["fr"][:300],
+        "three languages": long["en"][:200] + " " + long["fr"][:200] + " " + long["de"][:200],
+        "half foreign": long["en"][:300] + " привет мир" * 30,
+        "no letter": "12 34 !?",
+    }
+    stay = {lang: text[:500] for lang, text in long.items()}
+    stay |= {f"short {lang}": " ".join(text.split()[5:9]) for lang, text in long.items()}
+    stay["a foreign word"] = long["en"][:300] + " привет"
+    rows = [(10**9 + i, text, None, name, 0) for i, (name, text) in enumerate({**gone, **stay}.items())]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = corpus_pipeline.language(spark, both, FOLDER)
+    assert {x.source for x in kept.where(f"doc_id >= {10**9}").collect()} == set(stay)
+    # What is lost of the documents is little.
+    assert kept.where(f"doc_id < {10**9}").count() >= 0.98 * docs.where("text rlike '[a-zA-Z]'").count()
+
+
 def test_pipeline_stages(spark, stages):
     assert [name for name, _, _ in stages] == ["quality classifier", "language ID", "near-dedup", "suffix dedup", "packing"]
     for _, before, after in stages[:-1]:
