@@ -102,7 +102,8 @@ def anchors(units: Units, texts: list[np.ndarray]):
     np.cumsum(flat * powers(total), out=prefix[1:])
     back = powers(total, True)
     grams = mix((prefix[g:] - prefix[:-g]) * back[: total - g + 1])
-    order = (grams >> np.uint64(32)).astype(np.uint32)
+    # Order 0 is of what lies in no text; a gram that has it by chance takes part as 1.
+    order = np.maximum((grams >> np.uint64(32)).astype(np.uint32), np.uint32(1))
     least = _sliding(order, left + 1, np.minimum)  # of the string that starts here
     inside = np.zeros(total + 1, np.int32)
     full = sizes >= n

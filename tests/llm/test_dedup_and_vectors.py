@@ -105,6 +105,16 @@ def test_suffix_dedup(spark, texts, monkeypatch, n, block, entries):
     assert {k: sorted(v) for k, v in got.items()} == repeat_brute(rows, n)
 
 
+def test_grams_of_order_zero_are_anchors(monkeypatch):
+    monkeypatch.setattr(suffixes, "mix", lambda x: x & np.uint64(0xFFFFFFFF))
+    data = [np.frombuffer(bytes(range(50, 130)), np.uint8)] * 2
+    owner, place, _, _ = suffixes.anchors(suffixes.Units("bytes", 40, 8), data)
+    # Every string of 40 bytes holds an anchor whose gram lies in it.
+    for text in range(2):
+        found = set(place[owner == text].tolist())
+        assert all(found & set(range(i, i + 33)) for i in range(41))
+
+
 def test_drop_repeats(spark):
     passage = " ".join(f"p{i}é" for i in range(12))
     rows = [(1, f"Start one {passage} end one", "b"), (2, f"begin\ttwo {passage.upper()}\nlast", "b"), (3, "alone", "b"), (4, None, "b"), (5, "", "b")]
