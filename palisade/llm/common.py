@@ -35,12 +35,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """`name`, with as many `_` before it as it takes to clash with no column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def fold(doc_id: str | Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; -1 for a null id."""
     id_text = (F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string")
     return F.coalesce(F.pmod(F.crc32(id_text), F.lit(n)), F.lit(-1)).cast("int")
 
 
+def hashed_share(rows: DataFrame, wanted: int, total: int) -> DataFrame:
+    """About `wanted` of `total` rows (doc_id, text), chosen by a hash of both, so that a hot id or a
+    hot text brings no more than its share; equal rows count once."""
+    share = max(1, min(1_000_000, round(1e6 * wanted / max(1, total))))
+    mixed = F.pmod(F.xxhash64("doc_id", "text", F.lit(17)), F.lit(1_000_000))
+    return rows.where(mixed < share).dropDuplicates(["doc_id", "text"])
+
+
 def lowered_words(text: str | None) -> list[bytes]:
     """Words `[^\\x20\\x09-\\x0D]+` of the text, A-Z lower-cased, as UTF-8."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

@@ -16,11 +16,11 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from palisade.llm.common import CACHE_ENTRIES, fold
+from palisade.llm.common import CACHE_ENTRIES, fold, hashed_share
 
 WORD_BUCKETS = 1 << 14
 SHAPE_BUCKETS = 1 << 10
@@ -129,25 +129,27 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def fit(rows: list, positive: np.ndarray, prior: float, steps: int = STEPS, seed: int = 7) -> Model:
-    """Minimise the non-negative risk by Adam over all rows; where the negative part falls
-    below zero its gradient is reversed, as that estimator asks."""
-    size = SHAPE_BUCKETS + WORD_BUCKETS
-    measured = np.array([r[2] for r in rows], float).reshape(len(rows), MEASURES)
+def fit(sample: pa.Table, prior: float, steps: int = STEPS) -> Model:
+    """Minimise the non-negative risk by Adam over all rows of `sample` (the columns FEATURES); where
+    the negative part falls below zero its gradient is reversed, as that estimator asks."""
+    size, n_rows = SHAPE_BUCKETS + WORD_BUCKETS, sample.num_rows
+    flat = {c: sample[c].combine_chunks() for c in ("which", "share", "measures")}
+    positive = np.asarray(sample["positive"], bool)
+    measured = np.asarray(flat["measures"].flatten()).reshape(n_rows, MEASURES)
     scaler = Scale(measured)
     dense = scaler(measured)
-    index = np.concatenate([np.asarray(r[0], np.int64) for r in rows])
-    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    value = np.concatenate([np.asarray(r[1], float) for r in rows])
-    mean = np.bincount(index, value, size) / len(rows)
+    index = np.asarray(flat["which"].flatten()).astype(np.int64)
+    row = np.repeat(np.arange(n_rows), np.asarray(flat["which"].value_lengths()))
+    value = np.asarray(flat["share"].flatten()).astype(float)
+    mean = np.bincount(index, value, size) / n_rows
     scale = np.where(mean > 0, 1 / np.sqrt(mean + 1e-3), 0)
-    value = value * scale[index]
+    value *= scale[index]
     w, d = np.zeros(size), np.zeros(dense.shape[1])
     d[-1] = np.log(prior / (1 - prior))
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(d), np.zeros_like(d)]
     n_p, n_u = positive.sum(), (~positive).sum()
     for step in range(1, steps + 1):
-        z = np.bincount(row, w[index] * value, len(rows)) + dense @ d
+        z = np.bincount(row, w[index] * value, n_rows) + dense @ d
         s = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
         minus = np.logaddexp(0, z)
         negative = minus[~positive].mean() - prior * minus[positive].mean()
@@ -165,7 +167,7 @@ def fit(rows: list, positive: np.ndarray, prior: float, steps: int = STEPS, seed
     return Model(w * scale, scaler, d)
 
 
-FEATURES = "positive boolean, which array<long>, share array<double>, measures array<double>"
+FEATURES = "positive boolean, which array<int>, share array<float>, measures array<double>"
 
 
 def _featurised(docs: DataFrame) -> DataFrame:
@@ -175,8 +177,8 @@ def _featurised(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([f[0] for f in found], pa.list_(pa.int64())),
-                    pa.array([f[1] for f in found], pa.list_(pa.float64())),
+                    pa.array([f[0].astype(np.int32) for f in found], pa.list_(pa.int32())),
+                    pa.array([f[1].astype(np.float32) for f in found], pa.list_(pa.float32())),
                     pa.array([f[2] for f in found], pa.list_(pa.float64())),
                 ],
                 names=["positive", "which", "share", "measures"],
@@ -199,8 +201,8 @@ def quality_classifier(
 
     `labels` is (doc_id, quality); rows with a null id or label are ignored and an id with
     both labels is not trusted.  `trained_on` says which ids of either table may be learned
-    from.  The fit reads about `fit_rows` positives and as many unlabelled rows, at most twice that each, chosen by a
-    hash of the id; scoring covers every whole text.  Null texts count as empty; repeated rows get
+    from.  The fit reads about `fit_rows` positives and as many unlabelled rows, chosen by hashes of
+    id and text, equal rows once; scoring covers every whole text.  Null texts count as empty; repeated rows get
     equal scores; existing `score` and `predicted` columns are replaced.  With no positive
     at all every score is the prior (0.5 if none is given).
     """
@@ -222,17 +224,20 @@ def quality_classifier(
         prior = float(np.clip(counted[0] / known, 0.02, 0.98)) if known else 0.5
     model = None
     if counted[0] and n_docs:
-        ten_k = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000))
-        chosen = lambda n: ten_k < max(1, min(1_000_000, round(1e6 * fit_rows / n)))
-        # The rows fitted on are few by construction; ids are sent to where the texts lie.
-        ids = trusted.where(F.col("least") == 1).where(chosen(counted[0])).select("doc_id").limit(2 * fit_rows)
-        positives = source.join(F.broadcast(ids), "doc_id").select(F.lit(True).alias("positive"), "text")
-        unlabelled = source.where(usable).where(chosen(n_docs)).select(F.lit(False).alias("positive"), "text")
-        sample = _featurised(positives.limit(2 * fit_rows).unionByName(unlabelled.limit(2 * fit_rows))).toArrow()
-        positive = np.array(sample["positive"].to_pylist(), bool)
-        if positive.any() and not positive.all():
-            rows = list(zip(*(sample[c].to_pylist() for c in ("which", "share", "measures"))))
-            model = fit(rows, positive, prior)
+        # The ids fitted on are few by construction; they are sent to where the texts lie.
+        ids = trusted.where(F.col("least") == 1).select("doc_id")
+        ids = F.broadcast(ids.orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(fit_rows))
+        rows = source.join(ids, "doc_id")
+        positives = hashed_share(rows, fit_rows, rows.count())
+        unlabelled = hashed_share(source.where(usable), fit_rows, n_docs)
+        sample = _featurised(
+            positives.select(F.lit(True).alias("positive"), "text").unionByName(
+                unlabelled.select(F.lit(False).alias("positive"), "text")
+            )
+        ).toArrow()
+        n_positive = pc.sum(sample["positive"]).as_py() or 0
+        if 0 < n_positive < sample.num_rows:
+            model = fit(sample, prior)
 
     @F.arrow_udf("double")
     def score(texts):
