@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palisade.session import settled
+from palisade.session import scratch_path, settled
 
 # Buckets per unit of the logarithm: each spans 1.6 % of its values.
 LOG_STEPS = 64
@@ -66,6 +66,51 @@ def running_total(
     )
 
 
+def numbered(
+    df: DataFrame, group: list[str], order: list[str], out: str = "number", size: str | None = None
+) -> DataFrame:
+    """Number the rows of each group from 0 in the order of some columns, nulls first; `size`, if
+    named, is the group's number of rows.
+
+    Rows are sorted over all tasks by range and written to the shared folder.  Each range
+    then brings one row a group to the carry: a group meets one row per range there, whatever its
+    size, and a hot group or a run of equal keys spreads over tasks.  Equal keys are numbered in
+    the order they are read.  Columns `_tie` and `_place` are used.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "numbered")
+    keys = [*group, *order, "_tie"]
+    (
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .drop("_tie")
+        .withColumn("_place", F.monotonically_increasing_id())
+        .write.parquet(path)
+    )
+    rows = spark.read.schema(df.withColumn("_place", F.lit(0).cast("long")).schema).parquet(path)
+    part = F.shiftright("_place", 33).alias("_part")
+    names = [f"_group{i}" for i in range(len(group))]
+    parts = rows.groupBy(*[F.col(g).alias(n) for g, n in zip(group, names)], part).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")
+    )
+    whole = Window.partitionBy(*(names or [F.lit(0)]))
+    earlier = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = parts.select(
+        *names,
+        "_part",
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
+        F.sum("_n").over(whole).alias("_size"),
+    )
+    same = F.shiftright(rows["_place"], 33) == F.col("_part")
+    for g, n in zip(group, names):
+        same = same & F.col(g).eqNullSafe(F.col(n))
+    found = rows.join(settled(carried), same).withColumn(out, F.col("_place") + F.col("_shift"))
+    if size:
+        found = found.withColumn(size, F.col("_size"))
+    return found.drop(*names, "_part", "_shift", "_size", "_place")
+
+
 def value_at_rank(
     df: DataFrame, group: str, value: str, fraction: float, out: str
 ) -> DataFrame:
