@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, over whole tables."""
+"""The registered queries of the operators, over whole tables."""
 
 from __future__ import annotations
 
@@ -132,3 +132,107 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palisade.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on their eight leading principal components, with unit variance."""
+    from palisade.llm.whitening import whiten
+
+    out = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return out.select(
+        "vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error",
+        F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "part"),
+    ).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("part.whitened").alias("whitened"),
+        F.col("part.explained").alias("explained"), "identity_error",
+    )
+
+
+# crc32 of the decimal id, bit by bit
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) + z)), 4294967295)"""
+
+
+def _leaf_sql(n_chars: str) -> str:
+    values = ["doc_id", "source", "lang", n_chars, "text"]
+    texts = [f"CAST({v} AS VARCHAR)" for v in values]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({t})) || ':' || {t}, '-')" for t in texts) + ")"
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE marked AS (
+  SELECT doc_id, lang, {_leaf_sql('n_chars')} AS leaf,
+         CASE WHEN ({_CRC32}) % 7 = 0 THEN {_leaf_sql('n_chars + 1')} ELSE {_leaf_sql('n_chars')} END AS changed
+  FROM documents
+), leaves AS (
+  SELECT *, coalesce('=' || lang, '') AS grp,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM marked
+), levels AS (
+  SELECT grp, 0 AS level, pos, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT grp, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM levels WHERE n > 1 GROUP BY grp, level, pos // 2, n
+), subroots AS (
+  SELECT grp, h AS subroot, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos, count(*) OVER () AS n
+  FROM levels WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, pos, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM tops WHERE n > 1 GROUP BY level, pos // 2, n
+), climb AS (
+  SELECT l.pos AS row, l.grp, 0 AS level, l.pos, l.n, '' AS proof, l.changed AS h, FALSE AS high FROM leaves l
+  UNION ALL
+  SELECT c.row, c.grp, CASE WHEN c.n > 1 THEN c.level + 1 ELSE 0 END,
+         CASE WHEN c.n > 1 THEN c.pos // 2 ELSE r.pos END,
+         CASE WHEN c.n > 1 THEN (c.n + 1) // 2 ELSE r.n END,
+         CASE WHEN c.n > 1 THEN c.proof || coalesce(s.h, t.h, '') ELSE c.proof END,
+         CASE WHEN c.n = 1 THEN c.h WHEN c.pos % 2 = 0 THEN sha256(c.h || coalesce(s.h, t.h, ''))
+              ELSE sha256(coalesce(s.h, t.h, '') || c.h) END,
+         c.high OR c.n = 1
+  FROM climb c
+  LEFT JOIN levels s ON NOT c.high AND c.n > 1 AND s.grp = c.grp AND s.level = c.level AND s.pos = xor(c.pos, 1)
+  LEFT JOIN tops t ON c.high AND c.n > 1 AND t.level = c.level AND t.pos = xor(c.pos, 1)
+  LEFT JOIN subroots r ON r.grp = c.grp
+  WHERE c.n > 1 OR NOT c.high
+)
+SELECT l.doc_id, l.leaf, r.subroot, t.h AS root, sha256(c.proof) AS proof_sha256, c.h AS folded_root,
+       c.h = t.h AS verified
+FROM leaves l JOIN climb c ON c.grp = l.grp AND c.row = l.pos AND c.high AND c.n = 1
+JOIN subroots r ON r.grp = l.grp JOIN tops t ON t.n = 1
+"""
+
+
+@query(MERKLE_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents, and what the proofs say of tampered ones."""
+    from palisade.llm.merkle import folded, merkle_manifest, proof_digest, row_digest
+
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = row_digest([F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields])
+    found = merkle_manifest(
+        table(spark, sf_dir, "documents"), fields, carried={"changed": F.when(tampered, changed)}
+    )
+    again = folded(F.coalesce("changed", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"),
+        again.alias("folded_root"), (again == F.col("root")).alias("verified"),
+    )
+
+
+@query()
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity with labels of two folds of three, scored for all documents."""
+    from palisade.llm.toxicity import toxicity
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learned = fold("doc_id", 3).isin(0, 2)
+    return toxicity(docs, labels, learned).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted"
+    )
