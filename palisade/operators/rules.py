@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.functions import gates as G
-from palisade.session import DIMENSION_ROWS, is_small
+from palisade.session import DIMENSION_ROWS, scratch_path, settled
 
+# Characters of the runs that keywords are filed under.
+GRAM = 4
 # A pattern with back references, named groups, flags or quoting is not made part of a
 # common alternation.
 STANDS_ALONE = r"\\[1-9kQ]|\(\?[a-zA-Z<-]"
@@ -43,9 +45,12 @@ def rule_join(
     keyword found is the one of the smallest `ord`, any number or null (last), then of the smallest
     text.  A null or empty rule matches nothing; a keyword listed twice counts where it is first.
 
-    The rules become one array per policy that meets the texts in an equi-join on the policy;
-    the texts are not multiplied and, for rules counted as few, not shuffled.  Of a policy with
-    more than `block_rows` rules of a kind, the next block joins after the first, in rule order.
+    Keywords are looked up in an index: each is filed under its rarest run of `GRAM` characters,
+    the runs of a text's words are equi-joined with it, and what meets there is verified.  So
+    work grows with the texts and the meetings, not with texts times rules.  Keywords without
+    a word that long are tried one after the other until one is found, and keywords behind that one
+    are not looked up.  Texts stay in place as long as no more than `block_rows` different ones
+    have a hit from the index; beyond, they are joined with their hits by a shuffle.
     """
     lowered = F.when(F.col("kind") == "keyword", F.lower("rule")).otherwise(F.col("rule"))
     place = F.struct(F.col("ord").isNull().alias("late"), "ord", "rule")
@@ -53,45 +58,96 @@ def rule_join(
         rules.where(F.length("rule") > 0)
         .groupBy(policy, "kind", lowered.alias("lowered"))
         .agg(F.min(place).alias("place"))
+        .withColumn("part", _longest_word(F.col("lowered")))
+        .withColumn("filed", (F.col("kind") == "keyword") & (F.length("part") >= GRAM))
     )
-    in_order = Window.partitionBy(policy, "kind").orderBy("place", "lowered")
-    listed = once.withColumn("rank", F.row_number().over(in_order))
-    longest = listed.agg(F.max("rank")).first()[0] or 0
-    out = (
+    lists = settled(_lists(once, policy), block_rows)
+    nowhere = F.lit(None).cast(once.schema["place"].dataType)
+    in_turn = F.aggregate(
+        "_short",
+        nowhere,
+        lambda at, r: F.when(at.isNotNull(), at).when(F.contains(F.col("_lowered"), r["lowered"]), r["place"]),
+    )
+    pattern = F.exists("_patterns", lambda p: F.rlike(F.col(text), F.concat(F.lit("(?iU)"), p)))
+    marked = (
         texts.withColumn("_lowered", F.lower(text))
-        .withColumn("keyword", F.lit(None).cast("string"))
-        .withColumn("pattern_match", F.lit(False))
+        .join(lists, policy, "left")
+        .withColumn("_at", in_turn)
+        .withColumn("pattern_match", F.coalesce(pattern, F.lit(False)))
+        .withColumn("_key", F.sha2("_lowered", 256))
+    )
+    found = _look_up(marked, settled(_index(once, policy), block_rows), policy)
+    path = scratch_path(texts.sparkSession, "rule-hits")
+    found.write.parquet(path)
+    hits = settled(texts.sparkSession.read.schema(found.schema).parquet(path), block_rows)
+    verified = F.filter(F.array_sort("_maybe"), lambda r: F.contains(F.col("_lowered"), r["lowered"]))
+    first = F.least("_at", "_best", F.get(verified, F.lit(0))["place"])
+    return (
+        marked.join(hits, [policy, "_key"], "left")
+        .withColumn("keyword", first["rule"])
+        .withColumn("verdict", G.rule_verdict(F.col("keyword"), F.col("pattern_match")))
+        .select(*texts.columns, "keyword", "pattern_match", "verdict")
+    )
+
+
+def _longest_word(text: Column) -> Column:
+    words = F.split(text, " ")
+    longest = F.array_max(F.transform(words, lambda w: F.struct(F.length(w), w.alias("word"))))
+    return longest["word"]
+
+
+def _runs(word: Column) -> Column:
+    """All runs of `GRAM` characters of a word that long; a long word is gone through by a
+    look-ahead, as each cut from a string counts its characters from the start."""
+    cuts = F.transform(
+        F.sequence(F.lit(1), F.length(word) - (GRAM - 1)),
+        lambda i: F.call_function("substring", word, i, F.lit(GRAM)),
     )
-    for start in range(1, longest + 1, block_rows):
-        part = listed.where(F.col("rank").between(start, start + block_rows - 1))
-        out = _join_lists(out, part, text, policy)
-    return out.withColumn(
-        "verdict", G.rule_verdict(F.col("keyword"), F.col("pattern_match"))
-    ).drop("_lowered")
+    ahead = F.regexp_extract_all(word, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1))
+    return F.when(F.length(word) > 16 * GRAM, ahead).otherwise(cuts)
 
 
-def _join_lists(texts: DataFrame, part: DataFrame, text: str, policy: str) -> DataFrame:
-    fits = is_small(part)
-    keyword = F.struct("rank", F.col("place.rule").alias("rule"), "lowered")
+def _lists(once: DataFrame, policy: str) -> DataFrame:
+    """One row a policy: keywords not in the index, in order; patterns; the first place in the index."""
     is_pattern = F.col("kind") == "pattern"
+    short = ~is_pattern & ~F.col("filed")
     alone = F.col("lowered").rlike(STANDS_ALONE)
     merged = F.array_join(
         F.collect_list(F.when(is_pattern & ~alone, F.concat(F.lit("(?:"), "lowered", F.lit(")")))), "|"
     )
-    lists = part.groupBy(policy).agg(
-        F.array_sort(F.collect_list(F.when(F.col("kind") == "keyword", keyword))).alias("_keywords"),
-        F.concat(
-            F.collect_list(F.when(is_pattern & alone, F.col("lowered"))), F.array(merged)
-        ).alias("_patterns"),
+    patterns = F.concat(F.collect_list(F.when(is_pattern & alone, F.col("lowered"))), F.array(merged))
+    return once.groupBy(policy).agg(
+        F.array_sort(F.collect_list(F.when(short, F.struct("place", "lowered")))).alias("_short"),
+        F.filter(patterns, lambda p: F.length(p) > 0).alias("_patterns"),
+        F.min(F.when(F.col("filed"), F.col("place"))).alias("_least"),
     )
-    first = F.filter("_keywords", lambda r: F.contains(F.col("_lowered"), r["lowered"]))
-    found = F.exists(
-        F.filter("_patterns", lambda p: F.length(p) > 0),
-        lambda p: F.rlike(F.col(text), F.concat(F.lit("(?iU)"), p)),
+
+
+def _index(once: DataFrame, policy: str) -> DataFrame:
+    """(policy, run, part, place, lowered): each keyword under the run that fewest keywords have."""
+    filed = once.where("filed").select(
+        policy, "place", "lowered", "part", F.explode(F.array_distinct(_runs(F.col("part")))).alias("run")
     )
-    return (
-        texts.join(F.broadcast(lists) if fits else lists, policy, "left")
-        .withColumn("keyword", F.coalesce("keyword", F.get(first, F.lit(0))["rule"]))
-        .withColumn("pattern_match", F.col("pattern_match") | F.coalesce(found, F.lit(False)))
-        .drop("_keywords", "_patterns")
+    sharing = Window.partitionBy(policy, "run")
+    counted = filed.withColumn("n", F.count(F.lit(1)).over(sharing))
+    return counted.groupBy(policy, "place", "lowered", "part").agg(F.min(F.struct("n", "run")).alias("rarest")).select(
+        F.col(policy), F.col("rarest.run").alias("run"), "part", "place", "lowered"
+    )
+
+
+def _look_up(marked: DataFrame, index: DataFrame, policy: str) -> DataFrame:
+    """(policy, _key, _best, _maybe): for texts with keywords of the index before the one at `_at`
+    the first of a single word, and those whose longest word alone is known to be there."""
+    undecided = F.col("_least").isNotNull() & (F.col("_at").isNull() | (F.col("_least") < F.col("_at")))
+    words = marked.where(undecided).select(
+        policy, "_key", "_at", F.explode(F.array_distinct(F.split("_lowered", " "))).alias("word")
+    )
+    runs = words.where(F.length("word") >= GRAM).withColumn("run", F.explode(_runs(F.col("word"))))
+    met = runs.join(index, [policy, "run"]).where(
+        (F.col("_at").isNull() | (F.col("place") < F.col("_at"))) & F.contains("word", F.col("part"))
+    )
+    single = F.col("part") == F.col("lowered")
+    return met.groupBy(policy, "_key").agg(
+        F.min(F.when(single, F.col("place"))).alias("_best"),
+        F.collect_set(F.when(~single, F.struct("place", "lowered"))).alias("_maybe"),
     )
