@@ -9,7 +9,7 @@ from palisade.catalog import views as V
 from palisade.catalog.registry import query
 from palisade.functions.formatting import rounded
 from palisade.operators import evaluation as E
-from palisade.plans.setups import Setup, reply_verdicts, setup_verdicts
+from palisade.plans.setups import Mask, Rules, Scrub, Vectors, reply_verdicts, setup_verdicts, vector_verdicts
 
 _r4 = "CAST(printf('%.4f', {0}) AS DOUBLE) AS {0}"
 _RATES = ", ".join(_r4.format(x) for x in ("accuracy", "precision", "recall", "f1", "avg_latency_ms"))
@@ -125,11 +125,15 @@ def report_lines(spark, folder):
     return E.report_lines(E.eval_metrics(verdicts), verdicts)
 
 
-# set-ups in the form they are benchmarked in: scrub first, then the rules
+# set-ups in the form they are benchmarked in: rules on scrubbed or masked text, vectors, all in turn
+_WORDS = tuple(V.SIGNAL_WORDS)
 _BENCH = {
-    "scrub+rules": ("bench", V.SIGNAL_WORDS, V.CODE_PATTERNS),
-    "mask+keywords": ("bench3", V.SIGNAL_WORDS, []),
-    "models+few": ("models", V.SIGNAL_WORDS[:4], []),
+    "scrub+rules": [Scrub("bench"), Rules(_WORDS, tuple(V.CODE_PATTERNS))],
+    "mask+keywords": [Scrub("bench3"), Rules(_WORDS)],
+    "models+few": [Scrub("models"), Rules(_WORDS[:4])],
+    "masked rules": [Mask(), Rules(_WORDS)],
+    "vectors": [Scrub("bench"), Vectors()],
+    "layered": [Mask(), Rules(_WORDS, tuple(V.CODE_PATTERNS)), Vectors()],
 }
 
 
@@ -137,39 +141,91 @@ def _bench_sql() -> str:
     from palisade.catalog.gate_queries import _any_pattern
 
     parts = []
-    for name, (profile, words, patterns) in _BENCH.items():
-        test = " OR ".join(f"contains(lower(s), '{w}')" for w in words)
-        if patterns:
-            test += " OR " + _any_pattern("s")
+    for name, steps in _BENCH.items():
+        text, tests = "text", []
+        for step in steps:
+            if isinstance(step, Scrub):
+                text = P.scrub_sql(step.profile)
+            elif isinstance(step, Mask):
+                text = P.masked_sql()
+            elif isinstance(step, Vectors):
+                tests.append(f"coalesce(similarity >= {step.threshold}, FALSE)")
+            else:
+                tests += [f"contains(lower(s), '{w}')" for w in step.keywords]
+                tests += [_any_pattern("s", step.patterns)] if step.patterns else []
         parts.append(
-            f"SELECT '{name}' AS setup, case_id, expected, latency_ms, ({test}) AS actual "
-            f"FROM (SELECT *, {P.scrub_sql(profile)} AS s FROM cases)"
+            f"SELECT '{name}' AS setup, case_id, expected, latency_ms, ({' OR '.join(tests)}) AS actual "
+            f"FROM (SELECT *, {text} AS s FROM scored_cases)"
         )
-    return V.CASES + ",\nverdicts AS (" + "\nUNION ALL\n".join(parts) + ")"
+    return V.SCORED_CASES + ",\nverdicts AS (" + "\nUNION ALL\n".join(parts) + ")"
 
 
 @query(f"""WITH {_bench_sql()}, {V.P95}, {V.counts_cte()}
 SELECT m.setup, total, tp, fn, fp, tn, {_RATES}, p95_latency_ms
 FROM metrics m LEFT JOIN p95 ON m.setup = p95.setup""")
 def setup_benchmark(spark, folder):
-    setups = {
-        name: Setup(words, patterns, profile)
-        for name, (profile, words, patterns) in _BENCH.items()
-    }
-    return E.rounded_metrics(E.eval_metrics(setup_verdicts(V.cases(spark, folder), setups)))
+    known = V.vectors(spark, folder).select(F.col("chunk_id").alias("case_id"), "vector")
+    cases = V.cases(spark, folder).join(known, "case_id", "left")
+    return E.rounded_metrics(E.eval_metrics(setup_verdicts(cases, _BENCH, V.topics(spark, folder))))
 
 
-@query(f"""WITH {V.MODEL_REPLIES},
+# models by their replies, and a similarity gate beside them
+@query(f"""WITH {V.MODEL_REPLIES}, {V.SCORED_CASES.removeprefix(V.CASES + ',')},
 judged AS (
-  SELECT *, reply IS NULL OR starts_with(reply, 'ERROR') AS failed,
+  SELECT setup, case_id, expected, latency_ms, reply IS NULL OR starts_with(reply, 'ERROR') AS failed,
          coalesce(NOT starts_with(reply, 'ERROR') AND contains(upper(reply), 'BLOCKED'), false) AS actual
-  FROM replies), {V.counts_cte('judged')}
+  FROM replies
+  UNION ALL
+  SELECT 'embeddings', case_id, expected, latency_ms, similarity IS NULL, coalesce(similarity >= 0.38, false)
+  FROM scored_cases), {V.counts_cte('judged')}
 SELECT m.setup, total, tp, fn, fp, tn, {_RATES},
        (SELECT count(*) FROM judged j WHERE j.setup = m.setup AND failed) AS errors
 FROM metrics m""")
 def model_benchmark(spark, folder):
-    counts = E.with_rates(E.confusion(reply_verdicts(V.model_replies(spark, folder))))
+    said = reply_verdicts(V.model_replies(spark, folder))
+    verdicts = said.unionByName(vector_verdicts(V.scored_cases(spark, folder)))
+    counts = E.with_rates(E.confusion(verdicts))
     rates = ("accuracy", "precision", "recall", "f1", "avg_latency_ms")
     return counts.select(
         "setup", "total", "tp", "fn", "fp", "tn", "errors", *[rounded(F.col(n), 4).alias(n) for n in rates]
     )
+
+
+_THRESHOLDS = [round(0.05 * i, 2) for i in range(15)]
+_SWEEP = f"""WITH {V.SCORED_CASES},
+grid(threshold) AS (VALUES {', '.join(f'(CAST({t} AS DOUBLE))' for t in _THRESHOLDS)}),
+judged AS (
+  SELECT lang, threshold, expected, coalesce(similarity >= threshold, FALSE) AS actual FROM scored_cases, grid),
+counts AS (
+  SELECT lang, threshold, count(*) AS total, count(*) FILTER (expected AND actual) AS tp,
+         count(*) FILTER (expected AND NOT actual) AS fn, count(*) FILTER (NOT expected AND actual) AS fp,
+         count(*) FILTER (NOT expected AND NOT actual) AS tn
+  FROM judged GROUP BY lang, threshold),
+rates AS (
+  SELECT *, (tp + tn) / total AS accuracy, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS precision,
+         CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS recall
+  FROM counts),
+swept AS (
+  SELECT *, CASE WHEN precision + recall = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM rates)"""
+_SWEPT = ", ".join(_r4.format(x) for x in ("accuracy", "precision", "recall", "f1"))
+
+
+def _swept(spark, folder):
+    return E.threshold_sweep(V.scored_cases(spark, folder), _THRESHOLDS, by="lang")
+
+
+def _shown_sweep(sweep):
+    rates = [rounded(F.col(n), 4).alias(n) for n in ("accuracy", "precision", "recall", "f1")]
+    return sweep.select("lang", "threshold", "total", "tp", "fn", "fp", "tn", *rates)
+
+
+@query(f"{_SWEEP} SELECT lang, threshold, total, tp, fn, fp, tn, {_SWEPT} FROM swept")
+def threshold_sweep(spark, folder):
+    """The similarity gate at fifteen thresholds per language, from one pass."""
+    return _shown_sweep(_swept(spark, folder))
+
+
+@query(f"""{_SWEEP} SELECT lang, threshold, total, tp, fn, fp, tn, {_SWEPT}
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY f1 DESC, threshold) AS rn FROM swept) WHERE rn = 1""")
+def best_threshold(spark, folder):
+    return _shown_sweep(E.best_threshold(_swept(spark, folder), by="lang"))

@@ -26,9 +26,9 @@ def _first_word(text: str, words=WORDS) -> str:
     return f"CASE {tests} END"
 
 
-def _any_pattern(text: str) -> str:
+def _any_pattern(text: str, patterns=tuple(V.CODE_PATTERNS)) -> str:
     return " OR ".join(
-        f"regexp_matches({text}, {P.quoted('(?i)' + P.unicode_classes(p))})" for p in V.CODE_PATTERNS
+        f"regexp_matches({text}, {P.quoted('(?i)' + P.unicode_classes(p))})" for p in patterns
     )
 
 
@@ -209,3 +209,49 @@ FROM layered GROUP BY source""")
 def gateway_summary(spark, folder):
     audited = _layered(spark, folder).withColumn("latency_ms", F.col("n_chars") / 100)
     return gate_summary(audited, "source")
+
+
+def _by_policy(of_policy, otherwise: str = "NULL") -> str:
+    tests = " ".join(f"WHEN '{p[0]}' THEN {of_policy(p)}" for p in V.POLICIES)
+    return f"CASE policy {tests} ELSE {otherwise} END"
+
+
+_TOPIC_ROWS = ", ".join(f"('{p[0]}', {i}, '{t}')" for p in V.POLICIES for i, t in enumerate(p[3]))
+POLICY_GATEWAY = f"""WITH {V.CENTROIDS},
+chosen AS (
+  SELECT doc_id, text, CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN 'gone' ELSE lang END AS policy
+  FROM documents),
+masked AS (SELECT doc_id, policy, {_by_policy(lambda p: P.masked_sql(p[5]))} AS scrubbed FROM chosen),
+ruled AS (
+  SELECT *, {_by_policy(lambda p: _first_word('scrubbed', p[1]) if p[1] else 'NULL')} AS kw,
+         {_by_policy(lambda p: _any_pattern('scrubbed', p[2]) if p[2] else 'FALSE', 'FALSE')} AS pat
+  FROM masked),
+checked AS (
+  SELECT *, CASE WHEN policy IS NULL OR policy NOT IN ({', '.join(f"'{p[0]}'" for p in V.POLICIES)})
+                 THEN 'ERROR (no policy)' ELSE {_verdict('kw', 'pat')} END AS keyword_check,
+         {_by_policy(lambda p: f'CAST({p[4]} AS DOUBLE)')} AS threshold
+  FROM ruled),
+policy_topics(policy, ord, topic) AS (VALUES {_TOPIC_ROWS}),
+scores AS (
+  SELECT c.doc_id, t.ord, t.topic, round(list_cosine_similarity(v.vector, q.vector), 12) AS similarity
+  FROM checked c JOIN corpus v ON c.doc_id = v.chunk_id JOIN policy_topics t ON t.policy = c.policy
+  JOIN centroids q ON 'topic ' || q.collection = t.topic),
+nearest AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, ord) = 1),
+audited AS (
+  SELECT c.*, CASE WHEN keyword_check = 'CLEAN' THEN {SEMANTIC.replace(str(THRESHOLD), 'threshold')} ELSE 'SKIPPED' END AS semantic_check
+  FROM checked c LEFT JOIN nearest n ON c.doc_id = n.doc_id),
+judged AS (
+  SELECT *, CASE WHEN keyword_check = 'CLEAN' THEN semantic_check ELSE keyword_check END AS final_verdict FROM audited)
+SELECT doc_id, policy AS policy_name, scrubbed, keyword_check, semantic_check, final_verdict,
+       starts_with(final_verdict, 'BLOCKED') AS blocked FROM judged"""
+
+
+@query(POLICY_GATEWAY)
+def policy_gateway(spark, folder):
+    """Every text by the policy it names: its own entities, rules, topics and threshold."""
+    topics = V.topics(spark, folder).select("topic", "vector")
+    out = gateway.policy_gateway(V.addressed_texts(spark, folder), V.policies(spark), topics)
+    return out.select(
+        "doc_id", "policy_name", "scrubbed", "keyword_check", "semantic_check", "final_verdict", "blocked"
+    )

@@ -111,8 +111,9 @@ def scrub_sql(profile: str, text: str = "text") -> str:
     return text
 
 
-def masked_sql() -> str:
-    """The entity mask; card numbers and IBANs are kept only with valid check digits."""
+def masked_sql(entities: list[str] | None = None) -> str:
+    """The entity mask, of all or some entities; card numbers and IBANs are kept only with valid
+    check digits."""
     digits = "regexp_replace(m, '[^0-9]', '', 'g')"
     doubled = f"CAST(substr({digits}, CAST(length({digits}) - i AS INTEGER), 1) AS INTEGER) * CASE WHEN i % 2 = 1 THEN 2 ELSE 1 END"
     luhn = (
@@ -127,6 +128,8 @@ def masked_sql() -> str:
     checks = {"CREDIT_CARD": luhn, "IBAN_CODE": iban}
     masked = "text"
     for name, p in ENTITY_PATTERNS.items():
+        if entities is not None and name not in entities:
+            continue
         found = _all(p.regex)
         if name in checks:
             found = f"list_filter({found}, lambda m: {checks[name]})"

@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.fixed_values import CALL_PRICES, TIER_PRICES
+from palisade.fixed_values import CALL_PRICES, DEFAULT_ENTITIES, TIER_PRICES
 from palisade.functions import scoring as S
 from palisade.functions.redaction import DEFAULT_REGISTRY, with_pattern
+from palisade.operators.semantic import best_topic
 from palisade.plans.setups import Setup, setup_verdicts
+from palisade.sources import schemas
 
 # Words that mark the toxic documents.
 SIGNAL_WORDS = [
@@ -57,6 +59,12 @@ def verdicts(spark, folder) -> DataFrame:
     return setup_verdicts(cases(spark, folder).drop("source", "lang"), SETUPS)
 
 
+def scored_cases(spark, folder) -> DataFrame:
+    """The cases with the vector of the same id and its similarity to the nearest topic."""
+    known = vectors(spark, folder).select(F.col("chunk_id").alias("case_id"), "vector")
+    return best_topic(cases(spark, folder).join(known, "case_id", "left"), topics(spark, folder))
+
+
 CASES = """cases AS (
   SELECT d.doc_id AS case_id, d.text, l.toxic = 1 AS expected,
          d.n_chars / 100.0 AS latency_ms, d.source, d.lang
@@ -398,6 +406,33 @@ best AS (
   WHERE rn = 1)"""
 
 
+SCORED_CASES = CASES + ",\n" + BEST_TOPIC + """,
+scored_cases AS (SELECT c.*, b.similarity FROM cases c LEFT JOIN best b ON c.case_id = b.chunk_id)"""
+
+
+# --- policies ---------------------------------------------------------------------
+
+# (name, keywords, patterns, topics, threshold, entities): one policy a language
+POLICIES = [
+    ("en", SIGNAL_WORDS[:5], CODE_PATTERNS, ["topic 0", "topic 1", "topic 2", "topic 3"], 0.3, DEFAULT_ENTITIES),
+    ("fr", SIGNAL_WORDS[5:], [], ["topic 3", "topic 4", "topic 5"], 0.25, ["EMAIL_ADDRESS", "IP_ADDRESS"]),
+    ("de", ["zu klein", "und der"], CODE_PATTERNS[:1], ["topic 8", "topic 7", "topic 6"], 0.2, ["CREDIT_CARD"]),
+    ("es", [], [], [], 0.3, []),
+]
+
+
+def policies(spark, rows=POLICIES) -> DataFrame:
+    return spark.createDataFrame(rows, schemas.POLICY)
+
+
+def addressed_texts(spark, folder) -> DataFrame:
+    """Texts with the policy they name, some none and some an unknown one, and their vectors."""
+    n = F.col("doc_id")
+    named = F.when(n % 11 == 0, F.lit(None)).when(n % 13 == 0, F.lit("gone")).otherwise(F.col("lang"))
+    known = vectors(spark, folder).select(F.col("chunk_id").alias("doc_id"), "vector")
+    return table(spark, folder, "documents").select("doc_id", "text", named.alias("policy_name")).join(known, "doc_id", "left")
+
+
 # --- pages and chunks -------------------------------------------------------------
 
 # every character Python's strip removes

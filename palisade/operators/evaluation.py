@@ -127,6 +127,57 @@ def select_setups(verdicts: DataFrame, wanted: list[str] | None, skipped: list[s
     return out.where(~F.col("setup").isin(skipped)) if skipped else out
 
 
+def threshold_sweep(scored: DataFrame, thresholds: list[float], by: str = "setup", score: str = "similarity") -> DataFrame:
+    """Counts and rates at every threshold, from one pass over (by, expected, score).
+
+    A case is counted once, in the bin between the thresholds its score lies between, with a null
+    score below all; summing the bins from the highest down gives what each threshold blocks.  At a
+    threshold is blocked; there are as many rows per group as thresholds, and never more cases in
+    a task than one batch.  Cases without `expected` do not count.
+    """
+    steps = sorted(set(thresholds))
+    if not steps:
+        raise ValueError("a sweep needs a threshold")
+    limits = F.array(*[F.lit(float(t)) for t in steps])
+    passed = F.coalesce(F.size(F.filter(limits, lambda t: t <= F.col(score))), F.lit(0))
+    rows = scored.where("expected is not null")
+    bins = rows.groupBy(by, F.when(F.col(score).isNull(), 0).otherwise(passed).alias("_bin")).agg(
+        F.count_if("expected").alias("_bad"), F.count_if(~F.col("expected")).alias("_good")
+    )
+    # every threshold has its row, also where no score lies between it and the next
+    every = bins.select(by).distinct().select(by, F.explode(F.sequence(F.lit(0), F.lit(len(steps)))).alias("_bin"))
+    empty = every.withColumns({"_bad": F.lit(0).cast("long"), "_good": F.lit(0).cast("long")})
+    summed = bins.unionByName(empty).groupBy(by, "_bin").agg(F.sum("_bad").alias("_bad"), F.sum("_good").alias("_good"))
+    whole = Window.partitionBy(by)
+    above = whole.orderBy(F.desc("_bin"))
+    counts = summed.select(
+        by,
+        "_bin",
+        F.sum("_bad").over(above).alias("tp"),
+        F.sum("_good").over(above).alias("fp"),
+        F.sum("_bad").over(whole).alias("_all_bad"),
+        F.sum("_good").over(whole).alias("_all_good"),
+    ).where("_bin > 0")
+    return with_rates(
+        counts.select(
+            by,
+            F.get(limits, F.col("_bin") - 1).alias("threshold"),
+            (F.col("_all_bad") + F.col("_all_good")).alias("total"),
+            "tp",
+            (F.col("_all_bad") - F.col("tp")).alias("fn"),
+            "fp",
+            (F.col("_all_good") - F.col("fp")).alias("tn"),
+            (F.col("tp") + F.col("_all_good") - F.col("fp")).alias("correct"),
+        )
+    )
+
+
+def best_threshold(sweep: DataFrame, by: str = "setup") -> DataFrame:
+    """The row of the highest F1 of each group; ties go to the lowest threshold."""
+    order = Window.partitionBy(by).orderBy(F.desc("f1"), "threshold")
+    return sweep.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+
+
 def summary_export(metrics: DataFrame) -> DataFrame:
     """The summary table as text, rates to four places and latencies to one."""
     return metrics.select(

@@ -137,23 +137,36 @@ def compare_blocks(k: int, metric: str):
     return compare
 
 
-def best_topic_of(topic_names: list[str], topic_rows: np.ndarray):
-    """An Arrow function: vector column -> (similarity, topic) of its nearest topic."""
-    topics = unit(topic_rows)
+def best_topic_of(segments: list[str], topic_names: list[str], topic_rows: np.ndarray):
+    """An Arrow function: (segment, vector) columns -> (similarity, topic) of the segment's
+    nearest topic; the rows of a batch meet each segment's matrix once."""
+    members: dict = {}
+    for i, segment in enumerate(segments):
+        members.setdefault(segment, []).append(i)
+    names = pa.array(topic_names, type=pa.string())
+    topics = {segment: (np.array(rows), unit(topic_rows[rows])) for segment, rows in members.items()}
 
-    def score(vectors: pa.Array) -> pa.Array:
+    def score(asked: pa.Array, vectors: pa.Array) -> pa.Array:
         size = len(vectors)
-        present = np.asarray(vectors.is_valid())
         similarity = np.zeros(size)
         which = np.zeros(size, dtype=np.int64)
-        if present.any():
+        absent = np.ones(size, dtype=bool)
+        present = np.flatnonzero(np.asarray(vectors.is_valid()))
+        if len(present):
             rows = unit(matrix(vectors.drop_null()))
-            scores = np.round(rows @ topics.T, 12)
-            which[present] = scores.argmax(axis=1)
-            similarity[present] = scores.max(axis=1)
-        names = pa.array(topic_names, type=pa.string()).take(pa.array(which, mask=~present))
+            groups = asked.take(pa.array(present)).dictionary_encode()
+            codes = np.asarray(groups.indices.fill_null(-1))
+            for code, segment in enumerate(groups.dictionary.to_pylist()):
+                if segment in topics:
+                    numbers, matrix_of = topics[segment]
+                    here = codes == code
+                    scores = np.round(rows[here] @ matrix_of.T, 12)
+                    at = present[here]
+                    which[at] = numbers[scores.argmax(axis=1)]
+                    similarity[at] = scores.max(axis=1)
+                    absent[at] = False
         return pa.StructArray.from_arrays(
-            [pa.array(similarity, mask=~present), names],
+            [pa.array(similarity, mask=absent), names.take(pa.array(which, mask=absent))],
             names=["similarity", "topic"],
         )
 

@@ -3,7 +3,7 @@ but the two reports that group."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palisade.fixed_values import (
@@ -123,17 +123,25 @@ def scrub(
 
 def mask_entities(
     df: DataFrame,
-    entities: list[str] = DEFAULT_ENTITIES,
+    entities: list[str] | Column = DEFAULT_ENTITIES,
     labels: dict[str, str] = ENTITY_LABELS,
     text: str = "text",
     out: str = "masked",
 ) -> DataFrame:
     """Replace the policy's structured entities by their labels; card numbers and
-    IBANs must pass their check digits.  Only the listed entities are looked for."""
-    wanted = [p for name, p in R.ENTITY_PATTERNS.items() if name in entities]
+    IBANs must pass their check digits.  Only the listed entities are looked for: one list
+    for all rows, or a column holding each row's own."""
+    own = isinstance(entities, Column)
+    wanted = [p for name, p in R.ENTITY_PATTERNS.items() if own or name in entities]
     if not wanted:
         return df.withColumn(out, F.col(text))
-    found = df.withColumn("_hits", R.find_hits(F.col(text), wanted))
+    none = F.array().cast("array<string>")
+
+    def find(p: R.Pattern) -> Column:
+        found = R.find_all(F.col(text), p)
+        return F.when(F.array_contains(entities, p.label), found).otherwise(none) if own else found
+
+    found = df.withColumn("_hits", F.struct(*[find(p).alias(p.label) for p in wanted]))
     masked = R.replace_generic(
         F.col(text), F.col("_hits"), wanted, lambda x: labels.get(x, DEFAULT_ENTITY_LABEL)
     )
