@@ -162,18 +162,55 @@ def read_summary(spark, folder):
     return readers.read_summary(spark, path)
 
 
-@query("""SELECT collection, CAST(count(*) AS BIGINT) AS n, CAST(printf('%.6f', sum(x)) AS DOUBLE) AS total
-FROM (SELECT label AS collection, CAST(embedding[1] AS DOUBLE) AS x FROM embeddings) GROUP BY collection""")
-def vector_store(spark, folder):
-    """Vectors appended in two loads, the second only with what the first left out."""
-    path = scratch_path(spark, "vectors")
+def _vector_loads(spark, folder, path):
+    """Three loads: half of the chunks, then what was left out, then edited versions of every fifth."""
     chunks = V.chunk_texts(spark, folder)
     half = chunks.where(F.col("chunk_id") % 2 == 0)
     writers.append_vectors(half.withColumn("text_hash", F.sha2("text", 256)), path)
-    stored = spark.read.parquet(path)
-    pending = retrieval.embed_pending(chunks, stored)
-    writers.append_vectors(pending, path)
-    loaded = spark.read.parquet(path).withColumn("x", F.get("vector", F.lit(0)).cast("double"))
-    return loaded.groupBy("collection").agg(
+    writers.append_vectors(retrieval.embed_pending(chunks, readers.read_vectors(spark, path)), path)
+    mirrored = F.transform("vector", lambda x: -x)
+    edited = F.col("chunk_id") % 5 == 0
+    changed = chunks.withColumn("text", F.when(edited, F.concat("text", F.lit(" (edited)"))).otherwise(F.col("text")))
+    changed = changed.withColumn("vector", F.when(edited, mirrored).otherwise(F.col("vector")))
+    writers.append_vectors(retrieval.embed_pending(changed, readers.read_vectors(spark, path)), path)
+
+
+_STORED = """SELECT vec_id AS chunk_id, label AS collection, vec_id % 5 = 0 AS edited,
+  CASE WHEN vec_id % 5 = 0 THEN 3 WHEN vec_id % 2 = 0 THEN 1 ELSE 2 END AS load,
+  CASE WHEN vec_id % 5 = 0 THEN list_transform(CAST(embedding AS DOUBLE[]), lambda x: -x)
+       ELSE CAST(embedding AS DOUBLE[]) END AS vector FROM embeddings"""
+
+
+@query(f"""SELECT collection, load, CAST(count(*) AS BIGINT) AS n, CAST(printf('%.6f', sum(vector[1])) AS DOUBLE) AS total
+FROM ({_STORED}) GROUP BY collection, load""")
+def vector_store(spark, folder):
+    """Vectors appended in three loads, each only with what is not stored as it is now; what was
+    edited is read in its last version, here from a compacted copy of the store."""
+    path, compacted = scratch_path(spark, "vectors"), scratch_path(spark, "vectors-compacted")
+    _vector_loads(spark, folder, path)
+    writers.compact_vectors(spark, path, compacted)
+    loaded = readers.read_vectors(spark, compacted).withColumn("x", F.get("vector", F.lit(0)).cast("double"))
+    return loaded.groupBy("collection", "load").agg(
         F.count("*").alias("n"), rounded(F.sum("x"), 6).alias("total")
     )
+
+
+@query(f"""WITH {V.CENTROIDS},
+stored AS ({_STORED}),
+pairs AS (
+  SELECT q.collection, 'Q' || (q.collection % 3 + 1) AS query_id, s.chunk_id, s.edited, s.load,
+         round(list_distance(q.vector, s.vector) ** 2, 12) AS exact
+  FROM centroids q JOIN stored s ON q.collection = s.collection)
+SELECT collection, query_id, CAST(rank AS INTEGER) AS rank, chunk_id, CAST(printf('%.4f', exact) AS DOUBLE) AS distance, edited, load
+FROM (SELECT *, row_number() OVER (PARTITION BY collection, query_id ORDER BY exact, chunk_id) AS rank FROM pairs)
+WHERE rank <= 40""")
+def retrieve_edited(spark, folder):
+    """Retrieval from a store with edited chunks: each chunk once, in its last version."""
+    path = scratch_path(spark, "vectors")
+    _vector_loads(spark, folder, path)
+    stored = readers.read_vectors(spark, path)
+    top = retrieval.retrieve_topk(V.questions(spark, folder), stored, k=40)
+    marked = stored.withColumn("edited", F.endswith("text", F.lit(" (edited)")))
+    return retrieval.with_chunk_text(top, marked).select(
+        "collection", "query_id", "rank", "chunk_id", "distance", "edited", "load"
+    )

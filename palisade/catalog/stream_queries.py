@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from palisade.catalog import patterns_sql as P
 from palisade.catalog import views as V
+from palisade.catalog.gate_queries import POLICY_GATEWAY
 from palisade.catalog.registry import query
 from palisade.catalog.text_queries import TRIPLE_LOCK
 from palisade.functions.redaction import find_hits
 from palisade.plans.gateway import display_rows
 from palisade.session import scratch_path
+from palisade.sources import writers
 from palisade.streaming import drift, gateway, telemetry
 
 
@@ -73,3 +75,25 @@ SELECT model, strftime(d, '%Y-%m-%d') AS day, CAST(printf('%.6f', m) AS DOUBLE)
 def score_drift(spark, folder):
     scores = V.runs(spark, folder).select("ts", "model", F.col("final_score").alias("score"))
     return drift.score_drift(scores)
+
+
+@query(POLICY_GATEWAY.replace("SELECT doc_id, policy AS policy_name", "SELECT 2 AS policy_version, doc_id, policy AS policy_name"))
+def stream_policy_gateway(spark, folder):
+    """The policy gateway on a stream, under the second of two versions of the policy table."""
+    versions = scratch_path(spark, "policy-versions")
+    lax = [(name, [], [], topics, 2.0, entities) for name, _, _, topics, _, entities in V.POLICIES]
+    writers.append_policies(V.policies(spark, lax), versions, 1)
+    writers.append_policies(V.policies(spark), versions, 2)
+    n = F.col("doc_id")
+    named = F.when(n % 11 == 0, F.lit(None)).when(n % 13 == 0, F.lit("gone")).otherwise(F.col("lang"))
+    known = V.vectors(spark, folder).select(F.col("chunk_id").alias("doc_id"), "vector")
+    texts = _stream(spark, folder, "documents").select("doc_id", "text", named.alias("policy_name"))
+    topics = V.topics(spark, folder).select("topic", "vector")
+    path = scratch_path(spark, "gated")
+    run = gateway.stream_policies(
+        texts.join(known, "doc_id", "left"), versions, topics, path, scratch_path(spark, "gated-state")
+    )
+    run.awaitTermination()
+    return spark.read.parquet(path).select(
+        "doc_id", "policy_name", "policy_version", "scrubbed", "keyword_check", "semantic_check", "final_verdict", "blocked"
+    )

@@ -8,6 +8,7 @@ import uuid
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A dimension is only ever shipped whole to executors below this many rows.
 DIMENSION_ROWS = 20_000
@@ -49,7 +50,15 @@ def settled(df: DataFrame, rows: int = DIMENSION_ROWS) -> DataFrame:
 
     Should it turn out larger than `rows`, it comes back as it was, for a shuffled join.
     """
-    held = df.limit(rows + 1).toArrow()
+    # A null struct of fields that are never null is not to be had in Arrow.
+    loose = df.select(*[F.col(f"`{f.name}`").cast(_nullable(f.dataType)).alias(f.name) for f in df.schema])
+    held = loose.limit(rows + 1).toArrow()
     if held.num_rows > rows:
         return df
-    return F.broadcast(df.sparkSession.createDataFrame(held, schema=df.schema))
+    return F.broadcast(df.sparkSession.createDataFrame(held, schema=loose.schema))
+
+
+def _nullable(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind])
+    return T.ArrayType(_nullable(kind.elementType)) if isinstance(kind, T.ArrayType) else kind

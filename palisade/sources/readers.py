@@ -8,12 +8,13 @@ import re
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palisade.fixed_values import DEFAULT_ENTITIES, DEFAULT_THRESHOLD, DEFAULT_TOPICS, LAB_KEYWORDS, RULE_PATTERNS
 from palisade.functions.scoring import run_stamp
 from palisade.functions.text import strip
+from palisade.session import settled
 from palisade.sources import schemas
 
 RUN_NAMES = {"Final Score": "final_score"}
@@ -124,6 +125,22 @@ def load_policies(spark: SparkSession, path: str) -> DataFrame:
     return with_policy_defaults(texts.select(F.inline(parsed)))
 
 
+def policy_versions(spark: SparkSession, path: str) -> DataFrame:
+    """Every row of a versioned policy table (`writers.append_policies`) with its `version`."""
+    return spark.read.schema(schemas.POLICY + ", version BIGINT").json(path)
+
+
+def policies_at(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The policies in force at a version, the latest if none is named: of each name the rows of
+    its greatest version up to that one, with defaults for missing fields."""
+    rows = policy_versions(spark, path)
+    if version is not None:
+        rows = rows.where(F.col("version") <= version)
+    newest = Window.partitionBy("policy_name").orderBy(F.desc("version"))
+    in_force = rows.withColumn("_rank", F.rank().over(newest)).where("_rank = 1")
+    return with_policy_defaults(in_force)
+
+
 def with_policy_defaults(raw: DataFrame) -> DataFrame:
     """Rules default to none; topics, threshold and entities to the built-in ones."""
     nothing = F.array().cast("array<string>")
@@ -176,6 +193,24 @@ def pick_documents(registry: DataFrame, ids: list[str]) -> DataFrame:
     return picked
 
 
+def read_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """The vector store as it stands: of every (collection, chunk_id) the version of the latest load.
+
+    Only ids and load numbers are grouped; the chunks themselves stay where they are and lose what
+    is superseded in a join with the few ids that were loaded more than once.
+    """
+    stored = spark.read.parquet(path)
+    keys = ["collection", "chunk_id"]
+    again = (
+        stored.groupBy(*keys)
+        .agg(F.max("load").alias("_latest"), F.min("load").alias("_first"))
+        .where("_latest > _first")
+        .drop("_first")
+    )
+    versions = stored.join(settled(again), keys, "left")
+    return versions.where(F.col("_latest").isNull() | (F.col("load") == F.col("_latest"))).drop("_latest")
+
+
 def read_retrieval_results(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     return spark.read.schema(schemas.RETRIEVAL_RESULT).option("multiLine", multi_line).json(path)
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palisade.sources.readers import read_vectors
+
 
 def write_runs(runs: DataFrame, path: str) -> None:
     """Add one folder of CSVs per run; fails rather than touch a run that is there."""
@@ -46,9 +48,33 @@ def write_json_by_document(df: DataFrame, path: str, buckets: int = 64) -> None:
     df.withColumn("bucket", bucket).repartition("bucket").write.mode("error").partitionBy("bucket").json(path)
 
 
-def append_vectors(chunks: DataFrame, path: str) -> None:
-    """Append embedded chunks to the collection folders they belong to."""
-    chunks.write.mode("append").partitionBy("collection").parquet(path)
+def append_vectors(chunks: DataFrame, path: str) -> int:
+    """Append embedded chunks as one load to the collection folders they belong to, and give its
+    number.  A chunk whose id is stored already becomes its next version: readers take the latest
+    (`readers.read_vectors`).  Loads are appended by one writer at a time."""
+    spark = chunks.sparkSession
+    try:
+        last = spark.read.parquet(path).agg(F.max("load")).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        last = None
+    load = 1 if last is None else last + 1
+    numbered = chunks.drop("load").withColumn("load", F.lit(load))
+    numbered.write.mode("append").partitionBy("load", "collection").parquet(path)
+    return load
+
+
+def compact_vectors(spark: SparkSession, path: str, target: str) -> None:
+    """Write the latest version of every chunk to a new store, each in the load it came with, so
+    that later loads may be appended there.  Superseded versions are left behind."""
+    current = read_vectors(spark, path)
+    current.write.mode("error").partitionBy("load", "collection").parquet(target)
+
+
+def append_policies(policies: DataFrame, path: str, version: int) -> None:
+    """Add a version of the policy table, a folder of its own; fails if the version is there."""
+    policies.write.mode("error").json(f"{path}/version={version}")
 
 
 def append_blueprints(blueprints: DataFrame, path: str) -> None:

@@ -8,7 +8,7 @@ from palisade.fixed_values import BENCH_KEYWORDS, RULE_PATTERNS
 from palisade.operators import evaluation as E
 from palisade.operators.ordering import best_so_far, running_total, value_at_rank
 from palisade.operators.runs import pareto_frontier
-from palisade.plans.setups import Setup, setup_verdicts
+from palisade.plans.setups import Mask, Rules, Scrub, Setup, Vectors, setup_verdicts, vector_verdicts
 
 VERDICT = "setup string, case_id long, text string, expected boolean, actual boolean, latency_ms double, error string"
 
@@ -119,3 +119,59 @@ def test_pareto_keeps_duplicates(spark):
 def test_best_so_far(spark):
     df = spark.createDataFrame([(float(k), float(v)) for k, v in [(1, 3), (2, 3), (3, 4), (4, 1)]], "k double, v double")
     assert sorted(r["k"] for r in best_so_far(df, "k", "v").collect()) == [1.0, 3.0]
+
+
+def test_setups_share_their_first_steps(spark, cases):
+    """Masked, vector and layered set-ups; each text step is one column, computed once."""
+    with_vectors = cases.withColumn("vector", F.array((F.col("case_id") % 3).cast("double"), F.lit(1.0)))
+    with_vectors = with_vectors.withColumn("vector", F.when(F.col("case_id") != 5, F.col("vector")))
+    topics = spark.createDataFrame([(0, "t", [1.0, 0.0])], "ord int, topic string, vector array<double>")
+    words = tuple(BENCH_KEYWORDS)
+    setups = {
+        "rules": [Scrub("bench"), Rules(words, tuple(RULE_PATTERNS))],
+        "vectors": [Scrub("bench"), Vectors(0.8)],
+        "layered": [Mask(), Rules(words), Vectors(0.8)],
+        "masked": [Mask(), Scrub("bench"), Rules(words)],
+        "open": [],
+    }
+    out = setup_verdicts(with_vectors, setups, topics)
+    got = {(r["setup"], r["case_id"]): r["actual"] for r in out.collect()}
+    assert len(got) == 5 * 60
+    near = {i: i != 5 and i % 3 == 2 for i in range(60)}
+    assert all(got["vectors", i] == near[i] for i in range(60))
+    assert all(got["layered", i] == (got["masked", i] or near[i]) for i in range(60))
+    assert not any(got["open", i] for i in range(60))
+    rates = {r["setup"]: r for r in E.rounded_metrics(E.eval_metrics(out)).collect()}
+    assert (rates["rules"]["fn"], rates["rules"]["fp"]) == (12, 1)
+    # two scrubs would show as two copies of a pattern in the plan; a mask is found once for two set-ups
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("luhn_check") == 1 or plan.count("isValidLuhn") <= 1
+    with pytest.raises(ValueError):
+        setup_verdicts(with_vectors, setups)
+
+
+def test_threshold_sweep_against_each_threshold_alone(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice("ab"), rng.choice([True, False, None]), rng.choice([None, 0.2, 0.5, rng.random()])) for _ in range(400)]
+    rows.append(("only", True, None))
+    df = spark.createDataFrame(rows, "setup string, expected boolean, similarity double")
+    limits = [0.0, 0.2, 0.5, 0.5, 0.77, 2.0]
+    got = {(r["setup"], r["threshold"]): r for r in E.threshold_sweep(df, limits).collect()}
+    assert len(got) == 3 * 5
+    for (name, t), r in got.items():
+        mine = [(e, s is not None and s >= t) for n, e, s in rows if n == name and e is not None]
+        count = lambda *x: sum(y == x for y in mine)
+        assert (r["tp"], r["fn"], r["fp"], r["tn"]) == (count(True, True), count(True, False), count(False, True), count(False, False))
+    best = {r["setup"]: r for r in E.best_threshold(E.threshold_sweep(df, limits)).collect()}
+    assert best["a"]["f1"] == max(r["f1"] for (n, _), r in got.items() if n == "a") and best["only"]["threshold"] == 0.0
+    with pytest.raises(ValueError):
+        E.threshold_sweep(df, [])
+
+
+def test_vector_contender_beside_models(spark):
+    df = spark.createDataFrame(
+        [(0, "t", True, 1.0, 0.38), (1, "t", True, 1.0, 0.3799), (2, "t", False, 1.0, None)],
+        "case_id long, text string, expected boolean, latency_ms double, similarity double",
+    )
+    out = vector_verdicts(df).orderBy("case_id").collect()
+    assert [r["actual"] for r in out] == [True, False, False] and [r["error"] is None for r in out] == [True, True, False]

@@ -8,7 +8,9 @@ from palisade.fixed_values import BENCH_KEYWORDS, LAB_KEYWORDS, POLICY_FILE_KEYW
 from palisade.functions import gates as G
 from palisade.operators import rules
 from palisade.operators.semantic import best_topic, semantic_gate
+from palisade.plans import gateway
 from palisade.plans.gateway import layered_gate, secure_gateway
+from palisade.sources import schemas
 
 
 def verdict(df, keywords=LAB_KEYWORDS, patterns=RULE_PATTERNS, **options):
@@ -158,3 +160,83 @@ def test_expected_flag_on_labelled_cases(spark):
     flagged = [r["f"] for r in df.select(G.expected_flag(F.col("text")).alias("f")).collect()]
     assert flagged == ["Icarus" in t or "layoff" in t.lower() for t, _ in LABELLED_CASES]
     assert len(BENCH_KEYWORDS) == 16
+
+
+def test_rule_index_on_long_words_and_phrases(spark):
+    """Phrases, keywords cut by spaces, very long words, characters beyond the basic plane."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcé😀") for _ in range(n))
+    texts = [" ".join(word(rng.randint(1, 9)) for _ in range(rng.randint(0, 30))) for _ in range(150)]
+    texts += [word(30_000), word(70) + "  " + word(3), "", " ", None]
+    listed = []
+    for _ in range(120):
+        source = rng.choice([t for t in texts if t])
+        at = rng.randrange(len(source))
+        listed.append(source[at : at + rng.randint(1, 14)])
+    listed = [w for w in dict.fromkeys(listed) if w]
+    rng.shuffle(listed)
+    table = spark.createDataFrame(
+        [("p", "keyword", i, w) for i, w in enumerate(listed)], "policy_name string, kind string, ord int, rule string"
+    )
+    df = spark.createDataFrame([(i, t, "p") for i, t in enumerate(texts)], "doc_id int, text string, policy_name string")
+    want = [next((w for w in listed if t and w.lower() in t.lower()), None) for t in texts]
+    for few in (1, 20_000):
+        out = rules.rule_join(df, table, block_rows=few).orderBy("doc_id").collect()
+        assert [r["keyword"] for r in out] == want
+    # most keywords are found through the index: those before any short one that is there
+    assert sum(len(w or "") >= rules.GRAM for w in want) > 10
+
+
+POLICY_ROWS = [
+    ("a", ["secret plan", "Zeta"], [r"id-\d+"], ["north", "south"], 0.9, ["EMAIL_ADDRESS"]),
+    ("a", [], [], [], 0.5, ["IP_ADDRESS"]),
+    ("b", [], [], ["south"], 0.2, []),
+    ("c", ["zebra"], [], [], 0.0, ["EMAIL_ADDRESS", "US_SSN"]),
+    (None, ["x"], ["x"], ["north"], 0.1, ["EMAIL_ADDRESS"]),
+]
+ADDRESSED = [
+    (0, "a", "mail x@y.zz from 1.2.3.4", [1.0, 0.0]), (1, "a", "the SECRET plan", [1.0, 0.0]), (2, "a", "see ID-12", [0.0, 1.0]),
+    (3, "a", "calm", [1.0, 1.0]), (4, "a", "calm", [-1.0, 0.1]), (5, "b", "x@y.zz zeta", [1.0, 1.0]), (6, "b", "calm", [1.0, 0.0]),
+    (7, "c", "x@y.zz 123-45-6789", [1.0, 0.0]), (8, "c", "a Zebra", None), (9, "b", None, None), (10, None, "x x@y.zz", [1.0, 0.0]),
+    (11, "gone", "x", [1.0, 0.0]), (0, "a", "zeta", None),
+]
+
+
+@pytest.mark.parametrize("few", [20_000, 0])
+def test_policy_gateway(spark, monkeypatch, few):
+    if not few:
+        # everything too large to send: joins by shuffle, topics block by block
+        monkeypatch.setattr("palisade.operators.semantic.ship", lambda df, rows: None)
+        monkeypatch.setattr("palisade.plans.gateway.settled", lambda df: df)
+    policies = spark.createDataFrame(POLICY_ROWS, schemas.POLICY)
+    texts = spark.createDataFrame(ADDRESSED, "doc_id int, policy_name string, text string, vector array<double>")
+    topics = spark.createDataFrame([("north", [1.0, 0.0]), ("south", [0.0, 1.0])], "topic string, vector array<double>")
+    out = gateway.policy_gateway(texts, policies, topics, fail_closed=True)
+    rows = sorted((r["doc_id"], r["final_verdict"], r["scrubbed"], r["blocked"]) for r in out.collect() if r["doc_id"] < 9)
+    assert rows == [
+        (0, "BLOCKED (keyword: 'Zeta')", "zeta", True),
+        (0, "BLOCKED (similarity: 1.00, topic: 'north')", "mail [EMAIL_REDACTED] from [PII_REDACTED]", True),
+        (1, "BLOCKED (keyword: 'secret plan')", "the SECRET plan", True),
+        (2, "BLOCKED (pattern match)", "see ID-12", True),
+        (3, "BLOCKED (similarity: 0.71, topic: 'north')", "calm", True),
+        (4, "CLEAN (max similarity: 0.10)", "calm", False),
+        (5, "BLOCKED (similarity: 0.71, topic: 'south')", "x@y.zz zeta", True),
+        (6, "CLEAN (max similarity: 0.00)", "calm", False),
+        (7, "SKIP (embeddings unavailable)", rows[8][2], True),
+        (8, "BLOCKED (keyword: 'zebra')", "a Zebra", True),
+    ]
+    assert "x@y.zz" not in rows[8][2] and "6789" not in rows[8][2]
+    rest = {r["doc_id"]: r for r in out.collect() if r["doc_id"] > 8}
+    assert rest[9]["final_verdict"] == "SKIP (embeddings unavailable)"
+    for i in (10, 11):
+        assert (rest[i]["final_verdict"], rest[i]["scrubbed"], rest[i]["blocked"]) == (gateway.NO_POLICY, None, True)
+    lenient = gateway.policy_gateway(texts, policies, topics, gate_on="raw").where("doc_id in (0, 7, 10)").collect()
+    assert {(r["doc_id"], r["blocked"]) for r in lenient} == {(0, True), (7, False), (10, False)}
+
+
+def test_policy_gateway_without_policies(spark):
+    texts = spark.createDataFrame(ADDRESSED, "doc_id int, policy_name string, text string, vector array<double>")
+    topics = spark.createDataFrame([], "topic string, vector array<double>")
+    out = gateway.policy_gateway(texts, spark.createDataFrame([], schemas.POLICY), topics).collect()
+    assert len(out) == len(ADDRESSED) and {r["final_verdict"] for r in out} == {gateway.NO_POLICY}
+    assert gateway.policy_gateway(texts.limit(0), spark.createDataFrame(POLICY_ROWS, schemas.POLICY), topics).count() == 0

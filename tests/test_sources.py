@@ -3,11 +3,13 @@ import os
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from palisade.fixed_values import DEFAULT_TOPICS
+from palisade.operators.retrieval import retrieve_topk
 from palisade.operators.scrub import redact
 from palisade.plans.gateway import triple_lock
-from palisade.sources import readers, writers
+from palisade.sources import readers, schemas, writers
 from palisade.streaming import gateway, telemetry
 
 HEADER = "Model,Logic,Correctness,Final Score,Cost,Latency\n"
@@ -143,3 +145,36 @@ def test_telemetry_over_several_batches(spark, tmp_path):
 def test_null_text_passes_through(spark):
     df = spark.createDataFrame([(1, None)], "doc_id int, text string")
     assert redact(df).first()["clean_text"] is None
+
+
+def test_policies_by_version(spark, tmp_path):
+    path = str(tmp_path / "policies")
+    make = lambda *rows: spark.createDataFrame([(n, [k], None, None, None, None) for n, k in rows], schemas.POLICY)
+    writers.append_policies(make(("a", "one"), ("b", "two")), path, 3)
+    writers.append_policies(make(("a", "three")), path, 10)
+    words = lambda v: sorted((r["policy_name"], r["keyword_rules"][0]) for r in readers.policies_at(spark, path, v).collect())
+    assert words(3) == words(9) == [("a", "one"), ("b", "two")]
+    assert words(None) == words(10) == [("a", "three"), ("b", "two")]
+    assert words(2) == []
+    assert readers.policies_at(spark, path).first()["semantic_threshold"] == 0.4
+    with pytest.raises(AnalysisException):
+        writers.append_policies(make(("c", "x")), path, 10)
+
+
+def test_vector_store_versions(spark, tmp_path):
+    path, compacted = str(tmp_path / "vectors"), str(tmp_path / "compacted")
+    load = lambda *rows: spark.createDataFrame([(c, i, t, [v]) for c, i, t, v in rows], "collection int, chunk_id string, text string, vector array<double>")
+    assert writers.append_vectors(load((1, "a", "x", 1.0), (1, "b", "y", 2.0), (2, "a", "z", 3.0)), path) == 1
+    assert writers.append_vectors(load((1, "a", "x2", 4.0), (2, "c", "n", 5.0)), path) == 2
+    assert writers.append_vectors(load((1, "a", "x", 1.5)).withColumn("load", F.lit(99)), path) == 3
+    want = [(1, "a", "x", 1.5, 3), (1, "b", "y", 2.0, 1), (2, "a", "z", 3.0, 1), (2, "c", "n", 5.0, 2)]
+    rows = lambda p: sorted((r.collection, r.chunk_id, r.text, r.vector[0], r.load) for r in readers.read_vectors(spark, p).collect())
+    assert rows(path) == want
+    writers.compact_vectors(spark, path, compacted)
+    assert rows(compacted) == want and spark.read.parquet(compacted).count() == 4
+    assert writers.append_vectors(load((1, "b", "y2", 9.0)), compacted) == 4
+    assert (1, "b", "y2", 9.0, 4) in rows(compacted) and len(rows(compacted)) == 4
+    # an edited chunk is found once, and a text edited back is not taken for stored
+    asked = spark.createDataFrame([("q", 1, [1.5])], "query_id string, collection int, vector array<double>")
+    top = retrieve_topk(asked, readers.read_vectors(spark, path), k=5).collect()
+    assert [(r.rank, r.chunk_id, r.distance) for r in top] == [(1, "a", 0.0), (2, "b", 0.25)]
