@@ -9,7 +9,7 @@ from palisade.catalog import views as V
 from palisade.catalog.registry import query
 from palisade.functions.formatting import rounded
 from palisade.operators import evaluation as E
-from palisade.plans.setups import Mask, Rules, Scrub, Vectors, reply_verdicts, setup_verdicts, vector_verdicts
+from palisade.plans.setups import Custom, Mask, Rules, Scrub, Vectors, reply_verdicts, setup_verdicts, vector_verdicts
 
 _r4 = "CAST(printf('%.4f', {0}) AS DOUBLE) AS {0}"
 _RATES = ", ".join(_r4.format(x) for x in ("accuracy", "precision", "recall", "f1", "avg_latency_ms"))
@@ -134,6 +134,7 @@ _BENCH = {
     "masked rules": [Mask(), Rules(_WORDS)],
     "vectors": [Scrub("bench"), Vectors()],
     "layered": [Mask(), Rules(_WORDS, tuple(V.CODE_PATTERNS)), Vectors()],
+    "custom": [Custom(lambda text, lowered: F.length(text) > 2000)],
 }
 
 
@@ -150,6 +151,8 @@ def _bench_sql() -> str:
                 text = P.masked_sql()
             elif isinstance(step, Vectors):
                 tests.append(f"coalesce(similarity >= {step.threshold}, FALSE)")
+            elif isinstance(step, Custom):
+                tests.append("length(s) > 2000")
             else:
                 tests += [f"contains(lower(s), '{w}')" for w in step.keywords]
                 tests += [_any_pattern("s", step.patterns)] if step.patterns else []

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from palisade.catalog import views as V
+from palisade.catalog.patterns_sql import quoted
 from palisade.catalog.registry import query
-from palisade.fixed_values import COMPILE_HEAD, JUDGE_HEAD, JUDGE_MIDDLE
+from palisade.fixed_values import COMPILE_HEAD, JUDGE_HEAD, JUDGE_MIDDLE, PROMPT_TAIL, TIER_PRICES
 from palisade.functions import scoring as S
 from palisade.functions.formatting import price_label, rounded
 from palisade.operators import costs as C
@@ -253,6 +254,37 @@ def price_dim(spark, folder):
     )
 
 
+_TIER_ROWS = ", ".join(f"('{tier}', '{role}', '{name}', '{model}')" for tier, role, name, model, *_ in TIER_PRICES)
+
+
+@query(f"""WITH tiers(tier, role, name, id) AS (VALUES {_TIER_ROWS}),
+asked AS (
+  SELECT conv_id, (['A', 'b', 'a', 'Z', NULL])[conv_id % 5 + 1] AS tier,
+         (['baseline', 'rag', 'fast', 'chess'])[conv_id % 4 + 1] AS role
+  FROM (SELECT DISTINCT conv_id FROM conversations))
+SELECT conv_id, a.tier, a.role, t.name AS model_name, t.id AS model_id,
+       CASE WHEN a.tier IS NULL OR upper(a.tier) NOT IN ('A', 'B')
+            THEN 'unknown tier ' || chr(39) || coalesce(a.tier, '') || chr(39)
+            WHEN t.id IS NULL THEN 'no model for role ' || chr(39) || a.role || chr(39) END AS error
+FROM asked a LEFT JOIN tiers t ON t.tier = upper(a.tier) AND t.role = a.role""")
+def tier_lookup(spark, folder):
+    """The model that a conversation's tier and role stand for; some tiers and roles are unknown."""
+    n = F.col("conv_id")
+    tiers = F.array(*[F.lit(x) for x in ("A", "b", "a", "Z", None)])
+    roles = F.array(*[F.lit(x) for x in ("baseline", "rag", "fast", "chess")])
+    asked = V.table(spark, folder, "conversations").select("conv_id").distinct().select(
+        "conv_id", F.get(tiers, (n % 5).cast("int")).alias("tier"), F.get(roles, (n % 4).cast("int")).alias("role")
+    )
+    return C.with_tier_model(asked, C.tier_prices(spark))
+
+
+@query(f"""SELECT conv_id, turn, {quoted(COMPILE_HEAD)} || text || {quoted(PROMPT_TAIL)} AS prompt
+FROM conversations WHERE role = 'user'""")
+def compile_prompt(spark, folder):
+    asked = V.table(spark, folder, "conversations").where("role = 'user'")
+    return asked.select("conv_id", "turn", S.compile_prompt(F.col("text")).alias("prompt"))
+
+
 def _r9(text: str) -> str:
     return f"CAST(printf('%.9f', {text}) AS DOUBLE)"
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from palisade.catalog import views as V
@@ -11,7 +14,7 @@ from palisade.fixed_values import DEFAULT_TOPICS
 from palisade.functions.formatting import rounded
 from palisade.functions.scoring import blueprint_key
 from palisade.functions.text import strip
-from palisade.operators import retrieval
+from palisade.operators import embedding, retrieval
 from palisade.operators.evaluation import eval_metrics
 from palisade.operators.evaluation import summary_export as export
 from palisade.operators.runs import filter_runs
@@ -30,6 +33,23 @@ def load_runs(spark, folder):
     return readers.load_runs(spark, path, run_from="partition")
 
 
+@query(f"""WITH {V.RUNS}
+SELECT model, logic, correctness, cost, latency, TRUE AS stamped, TRUE AS named FROM runs""")
+def load_stamped_runs(spark, folder):
+    """Runs without a name of their own: read once with the times of their files, once with the files'
+    names; both say whether every name has the form it should have."""
+    path = scratch_path(spark, "unnamed-runs")
+    names = ("Model", "Logic", "Correctness", "Cost", "Latency")
+    V.runs(spark, folder).select(*[F.col(n.lower()).alias(n) for n in names]).write.option("header", True).csv(path)
+    by_time, by_name = readers.load_runs(spark, path), readers.load_runs(spark, path, run_from="filename")
+    named = by_name.agg(F.bool_and(F.startswith("run", F.lit("part-"))).alias("named")).scalar()
+    return by_time.select(
+        *[n.lower() for n in names],
+        F.rlike("run", F.lit(r"^Run_[0-9]{8}_[0-9]{6}$")).alias("stamped"),
+        named.alias("named"),
+    )
+
+
 @query(f"""WITH {V.RUNS}
 SELECT run, model, printf('%.1f', final_score) AS final_score FROM runs WHERE final_score BETWEEN 20 AND 50""")
 def filtered_export(spark, folder):
@@ -214,3 +234,27 @@ def retrieve_edited(spark, folder):
     return retrieval.with_chunk_text(top, marked).select(
         "collection", "query_id", "rank", "chunk_id", "distance", "edited", "load"
     )
+
+
+def _letter_shares(texts: pa.Array) -> pa.Array:
+    """A plain embedding: the shares of three letters in each text."""
+    size = pc.max_element_wise(pc.utf8_length(texts), 1)
+    shares = [pc.divide(pc.cast(pc.count_substring(texts, c), pa.float64()), size) for c in "ent"]
+    flat = np.stack([np.asarray(s) for s in shares], axis=1).ravel()
+    return pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, 3, dtype=np.int32), pa.array(flat))
+
+
+def _letter(c: str) -> str:
+    share = f"(length(text) - length(replace(text, '{c}', ''))) / CAST(greatest(length(text), 1) AS DOUBLE)"
+    return f"CAST(printf('%.9f', {share}) AS DOUBLE) AS {c}"
+
+
+@query(f"SELECT doc_id, sha256(text) AS text_hash, {_letter('e')}, {_letter('n')}, {_letter('t')} FROM documents")
+def embed_distinct(spark, folder):
+    """Every document with the vector of its text; copies are embedded once, and what an earlier
+    load holds not again."""
+    documents = V.texts(spark, folder).select("doc_id", "text")
+    stored = embedding.embed_distinct(documents.where("doc_id % 3 = 0"), _letter_shares)
+    out = embedding.embed_distinct(documents, _letter_shares, known=stored.where("vector is not null"))
+    shares = [rounded(F.get("vector", F.lit(i)), 9).alias(c) for i, c in enumerate("ent")]
+    return out.select("doc_id", "text_hash", *shares)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from palisade.fixed_values import ADMIT_PHRASES, TEST_RISKS, TOP_K
 from palisade.functions.text import contains_any, cut, strip
-from palisade.operators.retrieval import retrieve_topk
+from palisade.operators.retrieval import merge_nearest, nearest_chunks
 from palisade.session import local_table
 
 
@@ -16,23 +16,28 @@ def admitted_ignorance(answer: Column, phrases: list[str] = ADMIT_PHRASES) -> Co
 
 
 def stale_audit(
-    queries: DataFrame, chunks: DataFrame, injected: DataFrame, k: int = TOP_K, metric: str = "l2sq"
+    queries: DataFrame,
+    chunks: DataFrame,
+    injected: DataFrame,
+    k: int = TOP_K,
+    metric: str = "l2sq",
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Would an outdated chunk be retrieved?  One row per query.
 
     `injected` has the columns of `chunks` (chunk_id, collection, vector).  It joins the
-    corpus for this search only; the stored table is not changed.
+    corpus for this search only; the stored table is not changed.  The corpus is searched as it is,
+    the injected chunks by themselves, and the two lists of k are merged: so one search of the
+    corpus, handed over as `base` (the result of `nearest_chunks`), serves any number of injections.
     """
-    parts = ["chunk_id", "collection", "vector"]
-    corpus = chunks.select(*parts).unionByName(injected.select(*parts))
-    top = retrieve_topk(queries, corpus, k, metric)
-    marked = top.join(
-        injected.select("collection", "chunk_id", F.lit(True).alias("injected")).distinct(),
-        ["collection", "chunk_id"],
-        "left",
+    if base is None:
+        base = nearest_chunks(queries, chunks, k, metric)
+    added = nearest_chunks(queries, injected, k, metric)
+    top = merge_nearest(
+        base.withColumn("injected", F.lit(False)), added.withColumn("injected", F.lit(True)), k
     )
-    found = marked.groupBy("collection", "query_id").agg(
-        F.coalesce(F.bool_or("injected"), F.lit(False)).alias("stale_retrieved"),
+    found = top.groupBy("collection", "query_id").agg(
+        F.bool_or("injected").alias("stale_retrieved"),
         F.min(F.when(F.col("injected"), F.col("rank"))).alias("stale_rank"),
     )
     asked = queries.select("query_id", "collection")

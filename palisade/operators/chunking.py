@@ -55,16 +55,16 @@ def chunk_pages(
 ) -> DataFrame:
     """(doc_id, chunk_no, chunk_id, page_num, start, text), numbered through a document.
 
-    A page is cut where it lies.  Numbers come from the piece counts of the pages
-    before it, in ranges of pages, so one huge document still spreads over tasks.
+    Numbers come from the piece counts of the pages before it.  Only the counts are sorted and
+    summed, by ranges of pages, so one huge document still spreads over tasks; the pages are
+    shuffled once, to meet their first number, and cut after that.
     """
-    cut = pages.select(
-        "doc_id",
-        "page_num",
-        cut_page(F.col("text"), size, overlap).alias("_pieces"),
-        count_pieces(F.col("text"), size, overlap).alias("_n"),
+    counted = pages.select(
+        "doc_id", "page_num", "text", count_pieces(F.col("text"), size, overlap).alias("_n")
+    )
+    placed = running_total(counted, "doc_id", "page_num", "_n", "_first").withColumn(
+        "_pieces", cut_page(F.col("text"), size, overlap)
     )
-    placed = running_total(cut, "doc_id", "page_num", "_n", "_first")
     return placed.select(
         "doc_id", "page_num", "_first", F.posexplode("_pieces").alias("_pos", "_piece")
     ).select(

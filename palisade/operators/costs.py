@@ -33,6 +33,23 @@ def tier_registry(spark: SparkSession, tier: str = DEFAULT_TIER, rows=TIER_PRICE
     return tier_prices(spark, [r for r in rows if r[0] == wanted])
 
 
+def with_tier_model(usage: DataFrame, prices: DataFrame) -> DataFrame:
+    """Add the model each row's tier (in any case) and role stand for, and `error` where there is
+    none: an unknown tier, or a role that the tier has no model for."""
+    listed = prices.select(F.col("tier").alias("_tier"), "role", "model_name", "model_id")
+    tiers = prices.select(F.col("tier").alias("_tier"), F.lit(True).alias("_known")).distinct()
+    asked = usage.withColumn("_tier", F.upper("tier"))
+    found = asked.join(tiers, "_tier", "left").join(listed, ["_tier", "role"], "left")
+
+    def quoted(name: str):
+        return F.concat(F.lit("'"), F.coalesce(F.col(name).cast("string"), F.lit("")), F.lit("'"))
+
+    error = F.when(F.col("_known").isNull(), F.concat(F.lit("unknown tier "), quoted("tier"))).when(
+        F.col("model_id").isNull(), F.concat(F.lit("no model for role "), quoted("role"))
+    )
+    return found.select(*usage.columns, "model_name", "model_id", error.alias("error"))
+
+
 def with_call_cost(calls: DataFrame, prices: DataFrame, default: float = DEFAULT_CALL_PRICE) -> DataFrame:
     """Add `cost`: tokens at the model's rate, the default rate for an unknown model.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from palisade.functions.formatting import fixed, milliseconds, percent, rounded
 from palisade.functions.text import cut
 from palisade.operators.ordering import value_at_rank
+from palisade.session import scratch_path
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -18,19 +19,24 @@ def ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
+def _counts() -> dict[str, Column]:
+    expected, actual = F.col("expected"), F.col("actual")
+    return {
+        "total": F.count("*"),
+        "tp": F.count_if(expected & actual),
+        "fn": F.count_if(expected & ~actual),
+        "fp": F.count_if(~expected & actual),
+        "tn": F.count_if(~expected & ~actual),
+        "blocked": F.count_if(actual),
+        "correct": F.count_if(expected == actual),
+        "errors": F.count_if(F.col("error").isNotNull()),
+    }
+
+
 def confusion(verdicts: DataFrame, by: str = "setup") -> DataFrame:
     """All counts of a set-up in one pass over its verdicts."""
-    expected, actual = F.col("expected"), F.col("actual")
     return verdicts.groupBy(by).agg(
-        F.count("*").alias("total"),
-        F.count_if(expected & actual).alias("tp"),
-        F.count_if(expected & ~actual).alias("fn"),
-        F.count_if(~expected & actual).alias("fp"),
-        F.count_if(~expected & ~actual).alias("tn"),
-        F.count_if(actual).alias("blocked"),
-        F.count_if(expected == actual).alias("correct"),
-        F.count_if(F.col("error").isNotNull()).alias("errors"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
+        *[c.alias(n) for n, c in _counts().items()], F.avg("latency_ms").alias("avg_latency_ms")
     )
 
 
@@ -61,8 +67,24 @@ def p95_latency_approx(verdicts: DataFrame, by: str = "setup") -> DataFrame:
 
 
 def eval_metrics(verdicts: DataFrame, by: str = "setup") -> DataFrame:
-    """Counts, accuracy, precision, recall, F1, mean and p95 latency per set-up."""
-    return with_rates(confusion(verdicts, by)).join(p95_latency(verdicts, by), by, "left")
+    """Counts, accuracy, precision, recall, F1, mean and p95 latency per set-up.
+
+    The verdicts are worked out once: counted per latency value, written to the shared folder, and
+    all numbers are taken from those counts, the exact p95 too.
+    """
+    counted = verdicts.groupBy(by, "latency_ms").agg(*[c.alias(n) for n, c in _counts().items()])
+    path = scratch_path(verdicts.sparkSession, "verdict-counts")
+    counted.write.parquet(path)
+    counted = verdicts.sparkSession.read.schema(counted.schema).parquet(path)
+    timed = F.col("latency_ms").isNotNull()
+    mean = F.try_divide(
+        F.sum(F.col("latency_ms") * F.col("total")), F.sum(F.when(timed, F.col("total"))).cast("double")
+    )
+    sums = counted.groupBy(by).agg(
+        *[F.sum(n).alias(n) for n in _counts()], mean.alias("avg_latency_ms")
+    )
+    p95 = value_at_rank(counted, by, "latency_ms", 0.95, "p95_latency_ms", "total")
+    return with_rates(sums).join(p95, by, "left")
 
 
 def rounded_metrics(metrics: DataFrame, by: str = "setup") -> DataFrame:

@@ -1,9 +1,10 @@
 """Order-dependent work without putting a whole group into one task.
 
-Running totals, exact ranks and running maxima are done in two levels: rows fall
-into buckets by a fixed, order-preserving function of the sort key, one small
-table holds an aggregate per bucket, and a window runs inside each bucket only.
-The bucket of a row depends on the row alone, so re-run tasks agree with it.
+Row numbers and running totals sort the rows over all tasks by sampled ranges, write them, and
+carry one aggregate per range; a group may be of any size and its order values of any spread.
+Exact ranks and running maxima go by buckets: rows fall into buckets by a fixed,
+order-preserving function of the sort key, a small table holds an aggregate per bucket, and a
+window runs inside each bucket only.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from palisade.session import scratch_path, settled
 
+# Rows of a range that one window takes.
+RUN_ROWS = 4096
 # Buckets per unit of the logarithm: each spans 1.6 % of its values.
 LOG_STEPS = 64
 # Parts each such bucket is cut into at the second level.
@@ -38,32 +41,65 @@ def fine_bucket(value: Column) -> Column:
     return F.coalesce(F.floor((scaled - F.floor(scaled)) * FINE_STEPS), F.lit(0))
 
 
+def sorted_by_range(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The rows sorted over all tasks, with `_place`: its upper bits count the range a row fell into,
+    the lower 33 the rows before it there.
+
+    They are written to the shared folder, as ranges are sampled anew each time they are asked for.
+    Equal keys are told apart by the order they are read in, so a run of them spreads too.
+    """
+    path = scratch_path(df.sparkSession, name)
+    order = [*keys, "_tie"]
+    (
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .drop("_tie")
+        .withColumn("_place", F.monotonically_increasing_id())
+        .write.parquet(path)
+    )
+    schema = df.withColumn("_place", F.lit(0).cast("long")).schema
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def running_total(
-    df: DataFrame, group: str, order: str, amount: str, out: str, width: int = 4096
+    df: DataFrame, group: str, order: str, amount: str, out: str, width: int = RUN_ROWS
 ) -> DataFrame:
     """Sum of `amount` over the rows of the group that come before this one.
 
-    `order` is a whole number, unique within the group.  A task sees `width` order
-    values at most, however large the group.
+    `order` is unique within the group.  Only (group, order, amount) is sorted, by range; totals
+    are carried from range to range, and inside a range from one run of `width` rows (a power of two)
+    to the next, so no task sees more than a range of any group.  The sums then meet the rows by (group, order).
     """
-    rows = df.withColumn("_bucket", F.call_function("div", F.col(order), F.lit(width)))
-    totals = rows.groupBy(group, "_bucket").agg(F.sum(amount).alias("_total"))
-    earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
+    placed = sorted_by_range(df.select(group, order, amount), [group, order], "running")
+    part, run = F.shiftright("_place", 33), F.shiftright("_place", width.bit_length() - 1)
+    placed = placed.select(
+        F.col(group).alias("_group"), F.col(order).alias("_order"), F.col(amount).alias("_amount"), "_place",
+        run.alias("_run"),
     )
-    # only groups of more than one bucket carry anything
-    carried = totals.select(
-        group, "_bucket", F.sum("_total").over(earlier).alias("_carry")
-    ).where("_carry is not null")
-    within = Window.partitionBy(group, "_bucket").orderBy(order).rowsBetween(
-        Window.unboundedPreceding, -1
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    runs = placed.groupBy("_group", part.alias("_part"), "_run").agg(F.sum("_amount").alias("_total"))
+    parts = runs.groupBy("_group", "_part").agg(F.sum("_total").alias("_total"))
+    from_parts = parts.select(
+        F.col("_group").alias("_g"), F.col("_part").alias("_p"),
+        F.sum("_total").over(before("_group").orderBy("_part")).alias("_earlier"),
     )
-    return (
-        rows.withColumn("_within", F.coalesce(F.sum(amount).over(within), F.lit(0)))
-        .join(carried, [group, "_bucket"], "left")
-        .withColumn(out, F.coalesce("_carry", F.lit(0)) + F.col("_within"))
-        .drop("_bucket", "_within", "_carry")
+    carried = (
+        runs.withColumn("_inside", F.sum("_total").over(before("_group", "_part").orderBy("_run")))
+        .join(from_parts, F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p")))
+        .select(
+            F.col("_group").alias("_g"), F.col("_run").alias("_r"),
+            (F.coalesce("_inside", F.lit(0)) + F.coalesce("_earlier", F.lit(0))).alias("_carry"),
+        )
+    )
+    within = F.sum("_amount").over(before("_group", "_run").orderBy("_place"))
+    summed = (
+        placed.withColumn("_within", F.coalesce(within, F.lit(0)))
+        .join(settled(carried), F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_run") == F.col("_r")))
+        .select("_group", "_order", (F.col("_within") + F.col("_carry")).alias("_sum"))
     )
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(order).eqNullSafe(F.col("_order"))
+    return df.join(summed, same).withColumn(out, F.col("_sum")).drop("_group", "_order", "_sum")
 
 
 def numbered(
@@ -72,23 +108,11 @@ def numbered(
     """Number the rows of each group from 0 in the order of some columns, nulls first; `size`, if
     named, is the group's number of rows.
 
-    Rows are sorted over all tasks by range and written to the shared folder.  Each range
-    then brings one row a group to the carry: a group meets one row per range there, whatever its
-    size, and a hot group or a run of equal keys spreads over tasks.  Equal keys are numbered in
-    the order they are read.  Columns `_tie` and `_place` are used.
+    Each range of the sorted rows brings one row a group to the carry: a group meets one row
+    per range there, whatever its size, and a hot group or a run of equal keys spreads over tasks.
+    Equal keys are numbered in the order they are read.  Columns `_tie` and `_place` are used.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "numbered")
-    keys = [*group, *order, "_tie"]
-    (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .drop("_tie")
-        .withColumn("_place", F.monotonically_increasing_id())
-        .write.parquet(path)
-    )
-    rows = spark.read.schema(df.withColumn("_place", F.lit(0).cast("long")).schema).parquet(path)
+    rows = sorted_by_range(df, [*group, *order], "numbered")
     part = F.shiftright("_place", 33).alias("_part")
     names = [f"_group{i}" for i in range(len(group))]
     parts = rows.groupBy(*[F.col(g).alias(n) for g, n in zip(group, names)], part).agg(
@@ -112,27 +136,28 @@ def numbered(
 
 
 def value_at_rank(
-    df: DataFrame, group: str, value: str, fraction: float, out: str
+    df: DataFrame, group: str, value: str, fraction: float, out: str, weight: str | None = None
 ) -> DataFrame:
     """The group's value at 0-based index min(floor(n * fraction), n - 1), exactly.
 
     A histogram over coarse buckets, small whatever the data, tells which bucket holds
     the rank (this first pass runs at once).  Only that bucket's values are then counted
     and shuffled, and a finer bucket of them sorted.  Rows without a group or a value do
-    not count.
+    not count; a row stands for `weight` rows, one if no column is named.
     """
+    times = F.lit(1) if weight is None else F.col(weight)
     df = df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(
-        group, value, coarse_bucket(F.col(value)).alias("_coarse")
+        group, value, coarse_bucket(F.col(value)).alias("_coarse"), times.alias("_times")
     )
     size = F.sum("_n").over(Window.partitionBy(group))
     wanted = F.least(F.floor(size * F.lit(fraction)), size - 1)
-    histogram = df.groupBy(group, "_coarse").agg(F.count("*").alias("_n"))
+    histogram = df.groupBy(group, "_coarse").agg(F.sum("_times").alias("_n"))
     coarse = _holding(histogram.withColumn("_rank", wanted), group, "_coarse")
     chosen = settled(coarse.select(group, "_coarse", "_rank"))
     counts = (
         df.join(chosen, [group, "_coarse"])
         .groupBy(group, "_rank", value)
-        .agg(F.count("*").alias("_n"))
+        .agg(F.sum("_times").alias("_n"))
         .withColumn("_fine", fine_bucket(F.col(value)))
     )
     totals = counts.groupBy(group, "_rank", "_fine").agg(F.sum("_n").alias("_n"))
@@ -155,24 +180,25 @@ def _holding(counts: DataFrame, group: str, order: str) -> DataFrame:
 def best_so_far(df: DataFrame, key: str, value: str) -> DataFrame:
     """Keep the rows whose value exceeds every value at a strictly smaller key.
 
-    One row per key comes in.  A bucket only keeps rows above the maximum of the
-    buckets before it, which removes nearly all; the window then runs per bucket.
+    One row per key comes in.  A bucket only keeps rows above the maximum of the buckets before
+    it, which removes nearly all; what is left of a bucket is split into finer ones and filtered
+    by their maxima likewise, and a window runs per fine bucket.  So keys within one coarse bucket
+    spread as well; a window over maxima meets 200,000 rows at most, or 4,096 of one bucket.
     """
+    before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     rows = df.withColumn("_bucket", coarse_bucket(F.col(key)))
-    # one row per bucket, so 200,000 at most: small enough for one ordered pass
     maxima = rows.groupBy("_bucket").agg(F.max(value).alias("_max"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    carried = maxima.select("_bucket", F.max("_max").over(before).alias("_carry"))
-    within = Window.partitionBy("_bucket").orderBy(key).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    kept = rows.join(carried, "_bucket").where(
-        F.col("_carry").isNull() | (F.col(value) > F.col("_carry"))
+    carried = maxima.select("_bucket", F.max("_max").over(before(F.lit(0)).orderBy("_bucket")).alias("_carry"))
+    above = F.col("_carry").isNull() | (F.col(value) > F.col("_carry"))
+    kept = rows.join(carried, "_bucket").where(above).drop("_carry")
+    kept = kept.withColumn("_fine", fine_bucket(F.col(key)))
+    fine_maxima = kept.groupBy("_bucket", "_fine").agg(F.max(value).alias("_max"))
+    fine_carried = fine_maxima.select(
+        "_bucket", "_fine", F.max("_max").over(before("_bucket").orderBy("_fine")).alias("_carry")
     )
+    left = kept.join(fine_carried, ["_bucket", "_fine"]).where(above).drop("_carry")
     return (
-        kept.withColumn("_seen", F.max(value).over(within))
+        left.withColumn("_seen", F.max(value).over(before("_bucket", "_fine").orderBy(key)))
         .where(F.col("_seen").isNull() | (F.col(value) > F.col("_seen")))
-        .drop("_bucket", "_carry", "_seen")
+        .drop("_bucket", "_fine", "_seen")
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +9,8 @@ from pyspark.sql import types as T
 from palisade.fixed_values import EMBED_BATCH, TOP_K
 from palisade.functions.formatting import fixed, rounded
 from palisade.operators import kernels as K
-from palisade.operators.ordering import running_total
+from palisade.operators.ordering import numbered
+from palisade.session import settled
 
 # A query matrix is shipped to tasks only up to this many rows and numbers (64 MB).
 SHIPPED_ROWS = 4096
@@ -47,7 +46,7 @@ def nearest_chunks(
     `queries` is (query_id, collection, vector), `chunks` is (chunk_id, collection,
     vector).  Ids are unique within a collection and may repeat in another; a query only
     sees its own collection, and k rows at most leave a task per query.  Up to `shipped_rows` queries go to the chunks, which are scanned where
-    they lie and not shuffled.  Beyond that both sides are cut into
+    they lie and not shuffled.  Beyond that both sides of a collection are cut into
     blocks by a hash of the id and each pair of blocks is one bounded group.
     """
     asked = queries.select("query_id", "collection", "vector").where("vector is not null")
@@ -72,12 +71,18 @@ def nearest_chunks(
         near = corpus.mapInArrow(scan, schema)
     else:
         near = _by_blocks(asked, corpus, k, metric, schema, block_rows)
+    return _ranked(near, k).select("collection", "query_id", "rank", "chunk_id", "exact")
+
+
+def _ranked(near: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("collection", "query_id").orderBy("exact", "chunk_id")
-    return (
-        near.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .select("collection", "query_id", "rank", "chunk_id", "exact")
-    )
+    return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def merge_nearest(base: DataFrame, added: DataFrame, k: int = TOP_K) -> DataFrame:
+    """The k nearest chunks of two results of `nearest_chunks` over different chunks, ranked anew.
+    Neither corpus is read: k rows a query of each side are all that can be among the k of both."""
+    return _ranked(base.drop("rank").unionByName(added.drop("rank")), k)
 
 
 def ship(df: DataFrame, rows: int):
@@ -88,22 +93,35 @@ def ship(df: DataFrame, rows: int):
 
 
 def _by_blocks(asked, corpus, k, metric, schema, block_rows) -> DataFrame:
-    n_asked = math.ceil(asked.count() / block_rows)
-    n_corpus = max(1, math.ceil(corpus.count() / block_rows))
-    every_corpus = F.sequence(F.lit(0), F.lit(n_corpus - 1))
-    every_asked = F.sequence(F.lit(0), F.lit(n_asked - 1))
-    left = asked.withColumn("_q", F.pmod(F.xxhash64("query_id"), n_asked).cast("int")).withColumn(
-        "_c", F.explode(every_corpus)
-    )
-    right = corpus.withColumn("_c", F.pmod(F.xxhash64("chunk_id"), n_corpus).cast("int")).withColumn(
-        "_q", F.explode(every_asked)
-    )
-
+    left, right = tiles(asked, corpus, block_rows)
     keys = ["collection", "_q", "_c"]
     compare = K.compare_blocks(k, metric)
     return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(compare, schema)
 
 
+def tiles(asked: DataFrame, corpus: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides cut into blocks by a hash of the id, each row copied once for every block of the other
+    side of its own collection: `_q` and `_c` name a pair of blocks.  A collection's number of
+    blocks comes from its own rows, so a small one is never cut, and rows of a collection
+    that the other side lacks go."""
+
+    def blocks(df: DataFrame, out: str) -> DataFrame:
+        counts = df.groupBy("collection").agg(F.count(F.lit(1)).alias("_n"))
+        return counts.select("collection", F.ceil(F.col("_n") / block_rows).cast("int").alias(out))
+
+    plan = settled(blocks(asked, "_nq").join(blocks(corpus, "_nc"), "collection"))
+
+    def copied(df: DataFrame, key: str, own: str, other: str, own_n: str, other_n: str) -> DataFrame:
+        cut = df.join(plan, "collection").withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)).cast("int"))
+        every = F.sequence(F.lit(0), F.col(other_n) - 1)
+        return cut.withColumn(other, F.explode(every)).drop("_nq", "_nc")
+
+    return (
+        copied(asked, "query_id", "_q", "_c", "_nq", "_nc"),
+        copied(corpus, "chunk_id", "_c", "_q", "_nc", "_nq"),
+    )
+
+
 def with_chunk_text(top: DataFrame, chunks: DataFrame) -> DataFrame:
     """Attach text, page and whatever else `chunks` holds to the few rows retrieved."""
     return top.join(chunks.drop("vector"), ["collection", "chunk_id"], "left")
@@ -164,5 +182,5 @@ def embed_batches(
     rows: DataFrame, group: str, order: str, size: int = EMBED_BATCH
 ) -> DataFrame:
     """Number the rows of each group from 0 by `order` and cut them into batches."""
-    numbered = running_total(rows.withColumn("_one", F.lit(1)), group, order, "_one", "seq")
-    return numbered.drop("_one").withColumn("batch", F.floor(F.col("seq") / size))
+    placed = numbered(rows, [group], [order], "seq")
+    return placed.withColumn("batch", F.floor(F.col("seq") / size))

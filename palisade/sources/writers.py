@@ -10,10 +10,11 @@ from palisade.sources.readers import read_vectors
 
 
 def write_runs(runs: DataFrame, path: str) -> None:
-    """Add one folder of CSVs per run; fails rather than touch a run that is there."""
+    """Add one folder of CSVs per run; fails rather than touch a run that is there.  The runs
+    that are there are told by their folders, no file is opened."""
     spark = runs.sparkSession
     try:
-        stored = spark.read.option("header", True).csv(path).select(F.col("run").cast("string"))
+        stored = spark.read.format("binaryFile").load(path).select(F.col("run").cast("string"))
     except AnalysisException as missing:
         if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
