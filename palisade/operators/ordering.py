@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from palisade.session import scratch_path, settled
 
+# Narrow rows of a group that one task sums; larger groups are cut into ranges.
+GROUP_ROWS = 100_000
 # Rows of a range that one window takes.
 RUN_ROWS = 4096
 # Buckets per unit of the logarithm: each spans 1.6 % of its values.
@@ -63,20 +65,43 @@ def sorted_by_range(df: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def running_total(
-    df: DataFrame, group: str, order: str, amount: str, out: str, width: int = RUN_ROWS
+    df: DataFrame,
+    group: str,
+    order: str,
+    amount: str,
+    out: str,
+    width: int = RUN_ROWS,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Sum of `amount` over the rows of the group that come before this one.
 
-    `order` is unique within the group.  Only (group, order, amount) is sorted, by range; totals
-    are carried from range to range, and inside a range from one run of `width` rows (a power of two)
-    to the next, so no task sees more than a range of any group.  The sums then meet the rows by (group, order).
+    `order` is unique within the group.  (group, order, amount) are written first and alone, as
+    narrow rows.  Groups of up to `GROUP_ROWS` are summed as they are; where there is a larger one, the
+    narrow rows are sorted by range, and totals are carried from range to range, and inside a range
+    from one run of `width` rows (a power of two) to the next, so no task sees more than a range of
+    any group.  The sums then meet the rows by (group, order).
     """
-    placed = sorted_by_range(df.select(group, order, amount), [group, order], "running")
+    path = scratch_path(df.sparkSession, "amounts")
+    narrow = df.select(F.col(group).alias("_group"), F.col(order).alias("_order"), F.col(amount).alias("_amount"))
+    narrow.write.parquet(path)
+    narrow = df.sparkSession.read.schema(narrow.schema).parquet(path)
+    largest = narrow.groupBy("_group").count().agg(F.max("count")).first()[0] or 0
+    if largest <= group_rows:
+        before = Window.partitionBy("_group").orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
+        summed = narrow.select(
+            "_group", "_order", F.coalesce(F.sum("_amount").over(before), F.lit(0)).alias("_sum")
+        )
+    else:
+        summed = _total_by_range(narrow, width)
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(order).eqNullSafe(F.col("_order"))
+    return df.join(summed, same).withColumn(out, F.col("_sum")).drop("_group", "_order", "_sum")
+
+
+def _total_by_range(narrow: DataFrame, width: int) -> DataFrame:
+    """(_group, _order, _sum) of (_group, _order, _amount), whatever the groups."""
+    placed = sorted_by_range(narrow, ["_group", "_order"], "running")
     part, run = F.shiftright("_place", 33), F.shiftright("_place", width.bit_length() - 1)
-    placed = placed.select(
-        F.col(group).alias("_group"), F.col(order).alias("_order"), F.col(amount).alias("_amount"), "_place",
-        run.alias("_run"),
-    )
+    placed = placed.withColumn("_run", run)
     before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     runs = placed.groupBy("_group", part.alias("_part"), "_run").agg(F.sum("_amount").alias("_total"))
     parts = runs.groupBy("_group", "_part").agg(F.sum("_total").alias("_total"))
@@ -93,13 +118,11 @@ def running_total(
         )
     )
     within = F.sum("_amount").over(before("_group", "_run").orderBy("_place"))
-    summed = (
+    return (
         placed.withColumn("_within", F.coalesce(within, F.lit(0)))
         .join(settled(carried), F.col("_group").eqNullSafe(F.col("_g")) & (F.col("_run") == F.col("_r")))
         .select("_group", "_order", (F.col("_within") + F.col("_carry")).alias("_sum"))
     )
-    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(order).eqNullSafe(F.col("_order"))
-    return df.join(summed, same).withColumn(out, F.col("_sum")).drop("_group", "_order", "_sum")
 
 
 def numbered(
@@ -180,25 +203,25 @@ def _holding(counts: DataFrame, group: str, order: str) -> DataFrame:
 def best_so_far(df: DataFrame, key: str, value: str) -> DataFrame:
     """Keep the rows whose value exceeds every value at a strictly smaller key.
 
-    One row per key comes in.  A bucket only keeps rows above the maximum of the buckets before
-    it, which removes nearly all; what is left of a bucket is split into finer ones and filtered
-    by their maxima likewise, and a window runs per fine bucket.  So keys within one coarse bucket
-    spread as well; a window over maxima meets 200,000 rows at most, or 4,096 of one bucket.
+    One row per key comes in.  Rows fall into coarse buckets and these into fine ones, so that keys
+    within one coarse bucket spread as well.  A fine bucket only keeps rows above the maximum of all
+    buckets before it, which removes nearly all, and a window runs inside it.  A window over
+    maxima meets 200,000 rows at most, or the 4,096 of one coarse bucket.
     """
     before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    rows = df.withColumn("_bucket", coarse_bucket(F.col(key)))
-    maxima = rows.groupBy("_bucket").agg(F.max(value).alias("_max"))
-    carried = maxima.select("_bucket", F.max("_max").over(before(F.lit(0)).orderBy("_bucket")).alias("_carry"))
-    above = F.col("_carry").isNull() | (F.col(value) > F.col("_carry"))
-    kept = rows.join(carried, "_bucket").where(above).drop("_carry")
-    kept = kept.withColumn("_fine", fine_bucket(F.col(key)))
-    fine_maxima = kept.groupBy("_bucket", "_fine").agg(F.max(value).alias("_max"))
-    fine_carried = fine_maxima.select(
-        "_bucket", "_fine", F.max("_max").over(before("_bucket").orderBy("_fine")).alias("_carry")
+    rows = df.withColumn("_bucket", coarse_bucket(F.col(key))).withColumn("_fine", fine_bucket(F.col(key)))
+    maxima = rows.groupBy("_bucket", "_fine").agg(F.max(value).alias("_max"))
+    coarse = maxima.groupBy("_bucket").agg(F.max("_max").alias("_max"))
+    earlier = coarse.select("_bucket", F.max("_max").over(before(F.lit(0)).orderBy("_bucket")).alias("_earlier"))
+    inside = F.max("_max").over(before("_bucket").orderBy("_fine"))
+    carried = maxima.withColumn("_inside", inside).join(earlier, "_bucket").select(
+        "_bucket", "_fine", F.greatest("_inside", "_earlier").alias("_carry")
+    )
+    kept = rows.join(carried, ["_bucket", "_fine"]).where(
+        F.col("_carry").isNull() | (F.col(value) > F.col("_carry"))
     )
-    left = kept.join(fine_carried, ["_bucket", "_fine"]).where(above).drop("_carry")
     return (
-        left.withColumn("_seen", F.max(value).over(before("_bucket", "_fine").orderBy(key)))
+        kept.withColumn("_seen", F.max(value).over(before("_bucket", "_fine").orderBy(key)))
         .where(F.col("_seen").isNull() | (F.col(value) > F.col("_seen")))
-        .drop("_bucket", "_fine", "_seen")
+        .drop("_bucket", "_fine", "_carry", "_seen")
     )

@@ -10,6 +10,8 @@ from palisade.session import DIMENSION_ROWS, scratch_path, settled
 
 # Characters of the runs that keywords are filed under.
 GRAM = 4
+# Keywords of a policy that every text is tried for before the others are looked up.
+EARLY = 64
 # A pattern with back references, named groups, flags or quoting is not made part of a
 # common alternation.
 STANDS_ALONE = r"\\[1-9kQ]|\(\?[a-zA-Z<-]"
@@ -45,11 +47,12 @@ def rule_join(
     keyword found is the one of the smallest `ord`, any number or null (last), then of the smallest
     text.  A null or empty rule matches nothing; a keyword listed twice counts where it is first.
 
-    Keywords are looked up in an index: each is filed under its rarest run of `GRAM` characters,
-    the runs of a text's words are equi-joined with it, and what meets there is verified.  So
-    work grows with the texts and the meetings, not with texts times rules.  Keywords without
-    a word that long are tried one after the other until one is found, and keywords behind that one
-    are not looked up.  Texts stay in place as long as no more than `block_rows` different ones
+    The first `EARLY` keywords of a policy are tried one after the other until one is found, which
+    then needs no further look.  The others are looked up in an index: each is filed under its
+    rarest run of `GRAM` characters, the runs of a text's words are equi-joined with it, and what
+    meets there is verified.  So work grows with the texts and the meetings, not with texts times
+    rules.  Keywords without a word that long are tried in turn like the first ones, and
+    keywords behind one that was found are not looked up.  Texts stay in place as long as no more than `block_rows` different ones
     have a hit from the index; beyond, they are joined with their hits by a shuffle.
     """
     lowered = F.when(F.col("kind") == "keyword", F.lower("rule")).otherwise(F.col("rule"))
@@ -58,8 +61,18 @@ def rule_join(
         rules.where(F.length("rule") > 0)
         .groupBy(policy, "kind", lowered.alias("lowered"))
         .agg(F.min(place).alias("place"))
+    )
+    # Rules of the usual number are worked out once, and lists and index made of them in one step.
+    held = settled(once, block_rows)
+    once = once if held is once else held.coalesce(1)
+    in_order = Window.partitionBy(policy).orderBy("place")
+    first = once.where("kind = 'keyword'").withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= EARLY)
+    last = first.groupBy(policy).agg(F.max("place").alias("last"))
+    later = F.coalesce(F.col("place") > F.col("last"), F.lit(True))
+    once = (
+        once.join(last, policy, "left")
         .withColumn("part", _longest_word(F.col("lowered")))
-        .withColumn("filed", (F.col("kind") == "keyword") & (F.length("part") >= GRAM))
+        .withColumn("filed", (F.col("kind") == "keyword") & (F.length("part") >= GRAM) & later)
     )
     lists = settled(_lists(once, policy), block_rows)
     nowhere = F.lit(None).cast(once.schema["place"].dataType)

@@ -88,9 +88,11 @@ def test_running_total(spark):
     rng = random.Random(1)
     rows = [(g, o, rng.randint(0, 9)) for g in "ab" for o in rng.sample(range(300), 120)]
     df = spark.createDataFrame(rows, "g string, o long, n int")
-    out = {(r["g"], r["o"]): r["t"] for r in running_total(df, "g", "o", "n", "t", width=16).collect()}
-    for g, o, _ in rows:
-        assert out[(g, o)] == sum(n for g2, o2, n in rows if g2 == g and o2 < o)
+    for most in (0, 1000):
+        total = running_total(df, "g", "o", "n", "t", width=16, group_rows=most)
+        out = {(r["g"], r["o"]): r["t"] for r in total.collect()}
+        for g, o, _ in rows:
+            assert out[(g, o)] == sum(n for g2, o2, n in rows if g2 == g and o2 < o)
 
 
 def beaten(a, b):

@@ -162,8 +162,10 @@ def test_expected_flag_on_labelled_cases(spark):
     assert len(BENCH_KEYWORDS) == 16
 
 
-def test_rule_index_on_long_words_and_phrases(spark):
+@pytest.mark.parametrize("early", [0, 5, 64])
+def test_rule_index_on_long_words_and_phrases(spark, monkeypatch, early):
     """Phrases, keywords cut by spaces, very long words, characters beyond the basic plane."""
+    monkeypatch.setattr(rules, "EARLY", early)
     rng = random.Random(8)
     word = lambda n: "".join(rng.choice("abcé😀") for _ in range(n))
     texts = [" ".join(word(rng.randint(1, 9)) for _ in range(rng.randint(0, 30))) for _ in range(150)]

@@ -29,12 +29,12 @@ def test_sparse_ids_of_one_group_spread(spark):
     assert len(sizes) > 1 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
 
 
-@pytest.mark.parametrize("width", [16, 4096])
-def test_running_total_of_sparse_ids(spark, width):
+@pytest.mark.parametrize("width, group_rows", [(16, 0), (4096, 0), (4096, 100_000)])
+def test_running_total_of_sparse_ids(spark, width, group_rows):
     rng = random.Random(width)
     rows = [(g, o, rng.randint(-3, 9)) for g in ("a", "b", None) for o in rng.sample(range(-(10**15), 10**15), 700)]
     df = spark.createDataFrame(rows, "g string, o long, n int").repartition(5)
-    out = O.running_total(df, "g", "o", "n", "t", width)
+    out = O.running_total(df, "g", "o", "n", "t", width, group_rows)
     assert out.columns == ["g", "o", "n", "t"]
     got = {(r["g"], r["o"]): r["t"] for r in out.collect()}
     for g in ("a", "b", None):
