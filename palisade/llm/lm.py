@@ -17,7 +17,6 @@ from __future__ import annotations
 import base64
 import math
 import zlib
-from array import array
 from collections import Counter
 
 import numpy as np
@@ -46,7 +45,7 @@ STRIDE, WINDOW = 16, 32
 PAD = 0xFFFF
 # Windows sent from a task at once.
 WINDOW_ROWS = 20_000
-ROUNDS, BATCH, RATE = 2, 16, 0.01
+ROUNDS, BATCH, RATE = 1, 64, 0.02
 SLICES = 8
 # Rows of attention worked on at a time.
 STEP_BLOCKS = 128
@@ -68,19 +67,39 @@ def subword_encoder(raw: bytes):
     return tiktoken.Encoding("subwords", pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens={})
 
 
-_encoders: dict[int, object] = {}
+def subwords(encoder, word: bytes) -> list[int]:
+    return encoder.encode_ordinary(" " + word.decode("utf-8", "replace"))
 
 
-def encoder_of(raw: bytes):
-    key = zlib.crc32(raw)
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = subword_encoder(raw)
-    return _encoders[key]
+# Longer words are encoded each time: what a worker keeps is bounded in bytes, too.
+KEPT_CHARS = 64
 
 
-def subwords(encoder, word: bytes) -> list[int]:
-    return encoder.encode_ordinary(" " + word.decode("utf-8", "replace"))
+class Spelled(dict):
+    """word -> its subword ids as int32, kept by the worker from task to task."""
+
+    def __init__(self, raw: bytes):
+        super().__init__()
+        self.encoder = subword_encoder(raw)
+
+    def __missing__(self, word: bytes) -> np.ndarray:
+        got = np.array(subwords(self.encoder, word), np.int32)
+        if len(word) <= KEPT_CHARS:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[word] = got
+        return got
+
+
+_spelled: dict[int, Spelled] = {}
+
+
+def spelled_by(raw: bytes) -> Spelled:
+    key = zlib.crc32(raw)
+    if key not in _spelled:
+        _spelled.clear()
+        _spelled[key] = Spelled(raw)
+    return _spelled[key]
 
 
 class Subwords:
@@ -316,9 +335,9 @@ def count_words(docs: DataFrame, raw: bytes) -> DataFrame:
         yield rows()
 
     def encode(batches):
-        encoder = encoder_of(raw)
+        spelled = spelled_by(raw)
         for batch in batches:
-            ids = [array("i", subwords(encoder, w)).tobytes() for w in batch.column(0).to_pylist()]
+            ids = [spelled[w].tobytes() for w in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=["word", "n", "ids"])
 
     counted = docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -389,13 +408,15 @@ def training_windows(docs: DataFrame, raw: bytes, subs: Subwords) -> DataFrame:
     end = np.array([subs.end_input], "<u2").tobytes()
 
     def run(batches):
-        encoder = encoder_of(raw)
+        spelled = spelled_by(raw)
 
         class Inputs(dict):
             def __missing__(self, word):
-                if len(self) >= CACHE_ENTRIES:
-                    self.clear()
-                got = self[word] = subs.input_of[subwords(encoder, word)].astype("<u2").tobytes()
+                got = subs.input_of[spelled[word]].astype("<u2").tobytes()
+                if len(word) <= KEPT_CHARS:
+                    if len(self) >= CACHE_ENTRIES:
+                        self.clear()
+                    self[word] = got
                 return got
 
         def rows():
@@ -594,7 +615,7 @@ def lm_score(
 
     def run(batches):
         known, scorer, input_of, within, mass = shipped.value
-        encoder = encoder_of(raw)
+        spelled_ids = spelled_by(raw)
 
         class Words(dict):
             """word -> its number in growing arrays: inputs, log share within inputs, base score
@@ -617,7 +638,7 @@ def lm_score(
                 self.inputs[0] = end_input
 
             def __missing__(self, word):
-                ids = subwords(encoder, word)
+                ids = spelled_ids[word]
                 n = known.get(word)
                 inputs = input_of[ids]
                 base = -math.inf if n is None else math.log10((n + 0.5) / denominator)
