@@ -24,8 +24,6 @@ from palisade.llm.common import CACHE_ENTRIES
 
 # Fixed value: the pattern that splits text before byte-level merges.
 PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-# A text is cut at safe spaces into parts of about so many characters.
-PART_CHARS = 1_000_000
 
 
 def printable_bytes() -> dict[str, int]:

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from palisade.llm.common import unused
+
 BUCKETS = 1 << 15  # per n-gram length
 ORDERS = (2, 3)
 PENALTY = 4.0
@@ -344,6 +346,7 @@ def language_id(
             RESULT.fieldNames(),
         )
 
-    return docs.withColumn("_lang", predict(text)).withColumns(
-        {n: F.col(f"_lang.{n}") for n in RESULT.fieldNames()}
-    ).drop("_lang")
+    found = unused(docs, "_lang")
+    return docs.withColumn(found, predict(text)).withColumns(
+        {n: F.col(f"{found}.{n}") for n in RESULT.fieldNames()}
+    ).drop(found)

@@ -1,12 +1,12 @@
-"""Near duplicates by a forest of sorted MinHash orders.
+"""Near duplicates by bands of MinHash signatures, confirmed on full sets.
 
-Each tree of the forest orders the texts by its own stretch of the signature.  Texts that
-agree in the first DEPTH values of a tree form a region of it: the neighbours that share the
-longest prefixes.  A pair at the similarity threshold of 0.8 shares a region in at least one of
-TREES trees but for a chance of (1 - 0.8**DEPTH)**TREES, 3 in ten million.
+Each of TREES bands is a stretch of DEPTH signature values; texts that agree in all of them form a
+region.  Bands are equality keys of plain joins: no order is sorted and no prefix measured.  A pair at
+the similarity threshold of 0.8 shares a region in at least one band but for a chance of
+(1 - 0.8**DEPTH)**TREES, 3 in ten million.
 
-Depth adapts to the region.  Few texts are compared with each other outright.  More are first cut by
-deeper values of the tree's order into blocks that are linked each by itself; what is not in the region's largest
+Few texts of a region are compared with each other outright.  More are first cut by one further
+value of the signature into blocks that are linked each by itself; what is not in the region's largest
 component after that is compared with the whole region, block by block, so no link is left out
 and texts already connected are not compared again.  All links are confirmed on full sets.
 """
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palisade.llm.common import materialize
+from palisade.llm.common import materialize, unused
 from palisade.llm.components import components
 from palisade.llm.shingles import PERMUTATIONS, shingle_sets, signatures
 from palisade.llm.suffixes import numbered
@@ -186,11 +186,13 @@ def near_duplicates(
     Texts are linked when 100 * intersection >= percent * union of their sets of `width`-word
     shingles; `component_id` is the smallest id reachable by links, and one row of each component is
     `kept`, the first by id.  Texts without a word (null or empty ones) are linked with nothing; equal texts
-    with words are one component.  A row whose id is null counts after all others.
+    with words are one component.  A row whose id is null counts after all others.  Columns of `docs` of
+    the three names are replaced, all others stay.
     """
-    rows = numbered(docs, doc_id)
-    texts = rows.select(F.col("_row").alias("row"), F.col(text).alias("text")).where("text is not null")
-    sketched = materialize(sketch(rows.select("_row", F.col(text).alias("text")), width), "sketches")
+    number = unused(docs, "_row")
+    rows = numbered(docs, doc_id, number)
+    texts = rows.select(F.col(number).alias("row"), F.col(text).alias("text")).where("text is not null")
+    sketched = materialize(sketch(rows.select(F.col(number).alias("_row"), F.col(text).alias("text")), width), "sketches")
     # Equal sets are one node from here on.
     nodes = materialize(
         sketched.where("n > 0").groupBy("same").agg(F.min("row").alias("row"), F.first("keys").alias("keys")), "nodes"
@@ -251,14 +253,14 @@ def near_duplicates(
     node_of = node_of.select("same", F.coalesce("component", "node0").alias("group"))
     alone = F.coalesce("group", "row")
     labelled = sketched.select("row", "n", "same").join(node_of, "same", "left").select("row", "n", alone.alias("group"))
-    ids = rows.select(F.col("_row").alias("row"), F.col(doc_id).alias("id")).join(labelled, "row")
+    ids = rows.select(F.col(number).alias("row"), F.col(doc_id).alias("id")).join(labelled, "row")
     rank = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"))
     heads = ids.groupBy("group").agg(F.min(rank).alias("head"))
     out = ids.join(heads, "group").select(
-        F.col("row").alias("_row"),
+        F.col("row").alias(number),
         F.col("n").alias("n_shingles"),
         F.col("head.id").alias("component_id"),
         (F.col("row") == F.col("head.row")).alias("kept"),
     )
     plain = [c for c in docs.columns if c not in ("n_shingles", "component_id", "kept")]
-    return rows.select("_row", *plain).join(out, "_row").select(*plain, "n_shingles", "component_id", "kept")
+    return rows.select(number, *plain).join(out, number).select(*plain, "n_shingles", "component_id", "kept")

@@ -88,7 +88,8 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from palisade.llm.minhash import near_duplicates
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_duplicates(docs, width=4).select("doc_id", "n_shingles", "component_id", "kept")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return near_duplicates(docs, width=4).select("doc_id", "n_shingles", "component_id", first.alias("kept"))
 
 
 TOPK_SQL = """

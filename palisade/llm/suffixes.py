@@ -1,20 +1,20 @@
-"""Repeated strings of a threshold length, by passes of a depth-limited radix sort.
+"""Repeated strings of a threshold length, by hashed minimizers in place of a suffix order.
 
 A string of `threshold` symbols (bytes or words) is repeated when it starts at two places.
-Ordering every suffix would move the text hundreds of times over, so the passes, most significant first, work
-on digits chosen so that whole buckets can be left behind early:
-
-1. Anchors.  The first digit is a gram of `gram` symbols; every string of threshold length is
-   filed under the gram in it with the smallest hash, the same wherever the string stands.
-   Of all suffixes about 2 in `threshold` are anchors.  Buckets with one member end here.
-2. Contexts.  The next digit is all that strings filed under the anchor can cover.
-   Members equal in it are repeated from end to end; they need no further order.
-3. Strings.  Buckets with different contexts are ordered by each of the strings filed under
+Ordering every suffix would move the text hundreds of times over.  So only a few places of each text are
+grouped, in three passes that leave whole buckets behind early:
+
+1. Anchors.  Every string of threshold length is filed under the gram of `gram` symbols in it
+   with the smallest hash, the same wherever the string stands.  About 2 in `threshold`
+   places are anchors.  Buckets with one member end here.
+2. Contexts.  Members are grouped by all that strings filed under the anchor can cover.
+   Equal ones are repeated from end to end and need nothing further.
+3. Strings.  Buckets with different contexts are grouped by each of the strings filed under
    the anchor; equal groups are exactly the repeated strings.  A bucket of more members than
-   fit a block is ordered in blocks, and what is alone in its block is dealt out again by its
-   own digit over as many groups as it needs.
+   fit a block is worked on in blocks, and what is alone in its block is dealt out again by its
+   own string over as many groups as it needs.
 
-Digits are compared as 64-bit hashes.
+Grams, contexts and strings are compared as 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palisade.llm.common import materialize, mix, powers, word_hashes
+from palisade.llm.common import materialize, mix, powers, word_hashes, unused
 
 BYTES = 400
 WORDS = 50
@@ -312,14 +312,14 @@ def merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begin[new], end[np.r_[np.flatnonzero(new)[1:] - 1, len(end) - 1]]
 
 
-def numbered(docs: DataFrame, doc_id: str) -> DataFrame:
-    """`docs` with a number `_row` of its own for each row: the id where ids are unique
-    integers, else one given out in a written copy."""
+def numbered(docs: DataFrame, doc_id: str, out: str = "_row") -> DataFrame:
+    """`docs` with a number of its own for each row: the id where ids are unique integers, else
+    one given out in a written copy."""
     if dict(docs.dtypes)[doc_id] in ("bigint", "int", "smallint", "tinyint"):
         repeated = docs.groupBy(doc_id).count().where(f"count > 1 or `{doc_id}` is null").limit(1)
         if not repeated.count():
-            return docs.withColumn("_row", F.col(doc_id).cast("long"))
-    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+            return docs.withColumn(out, F.col(doc_id).cast("long"))
+    return materialize(docs.withColumn(out, F.monotonically_increasing_id()), "numbered")
 
 
 def repeated_spans(
@@ -443,12 +443,14 @@ def drop_repeats(
 
     All occurrences go.  A span of bytes that begins or ends within a character is
     widened to whole characters.  Null texts stay null, texts without a repeat are untouched;
-    all columns and rows stay.
+    all columns and rows stay, whatever the columns' names.
     """
     threshold = threshold or (BYTES if unit == "bytes" else WORDS)
     units = Units(unit, threshold, gram_of(threshold))
-    rows = numbered(docs, doc_id)
-    spans = repeated_spans(rows.select("_row", F.col(text).alias("text")), unit, units.threshold)
+    row, begin, end = (unused(docs, n) for n in ("_row", "_begin", "_end"))
+    rows = numbered(docs, doc_id, row)
+    spans = repeated_spans(rows.select(F.col(row).alias("_row"), F.col(text).alias("text")), unit, units.threshold)
+    spans = spans.toDF(row, begin, end)
 
     @F.arrow_udf("string")
     def keep(texts, begins, ends):
@@ -468,7 +470,5 @@ def drop_repeats(
             out.append(t)
         return pa.array(out, pa.string())
 
-    joined = rows.join(spans.withColumnsRenamed({"begin": "_begin", "end": "_end"}), "_row", "left")
-    return joined.withColumn(text, F.when(F.col("_begin").isNull(), F.col(text)).otherwise(keep(text, "_begin", "_end"))).select(
-        *docs.columns
-    )
+    left = F.when(F.col(begin).isNull(), F.col(text)).otherwise(keep(text, begin, end))
+    return rows.join(spans, row, "left").withColumn(text, left).select(*docs.columns)

@@ -247,3 +247,28 @@ def test_pipeline_stages(spark, stages):
         gone = {j for i in range(len(w) - 49) if seen[tuple(w[i : i + 50])] > 1 for j in range(i, i + 50)}
         assert (r.text or "").encode().lower().split() == [x for i, x in enumerate(w) if i not in gone]
         assert r.text is None or r.n_chars == len(r.text)
+
+
+def test_a_users_columns_named_like_helpers_stay(spark):
+    """Columns that the operators would use by themselves come back as they went in."""
+    from palisade.llm.langid import language_id
+
+    r = random.Random(21)
+    passage = noise(r, 60)
+    rows = [(i, f"{noise(r, 8)} {passage if i % 2 else noise(r, 60)}", "en", f"u{i}", f"b{i}", f"e{i}", f"l{i}") for i in range(12)]
+    names = "doc_id long, text string, lang string, _row string, _begin string, _end string, _lang string"
+    df = spark.createDataFrame(rows, names)
+    kept = lambda out: {(x["doc_id"], x["_row"], x["_begin"], x["_end"], x["_lang"]) for x in out.collect()}
+    want = {(i, row, begin, end, lang) for i, _, _, row, begin, end, lang in rows}
+    for out in (suffixes.drop_repeats(df), minhash.near_duplicates(df), language_id(df)):
+        assert kept(out) == want
+    assert all(passage not in x.text for x in suffixes.drop_repeats(df).collect())
+
+
+def test_kept_is_the_first_id_of_a_component(spark, monkeypatch):
+    """In the query a repeated id is kept wherever it is the component's, and only there."""
+    rows = [(1, "a b c d e"), (1, "a b c d e"), (2, "A B C D E"), (3, "other words of its own"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr("palisade.llm.queries.table", lambda *_: df)
+    out = Counter((r.doc_id, r.component_id, r.kept) for r in QUERIES["op4_minhash_dedup"].build(spark, "").collect())
+    assert out == {(1, 1, True): 2, (2, 1, False): 1, (3, 3, True): 1, (None, None, True): 1}
