@@ -39,4 +39,5 @@ def embed_distinct(
     vectors = df.sparkSession.read.schema(vectors.schema).parquet(path)
     if known is not None:
         vectors = vectors.unionByName(stored.withColumn(out, F.col(out).cast("array<double>")))
-    return keyed.join(settled(vectors), "text_hash", "left").select(*df.columns, "text_hash", out)
+    others = [c for c in df.columns if c not in ("text_hash", out)]
+    return keyed.select(*others, "text_hash").join(settled(vectors), "text_hash", "left").select(*others, "text_hash", out)

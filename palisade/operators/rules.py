@@ -52,8 +52,9 @@ def rule_join(
     rarest run of `GRAM` characters, the runs of a text's words are equi-joined with it, and what
     meets there is verified.  So work grows with the texts and the meetings, not with texts times
     rules.  Keywords without a word that long are tried in turn like the first ones, and
-    keywords behind one that was found are not looked up.  Texts stay in place as long as no more than `block_rows` different ones
-    have a hit from the index; beyond, they are joined with their hits by a shuffle.
+    keywords behind one that was found are not looked up.  Texts stay in place as long as no more
+    than `block_rows` different ones have a hit from the index; beyond, they are joined with their
+    hits by a shuffle.
     """
     lowered = F.when(F.col("kind") == "keyword", F.lower("rule")).otherwise(F.col("rule"))
     place = F.struct(F.col("ord").isNull().alias("late"), "ord", "rule")
@@ -95,11 +96,12 @@ def rule_join(
     hits = settled(texts.sparkSession.read.schema(found.schema).parquet(path), block_rows)
     verified = F.filter(F.array_sort("_maybe"), lambda r: F.contains(F.col("_lowered"), r["lowered"]))
     first = F.least("_at", "_best", F.get(verified, F.lit(0))["place"])
+    added = ["keyword", "pattern_match", "verdict"]
     return (
         marked.join(hits, [policy, "_key"], "left")
         .withColumn("keyword", first["rule"])
         .withColumn("verdict", G.rule_verdict(F.col("keyword"), F.col("pattern_match")))
-        .select(*texts.columns, "keyword", "pattern_match", "verdict")
+        .select(*[c for c in texts.columns if c not in added], *added)
     )
 
 
