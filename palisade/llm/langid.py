@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,9 +27,10 @@ PENALTY = 4.0
 WEIGHT = 1.5
 # A language uses a script when at least this share of its letters is of it.
 SCRIPT_SHARE = 0.002
-# Letters handled in one step, over all languages; words in one Viterbi batch.
-STEP_CELLS = 4_000_000
-PATH_WORDS = 2_000_000
+# Letters handled in one step, over all languages; words in one Viterbi batch.  A worker's memory
+# goes by both, not by the size of the batches Spark hands it; results do not depend on them.
+STEP_CELLS = 500_000
+PATH_WORDS = 200_000
 UNKNOWN = "und"
 
 # First and last code point of the main blocks of each script.
@@ -227,6 +229,11 @@ def runs_of(weights: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield a, len(weights)
 
 
+def text_lengths(texts: pa.Array) -> list[int]:
+    """Characters of each text, a null one having none, without making Python strings of them."""
+    return pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+
+
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model | None:
     """Count n-grams and scripts per language over all rows with a text and a language.
 
@@ -240,11 +247,11 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model | No
     def count(batches):
         held: dict[str, np.ndarray] = {}
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in runs_of([len(t) for t in texts], 500_000):
-                code, begin, owner, script = words_of(texts[a:b])
-                here = {name: i for i, name in enumerate(sorted(set(names[a:b])))}
-                base = np.array([here[n] for n in names[a:b]])[owner] * width
+            for a, b in runs_of(text_lengths(batch.column(1)), 500_000):
+                names, texts = (batch.column(c).slice(a, b - a).to_pylist() for c in (0, 1))
+                code, begin, owner, script = words_of(texts)
+                here = {name: i for i, name in enumerate(sorted(set(names)))}
+                base = np.array([here[n] for n in names])[owner] * width
                 size = len(here) * width
                 total = np.zeros(size, np.int64)
                 for word, gram in grams(code, begin):
@@ -288,6 +295,44 @@ RESULT = T.StructType(
 )
 
 
+def predictions(model: Model | None, texts: pa.Array, penalty: float = PENALTY) -> pa.StructArray:
+    """A row of RESULT for each text."""
+    out = [[] for _ in RESULT]
+    # A step of the path is taken by all texts of a run that are long enough, so texts of like length share one.
+    lengths = np.array(text_lengths(texts), np.int64)
+    order = np.argsort(lengths, kind="stable")
+    for a, b in runs_of((lengths[order] // 5).tolist(), PATH_WORDS):
+        n = b - a
+        if model is None:
+            for column, value in zip(out, (UNKNOWN, 0.0, 0, 0.0, 0.0)):
+                column.extend([value] * n)
+            continue
+        labels, letters, known, likely, grams, sizes = model.label(texts.take(pa.array(order[a:b])).to_pylist(), penalty)
+        n_lang = len(model.langs)
+        owner = np.repeat(np.arange(n), sizes)
+        weight = np.bincount(owner * n_lang + labels, letters * known, n * n_lang).reshape(n, n_lang)
+        changes = (labels[1:] != labels[:-1]) | (owner[1:] != owner[:-1])
+        first = np.r_[np.ones(min(1, len(labels)), bool), changes]
+        total = np.bincount(owner, letters, n)
+        top, most = weight.argmax(1), weight.max(1)
+        rest = weight.copy()
+        rest[np.arange(n), top] = 0
+        next_most = np.maximum(rest.max(1), total - weight.sum(1))
+        told = np.bincount(owner, likely[np.arange(len(owner)), top[owner]], n) / np.maximum(1, np.bincount(owner, grams, n))
+        has = total > 0
+        whole = np.maximum(1, total)
+        out[0].extend(model.langs[t] if h else UNKNOWN for t, h in zip(top.tolist(), has.tolist()))
+        out[1].extend((most / whole).tolist())
+        out[2].extend(np.bincount(owner[first], minlength=n).tolist())
+        out[3].extend(((most - next_most) / whole).tolist())
+        out[4].extend(np.where(has, told - model.own[top], 0.0).tolist())
+    found = pa.StructArray.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(out, (pa.string(), pa.float64(), pa.int32(), pa.float64(), pa.float64()))],
+        RESULT.fieldNames(),
+    )
+    return found.take(pa.array(np.argsort(order)))
+
+
 def language_id(
     docs: DataFrame,
     trained_on: Column | None = None,
@@ -314,37 +359,7 @@ def language_id(
 
     @F.arrow_udf(RESULT)
     def predict(texts):
-        values = texts.to_pylist()
-        out = [[] for _ in RESULT]
-        for a, b in runs_of([len(t or "") // 5 for t in values], PATH_WORDS):
-            n = b - a
-            if model is None:
-                for column, value in zip(out, (UNKNOWN, 0.0, 0, 0.0, 0.0)):
-                    column.extend([value] * n)
-                continue
-            labels, letters, known, likely, grams, sizes = model.label(values[a:b], penalty)
-            n_lang = len(model.langs)
-            owner = np.repeat(np.arange(n), sizes)
-            weight = np.bincount(owner * n_lang + labels, letters * known, n * n_lang).reshape(n, n_lang)
-            changes = (labels[1:] != labels[:-1]) | (owner[1:] != owner[:-1])
-            first = np.r_[np.ones(min(1, len(labels)), bool), changes]
-            total = np.bincount(owner, letters, n)
-            top, most = weight.argmax(1), weight.max(1)
-            rest = weight.copy()
-            rest[np.arange(n), top] = 0
-            next_most = np.maximum(rest.max(1), total - weight.sum(1))
-            told = np.bincount(owner, likely[np.arange(len(owner)), top[owner]], n) / np.maximum(1, np.bincount(owner, grams, n))
-            has = total > 0
-            whole = np.maximum(1, total)
-            out[0].extend(model.langs[t] if h else UNKNOWN for t, h in zip(top.tolist(), has.tolist()))
-            out[1].extend((most / whole).tolist())
-            out[2].extend(np.bincount(owner[first], minlength=n).tolist())
-            out[3].extend(((most - next_most) / whole).tolist())
-            out[4].extend(np.where(has, told - model.own[top], 0.0).tolist())
-        return pa.StructArray.from_arrays(
-            [pa.array(column, kind) for column, kind in zip(out, (pa.string(), pa.float64(), pa.int32(), pa.float64(), pa.float64()))],
-            RESULT.fieldNames(),
-        )
+        return predictions(model, texts, penalty)
 
     found = unused(docs, "_lang")
     return docs.withColumn(found, predict(text)).withColumns(

@@ -3,10 +3,12 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +158,25 @@ def test_language(spark, odd):
     assert langid.language_id(odd).count() == odd.count()
 
 
+def test_language_memory_goes_by_runs_of_words():
+    """One Arrow batch of many words takes no more than a few short runs do, with the same rows in place."""
+    r = random.Random(8)
+    counts, scripts = np.zeros((3, len(langid.ORDERS) * langid.BUCKETS), np.int64), np.zeros((3, langid.OTHER + 1), np.int64)
+    counts[np.arange(3), r.sample(range(counts.shape[1]), 3)] = 9
+    counts += np.random.default_rng(8).integers(0, 9, counts.shape)
+    scripts[:, 0] = 100
+    model = langid.Model(["en", "fr", "pt"], counts, scripts)
+    few = [None, "", *(" ".join(r.choice(ENGLISH + FRENCH) for _ in range(r.randrange(1, 90))) for _ in range(300))]
+    found = langid.predictions(model, pa.array(few)).to_pylist()
+    assert found == [langid.predictions(model, pa.array([t], pa.string())).to_pylist()[0] for t in few]
+    texts = pa.array([" ".join(ENGLISH * 20)] * 3000)
+    tracemalloc.start()
+    assert len(langid.predictions(model, texts)) == 3000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+
+
 def test_viterbi_against_all_paths():
     model = langid.Model.__new__(langid.Model)
     model.langs = ["a", "b", "c"]
