@@ -142,7 +142,9 @@ class Vocabulary:
 
     def encode_pretokens(self, text: str) -> list[int]:
         out: list[int] = []
-        for piece in self.pattern.findall(text):
+        # Plain letters after one space or none are a single pre-token; most segments are such.
+        word = text[1:] if text[:1] == " " else text
+        for piece in (text,) if word.isascii() and word.isalpha() else self.pattern.findall(text):
             ids = self.pieces.get(piece)
             if ids is None:
                 if len(self.pieces) >= CACHE_ENTRIES:
@@ -166,53 +168,58 @@ class Vocabulary:
 
 
 class Segments(dict):
-    """text between two safe spaces -> (ids as int32 bytes, ids as decimal text)."""
+    """text between two safe spaces -> ids as int32 bytes."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
 
-    def __missing__(self, segment: str) -> tuple[bytes, str]:
-        return self.keep(segment, " " + segment)
-
-    def keep(self, key: str, text: str) -> tuple[bytes, str]:
-        ids = self.vocabulary.encode_pretokens(text)
-        made = array("i", ids).tobytes(), ",".join(map(self.vocabulary.digits.__getitem__, ids))
-        if len(key) <= 64:
+    def __missing__(self, segment: str):
+        got = self.made(self.vocabulary.encode_pretokens(" " + segment))
+        if len(segment) <= 64:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
-            self[key] = made
-        return made
+            self[segment] = got
+        return got
+
+    def made(self, ids: list[int]) -> bytes:
+        return array("i", ids).tobytes()
+
+
+class ListedSegments(Segments):
+    """text between two safe spaces -> (ids as int32 bytes, ids as decimal text)."""
+
+    def made(self, ids: list[int]) -> tuple[bytes, str]:
+        return super().made(ids), ",".join(map(self.vocabulary.digits.__getitem__, ids))
 
 
 _unsafe = regex.compile(r"\s | \s|^ | $")
 _safe = regex.compile(r"(?<=\S) (?=\S)")
-_held: dict[bytes, Segments] = {}
+_held: dict[tuple[type, bytes], Segments] = {}
 
 
-def segments_of(raw: bytes) -> Segments:
+def segments_of(raw: bytes, kind: type[Segments] = Segments) -> Segments:
     """The encoder of a vocabulary file's content, kept by the worker between tasks."""
-    key = hashlib.md5(raw).digest()
+    key = kind, hashlib.md5(raw).digest()
     if key not in _held:
         _held.clear()
-        _held[key] = Segments(Vocabulary(raw))
+        _held[key] = kind(Vocabulary(raw))
     return _held[key]
 
 
-def encode_plain(segments: Segments, text: str) -> list[tuple[bytes, str]]:
-    """Encode a text without special tokens, segment by segment.
+def encode_plain(segments: Segments, text: str) -> list:
+    """Encode a text without special tokens, segment by segment; each as the segments' kind has it.
 
     A space between two characters that are not white space always starts a pre-token, so
     what lies between two such spaces is encoded the same wherever it stands.
     """
     parts = _safe.split(text) if _unsafe.search(text) else text.split(" ")
-    head = segments.vocabulary.encode_pretokens(parts[0])
-    out = [(np.array(head, np.int32).tobytes(), ",".join(map(str, head)))]
+    out = [segments.made(segments.vocabulary.encode_pretokens(parts[0]))]
     out.extend(map(segments.__getitem__, parts[1:]))
     return out
 
 
-def encode_text(segments: Segments, text: str) -> list[tuple[bytes, str]]:
+def encode_text(segments: Segments, text: str) -> list:
     """Encode a whole text; the strings of special tokens in it become those tokens."""
     specials = segments.vocabulary.specials
     if specials is None or not specials.search(text):
@@ -221,8 +228,7 @@ def encode_text(segments: Segments, text: str) -> list[tuple[bytes, str]]:
     for m in specials.finditer(text):
         if m.start() > at:
             out.extend(encode_plain(segments, text[at : m.start()]))
-        i = segments.vocabulary.special[m.group()]
-        out.append((np.array([i], np.int32).tobytes(), str(i)))
+        out.append(segments.made([segments.vocabulary.special[m.group()]]))
         at = m.end()
     if at < len(text):
         out.extend(encode_plain(segments, text[at:]))
@@ -233,7 +239,7 @@ def encode_ids(segments: Segments, text: str | None) -> np.ndarray:
     """Token ids of a whole text as int32; a null or empty text has none."""
     if not text:
         return np.zeros(0, np.int32)
-    return np.frombuffer(b"".join([p[0] for p in encode_text(segments, text)]), np.int32)
+    return np.frombuffer(b"".join(encode_text(segments, text)), np.int32)
 
 
 def read_vocabulary(path: str) -> bytes:
@@ -295,7 +301,7 @@ def bpe_digest(
     def run(batches):
         import pyarrow as pa
 
-        segments = segments_of(raw)
+        segments = segments_of(raw, ListedSegments)
         v = segments.vocabulary
         for batch in batches:
             count, ids_sha, text_sha = [], [], []

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import tracemalloc
+import types
 import zlib
 from collections import Counter
 
@@ -136,6 +137,21 @@ def test_token_counts(spark):
     assert token_counts.token_counts(df.limit(0), path).count() == 0
 
 
+def test_plain_words_need_no_split_and_counts_no_decimals():
+    """Token counts hold ids alone, and letters between two spaces are one pre-token without a search."""
+    t, raw = library("byte_bpe_50k.json"), bpe.read_vocabulary(vocabulary("byte_bpe_50k.json"))
+    s, listed = bpe.segments_of(raw), bpe.segments_of(raw, bpe.ListedSegments)
+    assert bpe.segments_of(raw, bpe.ListedSegments) is listed
+    searched, pattern = [], s.vocabulary.pattern
+    s.vocabulary.pattern = types.SimpleNamespace(findall=lambda x: searched.append(x) or pattern.findall(x))
+    text = "Plain wordless qzxvk ROBUSTLY it's x9 é été a,b \n c"
+    ids = t.encode(text, add_special_tokens=False).ids
+    assert bpe.encode_ids(s, text).tolist() == ids
+    assert not {" wordless", " qzxvk", " ROBUSTLY", "Plain"} & set(searched) and " it's" in searched
+    assert s["qzxvk"] == np.array(t.encode(" qzxvk", add_special_tokens=False).ids, np.int32).tobytes()
+    assert ",".join(x for _, x in bpe.encode_text(listed, text) if x) == ",".join(map(str, ids))
+
+
 ENGLISH = "the cat and the dog were in the house with a big window and the tree".split()
 FRENCH = "le chat et les chiens étaient dans la maison avec une grande fenêtre où".split()
 
