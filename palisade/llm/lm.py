@@ -60,6 +60,14 @@ def ranks_of(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
 
 
+def word_starts(raw: bytes) -> np.ndarray:
+    """Whether each subword id begins with a space."""
+    ranks = ranks_of(raw)
+    starts = np.zeros(1 + max(ranks.values()), bool)
+    starts[[i for token, i in ranks.items() if token[:1] == b" "]] = True
+    return starts
+
+
 def subword_encoder(raw: bytes):
     import tiktoken
 
@@ -73,6 +81,8 @@ def subwords(encoder, word: bytes) -> list[int]:
 
 # Longer words are encoded each time: what a worker keeps is bounded in bytes, too.
 KEPT_CHARS = 64
+# Words encoded together.
+JOINED_WORDS = 10_000
 
 
 class Spelled(dict):
@@ -81,6 +91,20 @@ class Spelled(dict):
     def __init__(self, raw: bytes):
         super().__init__()
         self.encoder = subword_encoder(raw)
+        self.starts = word_starts(raw)
+
+    def several(self, words: list[bytes]) -> list[np.ndarray]:
+        """The ids of each word; new ones of ASCII alone are encoded together, joined by spaces,
+        each of which begins a pre-token and so the first subword of its word."""
+        fresh = [w for w in words if w not in self and len(w) <= KEPT_CHARS and w.isascii()]
+        for at in range(0, len(fresh), JOINED_WORDS):
+            part = fresh[at : at + JOINED_WORDS]
+            flat = np.array(self.encoder.encode_ordinary(" " + b" ".join(part).decode()), np.int32)
+            ends = [*np.flatnonzero(self.starts[flat]).tolist(), len(flat)]
+            if len(self) + len(part) > CACHE_ENTRIES:
+                self.clear()
+            self.update((w, flat[a:b]) for w, a, b in zip(part, ends, ends[1:]))
+        return [self[w] for w in words]
 
     def __missing__(self, word: bytes) -> np.ndarray:
         got = np.array(subwords(self.encoder, word), np.int32)
@@ -337,7 +361,7 @@ def count_words(docs: DataFrame, raw: bytes) -> DataFrame:
     def encode(batches):
         spelled = spelled_by(raw)
         for batch in batches:
-            ids = [spelled[w].tobytes() for w in batch.column(0).to_pylist()]
+            ids = [x.tobytes() for x in spelled.several(batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=["word", "n", "ids"])
 
     counted = docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -593,9 +617,7 @@ def lm_score(
     n_tokens, n_distinct = sums[0] + n_train, sums[1] + (1 if n_train else 0)
     denominator = n_tokens + 0.5 * (n_distinct + 1)
 
-    ranks = ranks_of(raw)
-    starts = np.zeros(1 + max(ranks.values()), bool)
-    starts[[i for token, i in ranks.items() if token[:1] == b" "]] = True
+    starts = word_starts(raw)
     subs = Subwords(subword_counts(words, len(starts)), starts)
     windows = materialize(training_windows(training, raw, subs), "windows")
     scorer = build_scorer(words, windows, subs)
@@ -637,24 +659,26 @@ def lm_score(
                 self.inputs = np.zeros(1 << 18, np.uint16)
                 self.inputs[0] = end_input
 
-            def __missing__(self, word):
-                ids = spelled_ids[word]
-                n = known.get(word)
-                inputs = input_of[ids]
-                base = -math.inf if n is None else math.log10((n + 0.5) / denominator)
-                whole = math.log((n or 1) / max(1, mass[scorer.class_of_input[inputs[0]]]))
+            def add(self, words):
+                """Number new words, each once."""
+                found = spelled_ids.several(words)
+                ids, size = np.concatenate(found), np.array([len(x) for x in found])
+                n = np.array([known.get(word, 0) for word in words], float)
+                inputs, ends = input_of[ids], np.cumsum(size)
+                begin = ends - size
+                base = np.where(n > 0, np.log10((n + 0.5) / denominator), -math.inf)
+                whole = np.log(np.maximum(n, 1) / np.maximum(1, mass[scorer.class_of_input[inputs[begin]]]))
                 at, end = self.size, self.filled + len(ids)
-                if at >= self.numbers.shape[1]:
+                while at + len(words) >= self.numbers.shape[1]:
                     self.numbers = np.concatenate([self.numbers, np.zeros_like(self.numbers)], 1)
                     self.starts = np.concatenate([self.starts, np.zeros(len(self.starts) - 1, np.int64)])
                 if end > len(self.inputs):
                     self.inputs = np.concatenate([self.inputs, np.zeros(max(len(self.inputs), len(ids)), np.uint16)])
                 self.inputs[self.filled : end] = inputs
-                self.numbers[:, at] = within[ids].sum(), base, whole
-                self.starts[at + 1] = self.filled = end
-                self.size += 1
-                self[word] = at
-                return at
+                self.numbers[:, at : at + len(words)] = np.add.reduceat(within[ids], begin), base, whole
+                self.starts[at + 1 : at + len(words) + 1] = self.filled + ends
+                self.size, self.filled = at + len(words), end
+                self.update(zip(words, range(at, self.size)))
 
         look_up = Words()
         mix = math.log(WHOLE_WEIGHT), math.log(1 - WHOLE_WEIGHT)
@@ -684,11 +708,13 @@ def lm_score(
             terms[0].extend(whole[~common].tolist())
             terms[1].extend(spelled[~common].tolist())
 
-        for batch in batches:
-            columns, terms, rare, ends = [[] for _ in range(4)], ([], []), [], [0]
-            waiting, held = [], 0
-            for value in batch.column(3):
-                listed = lowered_words(value.as_py())
+        def take(group):
+            """Number the words of some texts, new ones together, and score the texts."""
+            new = dict.fromkeys(w for listed in group for w in listed if w not in look_up)
+            if new:
+                look_up.add(list(new))
+            waiting = []
+            for listed in group:
                 number = np.zeros(len(listed) + 1, np.int64)
                 number[:-1] = np.fromiter(map(look_up.__getitem__, listed), np.int64, len(listed))
                 base = look_up.numbers[1, number]
@@ -699,16 +725,21 @@ def lm_score(
                 rare.extend([listed[i] for i in np.flatnonzero(~common)])
                 ends.append(len(rare))
                 waiting.append(number)
-                held += len(number)
-                if held > 150_000:
-                    scores(waiting)
-                    waiting, held = [], 0
-                    if len(look_up) > CACHE_ENTRIES:
-                        look_up.reset()
-            if waiting:
-                scores(waiting)
+            scores(waiting)
             if len(look_up) > CACHE_ENTRIES:
                 look_up.reset()
+
+        for batch in batches:
+            columns, terms, rare, ends = [[] for _ in range(4)], ([], []), [], [0]
+            group, held = [], 0
+            for value in batch.column(3):
+                group.append(lowered_words(value.as_py()))
+                held += len(group[-1]) + 1
+                if held > 150_000:
+                    take(group)
+                    group, held = [], 0
+            if group:
+                take(group)
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:3],

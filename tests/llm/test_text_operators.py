@@ -230,6 +230,21 @@ def test_quality(spark, odd):
     assert quality.quality_classifier(docs.limit(0), labels).count() == 0
 
 
+def test_words_are_spelled_together_as_alone():
+    raw = lm.read_vocabulary(vocabulary("byte_bpe_50k.tiktoken"))
+    alone, together = lm.Spelled(raw), lm.Spelled(raw)
+    r = random.Random(12)
+    words = ["'s", "it's", "a-b,c", "123abc", "\x01\x1c", "<|endoftext|>", "\xa0x\x85", "日本語é", "x" * 70, "'", "qz'll"]
+    words += ["".join(chr(r.randrange(33, 127)) for _ in range(r.randrange(1, 12))) for _ in range(2000)]
+    words = list(dict.fromkeys(w.encode().lower() for w in words))
+    calls, encode = [], together.encoder.encode_ordinary
+    together.encoder = types.SimpleNamespace(encode_ordinary=lambda x: calls.append(x) or encode(x))
+    got = together.several(words)
+    assert [x.tolist() for x in got] == [lm.subwords(alone.encoder, w) for w in words]
+    assert len(calls) < 10
+    assert [x.tolist() for x in together.several(words[:50])] == [x.tolist() for x in got[:50]]
+
+
 def test_unigram_base_and_model(spark, odd):
     r = random.Random(7)
     words = [f"w{i}" for i in range(60)]
