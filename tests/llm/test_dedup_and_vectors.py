@@ -115,6 +115,23 @@ def test_grams_of_order_zero_are_anchors(monkeypatch):
         assert all(found & set(range(i, i + 33)) for i in range(41))
 
 
+def test_strings_are_filed_once():
+    units, r = suffixes.Units("words", 10, 2), random.Random(3)
+    data = [np.array([r.randrange(4) for _ in range(r.randrange(40))], np.uint64) for _ in range(30)]
+    owner, place, _, (_, before, after) = suffixes.anchors(units, data)
+    starts = [(o, s) for o, p, b, a in zip(owner, place, before, after) for s in range(p - b, p + a - 9)]
+    assert sorted(starts) == [(i, s) for i, t in enumerate(data) for s in range(len(t) - 9)]
+
+
+def test_a_text_that_repeats_itself_brings_a_context_once(spark, texts):
+    df = spark.createDataFrame([(i, "spam " * 300 + f"end{i}") for i in range(3)], "row long, text string")
+    listed = suffixes._anchor_table(df, suffixes.Units("words", 10, 2)).collect()
+    # All but the last string are the same ten words; the spans of those are known from the text.
+    assert [(list(x.times), x.begin, x.end) for x in listed] == [([2, 1], [0], [300])] * 3
+    got = {r._row: (r.begin, r.end) for r in suffixes.repeated_spans(df.toDF("_row", "text"), "words", 10, 2).collect()}
+    assert got == {i: ([0], [300]) for i in range(3)}
+
+
 def test_drop_repeats(spark):
     passage = " ".join(f"p{i}é" for i in range(12))
     rows = [(1, f"Start one {passage} end one", "b"), (2, f"begin\ttwo {passage.upper()}\nlast", "b"), (3, "alone", "b"), (4, None, "b"), (5, "", "b")]
