@@ -188,27 +188,42 @@ def initial(subs: Subwords, seed: int = 3) -> dict[str, np.ndarray]:
 _distance = np.arange(WINDOW)[:, None] - np.arange(WINDOW)[None, :]
 
 
+def row_max(x: np.ndarray) -> np.ndarray:
+    """x.max(-1, keepdims=True) by halving: numpy is slow along a short last axis."""
+    while (n := x.shape[-1]) > 1:
+        half = np.maximum(x[..., : n // 2], x[..., n // 2 : n // 2 * 2])
+        if n % 2:
+            np.maximum(half[..., :1], x[..., -1:], out=half[..., :1])
+        x = half
+    return x
+
+
+def row_sum(x: np.ndarray) -> np.ndarray:
+    """x.sum(-1, keepdims=True) as a product with ones, likewise."""
+    return x @ np.ones((x.shape[-1], 1), x.dtype)
+
+
 def forward_backward(p, table, ids, target):
     """Loss and gradients of one batch of windows (ids, target class: batch x WINDOW), over the
     places with a target; the others have a negative one."""
     shape, flat, goal = ids.shape, ids.ravel(), target.ravel()
     scale = np.float32(1 / math.sqrt(HEAD_DIM))
     joint = np.concatenate([p["query"] * scale, p["key"], p["value"]], 1)
-    x = p["embed"][flat]
+    x = np.take(p["embed"], flat, 0)
     qkv = (x @ joint).reshape(*shape, -1)
     q, k, v = qkv[:, :, :HEAD_DIM], qkv[:, :, HEAD_DIM : 2 * HEAD_DIM], qkv[:, :, 2 * HEAD_DIM :]
     causal = _distance >= 0
     a = q @ k.transpose(0, 2, 1)
     a += np.where(causal, p["near"][np.maximum(_distance, 0)], np.float32(-1e9))
-    a -= a.max(2, keepdims=True)
+    a -= row_max(a)
     np.exp(a, out=a)
-    a /= a.sum(2, keepdims=True)
+    a /= row_sum(a)
     o = (a @ v).reshape(len(flat), -1)
     prob = o @ p["out"]
-    prob += table[flat]
-    prob -= prob.max(1, keepdims=True)
+    prob += np.take(table, flat, 0)
+    prob -= row_max(prob)
     np.exp(prob, out=prob)
-    prob /= prob.sum(1, keepdims=True)
+    prob /= row_sum(prob)
     real, place = goal >= 0, np.arange(len(flat))
     n = max(1, int(real.sum()))
     loss = -np.log(prob[place, goal] + 1e-30)[real].sum() / n
@@ -218,7 +233,7 @@ def forward_backward(p, table, ids, target):
     g = {"out": o.T @ prob}
     do = (prob @ p["out"].T).reshape(*shape, -1)
     ds = do @ v.transpose(0, 2, 1)
-    ds -= (do * o.reshape(do.shape)).sum(2, keepdims=True)
+    ds -= row_sum(do * o.reshape(do.shape))
     ds *= a
     g["near"] = np.bincount(_distance[causal], ds.sum(0)[causal], WINDOW).astype(np.float32)
     d = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ do], 2).reshape(len(flat), -1)
@@ -311,7 +326,7 @@ class Scorer:
             b = min(total, a + STEP_BLOCKS)
             own = ids[max(a - 1, 0) : b]
             skip = min(a, 1)
-            query, key, value = self.query[own[skip:]], self.key[own], self.value[own]
+            query, key, value = (np.take(x, at, 0) for x, at in ((self.query, own[skip:]), (self.key, own), (self.value, own)))
             if not skip:
                 key, value = np.concatenate([key[:1], key]), np.concatenate([value[:1], value])
             s = query @ key[1:].transpose(0, 2, 1)
@@ -325,12 +340,12 @@ class Scorer:
             o += s @ value[:-1]
             o = o.reshape(-1, WIDTH + 1)
             z = (o[:, :-1] / o[:, -1:]) @ self.out
-            z += self.table[ids[a:b].ravel()]
+            z += np.take(self.table, ids[a:b].ravel(), 0)
             goal = target[a * STRIDE : b * STRIDE]
             chosen = z[np.arange(len(z)), np.maximum(goal, 0)]
             np.exp(z, out=z)
             halves = z @ self.halves
-            every = np.log(halves.sum(1))
+            every = np.log(halves[:, 0] + halves[:, 1])
             got[a * STRIDE : b * STRIDE] = chosen - every
             begins[a * STRIDE : b * STRIDE] = np.log(halves[:, 0]) - every
         real = target >= 0

@@ -322,6 +322,14 @@ def test_padding_is_not_learned_from():
     assert all(np.allclose(g[n], h[n], atol=1e-6) for n in g)
 
 
+def test_rows_are_reduced_as_by_numpy():
+    r = np.random.default_rng(2)
+    for width in range(1, 36):
+        x = r.standard_normal((3, 4, width)).astype(np.float32)
+        assert np.array_equal(lm.row_max(x), x.max(-1, keepdims=True))
+        assert np.allclose(lm.row_sum(x), x.sum(-1, keepdims=True), atol=1e-5)
+
+
 def test_attention_gradients():
     rng = np.random.default_rng(8)
     p = {"embed": rng.standard_normal((9, lm.WIDTH)), "query": rng.standard_normal((lm.WIDTH, lm.HEAD_DIM)) / 4,
