@@ -15,9 +15,10 @@ all training texts.
 from __future__ import annotations
 
 import base64
+import functools
 import math
+import re
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +44,11 @@ WIDTH, HEAD_DIM = 16, 8
 STRIDE, WINDOW = 16, 32
 # What fills the last window of a text; it is neither counted nor learned from.
 PAD = 0xFFFF
-# Windows sent from a task at once.
-WINDOW_ROWS = 20_000
+# Windows in a row of their table, and words of texts worked on at once.
+ROW_WINDOWS = 32
+GROUP_WORDS = 40_000
+# Windows whose transitions are counted at once.
+COUNTED_WINDOWS = 4096
 ROUNDS, BATCH, RATE = 1, 64, 0.02
 SLICES = 8
 # Rows of attention worked on at a time.
@@ -79,40 +83,54 @@ def subwords(encoder, word: bytes) -> list[int]:
     return encoder.encode_ordinary(" " + word.decode("utf-8", "replace"))
 
 
-# Longer words are encoded each time: what a worker keeps is bounded in bytes, too.
+# Longer words count as several: what a task keeps of words is bounded in bytes, too.
 KEPT_CHARS = 64
 # Words encoded together.
 JOINED_WORDS = 10_000
+# White space of the pre-tokens that may stand in a word: it would run into the space before the next one.
+_INNER_WHITE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-class Spelled(dict):
-    """word -> its subword ids as int32, kept by the worker from task to task."""
+def joined(words: list[bytes]) -> str | None:
+    """The words with a space before each, if each is spelled there as it is alone."""
+    try:
+        text = " " + b" ".join(words).decode()
+    except UnicodeDecodeError:
+        return None
+    return text if text.isascii() or not _INNER_WHITE.search(text) else None
+
+
+class Spelled:
+    """The subword ids of words; kept by the worker from task to task."""
 
     def __init__(self, raw: bytes):
-        super().__init__()
         self.encoder = subword_encoder(raw)
         self.starts = word_starts(raw)
 
+    def together(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in one array, and how many each has.  Words are encoded joined by spaces,
+        each of which begins a pre-token and so the first subword of its word; the few for which that does
+        not hold are encoded alone."""
+        found = [np.zeros(0, np.int32)]
+        for at in range(0, len(words), JOINED_WORDS):
+            part = words[at : at + JOINED_WORDS]
+            whole = joined(part)
+            odd = [] if whole is not None else [i for i, word in enumerate(part) if joined([word]) is None]
+            edges = [-1, *odd, len(part)]
+            for a, b in zip(edges, edges[1:]):
+                if b > a + 1:
+                    text = joined(part[a + 1 : b]) if odd else whole
+                    found.append(np.array(self.encoder.encode_ordinary(text), np.int32))
+                if b < len(part):
+                    found.append(np.array(subwords(self.encoder, part[b]), np.int32))
+        ids = np.concatenate(found)
+        return ids, np.diff(np.flatnonzero(self.starts[ids]), append=len(ids))
+
     def several(self, words: list[bytes]) -> list[np.ndarray]:
-        """The ids of each word; new ones of ASCII alone are encoded together, joined by spaces,
-        each of which begins a pre-token and so the first subword of its word."""
-        fresh = [w for w in words if w not in self and len(w) <= KEPT_CHARS and w.isascii()]
-        for at in range(0, len(fresh), JOINED_WORDS):
-            part = fresh[at : at + JOINED_WORDS]
-            flat = np.array(self.encoder.encode_ordinary(" " + b" ".join(part).decode()), np.int32)
-            ends = [*np.flatnonzero(self.starts[flat]).tolist(), len(flat)]
-            if len(self) + len(part) > CACHE_ENTRIES:
-                self.clear()
-            self.update((w, flat[a:b]) for w, a, b in zip(part, ends, ends[1:]))
-        return [self[w] for w in words]
-
-    def __missing__(self, word: bytes) -> np.ndarray:
-        got = np.array(subwords(self.encoder, word), np.int32)
-        if len(word) <= KEPT_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[word] = got
-        return got
+        """The ids of each word."""
+        ids, size = self.together(words)
+        ends = np.cumsum(size)
+        return [ids[a:b] for a, b in zip((ends - size).tolist(), ends.tolist())]
 
 
 _spelled: dict[int, Spelled] = {}
@@ -126,6 +144,77 @@ def spelled_by(raw: bytes) -> Spelled:
     return _spelled[key]
 
 
+def grown(array: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """The array with `more` after its first `used` entries, made longer where it takes that."""
+    while used + len(more) > len(array):
+        array = np.concatenate([array, np.zeros_like(array)])
+    array[used : used + len(more)] = more
+    return array
+
+
+class Numbered(dict):
+    """word -> its number, by which its model inputs lie in a growing array; None, number 0, is the end of a
+    text.  Words met for the first time are numbered at once and spelled together."""
+
+    def __init__(self, spelled: Spelled, input_of: np.ndarray):
+        super().__init__()
+        self.spelled, self.input_of = spelled, input_of.astype(np.uint16)
+        self.reset()
+
+    def reset(self) -> None:
+        self.clear()
+        self[None] = 0
+        self.new, self.size, self.chars = [], 0, 0
+        self.begin, self.inputs = np.zeros(1 << 17, np.int64), np.zeros(1 << 18, np.uint16)
+        # The id after the vocabulary's last is the end of a text.
+        self.learn(np.array([len(self.input_of) - 1]), np.array([1]))
+        self.kept = self.size
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+    def learn(self, ids: np.ndarray, size: np.ndarray) -> None:
+        """Take in the ids of the next numbers, `size` of them each."""
+        filled = int(self.begin[self.size])
+        self.inputs = grown(self.inputs, filled, self.input_of[ids])
+        self.begin = grown(self.begin, self.size + 1, filled + np.cumsum(size))
+        self.size += len(size)
+
+    def numbers(self, words: list) -> np.ndarray:
+        found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            self.chars += sum(map(len, self.new))
+            self.learn(*self.spelled.together(self.new))
+            self.new = []
+        return found
+
+    def flat(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The inputs of numbered words in one array, and how many each has."""
+        begin = self.begin[number]
+        size = self.begin[number + 1] - begin
+        at = np.repeat(begin - (np.cumsum(size) - size), size)
+        at += np.arange(len(at))
+        return self.inputs[at], size
+
+    def full(self) -> bool:
+        return self.size - self.kept > CACHE_ENTRIES or self.chars > KEPT_CHARS * CACHE_ENTRIES
+
+
+def word_groups(column):
+    """The words of texts, in groups of some GROUP_WORDS words and at least a text."""
+    group, held = [], 0
+    for value in column:
+        group.append(lowered_words(value.as_py()))
+        held += len(group[-1]) + 1
+        if held > GROUP_WORDS:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
+
+
 class Subwords:
     """How subword ids enter the model: input number, class, log share within the input."""
 
@@ -200,7 +289,32 @@ def row_max(x: np.ndarray) -> np.ndarray:
 
 def row_sum(x: np.ndarray) -> np.ndarray:
     """x.sum(-1, keepdims=True) as a product with ones, likewise."""
-    return x @ np.ones((x.shape[-1], 1), x.dtype)
+    n = x.shape[-1]
+    return (x.reshape(-1, n) @ np.ones(n, x.dtype)).reshape(*x.shape[:-1], 1)
+
+
+# Between these, exp neither overflows nor vanishes in float32, nor do sums and quotients of a row.
+EXP_RANGE = 40
+
+
+def exp_rows(x: np.ndarray, least: np.ndarray) -> None:
+    """exp(x) in place, up to a factor by row; `least` has an entry of every row or more.  Only where some are out
+    of range, each row is divided by its largest first."""
+    if not (x.max() < EXP_RANGE and least.min() > -EXP_RANGE):
+        x -= row_max(x)
+    np.exp(x, out=x)
+
+
+@functools.lru_cache(1)
+def cells_of(rows: int) -> np.ndarray:
+    """The number of each entry of an array of that many rows of WIDTH."""
+    return np.arange(rows * WIDTH).reshape(rows, WIDTH)
+
+
+def over_rows(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x.T @ y of two tall arrays, in runs of rows: the library is slow on one tall product."""
+    runs = math.gcd(len(x), 8)
+    return (x.reshape(runs, -1, x.shape[1]).transpose(0, 2, 1) @ y.reshape(runs, -1, y.shape[1])).sum(0)
 
 
 def forward_backward(p, table, ids, target):
@@ -215,38 +329,48 @@ def forward_backward(p, table, ids, target):
     causal = _distance >= 0
     a = q @ k.transpose(0, 2, 1)
     a += np.where(causal, p["near"][np.maximum(_distance, 0)], np.float32(-1e9))
-    a -= row_max(a)
-    np.exp(a, out=a)
-    a /= row_sum(a)
+    exp_rows(a, a.reshape(len(a), -1)[:, :: WINDOW + 1])  # a place looks at itself
+    # Attention stays undivided by its sums: what it is multiplied with is narrower and is divided instead.
+    part = 1 / row_sum(a).reshape(-1, 1)
     o = (a @ v).reshape(len(flat), -1)
+    o *= part
     prob = o @ p["out"]
     prob += np.take(table, flat, 0)
-    prob -= row_max(prob)
-    np.exp(prob, out=prob)
-    prob /= row_sum(prob)
+    exp_rows(prob, prob)
+    whole = 1 / row_sum(prob)
     real, place = goal >= 0, np.arange(len(flat))
     n = max(1, int(real.sum()))
-    loss = -np.log(prob[place, goal] + 1e-30)[real].sum() / n
-    prob[place, goal] -= 1
-    prob[~real] = 0
-    prob /= np.float32(n)
-    g = {"out": o.T @ prob}
-    do = (prob @ p["out"].T).reshape(*shape, -1)
-    ds = do @ v.transpose(0, 2, 1)
-    ds -= row_sum(do * o.reshape(do.shape))
+    loss = -np.log(prob[place, goal] * whole[:, 0] + 1e-30)[real].sum() / n
+    share = (real / n).astype(prob.dtype)
+    prob *= whole * share[:, None]
+    prob[place, goal] -= share
+    g = {"out": over_rows(o, prob)}
+    do = prob @ p["out"].T
+    do *= part
+    ds = do.reshape(*shape, -1) @ v.transpose(0, 2, 1)
+    ds -= np.einsum("ij,ij->i", do, o).reshape(*shape, 1)
     ds *= a
     g["near"] = np.bincount(_distance[causal], ds.sum(0)[causal], WINDOW).astype(np.float32)
-    d = np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ do], 2).reshape(len(flat), -1)
-    g["query"], g["key"], g["value"] = np.split(x.T @ d, [HEAD_DIM, 2 * HEAD_DIM], 1)
+    d = np.empty_like(qkv)
+    np.matmul(ds, k, out=d[:, :, :HEAD_DIM])
+    np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, HEAD_DIM : 2 * HEAD_DIM])
+    np.matmul(a.transpose(0, 2, 1), do.reshape(*shape, -1), out=d[:, :, 2 * HEAD_DIM :])
+    d = d.reshape(len(flat), -1)
+    g["query"], g["key"], g["value"] = np.split(over_rows(x, d), [HEAD_DIM, 2 * HEAD_DIM], 1)
     g["query"] = g["query"] * scale
-    cell = flat[:, None] * WIDTH + np.arange(WIDTH)
-    embed = np.bincount(cell.ravel(), (d @ joint.T).ravel(), p["embed"].size)
-    g["embed"] = embed.reshape(p["embed"].shape).astype(np.float32)
+    g["embed"] = np.zeros_like(p["embed"])
+    cell = np.take(cells_of(len(p["embed"])), flat, 0)
+    np.add.at(g["embed"].reshape(-1), cell.ravel(), (d @ joint.T).ravel())
     return loss, g
 
 
-def descend(p, table, windows: np.ndarray, class_of_input: np.ndarray, rate: float) -> float:
+def descend(p, table, windows: np.ndarray, subs: Subwords, rate: float) -> float:
     """Adam over the windows of one task, in place; gives back the mean loss."""
+    # What fills a window counts as the end of a text, never looked back at.
+    input_of = np.full(PAD + 1, subs.end_input)
+    input_of[: len(subs.input_of)] = subs.input_of
+    class_of = np.full(PAD + 1, -1)
+    class_of[: len(subs.input_of)] = subs.class_of_input[subs.input_of]
     # All parameters as one array, and views of it.
     every = np.concatenate([x.ravel() for x in p.values()])
     ends = np.cumsum([x.size for x in p.values()])[:-1]
@@ -254,25 +378,21 @@ def descend(p, table, windows: np.ndarray, class_of_input: np.ndarray, rate: flo
     first, second, move, grad = (np.zeros_like(every) for _ in range(4))
     losses = []
     for step, at in enumerate(range(0, len(windows), BATCH), 1):
-        rows = windows[at : at + BATCH].astype(np.int64)
-        padded = rows == PAD
-        rows[padded] = len(class_of_input) - 1  # the end of a text, never looked back at
-        target = np.where(padded[:, 1:], -1, class_of_input[rows[:, 1:]])
-        loss, found = forward_backward(p, table, rows[:, :-1], target)
+        rows = windows[at : at + BATCH]
+        loss, found = forward_backward(p, table, np.take(input_of, rows[:, :-1]), np.take(class_of, rows[:, 1:]))
         losses.append(loss)
         np.concatenate([found[n].ravel() for n in p], out=grad)
-        np.subtract(grad, first, out=move)
-        move *= 0.1
-        first += move
+        # The means of gradients and of their squares, both short of a factor that goes to the rate.
+        first *= 0.9
+        first += grad
+        second *= 0.98
         np.multiply(grad, grad, out=move)
-        move -= second
-        move *= 0.02
         second += move
-        np.multiply(second, 1 / (1 - 0.98**step), out=move)
-        np.sqrt(move, out=move)
-        move += 1e-7
+        np.sqrt(second, out=move)
+        root = math.sqrt(0.02 / (1 - 0.98**step))
+        move += 1e-7 / root
         np.divide(first, move, out=move)
-        move *= rate / (1 - 0.9**step)
+        move *= rate * 0.1 / (1 - 0.9**step) / root
         every -= move
     return float(np.mean(losses)) if losses else 0.0
 
@@ -286,7 +406,7 @@ class Scorer:
         self.shares, self.fine = shares.ravel(), (fine * subs.n_inputs).astype(np.int32)
         self.query = (e @ p["query"] / math.sqrt(HEAD_DIM)).astype(np.float32)
         self.key = (e @ p["key"]).astype(np.float32)
-        self.value = np.c_[e @ p["value"], np.ones(len(e))].astype(np.float32)
+        self.value = (e @ p["value"]).astype(np.float32)
         self.out, self.table = p["out"], table
         self.class_of_input = subs.class_of_input
         # Scores are kept where exp can't overflow, whatever was learned.
@@ -295,83 +415,117 @@ class Scorer:
         self.query *= np.float32(min(1.0, 40 / max(most, 1e-6)))
         place = np.arange(STRIDE)
         ahead = place[:, None] - place[None, :]
-        self.bias = np.where(ahead >= 0, near[np.maximum(ahead, 0)], -np.inf).astype(np.float32)
-        self.bias_before = near[ahead + STRIDE].astype(np.float32)
+        own = np.where(ahead >= 0, near[np.maximum(ahead, 0)], -np.inf)
+        self.bias = np.concatenate([near[ahead + STRIDE], own], 1).astype(np.float32)
+        self.end_input = subs.end_input
         self.halves = np.zeros((self.out.shape[1], 2), np.float32)
         self.halves[:OPENING, 0] = self.halves[OPENING:, 1] = 1
 
-    def score(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log probabilities of the class of each input but the first of each text, of the input
-        itself, and of a new word at its place; all texts in one array each.
+    def score(self, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log probabilities of the class of each input, of the input itself, and of a new word at its place; the
+        inputs of texts lie one after the other, `sizes` of each, and an end stands before each.
 
-        A text's inputs are cut into blocks of STRIDE; a block attends to itself and the block
+        What stands before a text's inputs is cut into blocks of STRIDE; a block attends to itself and the block
         before, so each input is predicted once, from STRIDE or more inputs where there are as many.
         """
-        sizes = np.array([len(t) - 1 for t in texts])
-        blocks = -(-sizes // STRIDE)
+        blocks, first = -(-sizes // STRIDE), np.cumsum(sizes) - sizes
         offset = np.cumsum(blocks) - blocks
         total = int(blocks.sum())
-        ids = np.zeros(total * STRIDE, np.int64)
-        target = np.full(total * STRIDE, -1, np.int64)
-        for t, size, at in zip(texts, sizes.tolist(), (offset * STRIDE).tolist()):
-            ids[at : at + size] = t[:-1]
-            target[at : at + size] = t[1:]
-        share = np.where(target >= 0, self.shares[self.fine[ids] + target], np.float32(0))
-        target = np.where(target >= 0, self.class_of_input[target], -1)
+        before = np.empty(len(flat), np.int64)
+        before[1:] = flat[:-1]
+        before[first] = self.end_input
+        place = np.repeat(offset * STRIDE - first, sizes)
+        place += np.arange(len(flat))
+        # One more block in front, for the first to look back at.
+        ids, target = np.zeros((total + 1) * STRIDE, np.int64), np.zeros(total * STRIDE, np.int64)
+        ids[place + STRIDE] = before
+        target[place] = self.class_of_input[flat]
         opening = np.zeros(total, bool)
         opening[offset] = True
-        got, begins = np.zeros(total * STRIDE, np.float32), np.zeros(total * STRIDE, np.float32)
-        ids = ids.reshape(total, STRIDE)
+        got, begins = np.empty(total * STRIDE, np.float32), np.empty(total * STRIDE, np.float32)
+        rows = np.arange(STEP_BLOCKS * STRIDE)
         for a in range(0, total, STEP_BLOCKS):
             b = min(total, a + STEP_BLOCKS)
-            own = ids[max(a - 1, 0) : b]
-            skip = min(a, 1)
-            query, key, value = (np.take(x, at, 0) for x, at in ((self.query, own[skip:]), (self.key, own), (self.value, own)))
-            if not skip:
-                key, value = np.concatenate([key[:1], key]), np.concatenate([value[:1], value])
-            s = query @ key[1:].transpose(0, 2, 1)
+            seen = ids[a * STRIDE : (b + 1) * STRIDE]
+            query = np.take(self.query, seen[STRIDE:], 0).reshape(b - a, STRIDE, -1)
+            key, value = (_with_block_before(np.take(x, seen, 0)) for x in (self.key, self.value))
+            s = query @ key.transpose(0, 2, 1)
             s += self.bias
             np.exp(s, out=s)
-            o = s @ value[1:]
-            s = query @ key[:-1].transpose(0, 2, 1)
-            s += self.bias_before
-            np.exp(s, out=s)
-            s[opening[a:b]] = 0  # the block before belongs to another text
-            o += s @ value[:-1]
-            o = o.reshape(-1, WIDTH + 1)
-            z = (o[:, :-1] / o[:, -1:]) @ self.out
-            z += np.take(self.table, ids[a:b].ravel(), 0)
-            goal = target[a * STRIDE : b * STRIDE]
-            chosen = z[np.arange(len(z)), np.maximum(goal, 0)]
+            s[opening[a:b], :, :STRIDE] = 0  # the block before belongs to another text
+            o = (s @ value).reshape(-1, WIDTH)
+            o /= row_sum(s).reshape(-1, 1)
+            z = o @ self.out
+            z += np.take(self.table, seen[STRIDE:], 0)
+            chosen = z[rows[: len(z)], target[a * STRIDE : b * STRIDE]]
             np.exp(z, out=z)
             halves = z @ self.halves
             every = np.log(halves[:, 0] + halves[:, 1])
-            got[a * STRIDE : b * STRIDE] = chosen - every
-            begins[a * STRIDE : b * STRIDE] = np.log(halves[:, 0]) - every
-        real = target >= 0
-        got = got[real].astype(np.float64)
-        return got, got + share[real], begins[real].astype(np.float64)
+            np.subtract(chosen, every, out=got[a * STRIDE : b * STRIDE])
+            np.subtract(np.log(halves[:, 0]), every, out=begins[a * STRIDE : b * STRIDE])
+        got = got[place].astype(np.float64)
+        return got, got + self.shares[self.fine[before] + flat], begins[place].astype(np.float64)
+
+
+def _with_block_before(rows: np.ndarray) -> np.ndarray:
+    """For each block of STRIDE rows but the first, its rows after those of the block before; a view."""
+    step, within = rows.strides
+    shape = len(rows) // STRIDE - 1, 2 * STRIDE, rows.shape[1]
+    return np.lib.stride_tricks.as_strided(rows, shape, (STRIDE * step, step, within), writeable=False)
+
+
+def read_texts(docs: DataFrame, raw: bytes) -> DataFrame:
+    """All texts, read once, as rows of two kinds.  (ids): each text as subword ids between two ends, cut into
+    runs of WINDOW + 1 of which each begins with the last of the one before; the last run is filled with
+    PAD, and a row holds up to ROW_WINDOWS runs.  (word, n): its words, counted in the tasks."""
+    names = ["word", "n", "ids"]
+
+    def cut(number, counts, numbered):
+        ids, size = numbered.flat(number)
+        length = np.add.reduceat(size, np.cumsum(counts) - counts)
+        n = -(-(length - 1) // WINDOW)
+        ends, stop = np.cumsum(n), np.cumsum(length)
+        begin = np.repeat(stop - length - WINDOW * (ends - n), n) + WINDOW * np.arange(ends[-1])
+        ids = np.concatenate([ids, np.full(WINDOW, PAD, np.uint16)])
+        out = np.lib.stride_tricks.sliding_window_view(ids, WINDOW + 1)[begin]
+        last = out[ends - 1]
+        last[begin[ends - 1][:, None] + np.arange(WINDOW + 1) >= stop[:, None]] = PAD
+        out[ends - 1] = last
+        places = np.r_[np.arange(0, len(out), ROW_WINDOWS), len(out)].astype(np.int32) * np.int32(2 * (WINDOW + 1))
+        column = [None, pa.py_buffer(places), pa.py_buffer(out.astype("<u2", copy=False).tobytes())]
+        column = pa.Array.from_buffers(pa.binary(), len(places) - 1, column)
+        none = pa.nulls(len(column), pa.binary()), pa.nulls(len(column), pa.int64())
+        return pa.RecordBatch.from_arrays([*none, column], names=names)
+
+    def counted(numbered, seen):
+        words = list(numbered)[1:]
+        columns = [pa.array(words, pa.binary()), pa.array(seen[1 : len(numbered)].copy()), pa.nulls(len(words), pa.binary())]
+        numbered.reset()
+        seen[:] = 0
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
+    def run(batches):
+        spelled = spelled_by(raw)
+        numbered, seen = Numbered(spelled, np.arange(len(spelled.starts) + 1)), np.zeros(1 << 17, np.int64)
+        for batch in batches:
+            for group in word_groups(batch.column(0)):
+                words = []
+                for listed in group:
+                    words += (None, *listed, None)
+                number = numbered.numbers(words)
+                while len(seen) < len(numbered):
+                    seen = np.concatenate([seen, np.zeros_like(seen)])
+                np.add.at(seen, number, 1)
+                yield cut(number, np.array([len(listed) + 2 for listed in group]), numbered)
+                if numbered.full():
+                    yield counted(numbered, seen)
+        yield counted(numbered, seen)
 
-def count_words(docs: DataFrame, raw: bytes) -> DataFrame:
-    """(word, n, ids): all words of all texts, counted in the tasks before they are shuffled,
-    and the subword ids of each as int32 bytes."""
+    return docs.select("text").mapInArrow(run, "word binary, n long, ids binary")
 
-    def count(batches):
-        def rows():
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"]
-            )
-            held.clear()
-            return out
 
-        held: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                held.update(lowered_words(text.as_py()))
-                if len(held) > CACHE_ENTRIES:
-                    yield rows()
-        yield rows()
+def words_of(read: DataFrame, raw: bytes) -> DataFrame:
+    """(word, n, ids): all words of texts that were read, and the subword ids of each as int32 bytes."""
 
     def encode(batches):
         spelled = spelled_by(raw)
@@ -379,32 +533,41 @@ def count_words(docs: DataFrame, raw: bytes) -> DataFrame:
             ids = [x.tobytes() for x in spelled.several(batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=["word", "n", "ids"])
 
-    counted = docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = read.where(F.col("word").isNotNull()).groupBy("word").agg(F.sum("n").alias("n"))
     return counted.mapInArrow(encode, "word binary, n long, ids binary")
 
 
+def windows_of(read: DataFrame) -> DataFrame:
+    return read.where(F.col("ids").isNotNull()).select("ids")
+
+
+def count_words(docs: DataFrame, raw: bytes) -> DataFrame:
+    """(word, n, ids): all words of all texts and the subword ids of each."""
+    return words_of(read_texts(docs, raw), raw)
+
+
 def _flat(batch):
     """The ids of a batch of words in one array, the count of each, and where words end."""
-    lengths = np.array([len(b) // 4 for b in batch.column(1).to_pylist()], np.int64)
-    ids = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int32).astype(np.int64)
+    column = batch.column(1)
+    edges = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // 4
+    ids = np.frombuffer(column.buffers()[2], np.int32)[edges[0] : edges[-1]]
     last = np.zeros(len(ids), bool)
-    last[np.cumsum(lengths) - 1] = True
-    return ids, np.repeat(batch.column(0).to_numpy(), lengths), last
+    last[edges[1:] - edges[0] - 1] = True
+    return ids, np.repeat(batch.column(0).to_numpy(), np.diff(edges)), last
 
 
 def summed_cells(source: DataFrame, cells, size: int) -> np.ndarray:
-    """Sums per cell over a whole table; `cells` turns a batch into (cells, weights) and `size`
+    """Sums per cell over a whole table; `cells` turns a batch into pairs of cells and weights and `size`
     bounds what reaches the driver."""
 
     def run(batches):
-        total = np.zeros(size)
+        total = np.zeros(size, np.int64)
         for batch in batches:
             if batch.num_rows:
-                total += np.bincount(*cells(batch), minlength=size)
+                for at, weight in cells(batch):
+                    np.add.at(total, at, weight)
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at, pa.int32()), pa.array(total[at].astype(np.int64), pa.int64())], names=["cell", "n"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["cell", "n"])
 
     got = source.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size)
@@ -415,7 +578,7 @@ def summed_cells(source: DataFrame, cells, size: int) -> np.ndarray:
 def subword_counts(words: DataFrame, size: int) -> np.ndarray:
     def cells(batch):
         ids, n, _ = _flat(batch)
-        return ids, n
+        yield ids.astype(np.int64), n
 
     return summed_cells(words.select("n", "ids"), cells, size)
 
@@ -424,64 +587,32 @@ def next_counts(words: DataFrame, windows: DataFrame, subs: Subwords, row, colum
     """How often `column[next]` comes after `row[last]` in all training texts: within words from
     the counts of all words, between words (the end of a text included) from the windows."""
     size = shape[0] * shape[1]
+    begins, adds = (row * shape[1])[subs.input_of].astype(np.int64), column[subs.input_of].astype(np.int64)
+    # Between words only; all else goes to a last cell.
+    to = np.full(PAD + 1, size)
+    to[: len(adds)] = np.where(subs.opens[subs.input_of], adds, size)
+    after = np.zeros(PAD + 1, np.int64)
+    after[: len(begins)] = begins
 
     def inside(batch):
         ids, n, last = _flat(batch)
-        inputs = subs.input_of[ids]
-        inner = ~last[:-1]
-        return row[inputs[:-1][inner]] * shape[1] + column[inputs[1:][inner]], n[:-1][inner]
+        inner = np.flatnonzero(~last[:-1])
+        yield begins[ids[inner]] + adds[ids[inner + 1]], n[inner]
 
     def between(batch):
         ids = _windows([batch])[0]
-        last, following = ids[:, :-1], ids[:, 1:]
-        opens = np.r_[subs.opens, np.zeros(PAD + 1 - len(subs.opens), bool)][following]
-        return (row[last[opens]] * shape[1] + column[following[opens]],)
+        for at in range(0, len(ids), COUNTED_WINDOWS):
+            part = ids[at : at + COUNTED_WINDOWS]
+            cell = np.take(after, part[:, :-1]) + np.take(to, part[:, 1:])
+            yield np.minimum(cell, size, out=cell).ravel(), 1
 
     found = summed_cells(words.select("n", "ids"), inside, size)
-    return (found + summed_cells(windows, between, size)).reshape(shape)
+    return (found + summed_cells(windows, between, size + 1)[:size]).reshape(shape)
 
 
 def training_windows(docs: DataFrame, raw: bytes, subs: Subwords) -> DataFrame:
-    """(ids): each training text as model inputs between two ends, cut into runs of WINDOW + 1 of
-    which each begins with the last of the one before; the last run is filled with PAD."""
-    end = np.array([subs.end_input], "<u2").tobytes()
-
-    def run(batches):
-        spelled = spelled_by(raw)
-
-        class Inputs(dict):
-            def __missing__(self, word):
-                got = subs.input_of[spelled[word]].astype("<u2").tobytes()
-                if len(word) <= KEPT_CHARS:
-                    if len(self) >= CACHE_ENTRIES:
-                        self.clear()
-                    self[word] = got
-                return got
-
-        def rows():
-            out = np.concatenate(found).tobytes()
-            found.clear()
-            n = len(out) // (2 * (WINDOW + 1))
-            places = np.arange(n + 1, dtype=np.int32) * np.int32(2 * (WINDOW + 1))
-            column = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(places), pa.py_buffer(out)])
-            return pa.RecordBatch.from_arrays([column], names=["ids"])
-
-        inputs, found, held = Inputs(), [], 0
-        for batch in batches:
-            for value in batch.column(0):
-                flat = b"".join([end, *map(inputs.__getitem__, lowered_words(value.as_py())), end])
-                cut = -(-(len(flat) // 2 - 1) // WINDOW)
-                ids = np.full(cut * WINDOW + 1, PAD, "<u2")
-                ids[: len(flat) // 2] = np.frombuffer(flat, "<u2")
-                found.append(np.lib.stride_tricks.sliding_window_view(ids, WINDOW + 1)[::WINDOW])
-                held += cut
-                if held >= WINDOW_ROWS:
-                    yield rows()
-                    held = 0
-        if found:
-            yield rows()
-
-    return docs.select("text").mapInArrow(run, "ids binary")
+    """(ids): the runs of all texts, as `read_texts` cuts them; `subs` gives the model's inputs for them."""
+    return windows_of(read_texts(docs, raw))
 
 
 def _windows(batches) -> list[np.ndarray]:
@@ -525,7 +656,6 @@ def train(windows: DataFrame, subs: Subwords, table: np.ndarray) -> dict[str, np
     p = initial(subs)
     names, shapes = list(p), [x.shape for x in p.values()]
     ends = np.cumsum([x.size for x in p.values()])
-    classes = subs.class_of_input
     for turn in range(ROUNDS):
         start, rate = p, RATE / (1 + turn)
 
@@ -536,7 +666,7 @@ def train(windows: DataFrame, subs: Subwords, table: np.ndarray) -> dict[str, np
             rows = np.concatenate(found)
             rows = rows[np.random.default_rng(turn).permutation(len(rows))]
             own = {n: x.copy() for n, x in start.items()}
-            descend(own, table, rows, classes, rate)
+            descend(own, table, rows, subs, rate)
             flat = np.concatenate([x.ravel() for x in own.values()]).astype(np.float32)
             lot = zlib.crc32(rows[0].tobytes()) % 64
             cut = np.array_split(flat, SLICES)
@@ -626,7 +756,8 @@ def lm_score(
         F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).alias("text")
     )
     training = source.where(~F.col("held_out"))
-    words = materialize(count_words(training, raw), "words")
+    read = materialize(read_texts(training, raw), "read")
+    words = materialize(words_of(read, raw), "words")
     n_train = training.count()
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     n_tokens, n_distinct = sums[0] + n_train, sums[1] + (1 if n_train else 0)
@@ -634,138 +765,108 @@ def lm_score(
 
     starts = word_starts(raw)
     subs = Subwords(subword_counts(words, len(starts)), starts)
-    windows = materialize(training_windows(training, raw, subs), "windows")
-    scorer = build_scorer(words, windows, subs)
-
-    def first_class(batch):
-        at = [np.frombuffer(b, np.int32, 1)[0] for b in batch.column(1).to_pylist()]
-        return scorer.class_of_input[subs.input_of[at]], batch.column(0).to_numpy()
-
-    mass = summed_cells(words.select("n", "ids"), first_class, CLASSES)
-
-    # Counts of the commonest words, a bounded number of them, go to the tasks.
-    head = words.orderBy(F.desc("n"), "word").limit(head_words).toArrow()
-    known = dict(zip(head["word"].to_pylist(), head["n"].to_pylist()))
+    scorer = build_scorer(words, windows_of(read), subs)
+
+    # Words by the class of their first subword, the only one that begins with a space.
+    first_classes = scorer.class_of_input[subs.input_of[: len(starts)]][starts]
+    mass = np.bincount(first_classes, subs.count[: len(starts)][starts], CLASSES)
+
+    # The commonest words, a bounded number of them, go to the tasks with their counts and ids: all that
+    # come as often as the last level of counts for which there is room.
+    levels = words.groupBy("n").count().orderBy(F.desc("n")).limit(head_words).toArrow()
+    room = np.cumsum(levels["count"].to_numpy()) <= head_words
+    least = levels["n"].to_numpy()[room].min(initial=sums[0] + 1)
+    head = words.where(F.col("n") >= int(least)).toArrow().combine_chunks()
+    ids = head["ids"].to_pylist()
+    known = (
+        head["word"].to_pylist(),
+        head["n"].to_numpy(),
+        np.frombuffer(b"".join(ids), np.int32),
+        np.array([len(x) // 4 for x in ids], np.int64),
+    )
     shipped = docs.sparkSession.sparkContext.broadcast((known, scorer, subs.input_of.astype(np.uint16), subs.within, mass))
     end_score = math.log10((n_train + 0.5) / denominator)
-    end_input = subs.end_input
 
     def run(batches):
-        known, scorer, input_of, within, mass = shipped.value
-        spelled_ids = spelled_by(raw)
-
-        class Words(dict):
-            """word -> its number in growing arrays: inputs, log share within inputs, base score
-            and log share of the word in the class of its first subword; for a word outside the
-            head, whose count is joined later, -inf and that of a word seen once.  Number 0 is
-            the end of a text."""
+        (known, counts, known_ids, known_sizes), scorer, input_of, within, mass = shipped.value
 
-            def __init__(self):
-                super().__init__()
-                self.reset()
+        class Priced(Numbered):
+            """By number, too: the log share of the word's subwords within inputs, its base score and its log
+            share in the class of its first subword; for a word outside the head, whose count is
+            joined later, -inf and that of a word seen once."""
 
             def reset(self):
-                self.clear()
-                self.size, self.filled = 1, 1
-                self.numbers = np.zeros((3, 1 << 16))
-                self.numbers[:, 0] = 0.0, end_score, 0.0
-                self.starts = np.zeros((1 << 16) + 1, np.int64)
-                self.starts[1] = 1
-                self.inputs = np.zeros(1 << 18, np.uint16)
-                self.inputs[0] = end_input
-
-            def add(self, words):
-                """Number new words, each once."""
-                found = spelled_ids.several(words)
-                ids, size = np.concatenate(found), np.array([len(x) for x in found])
-                n = np.array([known.get(word, 0) for word in words], float)
-                inputs, ends = input_of[ids], np.cumsum(size)
-                begin = ends - size
-                base = np.where(n > 0, np.log10((n + 0.5) / denominator), -math.inf)
-                whole = np.log(np.maximum(n, 1) / np.maximum(1, mass[scorer.class_of_input[inputs[begin]]]))
-                at, end = self.size, self.filled + len(ids)
-                while at + len(words) >= self.numbers.shape[1]:
-                    self.numbers = np.concatenate([self.numbers, np.zeros_like(self.numbers)], 1)
-                    self.starts = np.concatenate([self.starts, np.zeros(len(self.starts) - 1, np.int64)])
-                if end > len(self.inputs):
-                    self.inputs = np.concatenate([self.inputs, np.zeros(max(len(self.inputs), len(ids)), np.uint16)])
-                self.inputs[self.filled : end] = inputs
-                self.numbers[:, at : at + len(words)] = np.add.reduceat(within[ids], begin), base, whole
-                self.starts[at + 1 : at + len(words) + 1] = self.filled + ends
-                self.size, self.filled = at + len(words), end
-                self.update(zip(words, range(at, self.size)))
-
-        look_up = Words()
+                self.prices = np.zeros((1 << 17, 3))
+                super().reset()
+                self.prices[0] = 0.0, end_score, 0.0
+                if known:
+                    self.update(zip(known, range(1, len(known) + 1)))
+                    self.learn(known_ids, known_sizes)
+                    self.kept = self.size
+
+            def learn(self, ids, size):
+                begin = np.cumsum(size) - size
+                n = counts.astype(float) if ids is known_ids else np.zeros(len(size))
+                base = np.full(len(size), -math.inf)
+                np.log10((n + 0.5) / denominator, out=base, where=n > 0)
+                first = mass[scorer.class_of_input[input_of[ids[begin]]]]
+                whole = np.log(np.maximum(n, 1) / np.maximum(1, first))
+                share = np.add.reduceat(within[ids], begin)
+                self.prices = grown(self.prices, self.size, np.stack([share, base, whole], 1))
+                super().learn(ids, size)
+
+        numbered = Priced(spelled_by(raw), input_of)
         mix = math.log(WHOLE_WEIGHT), math.log(1 - WHOLE_WEIGHT)
 
-        def scores(waiting):
-            """Sum of the mixed log probabilities of the head's words of each text, and both terms of
-            each other word in order."""
-            number = np.concatenate(waiting)
-            words = np.array([len(w) for w in waiting])
-            begin_at = look_up.starts[number]
-            size = look_up.starts[number + 1] - begin_at
+        def take(group):
+            """Score some texts: the sum of the mixed log probabilities of each one's words of the head, and
+            both terms of each other word in order."""
+            words = []
+            for listed in group:
+                words += listed
+                words.append(None)
+            number = numbered.numbers(words)
+            tokens = np.array([len(listed) + 1 for listed in group])
+            ends = np.cumsum(tokens)
+            text = ends - tokens
+            share, base, whole = np.take(numbered.prices, number, 0).T
+            common = base > -math.inf
+            flat, size = numbered.flat(number)
             begin = np.cumsum(size) - size
-            flat = look_up.inputs[np.repeat(begin_at - begin, size) + np.arange(size.sum())]
-            cut = np.r_[begin[np.cumsum(words) - words], len(flat)]
-            first, tokens, begins = scorer.score(
-                [np.concatenate([look_up.inputs[:1], flat[a:b]]) for a, b in zip(cut[:-1], cut[1:])]
-            )
-            share, base, whole = look_up.numbers[:, number]
+            first, each, begins = scorer.score(flat, np.add.reduceat(size, text))
             opened = begins[begin]
             closed = np.r_[opened[1:], 0.0]
-            closed[np.cumsum(words) - 1] = 0.0  # the end of a text needs no further end
-            word = np.add.reduceat(tokens, begin) + share - opened + closed
-            whole, spelled = mix[0] + first[begin] - opened + whole, mix[1] + word
-            common = base > -math.inf
-            word = np.where(common, np.logaddexp(whole, spelled), 0.0)
-            columns[3].extend((np.add.reduceat(word, np.cumsum(words) - words) / LN10).tolist())
-            terms[0].extend(whole[~common].tolist())
-            terms[1].extend(spelled[~common].tolist())
-
-        def take(group):
-            """Number the words of some texts, new ones together, and score the texts."""
-            new = dict.fromkeys(w for listed in group for w in listed if w not in look_up)
-            if new:
-                look_up.add(list(new))
-            waiting = []
-            for listed in group:
-                number = np.zeros(len(listed) + 1, np.int64)
-                number[:-1] = np.fromiter(map(look_up.__getitem__, listed), np.int64, len(listed))
-                base = look_up.numbers[1, number]
-                common = base > -math.inf
-                columns[0].append(len(number))
-                columns[1].append(int(common.sum()) - (n_train == 0))
-                columns[2].append(math.fsum(base[common].tolist()))
-                rare.extend([listed[i] for i in np.flatnonzero(~common)])
-                ends.append(len(rare))
-                waiting.append(number)
-            scores(waiting)
-            if len(look_up) > CACHE_ENTRIES:
-                look_up.reset()
+            closed[ends - 1] = 0.0  # the end of a text needs no further end
+            spelled = mix[1] + np.add.reduceat(each, begin) + share - opened + closed
+            whole = mix[0] + first[begin] - opened + whole
+            mixed = np.where(common, np.logaddexp(whole, spelled), 0.0)
+            base = np.where(common, base, 0.0)
+            columns[0].append(tokens)
+            columns[1].append(np.add.reduceat(common, text, dtype=np.int64) - (n_train == 0))
+            columns[2].append(np.array([base[a:b].sum() for a, b in zip(text.tolist(), ends.tolist())]))
+            columns[3].append(np.add.reduceat(mixed, text) / LN10)
+            others = np.flatnonzero(~common)
+            rare.extend([words[i] for i in others.tolist()])
+            terms[0].append(whole[others])
+            terms[1].append(spelled[others])
+            rare_ends.append(len(rare) - len(others) + np.cumsum(np.add.reduceat(~common, text, dtype=np.int64)))
+            if numbered.full():
+                numbered.reset()
 
         for batch in batches:
-            columns, terms, rare, ends = [[] for _ in range(4)], ([], []), [], [0]
-            group, held = [], 0
-            for value in batch.column(3):
-                group.append(lowered_words(value.as_py()))
-                held += len(group[-1]) + 1
-                if held > 150_000:
-                    take(group)
-                    group, held = [], 0
-            if group:
+            columns, terms, rare, rare_ends = [[] for _ in range(4)], ([], []), [], [np.zeros(1, np.int64)]
+            for group in word_groups(batch.column(3)):
                 take(group)
+            if not batch.num_rows:
+                continue
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns[:3],
-                    pa.array(columns[0], pa.int64()),
-                    pa.array(columns[1], pa.int64()),
-                    pa.array(columns[2], pa.float64()),
-                    pa.array(columns[3], pa.float64()),
+                    *(pa.array(np.concatenate(c)) for c in columns),
                     pa.ListArray.from_arrays(
-                        pa.array(ends, pa.int32()),
+                        pa.array(np.concatenate(rare_ends), pa.int32()),
                         pa.StructArray.from_arrays(
-                            [pa.array(rare, pa.binary()), *(pa.array(t, pa.float64()) for t in terms)],
+                            [pa.array(rare, pa.binary()), *(pa.array(np.concatenate(t)) for t in terms)],
                             ["word", "whole", "spelled"],
                         ),
                     ),

@@ -245,6 +245,77 @@ def test_words_are_spelled_together_as_alone():
     assert [x.tolist() for x in together.several(words[:50])] == [x.tolist() for x in got[:50]]
 
 
+def test_words_beyond_ascii_are_spelled_together():
+    raw = lm.read_vocabulary(vocabulary("byte_bpe_50k.tiktoken"))
+    spelled = lm.Spelled(raw)
+    r = random.Random(13)
+    words = ["".join(r.choice("éèçñüßжщ日本語'1-aZ") for _ in range(r.randrange(1, 9))) for _ in range(1500)]
+    words[700:700] = ["\xa0", "a\u3000", "\u2003b\u2003", "\x85\x85"]
+    words = [w.encode() for w in words] + [b"\xff", b"a\xed\xa0\x80"]
+    want = [lm.subwords(spelled.encoder, w) for w in words]
+    calls, encode = [], spelled.encoder.encode_ordinary
+    spelled.encoder = types.SimpleNamespace(encode_ordinary=lambda x: calls.append(x) or encode(x))
+    assert [x.tolist() for x in spelled.several(words)] == want
+    assert len(calls) < 10
+
+
+def test_texts_are_read_once(spark, monkeypatch):
+    monkeypatch.setattr(lm, "CACHE_ENTRIES", 30)  # what is kept of words starts anew
+    monkeypatch.setattr(lm, "GROUP_WORDS", 50)
+    texts = [" ".join(f"w{i * j % 97}" for j in range(i)) for i in range(60)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    raw = lm.read_vocabulary(vocabulary("byte_bpe_50k.tiktoken"))
+    read = lm.read_texts(df, raw).cache()
+    want = Counter(w for t in texts for w in lm.lowered_words(t))
+    assert {x.word: x.n for x in lm.words_of(read, raw).select("word", "n").collect()} == want
+    rows = lm.windows_of(read)
+    seen = np.concatenate(lm._windows(rows.toArrow().to_batches()))
+    encoder, at = lm.subword_encoder(raw), 0
+    for t in texts:
+        ids = [len(lm.word_starts(raw)), *(i for w in lm.lowered_words(t) for i in lm.subwords(encoder, w))]
+        ids.append(ids[0])
+        n = -(-(len(ids) - 1) // lm.WINDOW)
+        got = np.r_[seen[at, :1], seen[at : at + n, 1:].ravel()]
+        assert got[: len(ids)].tolist() == ids and (got[len(ids) :] == lm.PAD).all()
+        assert (seen[at + 1 : at + n, 0] == seen[at : at + n - 1, -1]).all()
+        at += n
+    assert at == len(seen) > rows.count()
+
+
+def test_scores_as_by_a_plain_pass():
+    r = np.random.default_rng(5)
+    n, classes = 11, lm.CLASSES
+    subs = type("Subs", (), {"n_inputs": n, "class_of_input": r.integers(0, classes, n), "end_input": n - 1})
+    p = {k: r.standard_normal(x.shape).astype(np.float32) / 2 for k, x in lm.initial(type("S", (), {"n_inputs": n, "n_classes": classes})).items()}
+    table, fine = r.standard_normal((n, classes)).astype(np.float32), r.integers(0, 3, n)
+    shares = r.standard_normal((3, n)).astype(np.float32)
+    scorer = lm.Scorer(p, table, shares, fine, subs)
+    sizes = np.array([1, 15, 16, 17, 33, 2100, 1])
+    flat = r.integers(0, n, sizes.sum())
+    got = scorer.score(flat, sizes)
+    at = 0
+    for size in sizes:
+        before, own = np.r_[n - 1, flat[at : at + size - 1]], flat[at : at + size]
+        x = p["embed"][before].astype(float)
+        q, k, v = x @ p["query"] / math.sqrt(lm.HEAD_DIM), x @ p["key"], x @ p["value"]
+        for i in range(size):
+            first = max(0, i // lm.STRIDE - 1) * lm.STRIDE
+            a = np.exp(q[i] @ k[first : i + 1].T + p["near"][i - np.arange(first, i + 1)])
+            z = (a / a.sum()) @ v[first : i + 1] @ p["out"] + table[before[i]]
+            z -= np.log(np.exp(z).sum())
+            want = z[subs.class_of_input[own[i]]], np.log(np.exp(z[: lm.OPENING]).sum())
+            assert np.allclose([got[0][at + i], got[2][at + i]], want, atol=1e-4)
+            assert math.isclose(got[1][at + i], got[0][at + i] + shares[fine[before[i]], own[i]], rel_tol=1e-5, abs_tol=1e-5)
+        at += size
+
+
+def test_exp_far_out_of_range():
+    x = np.array([[500, 499, -1e9], [-500, -502, -1e9], [1, 2, 3]], np.float32)
+    want = np.exp(x.astype(float) - x.max(1, keepdims=True))
+    lm.exp_rows(x, x[:, 0])
+    assert np.allclose(x / lm.row_sum(x), want / want.sum(1, keepdims=True), atol=1e-6)
+
+
 def test_unigram_base_and_model(spark, odd):
     r = random.Random(7)
     words = [f"w{i}" for i in range(60)]
