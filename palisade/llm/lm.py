@@ -771,12 +771,12 @@ def lm_score(
     first_classes = scorer.class_of_input[subs.input_of[: len(starts)]][starts]
     mass = np.bincount(first_classes, subs.count[: len(starts)][starts], CLASSES)
 
-    # The commonest words, a bounded number of them, go to the tasks with their counts and ids: all that
-    # come as often as the last level of counts for which there is room.
+    # The commonest words, a bounded number of them, go to the tasks with their counts and ids.  Only words that come as
+    # often as the last of them are ordered.
     levels = words.groupBy("n").count().orderBy(F.desc("n")).limit(head_words).toArrow()
-    room = np.cumsum(levels["count"].to_numpy()) <= head_words
-    least = levels["n"].to_numpy()[room].min(initial=sums[0] + 1)
-    head = words.where(F.col("n") >= int(least)).toArrow().combine_chunks()
+    above = int((np.cumsum(levels["count"].to_numpy()) < head_words).sum())
+    least = levels["n"][min(above, len(levels) - 1)].as_py() if len(levels) else 1
+    head = words.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(head_words).toArrow().combine_chunks()
     ids = head["ids"].to_pylist()
     known = (
         head["word"].to_pylist(),
